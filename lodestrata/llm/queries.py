@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import components, entity_splits
+from lodestrata.llm import components, entity_splits, leakage
 
 
 def _read(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -26,8 +26,12 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return components.components(links).where("member <> label").select(F.col("label").alias("group_id"), F.col("member").alias("entity_id"))
 
 
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return leakage.leaked_items(_read(spark, sf, "documents"), _read(spark, sf, "heldout_items")).select("item_id", "doc_id")
+
+
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_splits": p1_splits, "p4_found": p4_found}
+    return {"p1_found": p1_found, "p1_splits": p1_splits, "p4_found": p4_found, "p7_found": p7_found}
 
 
 def oracle_sql() -> dict[str, str]:
