@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import components, entity_splits, leakage
+from lodestrata.llm import components, entity_splits, leakage, sentences
 
 
 def _read(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -30,8 +30,12 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return leakage.leaked_items(_read(spark, sf, "documents"), _read(spark, sf, "heldout_items")).select("item_id", "doc_id")
 
 
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return sentences.sentences(_read(spark, sf, "documents")).select("doc_id", "start_char", "end_char")
+
+
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_splits": p1_splits, "p4_found": p4_found, "p7_found": p7_found}
+    return {"p1_found": p1_found, "p1_splits": p1_splits, "p4_found": p4_found, "p7_found": p7_found, "p8_found": p8_found}
 
 
 def oracle_sql() -> dict[str, str]:
