@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import components, entity_splits, leakage, sentences
+from lodestrata.llm import components, encodings, entity_splits, leakage, lookalikes, sentences
 
 
 def _read(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -20,6 +20,23 @@ def p1_splits(spark: SparkSession, sf: str) -> DataFrame:
     return entity_splits.assign_splits(entity_splits.record_groups(_read(spark, sf, "manifest")), _read(spark, sf, "split_policy"))
 
 
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    return lookalikes.same_looking(_read(spark, sf, "reference_resolution_ignored"), _read(spark, sf, "lexicon"))
+
+
+def p2_forms(spark: SparkSession, sf: str) -> DataFrame:
+    return lookalikes.consistent_form(_read(spark, sf, "reference_resolution_ignored").select("resolution_id", "surface_text"), _read(spark, sf, "lexicon"), "surface_text")
+
+
+def p3_restored(spark: SparkSession, sf: str) -> DataFrame:
+    t = _read(spark, sf, "reference_resolution_ignored")
+    return encodings.restore(t.select("resolution_id", "surface_text", F.col("source.evidence_quote").alias("evidence_quote")), ["surface_text", "evidence_quote"])
+
+
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p3_restored(spark, sf).select("resolution_id", "field").distinct()
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     log = _read(spark, sf, "entity_resolution_decisions")
     links = components.latest_links(log, "left_entity_id", "right_entity_id", "decision", "reviewed_at")
@@ -35,7 +52,7 @@ def p8_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_splits": p1_splits, "p4_found": p4_found, "p7_found": p7_found, "p8_found": p8_found}
+    return {"p1_found": p1_found, "p1_splits": p1_splits, "p2_found": p2_found, "p2_forms": p2_forms, "p3_found": p3_found, "p3_restored": p3_restored, "p4_found": p4_found, "p7_found": p7_found, "p8_found": p8_found}
 
 
 def oracle_sql() -> dict[str, str]:
