@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import components, encodings, entity_splits, leakage, lookalikes, sentences
+from lodestrata.llm import components, encodings, entity_splits, leakage, lookalikes, packing, sentences
 
 
 def _read(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -43,6 +45,14 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return components.components(links).where("member <> label").select(F.col("label").alias("group_id"), F.col("member").alias("entity_id"))
 
 
+#: A public vocabulary, read where it lies; another can be named by the environment.
+RANKS = os.environ.get("LODESTRATA_RANKS", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
+
+
+def p6_contexts(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.fill_contexts(_read(spark, sf, "documents"), _read(spark, sf, "judge_budgets"), RANKS)
+
+
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return leakage.leaked_items(_read(spark, sf, "documents"), _read(spark, sf, "heldout_items")).select("item_id", "doc_id")
 
@@ -52,7 +62,7 @@ def p8_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_splits": p1_splits, "p2_found": p2_found, "p2_forms": p2_forms, "p3_found": p3_found, "p3_restored": p3_restored, "p4_found": p4_found, "p7_found": p7_found, "p8_found": p8_found}
+    return {"p1_found": p1_found, "p1_splits": p1_splits, "p2_found": p2_found, "p2_forms": p2_forms, "p3_found": p3_found, "p3_restored": p3_restored, "p4_found": p4_found, "p6_contexts": p6_contexts, "p7_found": p7_found, "p8_found": p8_found}
 
 
 def oracle_sql() -> dict[str, str]:
