@@ -7,7 +7,8 @@ length, digits and script, the mark and what closes after it. How often a token
 a stop inside one, and how often a token begins units as against following a stop, are counted over all documents: an
 abbreviation is a token that hardly ever ends a unit.
 
-The model is trained on reliable boundaries only. Ends of units are boundaries; stops before a token that never begins
+The model is trained on reliable boundaries only. Ends of units are boundaries, and so are stops after a token that ends
+units as often as others and after which lower case hardly ever follows, whatever follows there; stops before a token that never begins
 a unit (if the token before the stop is known to go on), and stops after a token that occurs often but never ends one, are not. Its weights come from a bounded sample
 of documents (``training_documents``), the counts from all. Decisions are one dictionary lookup for each kind of
 candidate, so that the cost is that of finding the stops.
@@ -32,9 +33,11 @@ _FREE = frozenset("\u3002\uff01\uff1f\uff61\u0964\u0965\u06d4")  # marks after w
 _QUOTES = re.compile("[\u201c\u201d\u201e\u00ab\u00bb\u300c\u300d\u300e\u300f\u2039\u203a\"]")
 _CLOSES = {"\u201c": "\u201d", "\u201e": "\u201c\u201d", "\u00ab": "\u00bb", "\u300c": "\u300d", "\u300e": "\u300f", "\u2039": "\u203a", '"': '"'}
 _BRACKETS = frozenset(")]}\uff09\u3011\u3015\uff3d")
+_LEADING = ".!?\u2026\u3002\uff01\uff1f\u061f\u0964\u201d\u201c\u00bb\u300d)\uff09]"
 _OPENERS = "([{\uff08\u3010\u201c\u201e\u00ab\u300c\u300e\u2039\"\u00bf\u00a1"
 _CITATION = re.compile("\\[\\d[\\d,;\u2013\u2014\\- ]*\\]")
 _SCRIPTS = re.compile("([\u3040-\u30ff])|([\u4e00-\u9fff])|([\u0e00-\u0e7f])|([\u0900-\u097f])|([\u0600-\u06ff])|([\u0400-\u04ff])")
+_OTHER_SCRIPT = re.compile("[\u0400-\u04ff\u0600-\u06ff\u0900-\u097f\u0e00-\u0e7f\u3040-\u30ff\u4e00-\u9fff]")
 _NEXT = re.compile("\\s*([\\w.\u2019'-]*)")
 _DIGITS = re.compile("\\d+")
 _THAI_SPACE = re.compile("(?<=[^\\s\\d])[^\\S\n\r]+(?=[^\\s\\d])")
@@ -55,9 +58,9 @@ def units(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _script(unit: str) -> str:
-    if unit.isascii():
+    if unit.isascii() or not (m := _OTHER_SCRIPT.search(unit)):
         return "l"
-    found = {m.lastindex for m in _SCRIPTS.finditer(unit[:400])} or {m.lastindex for m in _SCRIPTS.finditer(unit)}
+    found = {m.lastindex for m in _SCRIPTS.finditer(unit, m.start())}
     return "khtdac"[min(found) - 1] if found else "l"
 
 
@@ -85,67 +88,101 @@ def _quotations(unit: str) -> list[tuple[int, int]]:
     return out
 
 
+_SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace() and c != 32]
+_seen_before: dict[str, str] = {}
+_seen_after: dict[tuple[str, bool], str] = {}
+
+
+def _token_before(raw: str) -> str:
+    """The token before a stop: digits alike, without opening marks; long ones are not told apart."""
+    if (w := _seen_before.get(raw)) is None:
+        if len(_seen_before) > 100_000:
+            _seen_before.clear()
+        w = raw.lstrip(_OPENERS)
+        w = _seen_before[raw] = _DIGITS.sub("0", w) if len(w) <= 15 else "<long>"
+    return w
+
+
+def _token_after(raw: str, short: bool) -> str:
+    """The token after a stop: its leading word, a number as 0, two characters in scripts without spaces, or its first mark."""
+    key = raw, short
+    if (token := _seen_after.get(key)) is None:
+        if len(_seen_after) > 100_000:
+            _seen_after.clear()
+        token = _NEXT.match(raw)[1]
+        if not token:
+            token = raw[:1]
+        elif short and not token[0].isascii():
+            token = token[:2]
+        else:
+            token = token.rstrip(".'\u2019-")[:14] or "."
+            if token[0].isdigit():
+                token = "0"
+        _seen_after[key] = token
+    return token
+
+
 def _candidates(unit: str, script: str) -> Iterator[tuple[int, tuple]]:
     """``(end, kind)`` of each candidate; kind is (token before, token after, mark, closers, opening quote leads, citation, no space). At the unit's end the token after is empty."""
+    stops = [*_STOP.finditer(unit)]
+    if not stops:
+        return
     quotes = _quotations(unit)
     ends = {b: a for a, b in quotes}
-    n, q = len(unit), 0
-    for m in _STOP.finditer(unit):
-        i, j = m.start(), m.end()
+    flat = unit.replace("\n", " ").replace("\r", " ").replace("\t", " ")
+    if not unit.isascii():
+        for c in _SPACES:
+            flat = flat.replace(c, " ")
+    n, q, spaceless = len(unit), 0, script in "hkt"
+    for m in stops:
+        i, j = m.span()
         while q < len(quotes) and quotes[q][1] < i:
             q += 1
         if q < len(quotes) and quotes[q][0] < i:
             close = quotes[q][1]
-            if not (close == j or (close == j + 1 and unit[j].isspace()) or (close == j + 1 and unit[j] in _BRACKETS)):
+            if not (close == j or (close == j + 1 and (flat[j] == " " or flat[j] in _BRACKETS))):
                 continue
-        closers, leads, cited = "", False, False
-        while j < n:
-            c = unit[j]
-            if j in ends or (c.isspace() and j + 1 in ends and unit[j + 1] == "\u00bb"):
-                j += c.isspace()
-                closers += "q"
-                before = unit[: ends[j]].rstrip() if ends[j] < 200 else unit[ends[j] - 200 : ends[j]].rstrip()
-                leads = not before or before[-1] in ".!?\u2026\u3002\uff01\uff1f\u061f\u0964\u201d\u201c\u00bb\u300d)\uff09]"
-                j += 1
-            elif c in _BRACKETS:
-                closers += "b"
-                j += 1
-            elif c == "[" and (cite := _CITATION.match(unit, j)):
-                cited = True
-                j = cite.end()
-            else:
-                break
         mark = m[0][0]
-        if mark == "." and len(m[0]) > 1:
+        if mark == "." and j - i > 1:
             mark = "\u2026"
-        joined = False
+        closers, leads, cited, joined, token = "", False, False, False, ""
+        if j < n and flat[j] != " " or j + 1 in ends:
+            while j < n:
+                c = flat[j]
+                if j in ends or (c == " " and j + 1 in ends and flat[j + 1] == "\u00bb"):
+                    j += c == " "
+                    closers += "q"
+                    before = unit[max(0, ends[j] - 200) : ends[j]].rstrip()
+                    leads = not before or before[-1] in _LEADING
+                    j += 1
+                elif c in _BRACKETS:
+                    closers += "b"
+                    j += 1
+                elif c == "[" and (cite := _CITATION.match(unit, j)):
+                    cited = True
+                    j = cite.end()
+                else:
+                    break
         if j < n:
-            c = unit[j]
-            if not c.isspace():
+            c = flat[j]
+            at = j
+            if c != " ":
                 joined = True
-                if mark not in _FREE and unit[j - 1] not in _FREE and not (closers and script in "hk"):
-                    if not (c.isupper() or c in "\u00bf\u00a1\u201c\u201e\u00ab(") or (mark == "." and not closers and not cited and not _wordlike(unit, i, j)):
-                        if not (mark == "\u2026" and script in "hk"):
-                            continue
-                elif c in ",;:\u3001\uff0c\uff1b\uff1a":
+                if c in ",;:\u3001\uff0c\uff1b\uff1a":
                     continue
-            token = _NEXT.match(unit, j)[1]
-            if not token:
-                token = unit[j:].lstrip()[:1] if not c.isspace() else unit[j : j + 80].lstrip()[:1]
-            elif not token[0].isascii() and script in "hkt":
-                token = token[:2]
+                if mark not in _FREE and flat[j - 1] not in _FREE and not ((closers or mark == "\u2026") and script in "hk"):
+                    if not (c.isupper() or c in "\u00bf\u00a1\u201c\u201e\u00ab(") or (mark == "." and not closers and not cited and not _wordlike(unit, i, j)):
+                        continue
             else:
-                token = token.rstrip(".'\u2019-")[:14] or "."
-                if token[0].isdigit():
-                    token = "0"
-                elif token.islower() and i > 40 and script in "lc" and unit[i - 60 if i > 60 else 0 : i].islower():
-                    token = token.capitalize()  # a passage without capitals: what follows its stops says nothing by its case
-        else:
-            token = ""
+                at = j + 1
+                while flat[at] == " ":
+                    at += 1
+            to = flat.find(" ", at)
+            token = _token_after(flat[at : to if 0 < to < at + 24 else at + 24], spaceless)
+            if i > 40 and not joined and script in "lc" and token.islower() and "." not in token and flat[i - 60 if i > 60 else 0 : i].islower():
+                token = token.capitalize()  # a passage without capitals: what follows its stops says nothing by its case
         if mark == "." and not closers:
-            words = unit[max(0, i - 24) : i].split()
-            w = words[-1].lstrip(_OPENERS) if words and not unit[i - 1].isspace() else ""
-            w = _DIGITS.sub("0", w) if len(w) <= 15 else "<long>"
+            w = _token_before(flat[max(flat.rfind(" ", 0, i) + 1, i - 24) : i])
         else:
             w = f"{mark}{closers}{script}{'L' if leads else ''}"
         yield j, (w, token, mark, closers, leads, cited, joined)
@@ -207,6 +244,10 @@ class Model:
         """Whether a stop inside a unit is certainly no boundary: what is before it never ends a unit, or what follows never begins one while the token before it is known to go on."""
         return self.before.get(kind[0], 4) == 0 or (self.after.get(kind[1], 4) == 0 and (self.inner.get(kind[0], 0) > 0 or not kind[1].islower()))
 
+    def ordinary(self, kind: tuple) -> bool:
+        """Whether a stop inside a unit certainly is a boundary though lower case follows: the token before it ends units as often as others, and hardly ever goes on."""
+        return kind[1].islower() and self.before.get(kind[0]) == 4 and self.inner.get(kind[0]) == 0
+
     def features(self, kind: tuple) -> list[str]:
         w, token, mark, closers, leads, cited, joined = kind
         b, a = self.before.get(w, 4), self.after.get(token, 3)
@@ -214,7 +255,7 @@ class Model:
         known, i = "k" if token in self.after else "u", self.inner.get(w, 0)
         return [
             "bias", f"b{b}", f"a{a}{known}", f"s{s}", f"p{p}", f"m{mark}", f"c{closers}", f"b{b}a{a}", f"b{b}s{s}", f"a{a}s{s}", f"m{mark}s{s}",
-            f"c{closers}{leads}s{s}", f"p{p}s{s}", f"p{p}a{a}", f"t{cited}", f"n{min(len(w), 6)}", f"b{b}p{p}", f"i{i}", f"i{i}s{s}", f"i{i}a{a}", f"i{i}b{b}s{s}",
+            f"c{closers}{leads}s{s}", f"p{p}s{s}", f"p{p}a{a}", f"t{cited}", f"n{min(len(w), 6)}", f"b{b}p{p}", f"i{i}", f"i{i}s{s}", f"i{i}a{a}", f"i{i}b{b}s{s}", f"i{i}b{b}a{a}s{s}",
         ]
 
     def probability(self, kind: tuple) -> float:
@@ -249,65 +290,63 @@ class Model:
         return out
 
 
-def _observe(text: str, tokens: Counter, kinds: Counter | None) -> None:
-    """Adds one document's counts: ('w', token, at a unit's end) and ('n', token, at a unit's start); kinds for training."""
-    firsts: list[tuple] = []
+def _observe(text: str, edges: Counter, kinds: Counter, trained: Counter | None) -> None:
+    """Adds one document's counts: ('w', token) at the ends of units and ('n', token) at their starts; kinds of candidates inside units; and pairs of an end with the next start, for training."""
+    before = None
     for a, b in units(text):
         unit = text[a:b]
         script = _script(unit)
-        last = None
-        own = []
+        last, n = None, b - a
         for j, kind in _candidates(unit, script):
-            if j == len(unit):
+            if j == n:
                 last = kind
             else:
-                own.append(kind)
-        for kind in own:
-            tokens["w", kind[0], False] += 1
-            tokens["i", kind[0], kind[1].islower()] += 1
-            if not kind[6]:
-                tokens["n", kind[1], False] += 1
-            if kinds is not None:
-                kinds[kind, False] += 1
+                kinds[kind] += 1
         if last:
-            tokens["w", last[0], True] += 1
-            m = _NEXT.match(unit)
-            token = m[1]
-            if not token:
-                token = unit[:1]
-            elif not token[0].isascii() and script in "hkt":
-                token = token[:2]
-            else:
-                token = token.rstrip(".'\u2019-")[:14] or "."
-                if token[0].isdigit():
-                    token = "0"
-            tokens["n", token, True] += 1
-            firsts.append((last, token, script))
-    if kinds is not None:
-        for (end, _, _), (_, token, _) in zip(firsts, firsts[1:]):
-            kinds[(end[0], token, *end[2:]), True] += 1
+            token = _token_after(unit[:24].split()[0], script in "hkt")
+            edges["w", last[0]] += 1
+            edges["n", token] += 1
+            if before and trained is not None:
+                trained[before[0], token, *before[2:]] += 1
+            before = last
+
+
+def _rows(edges: Counter, kinds: Counter, ends: Counter, train: bool) -> Iterator[tuple]:
+    """Rows of counts: kind, token, whether at an edge (or in lower case), how many."""
+    inside: Counter = Counter()
+    for k, n in kinds.items():
+        inside["w", k[0], False] += n
+        inside["i", k[0], k[1].islower()] += n
+        if not k[6]:
+            inside["n", k[1], False] += n
+    yield from ((*k, n) for k, n in inside.items())
+    yield from ((*k, True, n) for k, n in edges.items())
+    if train:
+        for c, yes in ((kinds, False), (ends, True)):
+            yield from (("t", "\x1f".join(map(str, k)), yes, n) for k, n in c.items())
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tokens: Counter = Counter()
-    kinds: Counter = Counter()
+    state = [(Counter(), Counter(), Counter()) for _ in range(2)]
 
     def flush() -> pa.RecordBatch:
-        rows = [(k[0], k[1], k[2], n) for k, n in tokens.items()] + [("t", "\x1f".join(map(str, k)), yes, n) for (k, yes), n in kinds.items()]
-        tokens.clear()
-        kinds.clear()
+        rows = [r for train in (0, 1) for r in _rows(*state[train], bool(train))]
+        for counters in state:
+            for c in counters:
+                c.clear()
         cols = list(zip(*rows)) or [(), (), (), ()]
         return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.bool_()), pa.array(cols[3], pa.int64())], ["kind", "token", "edge", "n"])
 
     for batch in batches:
         for text, train in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            _observe(text, tokens, kinds if train else None)
-        if len(tokens) + len(kinds) > 300_000:
+            edges, kinds, ends = state[train]
+            _observe(text, edges, kinds, ends if train else None)
+        if sum(len(c) for counters in state for c in counters) > 200_000:
             yield flush()
     yield flush()
 
 
-def _fit(rows: list[tuple[tuple, bool, int]], model: Model, rounds: int = 25, ridge: float = 0.3) -> dict[str, float]:
+def _fit(rows: list[tuple[tuple, bool, int]], model: Model, rounds: int = 25, ridge: float = 0.02) -> dict[str, float]:
     """Weights of a maximum-entropy model by Newton's method, over distinct feature lists with their counts."""
     grouped: Counter = Counter()
     for kind, yes, n in rows:
@@ -364,6 +403,8 @@ def train(documents: DataFrame, text_col: str = "text", training_documents: int
         kind = (k[0], k[1], k[2], k[3], k[4] == "True", k[5] == "True", k[6] == "True")
         if edge or model.reliable(kind):
             rows.append((kind, edge, n))
+        elif model.ordinary(kind):
+            rows.append((kind, True, n))
     scratch.forget(counts)
     model.weights = _fit(rows, model)
     return model
