@@ -122,13 +122,15 @@ def _token_after(raw: str, short: bool) -> str:
     return token
 
 
-def _candidates(unit: str, script: str) -> Iterator[tuple[int, tuple]]:
+def _candidates(unit: str, script: str) -> list[tuple[int, tuple]]:
     """``(end, kind)`` of each candidate; kind is (token before, token after, mark, closers, opening quote leads, citation, no space). At the unit's end the token after is empty."""
+    out: list[tuple[int, tuple]] = []
     stops = [*_STOP.finditer(unit)]
     if not stops:
-        return
+        return out
     quotes = _quotations(unit)
     ends = {b: a for a, b in quotes}
+    plain = script in "lc"
     flat = unit.replace("\n", " ").replace("\r", " ").replace("\t", " ")
     if not unit.isascii():
         for c in _SPACES:
@@ -136,17 +138,18 @@ def _candidates(unit: str, script: str) -> Iterator[tuple[int, tuple]]:
     n, q, spaceless = len(unit), 0, script in "hkt"
     for m in stops:
         i, j = m.span()
-        while q < len(quotes) and quotes[q][1] < i:
-            q += 1
-        if q < len(quotes) and quotes[q][0] < i:
-            close = quotes[q][1]
-            if not (close == j or (close == j + 1 and (flat[j] == " " or flat[j] in _BRACKETS))):
-                continue
-        mark = m[0][0]
+        if quotes:
+            while q < len(quotes) and quotes[q][1] < i:
+                q += 1
+            if q < len(quotes) and quotes[q][0] < i:
+                close = quotes[q][1]
+                if not (close == j or (close == j + 1 and (flat[j] == " " or flat[j] in _BRACKETS))):
+                    continue
+        mark = unit[i]
         if mark == "." and j - i > 1:
             mark = "\u2026"
         closers, leads, cited, joined, token = "", False, False, False, ""
-        if j < n and flat[j] != " " or j + 1 in ends:
+        if j < n and (flat[j] != " " or j + 1 in ends):
             while j < n:
                 c = flat[j]
                 if j in ends or (c == " " and j + 1 in ends and flat[j + 1] == "\u00bb"):
@@ -177,15 +180,20 @@ def _candidates(unit: str, script: str) -> Iterator[tuple[int, tuple]]:
                 at = j + 1
                 while flat[at] == " ":
                     at += 1
-            to = flat.find(" ", at)
-            token = _token_after(flat[at : to if 0 < to < at + 24 else at + 24], spaceless)
-            if i > 40 and not joined and script in "lc" and token.islower() and "." not in token and flat[i - 60 if i > 60 else 0 : i].islower():
+            to = flat.find(" ", at, at + 24)
+            raw = flat[at : to if to > 0 else at + 24]
+            token = _seen_after.get((raw, spaceless)) or _token_after(raw, spaceless)
+            if not joined and plain and i > 40 and token.islower() and "." not in token and flat[i - 60 if i > 60 else 0 : i].islower():
                 token = token.capitalize()  # a passage without capitals: what follows its stops says nothing by its case
         if mark == "." and not closers:
-            w = _token_before(flat[max(flat.rfind(" ", 0, i) + 1, i - 24) : i])
+            raw = flat[flat.rfind(" ", i - 24 if i > 24 else 0, i) + 1 or (i - 24 if i > 24 else 0) : i]
+            w = _seen_before.get(raw)
+            if w is None:
+                w = _token_before(raw)
         else:
             w = f"{mark}{closers}{script}{'L' if leads else ''}"
-        yield j, (w, token, mark, closers, leads, cited, joined)
+        out.append((j, (w, token, mark, closers, leads, cited, joined)))
+    return out
 
 
 def _wordlike(unit: str, i: int, j: int) -> bool:
@@ -273,20 +281,29 @@ class Model:
     def sentences(self, text: str) -> list[tuple[int, int]]:
         """``(start, end)`` of each sentence, without surrounding white space."""
         out = []
+        known = self.known
         for a, b in units(text):
-            unit = text[a:b]
+            unit, n = text[a:b], b - a
             script = _script(unit)
-            cuts = [j for j, kind in _candidates(unit, script) if j < len(unit) and self.ends(kind)]
+            cuts = []
+            for j, kind in _candidates(unit, script):
+                if j < n:
+                    yes = known.get(kind)
+                    if yes or (yes is None and self.ends(kind)):
+                        cuts.append(j)
             if script == "t":
                 cuts = sorted({*cuts, *(m.start() for m in _THAI_SPACE.finditer(unit) if _THAI.search(unit[m.start() - 1] + unit[m.end()]))})
             at = 0
-            for cut in [*cuts, len(unit)]:
-                part = unit[at:cut]
-                bare = part.strip()
-                if bare:
-                    start = a + at + part.index(bare[0])
-                    out.append((start, start + len(bare)))
+            for cut in cuts:
+                while unit[at].isspace():
+                    at += 1
+                if at < cut:
+                    out.append((a + at, a + cut))
                 at = cut
+            while at < n and unit[at].isspace():
+                at += 1
+            if at < n:
+                out.append((a + at, b))
         return out
 
 
