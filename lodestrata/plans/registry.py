@@ -1,6 +1,6 @@
 """The modules whose queries are registered, and the query of the smoke check."""
 
-from lodestrata.plans import nested_queries
+from lodestrata.plans import entity_queries, graph_queries, nested_queries, text_queries
 
-MODULES = [nested_queries]
-FLAGSHIP = "p5_found"
+MODULES = [nested_queries, text_queries, entity_queries, graph_queries]
+FLAGSHIP = "context_windows"
