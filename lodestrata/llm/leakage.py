@@ -23,6 +23,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def _mark_ranges() -> str:
@@ -135,11 +136,14 @@ def leaked_items(documents: DataFrame, items: DataFrame, doc_col: str = "doc_id"
 
     Null, blank or shorter texts on either side match nothing; an item that is repeated under several ids gives a row
     for each; a document of several rows gives rows for each. Other columns are not read. The output columns carry
-    the names of the id columns.
+    the names of the id columns, prefixed if these are the same.
     """
-    items = items.select(F.col(item_col), F.col(text_col).alias("text")).where("text is not null").distinct()
+    items, documents = (t.select(F.col(c), F.col(text_col).alias("text")).where("text is not null") for t, c in ((items, item_col), (documents, doc_col)))
+    if item_col == doc_col:
+        item_col, doc_col = f"item_{item_col}", f"doc_{doc_col}"
+    items, documents = items.toDF(item_col, "text").distinct(), documents.toDF(doc_col, "text")
     blocks = max(1, -(-(items.agg(F.sum(F.length("text"))).first()[0] or 0) // block_chars))
-    docs = documents.select(F.col(doc_col), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
+    docs = documents
     schema = f"`{item_col}` {items.schema[item_col].dataType.simpleString()}, `{doc_col}` {docs.schema[doc_col].dataType.simpleString()}"
     out = None
     for k in range(blocks):
@@ -157,8 +161,6 @@ def leaked_items(documents: DataFrame, items: DataFrame, doc_col: str = "doc_id"
                 docs_of = batch.column(0).take(pa.array(rows, type=pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(of, type=item_type), docs_of], [item_col, doc_col])
 
-        from pyspark.sql.pandas.types import to_arrow_type
-
         item_type = to_arrow_type(items.schema[item_col].dataType)
         part = docs.mapInArrow(emit, schema)
         out = part if out is None else out.unionByName(part)

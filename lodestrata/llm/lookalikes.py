@@ -22,7 +22,7 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -116,8 +116,9 @@ class Trie:
         # blanks count once and those at the ends not at all.
         states: dict[tuple, tuple] = {(id(self.root), "", True): (self.root, "", True, 0)}
         states = self._blanks(states)
-        marks: list[str] = list(wanted)
-        for x in marks:
+        if most:
+            states = self._inserted(states, most)
+        for x in wanted:
             after: dict[tuple, tuple] = {}
             for node, pending, blank, cost in states.values():
                 for look, nexts in self._step(node, pending).items():
@@ -190,13 +191,13 @@ def _vocabulary(lexicon: DataFrame, id_col: str, aliases_col: str) -> DataFrame:
 def _shards(words: DataFrame, shard_chars: int) -> list[list[str]]:
     """The distinct vocabulary strings, a list for each shard; strings that look the same share a shard, and the number of shards grows with the vocabulary."""
 
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.assign(form=[table_form(a) for a in b["alias"]])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([table_form(a) for a in b.column(0).to_pylist()], pa.string())], ["alias", "form"])
 
     total = words.agg(F.sum(F.length("alias") + 1)).first()[0] or 0
     n = max(1, -(-total // shard_chars))
-    formed = words.mapInPandas(emit, "alias string, form string")
+    formed = words.mapInArrow(emit, "alias string, form string")
     return [[r[0] for r in formed.where(F.pmod(F.xxhash64("form"), F.lit(n)) == k).select("alias").collect()] for k in range(n)]
 
 
@@ -212,11 +213,11 @@ def matches(texts: DataFrame, lexicon: DataFrame, text_col: str, id_col: str = "
     for shard in _shards(words, shard_chars):
         sent = texts.sparkSession.sparkContext.broadcast(shard)
 
-        def emit(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
+        def emit(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             trie, known = Trie(sent.value), {}
             for b in batches:
                 at, aliases = [], []
-                for i, text in enumerate(b[text_col]):
+                for i, text in enumerate(b.column(kept.index(text_col)).to_pylist()):
                     if not text:
                         continue
                     if (hits := known.get(text)) is None:
@@ -225,9 +226,10 @@ def matches(texts: DataFrame, lexicon: DataFrame, text_col: str, id_col: str = "
                         hits = known[text] = [trie.words[k] for k in trie.match(text, most)]
                     at += [i] * len(hits)
                     aliases += hits
-                yield b.iloc[at].assign(alias=aliases)
+                rows = pa.array(at, pa.int64())
+                yield pa.RecordBatch.from_arrays([c.take(rows) for c in b.columns] + [pa.array(aliases, pa.string())], [*kept, "alias"])
 
-        part = texts.select(*kept).where(F.col(text_col).isNotNull()).mapInPandas(emit, schema)
+        part = texts.select(*kept).where(F.col(text_col).isNotNull()).mapInArrow(emit, schema)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -239,14 +241,15 @@ def consistent_form(texts: DataFrame, lexicon: DataFrame, text_col: str, id_col:
     """
     shards = _shards(_vocabulary(lexicon, id_col, aliases_col).select("alias").distinct(), shard_chars)
     out = texts.drop("form").withColumn("form", F.lit(None).cast("string"))
+    names = out.columns
     for k, shard in enumerate(shards):
         sent = texts.sparkSession.sparkContext.broadcast(shard)
 
-        def emit(batches: Iterator[pd.DataFrame], sent=sent, last=k == len(shards) - 1) -> Iterator[pd.DataFrame]:
+        def emit(batches: Iterator[pa.RecordBatch], sent=sent, last=k == len(shards) - 1) -> Iterator[pa.RecordBatch]:
             trie, known = Trie(sent.value), {}
             for b in batches:
                 forms = []
-                for text, form in zip(b[text_col], b["form"]):
+                for text, form in zip(b.column(names.index(text_col)).to_pylist(), b.column(names.index("form")).to_pylist()):
                     if form is None and text is not None:
                         if text not in known:
                             if len(known) > 100_000:
@@ -255,9 +258,9 @@ def consistent_form(texts: DataFrame, lexicon: DataFrame, text_col: str, id_col:
                             known[text] = canonical_spelling(hits) if hits else unicodedata.normalize("NFC", table_form(text)) if last else None
                         form = known[text]
                     forms.append(form)
-                yield b.assign(form=forms)
+                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(forms, pa.string())], names)
 
-        out = out.mapInPandas(emit, out.schema)
+        out = out.mapInArrow(emit, out.schema)
     return out
 
 

@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_UNIT_END = re.compile("(?:\r\n|[\n\r\x0b\x0c\x85\u2028])[^\\S\n\r]*(?:(?:\r\n|[\n\r\x0b\x0c\x85\u2028])[^\\S\n\r]*)+|\u2029")
+_BREAK = "(?>\r\n|[\n\r\x0b\x0c\x85\u2028])[^\\S\n\r]*"  # atomic: a carriage return and line feed are one break
+_UNIT_END = re.compile(f"{_BREAK}(?:{_BREAK})+|\u2029")
 _STOP = re.compile("\\.{2,}|\\.(?![a-z0-9,;:/\\-.])|[!?\u2026\u3002\uff01\uff1f\uff61\u061f\u06d4\u0964\u0965]+[!?\u2026\u3002.]*")
 _FREE = frozenset("\u3002\uff01\uff1f\uff61\u0964\u0965\u06d4")  # marks after which no space is needed
 _QUOTES = re.compile("[\u201c\u201d\u201e\u00ab\u00bb\u300c\u300d\u300e\u300f\u2039\u203a\"]")
@@ -39,6 +40,7 @@ _CITATION = re.compile("\\[\\d[\\d,;\u2013\u2014\\- ]*\\]")
 _SCRIPTS = re.compile("([\u3040-\u30ff])|([\u4e00-\u9fff])|([\u0e00-\u0e7f])|([\u0900-\u097f])|([\u0600-\u06ff])|([\u0400-\u04ff])")
 _OTHER_SCRIPT = re.compile("[\u0400-\u04ff\u0600-\u06ff\u0900-\u097f\u0e00-\u0e7f\u3040-\u30ff\u4e00-\u9fff]")
 _NEXT = re.compile("\\s*([\\w.\u2019'-]*)")
+_GLUED = re.compile("^.*[^\\W\\d_]{3}[.!?\u2026](?=[^\\W\\d_])")  # the end of a sentence that no space follows
 _DIGITS = re.compile("\\d+")
 _THAI_SPACE = re.compile("(?<=[^\\s\\d])[^\\S\n\r]+(?=[^\\s\\d])")
 _THAI = re.compile("[\u0e00-\u0e7f]")
@@ -98,7 +100,7 @@ def _token_before(raw: str) -> str:
     if (w := _seen_before.get(raw)) is None:
         if len(_seen_before) > 100_000:
             _seen_before.clear()
-        w = raw.lstrip(_OPENERS)
+        w = _GLUED.sub("", raw.lstrip(_OPENERS))
         w = _seen_before[raw] = _DIGITS.sub("0", w) if len(w) <= 15 else "<long>"
     return w
 
