@@ -11,6 +11,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,22 +40,34 @@ def pattern_spans(sentences: DataFrame, patterns: list[tuple[str, str, str]], ke
 
     Null texts have none. Patterns ignore case unless they say otherwise.
     """
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sentences.select(*keys).schema) + ", " + SPAN
+    schema = _schema(sentences, keys) + ", " + SPAN
 
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = [(label, re.compile(p, re.I), method) for label, p, method in patterns]
         for b in batches:
             at, rows = [], []
-            for i, t in enumerate(b[text]):
+            for i, t in enumerate(b.column(len(keys)).to_pylist()):
                 for label, p, method in compiled if t else ():
                     for m in p.finditer(t):
                         a, e = m.span(next(iter(p.groupindex), 0))
                         if a < e:
                             at.append(i)
                             rows.append((label, a, e, t[a:e], method))
-            yield pd.concat([b[keys].iloc[at].reset_index(drop=True), pd.DataFrame(rows, columns=["label", "start_char", "end_char", "surface_text", "method"])], axis=1)
+            yield _beside(b, keys, at, rows, ["label", "start_char", "end_char", "surface_text", "method"], "siiss")
 
-    return sentences.select(*keys, text).mapInPandas(emit, schema)
+    return sentences.select(*keys, text).mapInArrow(emit, schema)
+
+
+def _schema(df: DataFrame, keys: list[str]) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema)
+
+
+def _beside(batch: pa.RecordBatch, keys: list[str], at: list[int], rows: list[tuple], names: list[str], kinds: str) -> pa.RecordBatch:
+    """The key columns of the rows ``at`` with new columns beside them; kinds are s for strings and i for integers."""
+    where = pa.array(at, pa.int64())
+    new = list(zip(*rows)) or [()] * len(names)
+    types = {"s": pa.string(), "i": pa.int32()}
+    return pa.RecordBatch.from_arrays([batch.column(i).take(where) for i in range(len(keys))] + [pa.array(c, types[k]) for c, k in zip(new, kinds)], [*keys, *names])
 
 
 def alias_index(lexicon: DataFrame) -> DataFrame:
@@ -108,22 +121,22 @@ def lexicon_spans(sentences: DataFrame, lexicon: DataFrame, keys: list[str], tex
     index = alias_index(lexicon).select("alias", "canonical_id", "label", "canonical_name", "entries").distinct()
     words = index.select("alias").distinct()
     blocks = max(1, -(-(words.agg(F.sum(F.length("alias") + 1)).first()[0] or 0) // block_chars))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sentences.select(*keys).schema) + ", alias string, start_char int, end_char int, surface_text string"
+    schema = _schema(sentences, keys) + ", alias string, start_char int, end_char int, surface_text string"
     found = None
     for k in range(blocks):
         sent = sentences.sparkSession.sparkContext.broadcast([r[0] for r in words.where(F.pmod(F.xxhash64("alias"), F.lit(blocks)) == k).collect()])
 
-        def emit(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
+        def emit(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             matcher = _AliasMatcher(sent.value)
             for b in batches:
                 at, rows = [], []
-                for i, t in enumerate(b[text]):
+                for i, t in enumerate(b.column(len(keys)).to_pylist()):
                     for alias, a, e in matcher.find(t) if t else ():
                         at.append(i)
                         rows.append((alias, a, e, t[a:e]))
-                yield pd.concat([b[keys].iloc[at].reset_index(drop=True), pd.DataFrame(rows, columns=["alias", "start_char", "end_char", "surface_text"])], axis=1)
+                yield _beside(b, keys, at, rows, ["alias", "start_char", "end_char", "surface_text"], "siis")
 
-        part = sentences.select(*keys, text).mapInPandas(emit, schema)
+        part = sentences.select(*keys, text).mapInArrow(emit, schema)
         found = part if found is None else found.unionByName(part)
     out = found.join(index, "alias")
     method = F.when(F.col("entries") == 1, "persistent_lexicon").otherwise("persistent_lexicon_ambiguous")
@@ -172,23 +185,22 @@ def propagate_names(sentences: DataFrame, names: DataFrame, document: str, keys:
     Names meet sentences by document and by the first word of the name, so a document with many sentences is divided
     by words; what remains is checked in place.
     """
-    first = F.lower(F.regexp_extract(name, "\\w+", 0))
-    n = names.select(F.col(document), F.col(name).alias("name")).distinct().withColumn("_w", first if name == "name" else F.lower(F.regexp_extract("name", "\\w+", 0))).where("_w <> ''")
+    n = names.select(F.col(document), F.col(name).alias("name")).distinct().withColumn("_w", F.lower(F.regexp_extract("name", "[\\p{L}\\p{N}_]+", 0))).where("_w <> ''")
     words = sentences.select(*dict.fromkeys([document, *keys, text])).withColumn("_w", F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit("[\\p{L}\\p{N}_]+"), F.lit(0)))))
     met = words.join(n, [document, "_w"])
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in met.select(*keys).schema) + ", name string, start_char int, end_char int, surface_text string"
+    schema = _schema(met, keys) + ", name string, start_char int, end_char int, surface_text string"
 
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             at, rows = [], []
-            for i, (t, x) in enumerate(zip(b[text], b["name"])):
+            for i, (t, x) in enumerate(zip(b.column(len(keys)).to_pylist(), b.column(len(keys) + 1).to_pylist())):
                 body = "[- ]?".join(map(re.escape, re.split("[- ]+", x)))
                 for m in re.finditer(rf"(?<!\w){body}(?!\w)", t):
                     at.append(i)
                     rows.append((x, m.start(), m.end(), m[0]))
-            yield pd.concat([b[keys].iloc[at].reset_index(drop=True), pd.DataFrame(rows, columns=["name", "start_char", "end_char", "surface_text"])], axis=1)
+            yield _beside(b, keys, at, rows, ["name", "start_char", "end_char", "surface_text"], "siis")
 
-    return met.select(*keys, text, "name").mapInPandas(emit, schema).distinct()
+    return met.select(*keys, text, "name").mapInArrow(emit, schema).distinct()
 
 
 def realign(spans: DataFrame, text: str = "text", surface: str = "surface_text", start: str = "start_char") -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from lodestrata.functions.ids import parser_id
 from lodestrata.functions.text import begins_list_item, has_terminal_punctuation, heading_depth, looks_like_heading, split_sentences, starts_like_continuation
 
-#: Line ends that count as a blank line between paragraphs.
-_BLANK_LINE = "(?:\\r\\n|\\r|\\n)[ \\t]*(?:(?:\\r\\n|\\r|\\n)[ \\t]*)+"
+#: What divides paragraphs, once all line ends are line feeds.
+_BLANK_LINE = "\n[ \t]*(?:\n[ \t]*)+"
 
 
 def islands(rows: DataFrame, partition: list[str], order: list[str], starts: Column, name: str = "island") -> DataFrame:
@@ -21,7 +21,7 @@ def islands(rows: DataFrame, partition: list[str], order: list[str], starts: Col
 
 def paragraphs_of_text(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, ordinal, text)``: the parts between blank lines, each on one line; null and blank texts have none. No shuffle."""
-    parts = F.filter(F.transform(F.split(F.col(text), _BLANK_LINE), lambda p: F.trim(F.regexp_replace(p, "\\s+", " "))), lambda p: p != "")
+    parts = F.filter(F.transform(F.split(F.regexp_replace(F.col(text), "\r\n?", "\n"), _BLANK_LINE), lambda p: F.trim(F.regexp_replace(p, "\\s+", " "))), lambda p: p != "")
     return documents.select(F.col(key), F.posexplode(parts).alias("ordinal", "text"))
 
 

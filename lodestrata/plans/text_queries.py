@@ -168,7 +168,7 @@ def queries() -> dict:
 _PARAS = r"""
     paras AS (
       SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INT) AS ordinal, unnest(l) AS text FROM (
-        SELECT doc_id, list_filter(list_transform(string_split_regex(text, '(?:\r\n|\r|\n)[ \t]*(?:(?:\r\n|\r|\n)[ \t]*)+'),
+        SELECT doc_id, list_filter(list_transform(string_split_regex(regexp_replace(text, '\r\n?', chr(10), 'g'), '\n[ \t]*(?:\n[ \t]*)+'),
                lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '') AS l FROM documents WHERE text IS NOT NULL))"""
 
 _SENT = r"""
