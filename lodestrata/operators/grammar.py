@@ -20,10 +20,10 @@ def _tokens(t: DataFrame, name: str) -> DataFrame:
 
 def with_conjuncts(heads: DataFrame, tokens: DataFrame, column: str, depth: int = 3) -> DataFrame:
     """``heads`` and, for each, the tokens coordinated with it, followed ``depth`` times."""
-    conj = tokens.where("dep = 'conj'").select("sentence_id", F.col("head_index").alias("_h"), F.col("index").alias("_c"))
+    conj = tokens.where("dep = 'conj'").select("sentence_id", F.col("head_index").alias(column), F.col("index").alias("_c"))
     out = now = heads
     for _ in range(depth):
-        now = now.join(conj, (now["sentence_id"] == conj["sentence_id"]) & (now[column] == conj["_h"])).drop(conj["sentence_id"]).drop(column, "_h").withColumnRenamed("_c", column)
+        now = now.join(conj, ["sentence_id", column]).drop(column).withColumnRenamed("_c", column)
         out = out.unionByName(now)
     return out.distinct()
 

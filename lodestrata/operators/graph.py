@@ -52,7 +52,7 @@ def upsert(nodes: DataFrame, mentions: DataFrame, edges: DataFrame, new_nodes: D
     all_edges = edges.join(documents, "document_id", "left_anti").unionByName(new_edges).distinct()
     for end in ("source", "target"):
         all_edges = all_edges.join(gone.withColumnRenamed("entity_id", end), end, "left_anti")
-    return all_nodes, all_mentions.distinct(), all_edges
+    return all_nodes, all_mentions.distinct(), all_edges.select(*edges.columns)
 
 
 def align_identities(new_nodes: DataFrame, nodes: DataFrame, mentions: DataFrame) -> DataFrame:
