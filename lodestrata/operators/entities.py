@@ -22,8 +22,9 @@ def canonical_entities(mentions: DataFrame, seq: str = "seq", evidence: int = 5)
     """One row per label and key of ``mentions(mention_id, label, surface_text, canonical_name, canonical_id, from_lexicon, is_reference, sentence_id, seq)``.
 
     The name is the longest, of equals the first; a reference such as "this model" is evidence but no alias; the id is
-    that of a lexicon mention, else the first given, else made from label and key. Mentions are counted in full and
-    their ids kept sorted; of evidence the first few are kept.
+    that of a lexicon mention, else the first given, else made from label and key. Mentions and their sentences are
+    counted in full, and of evidence the first few are kept; ``entity_mentions`` has all of them as rows, as an entity
+    may hold a large part of the mentions.
     """
     name = F.coalesce(F.when(F.col("canonical_name") != "", F.col("canonical_name")), F.col("surface_text"))
     rows = mentions.where(~F.col("label").isin(*PROVENANCE_LABELS)).withColumn("_name", name)
@@ -35,35 +36,59 @@ def canonical_entities(mentions: DataFrame, seq: str = "seq", evidence: int = 5)
         F.array_sort(F.array_distinct(F.concat(surfaces, F.collect_set("_name")))).alias("aliases"),
         first_id(F.coalesce("from_lexicon", F.lit(False))).alias("_lex"), first_id(F.lit(True)).alias("_any"),
         F.count(F.lit(1)).cast("int").alias("mention_count"),
-        F.array_sort(F.collect_set("sentence_id")).alias("sentence_ids"),
-        F.min(F.struct(seq, "mention_id")).alias("_first"),
+        F.count_distinct("sentence_id").alias("sentences"),
     )
     w = Window.partitionBy("label", "key").orderBy(seq, "mention_id")
     kept = rows.select("label", "key", seq, "mention_id").withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= evidence)
     kept = kept.groupBy("label", "key").agg(F.transform(F.array_sort(F.collect_list(F.struct(seq, "mention_id"))), lambda x: x["mention_id"]).alias("evidence"))
     out = agg.join(kept, ["label", "key"])
-    return out.select(F.coalesce("_lex", "_any", stable_id("entity", "label", "key")).alias("entity_id"), "label", "key", "canonical_name", "aliases", "mention_count", "sentence_ids", "evidence")
+    return out.select(F.coalesce("_lex", "_any", stable_id("entity", "label", "key")).alias("entity_id"), "label", "key", "canonical_name", "aliases", "mention_count", "sentences", "evidence")
+
+
+def entity_mentions(mentions: DataFrame, entities: DataFrame) -> DataFrame:
+    """``(entity_id, mention_id, sentence_id)``: every mention with its entity of ``canonical_entities``."""
+    name = F.coalesce(F.when(F.col("canonical_name") != "", F.col("canonical_name")), F.col("surface_text"))
+    rows = mentions.where(~F.col("label").isin(*PROVENANCE_LABELS)).withColumn("key", entity_key(F.col("label"), name, F.coalesce("canonical_id", F.lit(""))))
+    return rows.select("label", "key", "mention_id", "sentence_id").join(entities.select("label", "key", "entity_id"), ["label", "key"]).select("entity_id", "mention_id", "sentence_id")
+
+
+def prefix_keys(names: DataFrame, frequency: DataFrame, key: str, least: float) -> DataFrame:
+    """``(label, key, k)``: what a name must share with any name of its label whose word Jaccard is ``least`` or more.
+
+    For every size that the other name can have, a pair must share one of the first words, the rarest first, of each:
+    with sizes a and b, ``o = ceil(least / (1 + least) * (a + b))`` words in common are needed, so the first
+    ``a - o + 1`` will do. A common word is among these only if a name has none that are rarer.
+    """
+    words = names.select("label", key, F.size("tokens").alias("a"), F.explode("tokens").alias("t")).join(frequency, ["label", "t"])
+    ranked = words.withColumn("at", F.row_number().over(Window.partitionBy("label", key).orderBy("df", "t")))
+    sizes = ranked.select("label", key, "a", "t", "at", F.explode(F.sequence(F.greatest(F.ceil(F.col("a") * least - 1e-9), F.lit(1)).cast("int"), F.floor(F.col("a") / least + 1e-9).cast("int"))).alias("b"))
+    need = F.ceil((F.col("a") + F.col("b")) * (least / (1 + least)) - 1e-9)
+    return sizes.where(F.col("at") <= F.col("a") - need + 1).select("label", key, F.concat_ws(":", F.least("a", "b"), F.greatest("a", "b"), "t").alias("k"))
+
+
+def word_frequency(*names: DataFrame) -> DataFrame:
+    """``(label, t, df)``: how many names of a label have a word."""
+    out = None
+    for n in names:
+        w = n.select("label", F.explode("tokens").alias("t"))
+        out = w if out is None else out.unionByName(w)
+    return out.groupBy("label", "t").agg(F.count(F.lit(1)).alias("df"))
 
 
 def similar_pairs(entities: DataFrame, threshold: float = 0.64, ratio: bool = True, id_col: str = "entity_id") -> DataFrame:
     """Pairs of entities with one label and similar names: ``left_id, right_id, label, jaccard, containment, alias_overlap, score``.
 
     Names are compared once: entities with one label and normalised name are one representative each (see
-    ``representatives``), so copies make no pairs. Representatives meet by a shared word that is rare: the words of a
-    label are ordered by how many names have them, and a pair that can reach the threshold must share one of the first
-    ``len - ceil(0.2 * len) + 1`` of each (prefix filtering for a Jaccard coefficient of 0.2, the least with which a
-    character ratio of 1 reaches 0.64), or share an alias. A name that is inside another shares its rarest run of four
-    characters with it. Conflicting version numbers score nothing. The character ratio is computed only for pairs whose bound on
-    it allows the threshold.
+    ``representatives`` and ``class_members``), so copies make no pairs. Representatives meet if they share an alias,
+    if one is inside the other (then it shares its rarest run of four characters), or by ``prefix_keys`` for the least
+    word Jaccard with which the threshold can be reached at a character ratio of 1. Conflicting version numbers score
+    nothing. The character ratio is computed only for pairs whose bound on it allows the threshold.
     """
     r = representatives(entities, id_col)
-    words = r.select("label", "rep", F.explode("tokens").alias("t"))
-    frequency = words.groupBy("label", "t").agg(F.count(F.lit(1)).alias("df"))
-    ordered = words.join(frequency, ["label", "t"]).withColumn("_at", F.row_number().over(Window.partitionBy("rep").orderBy("df", "t")))
-    sized = ordered.join(r.select("rep", F.size("tokens").alias("_n")), "rep")
-    prefix = sized.where(F.col("_at") <= F.col("_n") - F.ceil(F.col("_n") * 0.2) + 1).select("label", "rep", F.concat(F.lit("w"), F.col("t")).alias("k"))
+    least = max(0.05, (threshold - 0.45) / 0.55) if ratio else threshold
+    keys = prefix_keys(r, word_frequency(r), "rep", least).select("label", "rep", F.concat(F.lit("w"), "k").alias("k"))
     aliases = r.select("label", "rep", F.explode("alias_keys").alias("a")).select("label", "rep", F.concat(F.lit("a"), "a").alias("k"))
-    keys = prefix.unionByName(aliases).distinct()
+    keys = keys.unionByName(aliases).distinct()
     a, b = keys.select("label", "k", F.col("rep").alias("x")), keys.select("label", "k", F.col("rep").alias("y"))
     grams = r.where(F.length("norm") >= 4).select("label", "rep", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("norm") - 3), lambda i: F.substr("norm", i, F.lit(4))))).alias("g"))
     common = grams.groupBy("label", "g").agg(F.count(F.lit(1)).alias("df"))
@@ -105,8 +130,12 @@ def class_members(entities: DataFrame, id_col: str = "entity_id") -> DataFrame:
     return live.select("label", "norm", F.col(id_col).alias("entity")).distinct().join(reps, ["label", "norm"]).select("entity", "rep")
 
 
-def merge_entities(entities: DataFrame, components: DataFrame, id_col: str = "entity_id") -> DataFrame:
-    """Entities of one component as one row: ``entity_id`` (the component), label, the longest name, all aliases, counts and members."""
+def merge_entities(entities: DataFrame, components: DataFrame, id_col: str = "entity_id", most_aliases: int = 200) -> DataFrame:
+    """Entities of one component as one row: ``entity_id`` (the component), label, the longest name, counts, and aliases in order.
+
+    ``alias_count`` counts all distinct aliases; the array holds the first ``most_aliases`` of them, as a component may
+    hold a large part of the entities.
+    """
     rows = entities.join(components.select(F.col("node").alias(id_col), "component"), id_col, "left").withColumn("component", F.coalesce("component", id_col))
     out = rows.groupBy("component").agg(
         F.min_by("label", F.struct(id_col, "label")).alias("label"),
@@ -114,7 +143,9 @@ def merge_entities(entities: DataFrame, components: DataFrame, id_col: str = "en
         F.sum(F.coalesce("mention_count", F.lit(0))).cast("long").alias("mention_count"),
         F.count_distinct(id_col).alias("members"),
     )
-    aliases = rows.select("component", F.explode("aliases").alias("a")).distinct().groupBy("component").agg(F.array_sort(F.collect_list("a")).alias("aliases"))
+    names = rows.select("component", F.explode("aliases").alias("a")).where("a is not null").distinct()
+    first = names.withColumn("_n", F.row_number().over(Window.partitionBy("component").orderBy("a"))).where(F.col("_n") <= most_aliases)
+    aliases = first.groupBy("component").agg(F.array_sort(F.collect_list("a")).alias("aliases")).join(names.groupBy("component").agg(F.count(F.lit(1)).alias("alias_count")), "component")
     return out.join(aliases, "component", "left").withColumnRenamed("component", "entity_id")
 
 
@@ -138,17 +169,21 @@ def exact_prior(rows: DataFrame, catalog: DataFrame, label: str, name: str) -> D
     return keyed.join(one, ["_l", "_k"], "left").drop("_l", "_k")
 
 
-def prior_top_k(candidates: DataFrame, catalog: DataFrame, key: str, label: str, name: str, k: int = 12) -> DataFrame:
-    """``(key, node_id, score, rank)``: the ``k`` earlier names of a candidate's label with the best token Jaccard over name and aliases.
+def prior_top_k(candidates: DataFrame, catalog: DataFrame, key: str, label: str, name: str, k: int = 12, least: float = 0.3) -> DataFrame:
+    """``(key, node_id, score, rank)``: the ``k`` earlier names of a candidate's label with the best word Jaccard over name and aliases, ``least`` or more.
 
-    Candidates meet the catalog by label and word; the best alias counts. Distinct candidate names are scored once.
+    Distinct candidate names are scored once; they meet the catalog by ``prefix_keys``, so a word that most names have
+    joins nothing by itself. The best alias counts, and equal scores fall to the least id.
     """
     c = candidates.select(F.col(key), F.col(label).alias("label"), normalized(name).alias("norm")).where("norm <> ''")
     names = c.select("label", "norm").distinct().withColumn("tokens", name_tokens("norm"))
-    alias = catalog.select("node_id", "label", F.explode("aliases").alias("a")).select("node_id", "label", name_tokens("a").alias("at")).where("size(at) > 0").distinct()
-    left = names.select("label", "norm", "tokens", F.explode("tokens").alias("t"))
-    right = alias.select("node_id", "label", "at", F.explode("at").alias("t"))
-    scored = left.join(right, ["label", "t"]).select("label", "norm", "node_id", token_jaccard(F.col("tokens"), F.col("at")).alias("s")).groupBy("label", "norm", "node_id").agg(F.max("s").alias("score"))
+    alias = catalog.select("node_id", "label", F.explode("aliases").alias("a")).select("node_id", "label", name_tokens("a").alias("tokens")).where("size(tokens) > 0").distinct()
+    alias = alias.withColumn("alias", F.concat_ws("/", "node_id", F.array_join("tokens", " ")))
+    df = word_frequency(names, alias)
+    left, right = prefix_keys(names, df, "norm", least), prefix_keys(alias, df, "alias", least)
+    met = left.join(right, ["label", "k"]).select("label", "norm", "alias").distinct()
+    met = met.join(names, ["label", "norm"]).join(alias.select("label", "alias", "node_id", F.col("tokens").alias("at")), ["label", "alias"])
+    scored = met.select("label", "norm", "node_id", token_jaccard(F.col("tokens"), F.col("at")).alias("s")).groupBy("label", "norm", "node_id").agg(F.max("s").alias("score")).where(F.col("score") >= least)
     w = Window.partitionBy("label", "norm").orderBy(F.desc("score"), "node_id")
     best = scored.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
     return c.join(best, ["label", "norm"]).select(key, "node_id", "score", "rank")

@@ -7,7 +7,7 @@ filter and a union, never a rewrite of other documents' arrays.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrata.operators.entities import PROVENANCE_LABELS, SCOPED_LABELS
@@ -63,11 +63,16 @@ def align_identities(new_nodes: DataFrame, nodes: DataFrame, mentions: DataFrame
     return new_nodes.select("entity_id", "label", F.lower(F.trim("name")).alias("_n")).join(best, ["label", "_n"], "left").select("entity_id", F.coalesce("aligned_id", "entity_id").alias("aligned_id"))
 
 
-def mention_arrays(mentions: DataFrame) -> DataFrame:
-    """The view with parallel arrays: per entity its mentions, documents and surfaces in order, and counts. An entity's mentions are gathered as ids; use the mention table itself for entities that most documents mention."""
-    rows = F.array_sort(F.collect_list(F.struct("document_id", "mention_id", "surface")))
-    agg = mentions.groupBy("entity_id").agg(rows.alias("_m"), F.count_distinct("document_id").cast("long").alias("documents"))
-    return agg.select("entity_id", F.transform("_m", lambda x: x["mention_id"]).alias("mention_ids"), F.transform("_m", lambda x: x["document_id"]).alias("document_ids"), F.array_distinct(F.transform("_m", lambda x: x["surface"])).alias("surfaces"), F.size("_m").cast("long").alias("mentions"), "documents")
+def mention_arrays(mentions: DataFrame, most: int = 1000) -> DataFrame:
+    """The view with parallel arrays: per entity its first ``most`` mentions in order with their documents and surfaces, and counts of all.
+
+    An entity that most documents mention keeps the rest in the mention table.
+    """
+    order = ["document_id", "mention_id", "surface"]
+    first = mentions.withColumn("_n", F.row_number().over(Window.partitionBy("entity_id").orderBy(*order))).where(F.col("_n") <= most)
+    arrays = first.groupBy("entity_id").agg(F.array_sort(F.collect_list(F.struct(*order))).alias("_m"))
+    counts = mentions.groupBy("entity_id").agg(F.count(F.lit(1)).alias("mentions"), F.count_distinct("document_id").alias("documents"))
+    return arrays.join(counts, "entity_id").select("entity_id", F.transform("_m", lambda x: x["mention_id"]).alias("mention_ids"), F.transform("_m", lambda x: x["document_id"]).alias("document_ids"), F.array_distinct(F.transform("_m", lambda x: x["surface"])).alias("surfaces"), "mentions", "documents")
 
 
 def summary(nodes: DataFrame, mentions: DataFrame, edges: DataFrame) -> DataFrame:

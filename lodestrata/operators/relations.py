@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrata.functions.ids import stable_id
@@ -22,11 +22,21 @@ def endpoints(assertions: DataFrame, mention_entities: DataFrame) -> DataFrame:
     return assertions.join(s, "subject_mention_id").join(o, "object_mention_id").where("subject_entity_id <> object_entity_id")
 
 
-def materialize(assertions: DataFrame, keys: list[str], evidence: str, confidence: str, assertion_id: str) -> DataFrame:
-    """Relationships: one assertion per unit of evidence (the most confident, then the first id), then how many such units support each key, and their ids joined in order."""
-    unit = assertions.groupBy(*keys, evidence).agg(F.max_by(assertion_id, F.struct(F.col(confidence), F.col(assertion_id))).alias("_a"))
-    out = unit.groupBy(*keys).agg(F.count(F.lit(1)).alias("support_count"), F.array_join(F.array_sort(F.collect_list("_a")), ",").alias("assertion_ids"))
-    return out.withColumn("relationship_id", stable_id("relationship", *keys))
+def supporting(assertions: DataFrame, keys: list[str], evidence: str, confidence: str, assertion_id: str) -> DataFrame:
+    """``(keys, evidence, assertion_id)``: the most confident assertion (then that of the largest id) of each unit of evidence."""
+    return assertions.groupBy(*keys, evidence).agg(F.max_by(assertion_id, F.struct(F.col(confidence), F.col(assertion_id))).alias(assertion_id))
+
+
+def materialize(assertions: DataFrame, keys: list[str], evidence: str, confidence: str, assertion_id: str, most: int = 10) -> DataFrame:
+    """Relationships: how many units of evidence support each key, and the first ``most`` of their assertions in order.
+
+    A key may hold a large part of the assertions, so the rest stays in the table that ``supporting`` gives.
+    """
+    unit = supporting(assertions, keys, evidence, confidence, assertion_id)
+    count = unit.groupBy(*keys).agg(F.count(F.lit(1)).alias("support_count"))
+    first = unit.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(assertion_id))).where(F.col("_n") <= most)
+    first = first.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(assertion_id)), ",").alias("assertion_ids"))
+    return count.join(first, keys).withColumn("relationship_id", stable_id("relationship", *keys))
 
 
 def ancestors(parents: DataFrame, child: str = "label", parent: str = "parent", depth: int = 8) -> DataFrame:

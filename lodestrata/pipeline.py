@@ -80,7 +80,7 @@ class KnowledgePipeline:
     def merged(self) -> DataFrame:
         same = self.pair_decisions.where("lower(trim(decision)) = 'same'") if self.pair_decisions is not None else self.spark.createDataFrame([], "left_id string, right_id string")
         groups = components.connected_components(same, "left_id", "right_id")
-        return entities.merge_entities(self.entities.drop("evidence", "sentence_ids", "key"), groups)
+        return entities.merge_entities(self.entities.drop("evidence", "sentences", "key"), groups)
 
     def relationships(self, assertions: DataFrame) -> DataFrame:
         """Supported relationships between entities from ``assertions(assertion_id, subject_mention_id, predicate, object_mention_id, evidence, confidence)``."""

@@ -223,10 +223,10 @@ def oracle_sql() -> dict[str, str]:
         "lexical_pairs": f"WITH {_ENT},{_REPS}, p AS (SELECT a.rep AS x, b.rep AS y, a.label, len(list_intersect(a.tokens, b.tokens)) / greatest(len(list_distinct(list_concat(a.tokens, b.tokens))), 1) AS j, list_has_any(a.keys, b.keys) AS alias_overlap, (contains(a.norm, b.norm) OR contains(b.norm, a.norm)) AND least(length(a.norm), length(b.norm)) >= 4 AS containment FROM r a JOIN r b ON a.label = b.label AND a.rep < b.rep WHERE NOT (a.versions <> '' AND b.versions <> '' AND a.versions <> b.versions)) SELECT x AS left_id, y AS right_id, label, CAST(round_even(CAST(j AS DECIMAL(18,10)), 4) AS DOUBLE) AS jaccard, containment, alias_overlap, CAST(round_even(CAST(greatest(CASE WHEN alias_overlap THEN 0.995 ELSE 0 END, CASE WHEN containment THEN 0.88 ELSE 0 END, j) AS DECIMAL(18,10)), 4) AS DOUBLE) AS score FROM p WHERE alias_overlap OR containment OR j >= 0.64",
         "name_classes": f"WITH {_ENT},{_REPS} SELECT entity_id AS entity, rep FROM live JOIN reps USING (label, norm)",
         "prior_catalog": f"WITH {_ENT},{_CAT.format(ent='true')} SELECT node_id, label, key, array_to_string(aliases, '|') AS aliases FROM cat",
-        "prior_catalog_topk": f"WITH {_ENT},{_CAT.format(ent='false')}, c AS (SELECT entity_id, label, {_n('canonical_name')} AS norm, list_distinct(list_filter(string_split({_n('canonical_name')}, ' '), lambda t: t <> '')) AS tokens FROM ent), a AS (SELECT node_id, label, list_distinct(list_filter(string_split({_n('a')}, ' '), lambda t: t <> '')) AS att FROM (SELECT node_id, label, unnest(aliases) AS a FROM cat)), s AS (SELECT entity_id, node_id, max(len(list_intersect(tokens, att)) / len(list_distinct(list_concat(tokens, att)))) AS s FROM c JOIN a ON c.label = a.label AND list_has_any(tokens, att) WHERE norm <> '' GROUP BY 1, 2) SELECT entity_id, node_id, round(s, 6) AS score, row_number() OVER (PARTITION BY entity_id ORDER BY s DESC, node_id)::INT AS rank FROM s QUALIFY rank <= 12",
+        "prior_catalog_topk": f"WITH {_ENT},{_CAT.format(ent='false')}, c AS (SELECT entity_id, label, {_n('canonical_name')} AS norm, list_distinct(list_filter(string_split({_n('canonical_name')}, ' '), lambda t: t <> '')) AS tokens FROM ent), a AS (SELECT node_id, label, list_distinct(list_filter(string_split({_n('a')}, ' '), lambda t: t <> '')) AS att FROM (SELECT node_id, label, unnest(aliases) AS a FROM cat)), s AS (SELECT entity_id, node_id, max(len(list_intersect(tokens, att)) / len(list_distinct(list_concat(tokens, att)))) AS s FROM c JOIN a ON c.label = a.label AND list_has_any(tokens, att) WHERE norm <> '' GROUP BY 1, 2) SELECT entity_id, node_id, round(s, 6) AS score, row_number() OVER (PARTITION BY entity_id ORDER BY s DESC, node_id)::INT AS rank FROM s WHERE s >= 0.3 QUALIFY rank <= 12",
         "exact_prior_nodes": f"WITH {_ENT},{_CAT.format(ent='false')}, o AS (SELECT label, key, min(node_id) AS node_id FROM cat GROUP BY 1, 2 HAVING count(DISTINCT node_id) = 1) SELECT entity_id, o.node_id AS matched_node_id FROM ent LEFT JOIN o ON ent.label = o.label AND {_n('ent.canonical_name')} = o.key",
         "merge_components": f"WITH RECURSIVE {_LOG},{_CC} SELECT node, component FROM cc",
-        "merged_entities": f"WITH RECURSIVE {_ENT},{_LOG},{_CC}, x AS (SELECT ent.*, coalesce(component, entity_id) AS c FROM ent LEFT JOIN cc ON entity_id = node), a AS (SELECT c, array_to_string(list_sort(list_distinct(list(a))), '|') AS aliases FROM (SELECT c, unnest(aliases) AS a FROM x) WHERE true GROUP BY 1) SELECT x.c AS entity_id, arg_min(label, (entity_id, label)) AS label, arg_max(canonical_name, (length(canonical_name), canonical_name)) AS canonical_name, sum(coalesce(mention_count, 0))::BIGINT AS mention_count, count(DISTINCT entity_id) AS members, any_value(a.aliases) AS aliases FROM x LEFT JOIN a ON x.c = a.c GROUP BY x.c",
+        "merged_entities": f"WITH RECURSIVE {_ENT},{_LOG},{_CC}, x AS (SELECT ent.*, coalesce(component, entity_id) AS c FROM ent LEFT JOIN cc ON entity_id = node), a AS (SELECT c, array_to_string(list_sort(list_distinct(list(a)))[1:200], '|') AS aliases FROM (SELECT c, unnest(aliases) AS a FROM x) WHERE a IS NOT NULL GROUP BY 1) SELECT x.c AS entity_id, arg_min(label, (entity_id, label)) AS label, arg_max(canonical_name, (length(canonical_name), canonical_name)) AS canonical_name, sum(coalesce(mention_count, 0))::BIGINT AS mention_count, count(DISTINCT entity_id) AS members, any_value(a.aliases) AS aliases FROM x LEFT JOIN a ON x.c = a.c GROUP BY x.c",
         "embedding_topk": f"WITH {_EMB.format(cond='a.label = b.label', k=12)} SELECT query, neighbour, rank, score FROM k",
         "resolution_bands": f"WITH {_EMB.format(cond='a.label = b.label', k=12)} SELECT ql AS query_label, CASE WHEN score >= 0.35 THEN 'high' WHEN score >= 0.2 THEN 'middle' ELSE 'low' END AS band, count(*) AS pairs, max(score) AS best FROM k GROUP BY 1, 2",
         "review_queue": f"WITH {_LOG}, p AS (SELECT *, CASE decision WHEN 'same' THEN 0.9 WHEN 'pending' THEN 0.7 ELSE 0.3 END::DOUBLE AS score FROM log WHERE label IS NOT NULL AND left_name IS NOT NULL AND right_name IS NOT NULL) SELECT CASE WHEN score >= 0.82 THEN 'high' WHEN score >= 0.63 THEN 'middle' ELSE 'low' END AS band, label, least(lower(left_name), lower(right_name)) AS name_a, greatest(lower(left_name), lower(right_name)) AS name_b, count(*) AS pairs, max(score) AS best_score, min(score) AS least_score FROM p GROUP BY 1, 2, 3, 4",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestrata.functions import ids
+from lodestrata.functions.skew import positions
 from lodestrata.operators import layout, spans, structure, windows
 from lodestrata.sources import files
 
@@ -114,9 +115,7 @@ def reference_words(spark, sf):
 
 
 def antecedent_asof(spark, sf):
-    e = _read(spark, sf, "events")
-    pos = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    p = e.withColumn("pos", pos.cast("int")).select("user_id", "event_id", "event_type", "pos")
+    p = positions(_read(spark, sf, "events").select("user_id", "event_id", "event_type", "ts"), "user_id", ["ts", "event_id"])
     t = p.where("event_type = 'error'").withColumnRenamed("event_id", "target_id")
     c = p.where("event_type <> 'error'").withColumnRenamed("event_id", "candidate_id")
     return windows.nearest_before(t, c, "user_id", "pos").select("user_id", "target_id", "candidate_id", "distance", "rank", "nearest_unique")
@@ -129,7 +128,7 @@ def metadata_mentions(spark, sf):
 
 def content_dedupe(spark, sf):
     d = _read(spark, sf, "documents").where("text is not null").select(F.sha2(F.col("text").cast("binary"), 256).alias("sha256"), F.col("document_id").alias("path"))
-    return files.distinct_contents(d).select("sha256", "first_location", F.size("locations").alias("locations"), "copies")
+    return files.distinct_contents(d).select("sha256", "first_location", "locations", "copies")
 
 
 def latest_run(spark, sf):
@@ -236,7 +235,7 @@ def oracle_sql() -> dict[str, str]:
         "reference_words": r"SELECT doc_id, len(regexp_extract_all(text, '(?i)\b(this|that|the|our|these|those) (model|method|system|platform|approach|framework|process|agent|tool|dataset|database)s?\b'))::BIGINT AS noun_phrases, len(regexp_extract_all(text, '(?i)\b(it|they|them)\b'))::BIGINT AS pronouns FROM documents WHERE text IS NOT NULL",
         "antecedent_asof": "WITH p AS (SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM events), m AS (SELECT t.user_id, t.event_id AS target_id, c.event_id AS candidate_id, (t.pos - c.pos)::INT AS distance FROM p t JOIN p c ON t.user_id = c.user_id AND t.pos - c.pos BETWEEN 0 AND 2 WHERE t.event_type = 'error' AND c.event_type <> 'error'), d AS (SELECT *, min(distance) OVER (PARTITION BY target_id) AS least FROM m) SELECT user_id, target_id, candidate_id, distance, row_number() OVER (PARTITION BY target_id ORDER BY distance, candidate_id)::INT AS rank, count_if(distance = least) OVER (PARTITION BY target_id) = 1 AS nearest_unique FROM d",
         "metadata_mentions": r"WITH m AS (SELECT DISTINCT id, title, authors FROM manifest), n AS (SELECT id, list_distinct(list_filter(list_transform(string_split_regex(regexp_replace(authors, '[\d*†‡§¶⁰¹²³⁴⁵⁶⁷⁸⁹]+', '', 'g'), '\s*(?:[;|&]|\band\b)\s*'), lambda p: trim(regexp_replace(regexp_replace(p, '\s+', ' ', 'g'), '[,\s]+$', ''))), lambda p: regexp_matches(p, '\p{L}{2}') AND NOT regexp_matches(lower(p), '^(et al\.?|others)$'))) AS l FROM m) SELECT id, 'Publication' AS label, trim(title) AS surface_text, 1.0::DOUBLE AS confidence FROM m WHERE trim(title) <> '' UNION ALL SELECT id, 'Person', unnest(l), 0.98::DOUBLE FROM n",
-        "content_dedupe": "SELECT sha256(text) AS sha256, min(document_id) AS first_location, count(DISTINCT document_id)::INT AS locations, count(*) AS copies FROM documents WHERE text IS NOT NULL GROUP BY 1",
+        "content_dedupe": "SELECT sha256(text) AS sha256, min(document_id) AS first_location, count(DISTINCT document_id) AS locations, count(*) AS copies FROM documents WHERE text IS NOT NULL GROUP BY 1",
         "latest_run": "SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(event_type, (ts, event_id)) AS event_type FROM events WHERE user_id IS NOT NULL GROUP BY 1",
         "parse_summary": f"WITH {_PARAS},{_SECTIONS}, body AS (SELECT doc_id, ordinal, section, text FROM secs WHERE NOT is_heading),{_SENT.replace('FROM paras', 'FROM body')}, n AS (SELECT doc_id, count(*) AS s FROM sents GROUP BY 1) SELECT doc_id, count(DISTINCT section) AS sections, count(*) AS paragraphs, any_value(coalesce(s, 0))::BIGINT AS sentences, sum(length(text))::BIGINT AS characters, array_to_string(list_filter([CASE WHEN sum(length(text)) < 250 THEN 'low_text' END, CASE WHEN any_value(coalesce(s, 0)) = 0 THEN 'no_sentences' END], lambda x: x IS NOT NULL), ';') AS warnings FROM body LEFT JOIN n USING (doc_id) GROUP BY 1",
         "plain_text": f"WITH {_PARAS}, t AS (SELECT doc_id, string_agg(text, chr(10) || chr(10) ORDER BY ordinal) AS text FROM paras GROUP BY 1) SELECT doc_id, sha256(text) AS text_hash, length(text)::INT AS n FROM t",

@@ -44,8 +44,8 @@ def read_documents(spark: SparkSession, path: str, limit: int | None = None) ->
 
 
 def distinct_contents(files: DataFrame, key: str = "sha256", location: str = "path") -> DataFrame:
-    """One row per content: its first location in order, all its locations, and how many there are."""
-    return files.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(location).alias("first_location"), F.sort_array(F.collect_set(location)).alias("locations"), F.count(F.lit(1)).alias("copies"))
+    """One row per content: its first location in order, how many locations it has, and how many copies. The locations themselves stay rows of ``files``."""
+    return files.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(location).alias("first_location"), F.count_distinct(location).alias("locations"), F.count(F.lit(1)).alias("copies"))
 
 
 def unparsed(files: DataFrame, parsed: DataFrame, key: str = "sha256") -> DataFrame:
