@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 
 _BREAK = "(?>\r\n|[\n\r\x0b\x0c\x85\u2028])[^\\S\n\r]*"  # atomic: a carriage return and line feed are one break
 _UNIT_END = re.compile(f"{_BREAK}(?:{_BREAK})+|\u2029")
-_STOP = re.compile("\\.{2,}|\\.(?![a-z0-9,;:/\\-.])|[!?\u2026\u3002\uff01\uff1f\uff61\u061f\u06d4\u0964\u0965]+[!?\u2026\u3002.]*")
+_STOP = re.compile("[.!?\u2026\u3002\uff01\uff1f\uff61\u061f\u06d4\u0964\u0965]+")
+_GOES_ON = frozenset("abcdefghijklmnopqrstuvwxyz0123456789,;:/-")  # after one of these a full stop ends nothing
+_ODD_BREAK = re.compile("[\r\x0b\x0c\x85\u2028\u2029]|\n[^\\S\n]")
 _FREE = frozenset("\u3002\uff01\uff1f\uff61\u0964\u0965\u06d4")  # marks after which no space is needed
 _QUOTES = re.compile("[\u201c\u201d\u201e\u00ab\u00bb\u300c\u300d\u300e\u300f\u2039\u203a\"]")
 _CLOSES = {"\u201c": "\u201d", "\u201e": "\u201c\u201d", "\u00ab": "\u00bb", "\u300c": "\u300d", "\u300e": "\u300f", "\u2039": "\u203a", '"': '"'}
@@ -48,6 +50,19 @@ _THAI = re.compile("[\u0e00-\u0e7f]")
 
 def units(text: str) -> Iterator[tuple[int, int]]:
     """Parts between blank lines, without surrounding white space."""
+    if ("\r" not in text and "\x0b" not in text and "\x0c" not in text and "\n " not in text and "\n\t" not in text) if text.isascii() else not _ODD_BREAK.search(text):
+        at = 0
+        for part in text.split("\n\n"):
+            end = at + len(part)
+            if part:
+                if part[0].isspace() or part[-1].isspace():
+                    if bare := part.strip():
+                        start = at + part.index(bare[0])
+                        yield start, start + len(bare)
+                else:
+                    yield at, end
+            at = end + 2
+        return
     at = 0
     for m in [*_UNIT_END.finditer(text), None]:
         end = m.start() if m else len(text)
@@ -124,22 +139,27 @@ def _token_after(raw: str, short: bool) -> str:
     return token
 
 
-def _candidates(unit: str, script: str) -> list[tuple[int, tuple]]:
+def _views(text: str) -> tuple[str, bool, bool]:
+    """A text with every white space as a blank, and whether it has any other script than Latin and any quotation mark."""
+    flat = text.replace("\n", " ").replace("\r", " ").replace("\t", " ")
+    if text.isascii():
+        return flat, False, '"' in text
+    for c in _SPACES:
+        flat = flat.replace(c, " ")
+    return flat, _OTHER_SCRIPT.search(text) is not None, _QUOTES.search(text) is not None
+
+
+def _candidates(unit: str, flat: str, script: str, quoted: bool) -> list[tuple[int, tuple]]:
     """``(end, kind)`` of each candidate; kind is (token before, token after, mark, closers, opening quote leads, citation, no space). At the unit's end the token after is empty."""
     out: list[tuple[int, tuple]] = []
-    stops = [*_STOP.finditer(unit)]
-    if not stops:
-        return out
-    quotes = _quotations(unit)
-    ends = {b: a for a, b in quotes}
+    quotes = _quotations(unit) if quoted else ()
+    ends = {b: a for a, b in quotes} if quotes else ()
     plain = script in "lc"
-    flat = unit.replace("\n", " ").replace("\r", " ").replace("\t", " ")
-    if not unit.isascii():
-        for c in _SPACES:
-            flat = flat.replace(c, " ")
     n, q, spaceless = len(unit), 0, script in "hkt"
-    for m in stops:
+    for m in _STOP.finditer(unit):
         i, j = m.span()
+        if j - i == 1 and j < n and unit[j] in _GOES_ON and unit[i] == ".":
+            continue
         if quotes:
             while q < len(quotes) and quotes[q][1] < i:
                 q += 1
@@ -284,11 +304,12 @@ class Model:
         """``(start, end)`` of each sentence, without surrounding white space."""
         out = []
         known = self.known
+        flat, mixed, quoted = _views(text)
         for a, b in units(text):
             unit, n = text[a:b], b - a
-            script = _script(unit)
+            script = _script(unit) if mixed else "l"
             cuts = []
-            for j, kind in _candidates(unit, script):
+            for j, kind in _candidates(unit, flat[a:b], script, quoted):
                 if j < n:
                     yes = known.get(kind)
                     if yes or (yes is None and self.ends(kind)):
@@ -311,16 +332,17 @@ class Model:
 
 def _observe(text: str, edges: Counter, kinds: Counter, trained: Counter | None) -> None:
     """Adds one document's counts: ('w', token) at the ends of units and ('n', token) at their starts; kinds of candidates inside units; and pairs of an end with the next start, for training."""
-    before = None
+    before, seen = None, kinds.get
+    flat, mixed, quoted = _views(text)
     for a, b in units(text):
         unit = text[a:b]
-        script = _script(unit)
+        script = _script(unit) if mixed else "l"
         last, n = None, b - a
-        for j, kind in _candidates(unit, script):
+        for j, kind in _candidates(unit, flat[a:b], script, quoted):
             if j == n:
                 last = kind
             else:
-                kinds[kind] += 1
+                kinds[kind] = seen(kind, 0) + 1
         if last:
             token = _token_after(unit[:24].split()[0], script in "hkt")
             edges["w", last[0]] += 1
