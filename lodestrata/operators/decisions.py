@@ -133,6 +133,13 @@ def relation_status(proposals: DataFrame, gates: dict[str, Column], minimum: flo
     return held.withColumn("failed_gates", failed).withColumn("status", status).drop(*[f"_g_{g}" for g in RELATION_GATES])
 
 
+def normalize_windows(expected: DataFrame, returned: DataFrame, key: str = "window_id") -> DataFrame:
+    """One row per expected window and proposal: windows that no judge answered get an audit row, answers to unknown windows are dropped, repeats of a proposal removed."""
+    known = returned.join(expected.select(key).distinct(), key, "left_semi").distinct()
+    missing = expected.select(key).distinct().join(known.select(key).distinct(), key, "left_anti")
+    return known.withColumn("answered", F.lit(True)).unionByName(missing.withColumn("answered", F.lit(False)), allowMissingColumns=True)
+
+
 def unknown_endpoints(proposals: DataFrame, missing: Column, keys: list[str], order: str) -> DataFrame:
     """One audit row per missing role and key, the last in order."""
     rows = proposals.select("*", F.explode(missing).alias("role"))

@@ -77,6 +77,15 @@ def schema_edges(predicates: DataFrame) -> DataFrame:
     return predicates.select("predicate", F.explode("domains").alias("domain"), "ranges").select("predicate", "domain", F.explode("ranges").alias("range")).distinct()
 
 
+def ontology_tables(nodes: DataFrame, predicates: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(classes, edges, counts)`` of an ontology: its classes, the schema edges of its predicates whose ends are classes, and how many there are against what was expected."""
+    classes = nodes.where(F.trim("label") != "").select("label").distinct()
+    wanted = schema_edges(predicates)
+    edges = wanted.join(classes.withColumnRenamed("label", "domain"), "domain", "left_semi").join(classes.withColumnRenamed("label", "range"), "range", "left_semi")
+    one = lambda name, t: t.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("what"), "n")
+    return classes, edges, one("classes", classes).unionByName(one("schema_edges", edges)).unionByName(one("expected_edges", wanted))
+
+
 def repair_endpoints(missing: DataFrame, mentions: DataFrame, key: str, text: str) -> DataFrame:
     """Each missing endpoint with the one mention of its document whose surface or name equals its text, in any case; none if several do."""
     names = mentions.select("document_id", "mention_id", F.explode(F.array_distinct(F.array(F.lower("surface_text"), F.lower("canonical_name")))).alias("_t")).where("_t is not null")

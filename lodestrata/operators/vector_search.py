@@ -34,10 +34,10 @@ def type_by_vectors(rows: DataFrame, classes: DataFrame, key: str, vector: str,
     return top.select(key, F.col("_t")[0]["l"].alias("selected_label"), first.alias("selected_score"), gap.alias("score_margin"), ((first >= threshold) & (gap >= margin)).alias("applicable"))
 
 
-def neighbours(queries: DataFrame, rows: DataFrame, key: str, vector: str, k: int = 12, block: str | None = None, block_rows: int = 20_000) -> DataFrame:
+def neighbours(queries: DataFrame, rows: DataFrame, key: str, vector: str, k: int = 12, block: str | None = None, block_rows: int = 20_000, earlier: bool = False) -> DataFrame:
     """``(query, neighbour, score)``: the ``k`` rows of largest cosine for each query, exactly, not counting itself.
 
-    ``block`` names a column that must agree. Queries are sent to the executors in blocks of ``block_rows``; each task
+    ``block`` names a column that must agree; with ``earlier`` only rows of a smaller key count. Queries are sent to the executors in blocks of ``block_rows``; each task
     keeps ``k`` rows per query of its own part by matrix products, and only these are shuffled. Vectors that are null
     or of no length are left out.
     """
@@ -62,7 +62,7 @@ def neighbours(queries: DataFrame, rows: DataFrame, key: str, vector: str, k: in
                     for lo in range(0, len(at), 1_000):
                         rows_of = at[lo : lo + 1_000]
                         s = m[rows_of] @ v[group].T
-                        s[keys[rows_of][:, None] == ids[group][None, :]] = -2
+                        s[(keys[rows_of][:, None] <= ids[group][None, :]) if earlier else (keys[rows_of][:, None] == ids[group][None, :])] = -2
                         n = min(k, s.shape[1])
                         best = np.argpartition(-s, n - 1, axis=1)[:, :n]
                         score = np.take_along_axis(s, best, 1)

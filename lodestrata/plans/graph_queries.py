@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestrata.operators import decisions, evaluation, graph, layout, relations, windows
+from lodestrata.operators import decisions, discovery, evaluation, graph, layout, relations, vector_search, windows
 
 
 def _read(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -274,8 +274,35 @@ def reading_columns(spark, sf):
     return layout.reading_order(p).select("document_id", "text", "seq")
 
 
+def section_restriction(spark, sf):
+    d = _read(spark, sf, "documents")
+    r = discovery.restrict_sections(d, ["Results", "METHODS", "Discussion"])
+    return r.groupBy(F.lower(F.trim("section_title")).alias("title")).agg(F.count(F.lit(1)).alias("documents"), F.sum("n_chars").alias("characters"))
+
+
+def result_report(spark, sf):
+    c = _labels(spark, sf).select("entity_id")
+    j = _log(spark, sf).where("decision is not null").select(F.col("left_id").alias("entity_id"), "decision")
+    return discovery.result_report(c, j, "entity_id")
+
+
+def narrative_documents(spark, sf):
+    return _read(spark, sf, "documents").select("doc_id", discovery.narrative(F.col("text")).alias("narrative"))
+
+
+def heading_labels(spark, sf):
+    t = _read(spark, sf, "documents").select("section_title").where("section_title is not null").distinct()
+    return t.select("section_title", discovery.canonical_heading(F.col("section_title")).alias("heading"), discovery.is_back_matter(F.col("section_title")).alias("back_matter"))
+
+
+def earlier_neighbours(spark, sf):
+    v = _read(spark, sf, "embeddings")
+    n = vector_search.neighbours(v.where("vec_id % 20 = 0"), v, "vec_id", "embedding", 5, "label", earlier=True)
+    return n.select("query", "neighbour", "rank", F.round("score", 5).alias("score"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (domain_range_violations, eligible_predicates, ancestor_closure, schema_edges, assertion_dedupe, relationship_support, relationship_gates, unknown_endpoints, endpoint_repair, authorship, title_match, competency_questions, semantic_completeness, orphans, usage_rollup, status_pivot, validation_codes, rejection_histogram, split_counts, document_profile, regression_gate, traceability, channel_boundary, graph_summary, graph_verification, graph_problems, edge_problems, edge_patterns, neighbourhood, graph_upsert_nodes, graph_upsert_edges, mention_arrays, identity_alignment, display_names, stage_fold, reading_columns)}
+    return {f.__name__: f for f in (domain_range_violations, eligible_predicates, ancestor_closure, schema_edges, assertion_dedupe, relationship_support, relationship_gates, unknown_endpoints, endpoint_repair, authorship, title_match, competency_questions, semantic_completeness, orphans, usage_rollup, status_pivot, validation_codes, rejection_histogram, split_counts, document_profile, regression_gate, traceability, channel_boundary, graph_summary, graph_verification, graph_problems, edge_problems, edge_patterns, neighbourhood, graph_upsert_nodes, graph_upsert_edges, mention_arrays, identity_alignment, display_names, stage_fold, reading_columns, section_restriction, result_report, narrative_documents, heading_labels, earlier_neighbours)}
 
 
 _LOG = r"log AS (SELECT decision_id, run_id, lower(trim(decision, E' \t\n\r')) AS decision, label, trim(left_entity_id, E' \t\n\r') AS left_id, trim(right_entity_id, E' \t\n\r') AS right_id, left_name, right_name, reviewed_at FROM entity_resolution_decisions)"
@@ -340,6 +367,10 @@ def oracle_sql() -> dict[str, str]:
         "mention_arrays": f"WITH {_GRAPH} SELECT entity_id, string_agg(mention_id, ',' ORDER BY document_id, mention_id, surface) AS mention_ids, any_value(surface) AS surfaces, count(*) AS mentions, count(DISTINCT document_id) AS documents FROM ment GROUP BY 1",
         "identity_alignment": "WITH lex AS (SELECT canonical_id AS entity_id, min(label) AS label, lower(trim(min(canonical_name))) AS n FROM lexicon GROUP BY 1), o AS (SELECT entity_id, label, canonical_name, unnest(mention_ids) AS d FROM entities WHERE entity_id IS NOT NULL), w AS (SELECT entity_id, count(DISTINCT d) AS d FROM o GROUP BY 1), b AS (SELECT label, lower(trim(canonical_name)) AS n, arg_min(entity_id, (-w.d, entity_id)) AS aligned FROM (SELECT DISTINCT entity_id, label, canonical_name FROM o) x JOIN w USING (entity_id) GROUP BY 1, 2) SELECT lex.entity_id, coalesce(aligned, lex.entity_id) AS aligned_id FROM lex LEFT JOIN b USING (label, n)",
         "display_names": f"WITH {_GRAPH}, x AS (SELECT entity_id, replace(coalesce(CASE WHEN trim(name) <> '' THEN name END, entity_id), '_', ' ') AS t FROM nodes) SELECT entity_id, CASE WHEN length(t) > 40 THEN left(t, 39) || '…' ELSE t END AS display FROM x",
+        "section_restriction": "SELECT lower(trim(section_title)) AS title, count(*) AS documents, sum(n_chars)::BIGINT AS characters FROM documents WHERE lower(trim(section_title)) IN ('results', 'methods', 'discussion') GROUP BY 1",
+        "result_report": f"WITH {_LOG},{_LAB}, j AS (SELECT left_id, min(decision) AS d FROM log WHERE decision IS NOT NULL AND left_id IS NOT NULL GROUP BY 1) SELECT entity_id, coalesce(d, 'unjudged') AS decision FROM lab LEFT JOIN j ON entity_id = left_id",
+        "narrative_documents": "SELECT doc_id, coalesce(NOT (text LIKE '%cid:%' AND len(regexp_extract_all(text, '[A-Za-z]{2,}')) < 8) AND NOT (length(text) < 60 AND len(regexp_extract_all(text, '[A-Za-z]{2,}')) < 4), false) AS narrative FROM documents",
+        "earlier_neighbours": "WITH q AS (SELECT a.vec_id AS query, b.vec_id AS neighbour, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 5) AS score FROM embeddings a JOIN embeddings b ON b.vec_id < a.vec_id AND a.label = b.label WHERE a.vec_id % 20 = 0) SELECT query, neighbour, row_number() OVER (PARTITION BY query ORDER BY score DESC, neighbour)::INT AS rank, score FROM q QUALIFY rank <= 5",
         "stage_fold": "WITH l AS (SELECT user_id, arg_max(CASE event_type WHEN 'signup' THEN 1 WHEN 'view' THEN 2 WHEN 'click' THEN 3 WHEN 'purchase' THEN 4 ELSE 5 END, (ts, event_id)) AS stage FROM events GROUP BY 1) SELECT user_id, i::INT AS n, CASE WHEN i < stage THEN 'complete' WHEN i = stage THEN 'running' ELSE 'waiting' END AS status FROM l, range(1, 6) x(i)",
         "reading_columns": """
             WITH p AS (SELECT user_id::VARCHAR AS document_id, event_id::VARCHAR AS text, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS top, CASE WHEN event_type = 'error' THEN 's' WHEN value > 10 THEN 'r' ELSE 'l' END AS side FROM events),
