@@ -165,7 +165,7 @@ def record_groups(manifest: DataFrame, id_col: str = "id", authors_col: str = "a
     split = F.regexp_replace(F.lower(F.col(split_col)), r"[\s\p{Z}\p{Pd}_]+", "")
     rows = manifest.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col), lone).alias("node"), F.col(authors_col).alias("authors"), F.when(split != "", split).alias("split"))
     found = union_find(author_links(rows)).where("startswith(node, 'r\x1f')").select(F.substr("node", F.lit(3)).alias("node"), F.col("root").alias("group_id"))
-    return rows.join(found, "node", "left").select("id", "node", F.coalesce("group_id", F.concat(F.lit("r\x1f"), "node")).alias("group_id"), "split")
+    return split_join(rows, found, "node", rows.count(), "left").select("id", "node", F.coalesce("group_id", F.concat(F.lit("r\x1f"), "node")).alias("group_id"), "split")
 
 
 def conflicting_records(groups: DataFrame) -> DataFrame:
