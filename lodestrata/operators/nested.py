@@ -150,16 +150,17 @@ def contained(df: DataFrame, key: str, column: str, parent: str, child: str) ->
     """Each node of the type ``parent`` with each node of the type ``child`` inside its interval, or with nulls if none.
 
     Columns: ``record``, ``parent_pos``, the parent's scalars as ``parent_*``, ``child_pos``, the child's scalars as
-    ``child_*``. The child may be any number of levels below the parent. The pairs are found from the labels alone:
+    ``child_*``; a scalar named ``pos`` gets a trailing underscore. The child may be any number of levels below the parent. The pairs are found from the labels alone:
     by record, children are in pre-order, so those of one interval are adjacent.
     """
     t = df.schema[column].dataType
     above, below = _scalars(t, parent), _scalars(t, child)
+    flat = lambda side, f: f"{side}_{f.name.replace('.', '_')}" + "_" * (f.name == "pos")
     schema = T.StructType(
         [T.StructField("record", df.schema[key].dataType), T.StructField("parent_pos", T.LongType())]
-        + [T.StructField("parent_" + f.name.replace(".", "_"), f.dataType) for f in above]
+        + [T.StructField(flat("parent", f), f.dataType) for f in above]
         + [T.StructField("child_pos", T.LongType())]
-        + [T.StructField("child_" + f.name.replace(".", "_"), f.dataType) for f in below]
+        + [T.StructField(flat("child", f), f.dataType) for f in below]
     )
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -147,3 +147,15 @@ def test_nested_long_arrays(spark):
     df = spark.createDataFrame([("r", (None, None, [(f"s{i}", [i], None) for i in range(30_000)]))], NESTED)
     got = nested.contained(df, "id", "s", "ctx", "ctx.pages")
     assert got.count() == 30_000 and got.where("parent_pos <> child_value").count() == 0
+
+
+def test_nested_clashing_names(spark):
+    df = spark.createDataFrame([("r", ([(1, 2, [3]), (4, None, None)],))], "record string, s struct<ctx:array<struct<pos:int,pre:int,level:array<int>>>>")
+    assert node_columns(nested.node_table(df, "record", "s", "ctx")) == ["record", "pre", "post", "level", "pos", "pos_", "pre_"]
+    got = nested.contained(df, "record", "s", "ctx", "ctx.level")
+    assert [tuple(r) for r in got.collect()] == [("r", 0, 1, 2, 0, 3), ("r", 1, 4, None, None, None)]
+
+
+def node_columns(df):
+    df.collect()
+    return df.columns
