@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.functions import ids
 from lodestrata.functions.skew import positions
-from lodestrata.operators import layout, spans, structure, windows
+from lodestrata.operators import layout, references, spans, structure, windows
 from lodestrata.sources import files
 
 
@@ -155,13 +155,31 @@ def name_propagation(spark, sf):
     return spans.propagate_names(m.where("text is not null"), m.where("length(surface_text) > 3"), "document_id", ["document_id", "resolution_id"]).select("document_id", "resolution_id", "name", "start_char", "end_char")
 
 
+def rule_spans(spark, sf):
+    p = _paragraphs(spark, sf).withColumnRenamed("ordinal", "paragraph")
+    return references.rule_spans(p, ["doc_id", "paragraph"]).groupBy("label", "canonical_name").agg(F.count(F.lit(1)).alias("spans"))
+
+
+def reference_spans(spark, sf):
+    p = _paragraphs(spark, sf).withColumnRenamed("ordinal", "paragraph")
+    return references.reference_spans(p, ["doc_id", "paragraph"]).groupBy("determiner", "head", "is_plural").agg(F.count(F.lit(1)).alias("spans"))
+
+
+def reference_resolution(spark, sf):
+    s = _sentences(spark, sf).withColumn("section", F.lit(0)).withColumnRenamed("doc_id", "document_id")
+    keys = ["document_id", "section", "pos"]
+    r = references.reference_spans(s, keys).withColumn("reference_id", ids.stable_id("reference", *keys, "start_char", "end_char"))
+    m = references.rule_spans(s, keys).withColumn("mention_id", ids.stable_id("mention", *keys, "start_char", "end_char", "label"))
+    return references.resolve(r, references.antecedents(r, m)).groupBy("outcome").agg(F.count(F.lit(1)).alias("references"))
+
+
 def realigned_spans(spark, sf):
     m = _read(spark, sf, "reference_resolution_ignored").select("resolution_id", F.col("source.evidence_quote").alias("text"), F.col("source.quote").alias("surface_text"), (F.col("source.start_char") + 2).alias("start_char"), F.col("source.end_char").alias("end_char")).distinct()
     return spans.realign(m).groupBy("aligned").agg(F.count(F.lit(1)).alias("spans"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (sentences, stable_ids, normalized_names, document_sections, document_chunks, section_hierarchy, repeated_furniture, paragraph_islands, quality_issues, context_windows, antecedent_windows, alias_ambiguity, lexicon_lookup, lexicon_spans, span_selection, reference_words, antecedent_asof, metadata_mentions, content_dedupe, latest_run, parse_summary, plain_text, paragraph_integrity, name_propagation, realigned_spans)}
+    return {f.__name__: f for f in (sentences, stable_ids, normalized_names, document_sections, document_chunks, section_hierarchy, repeated_furniture, paragraph_islands, quality_issues, context_windows, antecedent_windows, alias_ambiguity, lexicon_lookup, lexicon_spans, span_selection, reference_words, antecedent_asof, metadata_mentions, content_dedupe, latest_run, parse_summary, plain_text, paragraph_integrity, name_propagation, rule_spans, reference_spans, reference_resolution, realigned_spans)}
 
 
 _PARAS = r"""

@@ -74,6 +74,18 @@ def run_catalog(spark: SparkSession, root: str, artifact: str, preferred: str, s
     return both.join(runs, "run_folder", "left_semi")
 
 
+def job_list(spark: SparkSession, root: str, manifest_schema: T.StructType | str = "run_id string, test_scope string, created_at timestamp") -> DataFrame:
+    """The manifests of all runs below a folder, the latest first."""
+    if not _exists(spark, f"{root}/*/manifest.json"):
+        return spark.createDataFrame([], manifest_schema)
+    return spark.read.schema(manifest_schema).option("multiLine", True).json(f"{root}/*/manifest.json").orderBy(F.desc("created_at"), "run_id")
+
+
+def write_json(df: DataFrame, path: str) -> None:
+    """A table of one row, such as a run's manifest, as one JSON file."""
+    df.limit(1).coalesce(1).write.mode("overwrite").json(path)
+
+
 def checksums(files: DataFrame) -> DataFrame:
     """``name``, ``sha256`` of each file, in order of name."""
     return files.select(F.regexp_extract("path", "([^/]+)$", 1).alias("name"), "sha256").orderBy("name")

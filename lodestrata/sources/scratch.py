@@ -8,6 +8,7 @@ footers give Catalyst true sizes, so that a side is broadcast only when the writ
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -15,6 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -24,7 +26,7 @@ def scratch_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     app = spark.sparkContext.applicationId
     if app not in _local:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         _local[app] = tempfile.mkdtemp(prefix="lodestrata-")
         atexit.register(shutil.rmtree, _local[app], True)
@@ -37,15 +39,14 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.base = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-        self._paths: dict[int, str] = {}
         self._n = 0
+        _made.setdefault(spark.sparkContext.applicationId, []).append(self.base)
 
     def put(self, df: DataFrame) -> DataFrame:
         self._n += 1
         path = f"{self.base}/{self._n:04d}"
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(out)] = path
         out._scratch_path = path
         return out
 
@@ -56,3 +57,11 @@ class Scratch:
             if path:
                 p = jvm.org.apache.hadoop.fs.Path(path)
                 p.getFileSystem(conf).delete(p, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Removes all scratch tables of this application; results that still read them are lost, so write these first."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for base in _made.pop(spark.sparkContext.applicationId, []):
+        p = jvm.org.apache.hadoop.fs.Path(base)
+        p.getFileSystem(conf).delete(p, True)

@@ -159,3 +159,15 @@ def test_nested_clashing_names(spark):
 def node_columns(df):
     df.collect()
     return df.columns
+
+
+def test_scratch_tables(spark):
+    from lodestrata.sources.scratch import Scratch, scratch_root
+
+    s = Scratch(spark, "test")
+    a = s.put(spark.range(3))
+    assert a.count() == 3 and s.base.startswith(scratch_root(spark))
+    s.forget(a, None, spark.range(1))
+    import os
+
+    assert not os.path.exists(a._scratch_path.removeprefix("file://"))
