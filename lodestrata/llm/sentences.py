@@ -89,7 +89,7 @@ def _quotations(unit: str) -> list[tuple[int, int]]:
     pairs = []
     for m in _QUOTES.finditer(unit):
         c, i = m[0], m.start()
-        for k in range(len(stack) - 1, -1, -1):
+        for k in range(len(stack) - 1, max(-1, len(stack) - 9), -1):  # quotations nest no deeper
             if c in _CLOSES[stack[k][0]]:
                 pairs.append((stack[k][1], i))
                 del stack[k:]
