@@ -42,8 +42,28 @@ def queries() -> dict:
     return {"p5_found": p5_found, "p5_references": p5_references, "p5_context_sentences": p5_context_sentences, "p5_pages": p5_pages}
 
 
+_N = "coalesce(len({0}), 0)"
+_CONTEXT_SIZE = "coalesce(list_sum(list_transform(source.context_sentences, lambda c: 1 + coalesce(len(c.pages), 0))), 0)"
+
+
 def oracle_sql() -> dict[str, str]:
+    scalars = "kind, field, sentence_id, paragraph_id, section_id, section_title, start_char, end_char, quote, evidence_quote, context_policy".split(", ")
     return {
+        "p5_references": f"""
+            SELECT resolution_id AS record, 0::BIGINT AS pre, ({_N.format('source.pages')} + {_N.format('source.context_sentence_ids')} + {_CONTEXT_SIZE})::BIGINT AS post,
+                   0::BIGINT AS level, 0::BIGINT AS pos, {', '.join(f'source."{c}" AS "{c}"' for c in scalars)}
+            FROM reference_resolution_ignored""",
+        "p5_pages": """
+            SELECT resolution_id AS record, i AS pre, i - 1 AS post, 1::BIGINT AS level, i - 1 AS pos, value FROM (
+              SELECT resolution_id, unnest(source.pages) AS value, generate_subscripts(source.pages, 1)::BIGINT AS i FROM reference_resolution_ignored)""",
+        "p5_context_sentences": f"""
+            WITH r AS (SELECT *, row_number() OVER () AS rn FROM reference_resolution_ignored),
+            c AS (SELECT rn, resolution_id, 1 + {_N.format('source.pages')} + {_N.format('source.context_sentence_ids')} AS first,
+                         unnest(source.context_sentences) AS c, generate_subscripts(source.context_sentences, 1)::BIGINT AS i FROM r),
+            n AS (SELECT *, coalesce(len(c.pages), 0) AS k FROM c),
+            p AS (SELECT *, first + coalesce(sum(1 + k) OVER (PARTITION BY rn ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pre FROM n)
+            SELECT resolution_id AS record, pre::BIGINT AS pre, (pre + k - 1)::BIGINT AS post, 1::BIGINT AS level, i - 1 AS pos,
+                   c.sentence_id AS sentence_id, c.paragraph_id AS paragraph_id, c."role" AS "role", c."text" AS "text" FROM p""",
         "p5_found": """
             WITH s AS (
               SELECT resolution_id, unnest(source.context_sentences) AS c,

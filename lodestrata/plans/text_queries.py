@@ -241,6 +241,7 @@ def oracle_sql() -> dict[str, str]:
         "stable_ids": "SELECT doc_id, 'doc_' || substr(sha1(coalesce(paper_id,'') || '|' || coalesce(section_title,'')), 1, 12) AS parser_id, 'node_' || substr(sha256(coalesce(document_id,'') || chr(9247) || coalesce(lang,'')), 1, 20) AS node_id, 'core_' || substr(sha256(CAST(doc_id AS VARCHAR) || '|' || coalesce(source,'')), 1, 16) AS core_id FROM documents",
         "normalized_names": f"SELECT DISTINCT canonical_name, {_NORM.format('canonical_name')} AS normalized, regexp_replace(lower(canonical_name), '[^a-z0-9]+', '', 'g') AS compact, upper(array_to_string(list_transform(list_filter(string_split({_NORM.format('canonical_name')}, ' '), lambda t: t <> ''), lambda t: t[1]), '')) AS acronym FROM entities",
         "document_sections": f"WITH {_PARAS},{_SECTIONS} SELECT doc_id, section, section_title, count_if(NOT is_heading)::BIGINT AS paragraphs, sum(CASE WHEN is_heading THEN 0 ELSE length(text) END)::BIGINT AS characters FROM secs GROUP BY ALL",
+        "document_chunks": f"WITH {_PARAS},{_SECTIONS}, body AS (SELECT doc_id, ordinal, section, section_title, text FROM secs WHERE NOT is_heading),{_SENT.replace('FROM paras', 'FROM body')}, s AS (SELECT doc_id, section, section_title, sum(length(text)) + count(*) - 1 AS n FROM body GROUP BY 1, 2, 3) SELECT 'section' AS type, count(*) AS chunks, count(DISTINCT (doc_id, section, section_title)) AS ids, sum(n)::BIGINT AS characters FROM s UNION ALL SELECT 'paragraph', count(*), count(DISTINCT (doc_id, section, ordinal)), sum(length(text))::BIGINT FROM body UNION ALL SELECT 'sentence', count(*), count(DISTINCT (doc_id, paragraph, ordinal)), sum(length(text))::BIGINT FROM sents",
         "section_hierarchy": f"WITH {_PARAS},{_SECTIONS}, h AS (SELECT doc_id, section, CASE WHEN regexp_extract(section_title, '^(\\d{{1,2}}(\\.\\d{{1,2}}){{0,3}})\\.?\\s+\\S', 1) = '' THEN 1 ELSE len(string_split(regexp_extract(section_title, '^(\\d{{1,2}}(\\.\\d{{1,2}}){{0,3}})\\.?\\s+\\S', 1), '.')) END::INT AS level FROM secs WHERE is_heading) SELECT a.doc_id, a.section, a.level, max(b.section) AS parent FROM h a LEFT JOIN h b ON a.doc_id = b.doc_id AND b.section < a.section AND b.level < a.level GROUP BY ALL",
         "repeated_furniture": f"WITH {_LINES}, o AS (SELECT DISTINCT source, doc_id, text FROM lines WHERE source IS NOT NULL), p AS (SELECT source, count(DISTINCT doc_id) AS n FROM o GROUP BY 1), c AS (SELECT source, text, count(*) AS pages FROM o GROUP BY 1, 2) SELECT source, text, pages FROM c JOIN p USING (source) WHERE pages >= greatest(2, floor(n / 200))",
         "paragraph_islands": f"WITH {_LINES}, f AS (SELECT doc_id, seq, text, rtrim(lag(text) OVER w) AS b, row_number() OVER w AS rn FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY seq)), s AS (SELECT doc_id, seq, CASE WHEN rn = 1 OR coalesce(regexp_matches(text, '(?i)^(\\(?\\d{{1,3}}\\)?[.)]|[a-z][.)]|[•▪])\\s+') OR ((regexp_matches(b, '[.!?][\"''”’)\\]]*(\\s*\\d+(\\s*[,–−-]\\s*\\d+)*)?$') OR regexp_matches(b, '[:;]$')) AND NOT regexp_matches(regexp_replace(text, '^[\"''“‘(\\[]+', ''), '^[\\p{{Ll}},;:)\\]]')), false) THEN 1 ELSE 0 END AS st FROM f) SELECT doc_id, count(*) AS lines, sum(st)::INT AS paragraphs FROM s GROUP BY 1",
