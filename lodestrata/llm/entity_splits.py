@@ -26,10 +26,10 @@ from lodestrata.functions.skew import hot_keys, split_join
 from lodestrata.sources.scratch import Scratch
 
 #: Entries of an author list that name nobody (fixed values).
-NOBODY = frozenset({"", "et al", "others", "and others", "unknown", "anonymous", "the editors", "editors", "n/a", "na", "none", "anon", "editorial board", "no author"})
+NOBODY = frozenset({"", "et al", "others", "and others", "unknown", "anonymous", "the editors", "editors", "n/a", "na", "none", "anon", "editorial board", "no author", "nn", "n.n", "n. n"})
 
 _MARKS = re.compile(r"[\d*†‡§¶‖#⁰¹²³⁴-⁹₀-₉^]+")
-_CUT = re.compile(r"[;|&/\n]|(?<!\w)(?:and|und|et(?!\s+al)|y)(?!\w)", re.IGNORECASE)
+_CUT = re.compile(r"[;|&/\n]|(?<=\s)(?:and|und|et(?!\s+al))(?=\s)")
 
 
 def persons(authors: str | None) -> list[tuple[str, str]]:

@@ -16,7 +16,7 @@ from .test_components import brute
         ("Anna Lund; B. Okoro", [("lund", "anna"), ("okoro", "b")]),
         ("Lund, Anna | OKORO, B. & Karl Mo", [("lund", "anna"), ("okoro", "b"), ("mo", "karl")]),
         ("Anna Lund*, B. Okoro¹² and Karl Mo†", [("lund", "anna"), ("okoro", "b"), ("mo", "karl")]),
-        ("Lund, A.;et al.", [("lund", "a")]), ("Åsa Löf", [("löf", "åsa")]), ("Lund A.", [("lund", "a")]), ("Anna Lund1; others", [("lund", "anna")]),
+        ("Lund, A.;et al.", [("lund", "a")]), ("Åsa Löf", [("löf", "åsa")]), ("Lund A.", [("lund", "a")]), ("Y. Chen and E. Y. Wu", [("chen", "y"), ("wu", "e y")]), ("N.N.", []), ("Anna Lund1; others", [("lund", "anna")]),
     ],
 )
 def test_persons(text, expected):
