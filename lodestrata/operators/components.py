@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.functions.skew import split_join
-from lodestrata.sources.scratch import Scratch
+from lodestrata.sources.scratch import Scratch, rows
 
 
 def _star(edges: DataFrame, large: bool, n: int) -> DataFrame:
@@ -29,16 +29,15 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
     """
     scratch = Scratch(edges.sparkSession, "stars")
     now = edges.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v")).where(F.col(left).isNotNull() & F.col(right).isNotNull()).where("u <> v").distinct()
-    now = scratch.put(now)
-    sign = lambda t: tuple(t.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-    before = sign(now)
-    while before[0]:
-        big = scratch.put(_star(now, True, before[0]))
-        small = scratch.put(_star(big, False, before[0]))
+    sign = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+    now = scratch.put(now, sign=sign)
+    while rows(now):
+        big = scratch.put(_star(now, True, rows(now)))
+        small = scratch.put(_star(big, False, rows(now)), sign=sign)
         scratch.forget(now, big)
-        now, after = small, sign(small)
-        if after == before:
+        same = small._seen == now._seen
+        now = small
+        if same:
             break
-        before = after
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.functions.ids import name_tokens, normalized, stable_id
 from lodestrata.functions.similarity import ratio_bound, sequence_ratio, token_jaccard, version_of
+from lodestrata.sources.scratch import Scratch
 
 #: Labels whose things are told apart by occurrence, and labels that never become entities (fixed values).
 SCOPED_LABELS = ("Experiment", "Observation", "Claim", "Sample", "SamplingEvent", "Condition", "Parameter")
@@ -84,7 +85,7 @@ def similar_pairs(entities: DataFrame, threshold: float = 0.64, ratio: bool = Tr
     word Jaccard with which the threshold can be reached at a character ratio of 1. Conflicting version numbers score
     nothing. The character ratio is computed only for pairs whose bound on it allows the threshold.
     """
-    r = representatives(entities, id_col)
+    r = Scratch(entities.sparkSession, "names").put(representatives(entities, id_col))
     least = max(0.05, (threshold - 0.45) / 0.55) if ratio else threshold
     keys = prefix_keys(r, word_frequency(r), "rep", least).select("label", "rep", F.concat(F.lit("w"), "k").alias("k"))
     aliases = r.select("label", "rep", F.explode("alias_keys").alias("a")).select("label", "rep", F.concat(F.lit("a"), "a").alias("k"))

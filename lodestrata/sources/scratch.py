@@ -13,7 +13,8 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _local: dict[str, str] = {}
 _made: dict[str, list[str]] = {}
@@ -42,11 +43,14 @@ class Scratch:
         self._n = 0
         _made.setdefault(spark.sparkContext.applicationId, []).append(self.base)
 
-    def put(self, df: DataFrame) -> DataFrame:
+    def put(self, df: DataFrame, **measures: Column) -> DataFrame:
+        """Writes a table and reads it again; its row count and the measures asked for are taken while it is written."""
         self._n += 1
         path = f"{self.base}/{self._n:04d}"
-        df.write.parquet(path)
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in measures.items()]).write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
+        out._seen = seen.get
         out._scratch_path = path
         return out
 
@@ -59,6 +63,11 @@ class Scratch:
                 p.getFileSystem(conf).delete(p, True)
 
 
+def rows(table: DataFrame) -> int:
+    """How many rows a scratch table has, as counted when it was written."""
+    return table._seen["rows"]
+
+
 def clear(spark: SparkSession) -> None:
     """Removes all scratch tables of this application; results that still read them are lost, so write these first."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
