@@ -9,8 +9,8 @@ of that edge is the smallest label of its tree: a component's label is always it
 Each round at least halves the components with edges left, so there are at most log2(vertices) rounds of at most
 log2(tree depth) doublings. Every round works on the contracted graph only and is written to the shared folder; the
 labels of all rounds are composed once, from the last to the first. Components that hold a large share of the edges
-are joined by a bounded broadcast instead of a shuffle (``functions.skew``). Nothing is collected but row counts and
-at most 256 hot keys.
+are joined by a bounded broadcast instead of a shuffle (``functions.skew``). Nothing is collected but row counts, which are
+taken while the tables are written, and at most 256 hot keys.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.functions.skew import split_join
-from lodestrata.sources.scratch import Scratch
+from lodestrata.sources.scratch import Scratch, rows
 
 #: Every code point of white space, and the byte-order mark that stands for one at the ends of exported ids.
 _BLANKS = "".join(chr(c) for c in range(0x10000) if chr(c).isspace()) + "\ufeff"
@@ -60,10 +60,10 @@ def components(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     x, y = F.col(a), F.col(b)
     edges = scratch.put(pairs.where(x.isNotNull() & y.isNotNull() & (x != y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct())
     levels: list[tuple[DataFrame, int]] = []
-    while n := edges.count():
+    while n := rows(edges):
         hooks = _hook(edges, scratch)
         parents = _collapse(hooks, scratch)
-        levels.append((parents, parents.count()))
+        levels.append((parents, rows(hooks)))
         there = split_join(edges.withColumnRenamed("a", "u"), parents, "u", n).select(F.col("label").alias("a"), "b")
         again = split_join(there.withColumnRenamed("b", "u"), parents, "u", n).select("a", F.col("label").alias("b"))
         again = again.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -90,18 +90,18 @@ def _hook(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
 def _collapse(hooks: DataFrame, scratch: Scratch) -> DataFrame:
     """``(u, label)`` with the root of each tree, by pointer doubling; the smaller end of a mutual choice points to itself."""
-    n = hooks.count()
+    n = rows(hooks)
     back = hooks.select(F.col("u").alias("label"), F.col("label").alias("back"))
     rooted = split_join(hooks, back, "label", n)
     parents = scratch.put(rooted.select("u", F.when((F.col("back") == F.col("u")) & (F.col("u") < F.col("label")), F.col("u")).otherwise(F.col("label")).alias("label")))
     scratch.forget(hooks)
     while True:
         up = parents.select(F.col("u").alias("label"), F.col("label").alias("next"))
-        new = scratch.put(split_join(parents, up, "label", n).select("u", F.col("next").alias("label"), (F.col("next") != F.col("label")).alias("moved")))
-        moved = not new.where("moved").isEmpty()
+        new = split_join(parents, up, "label", n).select("u", F.col("next").alias("label"), (F.col("next") != F.col("label")).alias("moved"))
+        new = scratch.put(new, moved=F.count_if("moved"))
         scratch.forget(parents)
         parents = new
-        if not moved:
+        if not parents._seen["moved"]:
             out = parents.select("u", "label")
             out._scratch_path = parents._scratch_path
             return out

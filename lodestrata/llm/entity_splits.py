@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.functions.skew import hot_keys, split_join
-from lodestrata.sources.scratch import Scratch
+from lodestrata.sources.scratch import Scratch, rows as row_count
 
 #: Entries of an author list that name nobody (fixed values).
 NOBODY = frozenset({"", "et al", "others", "and others", "unknown", "anonymous", "the editors", "editors", "n/a", "na", "none", "anon", "editorial board", "no author", "nn", "n.n", "n. n"})
@@ -88,7 +88,7 @@ def author_links(rows: DataFrame) -> DataFrame:
     scratch = Scratch(rows.sparkSession, "authors")
     names = scratch.put(names)
     full = names.where("not short").groupBy("who").agg(F.min("given").alias("least"), F.max("given").alias("most"))
-    short = split_join(names.where("short"), full, "who", names.count(), "left")
+    short = split_join(names.where("short"), full, "who", row_count(names), "left")
     one = F.coalesce(F.col("least"), F.col("given"))
     links = names.where("not short").select("node", "who", "given").unionByName(short.where("least is null or least = most").select("node", "who", one.alias("given")))
     return links.select(F.concat(F.lit("r\x1f"), "node").alias("a"), F.concat_ws("\x1f", F.lit("p"), "who", "given").alias("b")).distinct()
@@ -133,7 +133,7 @@ def union_find(edges: DataFrame, edges_per_task: int = 200_000) -> DataFrame:
     scratch = Scratch(edges.sparkSession, "forest")
     graph = scratch.put(edges.select("a", "b").where("a is not null and b is not null"))
     levels: list[tuple[DataFrame, int]] = []
-    while n := graph.count():
+    while n := row_count(graph):
         tasks = -(-n // edges_per_task)
         if levels:
             hot = hot_keys(graph, "a", n)
@@ -142,7 +142,7 @@ def union_find(edges: DataFrame, edges_per_task: int = 200_000) -> DataFrame:
         local = scratch.put(graph.mapInPandas(_forest, "node string, root string"))
         merged = local.groupBy("node").agg(F.min("root").alias("root"), F.collect_set("root").alias("roots"))
         merged = scratch.put(merged)
-        levels.append((merged.select("node", "root"), merged.count()))
+        levels.append((merged.select("node", "root"), row_count(merged)))
         graph = scratch.put(merged.where("size(roots) > 1").select(F.col("root").alias("a"), F.explode("roots").alias("b")).where("a <> b").distinct())
         scratch.forget(local)
     if not levels:
@@ -173,7 +173,7 @@ def conflicting_records(groups: DataFrame) -> DataFrame:
     scratch = Scratch(groups.sparkSession, "splits")
     groups = scratch.put(groups)
     torn = groups.where("split is not null").groupBy("group_id").agg(F.min("split").alias("x"), F.max("split").alias("y")).where("x <> y").select("group_id")
-    return split_join(groups.where("id is not null"), torn, "group_id", groups.count()).select("id").distinct()
+    return split_join(groups.where("id is not null"), torn, "group_id", row_count(groups)).select("id").distinct()
 
 
 def greedy_quotas(sizes: list[tuple[int, int]], shares: list[tuple[str, float]]) -> list[tuple[int, str, int, int]]:
@@ -232,7 +232,7 @@ def assign_splits(groups: DataFrame, policy: DataFrame) -> DataFrame:
     counts = [(r[0], r[1]) for r in sizes.groupBy("size").count().collect()]
     if not shares or not counts:
         return groups.sparkSession.createDataFrame([], "id string, group_id string, assigned string")
-    tasks = max(1, -(-sizes.count() // 100_000))
+    tasks = max(1, -(-row_count(sizes) // 100_000))
     ordered = scratch.put(sizes.repartitionByRange(tasks, "size", "group_id").sortWithinPartitions("size", "group_id").withColumn("part", F.spark_partition_id()).withColumn("row", F.monotonically_increasing_id()))
     first = {(r[0], r[1]): (r[2], r[3]) for r in ordered.groupBy("size", "part").agg(F.min("row"), F.count(F.lit(1))).collect()}
     start, seen = [], {}
@@ -243,4 +243,4 @@ def assign_splits(groups: DataFrame, policy: DataFrame) -> DataFrame:
     quotas = groups.sparkSession.createDataFrame(greedy_quotas(counts, shares), "size long, assigned string, low long, high long")
     ranked = ordered.join(F.broadcast(offsets), ["size", "part"]).withColumn("rank", F.col("row") - F.col("offset"))
     chosen = ranked.join(F.broadcast(quotas), "size").where("rank >= low and rank < high").select("group_id", "assigned")
-    return split_join(groups, chosen, "group_id", groups.count()).select("id", "group_id", "assigned")
+    return split_join(groups, chosen, "group_id", row_count(groups)).select("id", "group_id", "assigned")
