@@ -14,14 +14,15 @@ from lodestrata.operators.spans import GENERIC_TERMS, pattern_spans
 def rule_spans(sentences: DataFrame, keys: list[str], text: str = "text", patterns: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """Spans of the rule catalog with canonical names; surfaces that are generic, refused, or lack the context they need are left out."""
     rules = [(label, p, "rule") for label, ps in (patterns or catalog.RULE_PATTERNS).items() for p in ps]
-    s = pattern_spans(sentences, rules, keys, text).join(sentences.select(*keys, F.col(text).alias("_t")).distinct(), keys)
+    width = max([8, *(w for *_, w in catalog.RULE_CONTEXT)])
+    s = pattern_spans(sentences, rules, keys, text, context=width)
     norm, surface = normalized("surface_text"), F.trim("surface_text")
     keep = ~norm.isin(*GENERIC_TERMS)
     for label, refused in catalog.RULE_REFUSED:
         keep = keep & ~((F.col("label") == label) & surface.rlike(refused))
-    keep = keep & ~((F.col("label") == "Model") & (norm == "deepseek") & F.substr("_t", F.col("end_char") + 1, F.lit(4)).rlike("(?i)^[- ]AI\\b"))
+    keep = keep & ~((F.col("label") == "Model") & (norm == "deepseek") & F.col("after_text").rlike("(?i)^[- ]AI\\b"))
     for label, which, context, width in catalog.RULE_CONTEXT:
-        near = F.substr("_t", F.greatest(F.col("start_char") - width, F.lit(0)) + 1, F.col("end_char") + width - F.greatest(F.col("start_char") - width, F.lit(0)))
+        near = F.concat(F.right("before_text", F.lit(width)), "surface_text", F.left("after_text", F.lit(width)))
         keep = keep & (~((F.col("label") == label) & surface.rlike(which)) | near.rlike(context))
     names = F.create_map(*[F.lit(x) for label, own in catalog.RULE_NAMES.items() for k, v in own.items() for x in (f"{label}/{k}", v)])
     tight = F.when((F.col("label") == "Model") & surface.contains("/"), F.regexp_replace(surface, "\\s*-\\s*", "-"))
@@ -34,15 +35,13 @@ def reference_spans(sentences: DataFrame, keys: list[str], text: str = "text") -
 
     "That" after a verb of saying and before a property is no reference ("results suggest that model capability").
     """
-    s = pattern_spans(sentences, [("reference", catalog.REFERENCE_PATTERN, "reference")], keys, text).join(sentences.select(*keys, F.col(text).alias("_t")).distinct(), keys)
+    s = pattern_spans(sentences, [("reference", catalog.REFERENCE_PATTERN, "reference")], keys, text, context=28)
     low = F.lower("surface_text")
     pronoun = low.isin("it", "they", "them")
     determiner = F.when(pronoun, "").otherwise(F.regexp_extract(low, "^(\\w+)", 1))
     noun = F.when(pronoun, low).otherwise(F.regexp_extract(low, "(\\w+)$", 1))
     head = F.when(noun == "approaches", "approach").when(noun == "processes", "process").when(noun == "technologies", "technology").when(noun.endswith("s") & (noun != "process"), F.regexp_replace(noun, "s$", "")).otherwise(noun)
-    before = F.substr("_t", F.greatest(F.col("start_char") - 28, F.lit(0)) + 1, F.least(F.col("start_char"), F.lit(28)))
-    after = F.substr("_t", F.col("end_char") + 1, F.lit(28))
-    clause = (determiner == "that") & before.rlike("(?i)\\b(suggest|show|indicate|reveal|confirm)(s|ed)?\\s*$") & after.rlike("(?i)^\\s+(capabilit|performance|behaviou?r|selection|choice|output)")
+    clause = (determiner == "that") & F.col("before_text").rlike("(?i)\\b(suggest|show|indicate|reveal|confirm)(s|ed)?\\s*$") & F.col("after_text").rlike("(?i)^\\s+(capabilit|performance|behaviou?r|selection|choice|output)")
     out = s.where(~clause).withColumn("determiner", determiner).withColumn("head", head).withColumn("is_pronoun", pronoun)
     return out.withColumn("is_plural", F.col("head").isin("they", "them") | (~F.col("is_pronoun") & noun.endswith("s") & (noun != "process"))).select(*keys, "start_char", "end_char", "surface_text", "determiner", "head", "is_pronoun", "is_plural")
 

@@ -35,12 +35,14 @@ GENERIC_TERMS = (
 SPAN = "label string, start_char int, end_char int, surface_text string, method string"
 
 
-def pattern_spans(sentences: DataFrame, patterns: list[tuple[str, str, str]], keys: list[str], text: str = "text") -> DataFrame:
+def pattern_spans(sentences: DataFrame, patterns: list[tuple[str, str, str]], keys: list[str], text: str = "text", context: int = 0) -> DataFrame:
     """All matches of ``(label, pattern, method)`` in each sentence; a pattern's first named group is the span, else the match.
 
-    Null texts have none. Patterns ignore case unless they say otherwise.
+    Null texts have none. Patterns ignore case unless they say otherwise. With ``context`` the characters before and
+    after each span come out too, as ``before_text`` and ``after_text``, so that no join back to the text is needed.
     """
-    schema = _schema(sentences, keys) + ", " + SPAN
+    schema = _schema(sentences, keys) + ", " + SPAN + ", before_text string, after_text string" * bool(context)
+    names = ["label", "start_char", "end_char", "surface_text", "method"] + ["before_text", "after_text"] * bool(context)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = [(label, re.compile(p, re.I), method) for label, p, method in patterns]
@@ -52,8 +54,9 @@ def pattern_spans(sentences: DataFrame, patterns: list[tuple[str, str, str]], ke
                         a, e = m.span(next(iter(p.groupindex), 0))
                         if a < e:
                             at.append(i)
-                            rows.append((label, a, e, t[a:e], method))
-            yield _beside(b, keys, at, rows, ["label", "start_char", "end_char", "surface_text", "method"], "siiss")
+                            near = (t[max(0, a - context) : a], t[e : e + context]) if context else ()
+                            rows.append((label, a, e, t[a:e], method, *near))
+            yield _beside(b, keys, at, rows, names, "siissss"[: len(names)])
 
     return sentences.select(*keys, text).mapInArrow(emit, schema)
 
@@ -174,9 +177,9 @@ def specific_name(name: Column) -> Column:
 
 def introduced_systems(sentences: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """Spans of the names that a sentence introduces as a system and that are specific; a name before "et al" is an author's."""
-    spans = pattern_spans(sentences, [("AISystem", p, "introduced_system") for p in INTRODUCTIONS], keys, text)
-    after = F.substr(F.col(text), F.col("end_char") + 1, F.lit(8))
-    return spans.join(sentences.select(*keys, text), keys).where(specific_name(F.col("surface_text")) & ~after.rlike("(?i)^\\s+et\\s+al\\b")).drop(text).distinct()
+    spans = pattern_spans(sentences, [("AISystem", p, "introduced_system") for p in INTRODUCTIONS], keys, text, context=8)
+    named = specific_name(F.col("surface_text")) & ~F.col("after_text").rlike("(?i)^\\s+et\\s+al\\b")
+    return spans.where(named).drop("before_text", "after_text").distinct()
 
 
 def propagate_names(sentences: DataFrame, names: DataFrame, document: str, keys: list[str], text: str = "text", name: str = "surface_text") -> DataFrame:
