@@ -158,14 +158,15 @@ def union_find(edges: DataFrame, edges_per_task: int = 200_000) -> DataFrame:
 def record_groups(manifest: DataFrame, id_col: str = "id", authors_col: str = "authors", split_col: str = "split") -> DataFrame:
     """``(id, group_id, split)`` for every row: rows of one id and rows that name the same person share a group.
 
-    A row with a null id links the rows of its persons like any other. The group is named by its smallest member.
+    A row with a null id links the rows of its persons like any other. The group is named by its smallest
+    member, a person or a record.
     ``split`` comes out without case, spacing and hyphens, null if blank.
     """
     lone = F.concat(F.lit("\x00"), F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in dict.fromkeys(manifest.columns)])), 256))
     split = F.regexp_replace(F.lower(F.col(split_col)), r"[\s\p{Z}\p{Pd}_]+", "")
     rows = manifest.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col), lone).alias("node"), F.col(authors_col).alias("authors"), F.when(split != "", split).alias("split"))
     found = union_find(author_links(rows)).where("startswith(node, 'r\x1f')").select(F.substr("node", F.lit(3)).alias("node"), F.col("root").alias("group_id"))
-    return split_join(rows, found, "node", rows.count(), "left").select("id", "node", F.coalesce("group_id", F.concat(F.lit("r\x1f"), "node")).alias("group_id"), "split")
+    return split_join(rows, found, "node", rows.count(), "left").select("id", "node", F.translate(F.coalesce("group_id", F.concat(F.lit("r\x1f"), "node")), "\x1f", "/").alias("group_id"), "split")
 
 
 def conflicting_records(groups: DataFrame) -> DataFrame:
