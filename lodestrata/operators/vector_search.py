@@ -6,11 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestrata.functions.similarity import cosine
-
 
 def class_centroids(vectors: DataFrame, label: str, vector: str, dimensions: int) -> DataFrame:
     """``(label, centroid)``: the mean vector of each class; one partial aggregate per dimension, so a class with most rows is reduced before the shuffle."""
@@ -18,20 +17,35 @@ def class_centroids(vectors: DataFrame, label: str, vector: str, dimensions: int
     return vectors.where(F.col(label).isNotNull()).groupBy(label).agg(*means).select(label, F.array(*[f"_{i}" for i in range(dimensions)]).alias("centroid"))
 
 
-def type_by_vectors(rows: DataFrame, classes: DataFrame, key: str, vector: str, label: str = "label", class_vector: str = "centroid", k: int = 5, threshold: float = 0.25, margin: float = 0.015, most_classes: int = 10_000) -> DataFrame:
+def type_by_vectors(rows: DataFrame, classes: DataFrame, key: str, vector: str, label: str = "label", class_vector: str = "centroid", threshold: float = 0.25, margin: float = 0.015, most_classes: int = 10_000) -> DataFrame:
     """``(key, selected_label, selected_score, score_margin, applicable)`` from the cosines to all classes.
 
-    Classes are an ontology, and are broadcast after a check that there are no more than ``most_classes``. The best
-    label applies if its score reaches the threshold and leads by the margin; equal scores fall to the first label.
+    Classes are an ontology: after a check that there are no more than ``most_classes`` their vectors go to the
+    executors as one matrix, and every batch of rows is typed by one product, without a join or a shuffle. The best
+    label applies if its score reaches the threshold and leads by the margin; equal scores fall to the first label,
+    with a single class the margin is its score. A null vector, or one of no length, scores 0 everywhere.
     """
-    if classes.count() > most_classes:
+    own = classes.where(F.col(class_vector).isNotNull()).select(F.col(label).cast("string").alias("l"), F.col(class_vector).cast("array<double>").alias("v"))
+    if own.count() > most_classes:
         raise ValueError(f"more than {most_classes} classes; use neighbours()")
-    scored = rows.select(key, vector).join(F.broadcast(classes.select(F.col(label).alias("_label"), F.col(class_vector).alias("_v")))).select(key, F.col("_label"), cosine(F.col(vector), F.col("_v")).alias("_score"))
-    ranked = F.array_sort(F.collect_list(F.struct((-F.col("_score")).alias("s"), F.col("_label").alias("l"))))
-    top = scored.groupBy(key).agg(F.slice(ranked, 1, k).alias("_t"))
-    first, second = -F.col("_t")[0]["s"], F.when(F.size("_t") > 1, -F.col("_t")[1]["s"])
-    gap = F.coalesce(first - second, first)
-    return top.select(key, F.col("_t")[0]["l"].alias("selected_label"), first.alias("selected_score"), gap.alias("score_margin"), ((first >= threshold) & (gap >= margin)).alias("applicable"))
+    found = own.orderBy("l").toPandas()
+    sent = rows.sparkSession.sparkContext.broadcast((found["l"].tolist(), _unit(found["v"])))
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labels, m = sent.value
+        for b in batches:
+            vectors = [v if v is not None else [0.0] * m.shape[1] for v in b.column(1).to_pylist()]
+            s = np.round(_unit(pd.Series(vectors, dtype=object)) @ m.T, 12) if vectors and labels else np.zeros((len(vectors), 0))
+            best = s.argmax(axis=1) if s.shape[1] else np.zeros(len(vectors), dtype=int)
+            at = np.arange(len(vectors))
+            first = s[at, best] if s.shape[1] else np.zeros(len(vectors))
+            second = np.partition(s, -2, axis=1)[:, -2] if s.shape[1] > 1 else np.zeros(len(vectors))
+            gap = first - second
+            names = pa.array([labels[i] for i in best] if labels else [None] * len(vectors), pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0), names, pa.array(first, pa.float64()), pa.array(gap, pa.float64()), pa.array((first >= threshold) & (gap >= margin))], [key, "selected_label", "selected_score", "score_margin", "applicable"])
+
+    schema = f"`{key}` {rows.schema[key].dataType.simpleString()}, selected_label string, selected_score double, score_margin double, applicable boolean"
+    return rows.select(F.col(key), F.col(vector).cast("array<double>")).mapInArrow(emit, schema)
 
 
 def neighbours(queries: DataFrame, rows: DataFrame, key: str, vector: str, k: int = 12, block: str | None = None, block_rows: int = 20_000, earlier: bool = False) -> DataFrame:
@@ -98,14 +112,15 @@ def review_queue(pairs: DataFrame, band_col: str, label: str, left: str, right:
 def threshold_sweep(scored: DataFrame, score: str, truth: str, thresholds: list[float]) -> DataFrame:
     """``(threshold, tp, fp, tn, fn, precision, recall, f1, balanced_accuracy)`` for each threshold, in one pass over the pairs.
 
-    Pairs are first counted by the number of thresholds they reach, so nothing is multiplied by the sweep.
+    Pairs are first counted by the number of thresholds they reach, so nothing is multiplied by the sweep. No pairs give
+    no rows.
     """
     reached = sum((F.col(score) >= t).cast("int") for t in thresholds)
     counts = scored.where(F.col(score).isNotNull() & F.col(truth).isNotNull()).groupBy(reached.alias("reached"), F.col(truth).alias("same")).agg(F.count(F.lit(1)).alias("n"))
-    steps = scored.sparkSession.createDataFrame([(float(t), i + 1) for i, t in enumerate(sorted(thresholds))], "threshold double, step int")
+    steps = F.explode(F.array(*[F.struct(F.lit(float(t)).alias("threshold"), F.lit(i + 1).alias("step")) for i, t in enumerate(sorted(thresholds))]))
     n = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
     up = F.col("reached") >= F.col("step")
-    out = steps.join(F.broadcast(counts)).groupBy("threshold").agg(n(up & F.col("same")).alias("tp"), n(up & ~F.col("same")).alias("fp"), n(~up & ~F.col("same")).alias("tn"), n(~up & F.col("same")).alias("fn"))
+    out = counts.select("*", steps.alias("_s")).select("*", "_s.*").groupBy("threshold").agg(n(up & F.col("same")).alias("tp"), n(up & ~F.col("same")).alias("fp"), n(~up & ~F.col("same")).alias("tn"), n(~up & F.col("same")).alias("fn"))
     ratio = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
     out = out.withColumn("precision", ratio(F.col("tp"), F.col("tp") + F.col("fp"))).withColumn("recall", ratio(F.col("tp"), F.col("tp") + F.col("fn")))
     out = out.withColumn("f1", ratio(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
@@ -119,8 +134,8 @@ def tfidf_scores(texts: DataFrame, classes: DataFrame, key: str, text_tokens: Co
     has one row per token of a class, and the common tokens' rows are pre-aggregated per text and class.
     """
     c = classes.select(F.col(label).alias("label"), F.explode(class_tokens).alias("t")).groupBy("label", "t").agg(F.count(F.lit(1)).alias("tf"))
-    n = c.agg(F.count_distinct("label").alias("N"))
-    idf = c.groupBy("t").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(n)).select("t", (F.log((1 + F.col("N")) / (1 + F.col("df"))) + 1).alias("idf"))
+    n = c.select("label").distinct().count()
+    idf = c.groupBy("t").agg(F.count(F.lit(1)).alias("df")).select("t", (F.log(F.lit(1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
     cw = c.join(idf, "t").select("label", "t", (F.col("tf") * F.col("idf")).alias("w"))
     cn = cw.groupBy("label").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("cn"))
     x = texts.select(F.col(key).alias("key"), F.explode(text_tokens).alias("t")).groupBy("key", "t").agg(F.count(F.lit(1)).alias("tf"))

@@ -90,7 +90,7 @@ def dense_typing_topk(spark, sf):
     v = _read(spark, sf, "embeddings")
     c = vector_search.class_centroids(v, "label", "embedding", 64)
     t = vector_search.type_by_vectors(v, c, "vec_id", "embedding", threshold=0.15, margin=0.01)
-    return t.select("vec_id", F.col("selected_label").alias("selected_label"), F.round("selected_score", 6).alias("selected_score"), F.round("score_margin", 6).alias("score_margin"), "applicable")
+    return t.select("vec_id", F.col("selected_label").cast("int").alias("selected_label"), F.round("selected_score", 6).alias("selected_score"), F.round("score_margin", 6).alias("score_margin"), "applicable")
 
 
 def _embedded(spark: SparkSession, sf: str, k: int, block: str | None = None) -> DataFrame:

@@ -106,11 +106,12 @@ def authorship(spark, sf):
 
 def title_match(spark, sf):
     """Each section title with the expected title that shares most words; expectations are a fixed short list."""
-    want = spark.createDataFrame([("results and discussion",), ("network calibration",), ("limits of the study",), ("sensor layout",)], "expected string")
+    want = ["results and discussion", "network calibration", "limits of the study", "sensor layout"]
     t = _read(spark, sf, "documents").where("section_title is not null").select(F.lower("section_title").alias("title")).distinct()
     words = lambda c: F.array_distinct(F.split(c, " "))
-    s = t.join(F.broadcast(want)).withColumn("score", F.size(F.array_intersect(words("title"), words("expected"))) / F.size(F.array_union(words("title"), words("expected"))))
-    return s.groupBy("title").agg(F.max_by("expected", F.struct("score", "expected")).alias("expected"), F.round(F.max("score"), 6).alias("score"))
+    score = lambda e: F.size(F.array_intersect(words("title"), words(e))) / F.size(F.array_union(words("title"), words(e)))
+    best = F.array_max(F.array(*[F.struct(score(F.lit(e)).alias("score"), F.lit(e).alias("expected")) for e in want]))
+    return t.withColumn("b", best).select("title", F.col("b.expected").alias("expected"), F.round("b.score", 6).alias("score"))
 
 
 def competency_questions(spark, sf):
