@@ -135,7 +135,7 @@ def merge_entities(entities: DataFrame, components: DataFrame, id_col: str = "en
     """Entities of one component as one row: ``entity_id`` (the component), label, the longest name, counts, and aliases in order.
 
     ``alias_count`` counts all distinct aliases; the array holds the first ``most_aliases`` of them, as a component may
-    hold a large part of the entities.
+    hold a large part of the entities. ``merged_aliases`` and ``merged_mentions`` have all of them as rows.
     """
     rows = entities.join(components.select(F.col("node").alias(id_col), "component"), id_col, "left").withColumn("component", F.coalesce("component", id_col))
     out = rows.groupBy("component").agg(
@@ -150,6 +150,23 @@ def merge_entities(entities: DataFrame, components: DataFrame, id_col: str = "en
     return out.join(aliases, "component", "left").withColumnRenamed("component", "entity_id")
 
 
+def merged_aliases(entities: DataFrame, components: DataFrame, id_col: str = "entity_id") -> DataFrame:
+    """``(entity_id, alias)``: every distinct alias and canonical name of the entities of each component of ``merge_entities``."""
+    names = entities.select(id_col, F.explode(F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("alias")).where("alias is not null")
+    return _to_components(names, components, id_col, ["alias"]).distinct()
+
+
+def merged_mentions(mentions: DataFrame, components: DataFrame, id_col: str = "entity_id") -> DataFrame:
+    """``(entity_id, mention_id)``: every mention of ``entity_mentions`` with its component of ``merge_entities``."""
+    return _to_components(mentions, components, id_col, ["mention_id"])
+
+
+def _to_components(rows: DataFrame, components: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
+    """Rows with the component of their entity, or the entity itself if it has none."""
+    found = rows.join(components.select(F.col("node").alias(id_col), "component"), id_col, "left")
+    return found.select(F.coalesce("component", id_col).alias("entity_id"), *columns)
+
+
 def prior_catalog(sources: list[DataFrame]) -> DataFrame:
     """Earlier names from ``(node_id, label, canonical_name, aliases)`` tables, the first table first: one row per label and normalised name with the first id and all aliases."""
     out = None

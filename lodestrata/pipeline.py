@@ -76,26 +76,47 @@ class KnowledgePipeline:
     def similar(self) -> DataFrame:
         return entities.similar_pairs(self.entities)
 
+    @cached_property
+    def entity_mentions(self) -> DataFrame:
+        return entities.entity_mentions(self.mentions, self.entities)
+
+    @cached_property
+    def groups(self) -> DataFrame:
+        """``(node, component)`` of the entities that pair decisions merge."""
+        if self.pair_decisions is None:
+            return self.spark.createDataFrame([], "node string, component string")
+        return components.connected_components(self.pair_decisions.where("lower(trim(decision)) = 'same'"), "left_id", "right_id")
+
     @cached_property
     def merged(self) -> DataFrame:
-        same = self.pair_decisions.where("lower(trim(decision)) = 'same'") if self.pair_decisions is not None else self.spark.createDataFrame([], "left_id string, right_id string")
-        groups = components.connected_components(same, "left_id", "right_id")
-        return entities.merge_entities(self.entities.drop("evidence", "sentences", "key"), groups)
+        return entities.merge_entities(self.entities.drop("evidence", "sentences", "key"), self.groups)
+
+    @cached_property
+    def merged_aliases(self) -> DataFrame:
+        return entities.merged_aliases(self.entities, self.groups)
+
+    @cached_property
+    def merged_mentions(self) -> DataFrame:
+        return entities.merged_mentions(self.entity_mentions, self.groups)
+
+    def _ends(self, assertions: DataFrame) -> DataFrame:
+        return relations.endpoints(assertions, self.entity_mentions)
 
     def relationships(self, assertions: DataFrame) -> DataFrame:
         """Supported relationships between entities from ``assertions(assertion_id, subject_mention_id, predicate, object_mention_id, evidence, confidence)``."""
-        m = self.mentions.withColumn("key", entities.entity_key(F.col("label"), F.col("canonical_name"), F.col("canonical_id"))).select("mention_id", "label", "key")
-        ids = m.join(self.entities.select("entity_id", "label", "key"), ["label", "key"]).select("mention_id", "entity_id")
-        ends = relations.endpoints(assertions, ids)
-        return relations.materialize(ends, ["subject_entity_id", "predicate", "object_entity_id"], "evidence", "confidence", "assertion_id")
+        return relations.materialize(self._ends(assertions), ["subject_entity_id", "predicate", "object_entity_id"], "evidence", "confidence", "assertion_id")
+
+    def supporting(self, assertions: DataFrame) -> DataFrame:
+        """The assertion of every unit of evidence of ``relationships``."""
+        return relations.supporting(self._ends(assertions), ["subject_entity_id", "predicate", "object_entity_id"], "evidence", "confidence", "assertion_id")
 
     def uncached(self, requests: DataFrame, key: str = "candidate_id") -> DataFrame:
         """Requests that no recorded judgment answers."""
         return requests if self.judgments is None else requests.join(self.judgments.select(key).distinct(), key, "left_anti")
 
     def register(self, prefix: str = "") -> None:
-        """All stages as views, for SQL."""
-        for name in ("sections", "sentences", "candidates", "adjudicated", "mentions", "entities"):
+        """All stages as views, for SQL; with pair decisions, their components are made first."""
+        for name in ("sections", "sentences", "candidates", "adjudicated", "mentions", "entities", "entity_mentions", "merged", "merged_aliases", "merged_mentions"):
             getattr(self, name).createOrReplaceTempView(prefix + name)
 
     def run_report(self) -> DataFrame:

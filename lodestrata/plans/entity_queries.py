@@ -80,6 +80,23 @@ def merged_entities(spark, sf):
     return out.select("entity_id", "label", "canonical_name", "mention_count", "members", F.array_join("aliases", "|").alias("aliases"))
 
 
+def merged_aliases(spark, sf):
+    return entities.merged_aliases(_entities(spark, sf), _components(spark, sf))
+
+
+def entity_mentions(spark, sf):
+    m = _mentions(spark, sf)
+    return entities.entity_mentions(m, entities.canonical_entities(m))
+
+
+def merged_mentions(spark, sf):
+    """The exported entities are the mentions, so a decision on two of them links the canonical entities that they belong to."""
+    em = entity_mentions(spark, sf).select("entity_id", "mention_id")
+    left, right = (em.select(F.col("mention_id").alias(f"{s}_id"), F.col("entity_id").alias(s)) for s in ("left", "right"))
+    links = _log(spark, sf).where("decision = 'same'").select("left_id", "right_id").join(left, "left_id").join(right, "right_id")
+    return entities.merged_mentions(em, components.connected_components(links, "left", "right"))
+
+
 def lexicon_growth(spark, sf):
     add = _log(spark, sf).where("decision = 'same' and label is not null and trim(left_name) <> ''").select("label", normalized("left_name").alias("n"), "left_name", "right_name").where("n <> ''")
     add = add.groupBy("label", "n").agg(F.min("left_name").alias("canonical_name"), F.array_sort(F.collect_set("right_name")).alias("aliases")).drop("n")
@@ -187,7 +204,7 @@ def argument_index(spark, sf):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (canonical_entities, lexical_pairs, lexical_pairs_ratio, name_classes, prior_catalog, prior_catalog_topk, exact_prior_nodes, merge_components, merged_entities, lexicon_growth, dense_typing_topk, embedding_topk, resolution_bands, review_queue, calibration_sweep, tfidf_class_scores, adjudication_outcomes, untraceable_candidates, redundant_review, reference_verdicts, reference_outcomes, decision_replay, judgment_repair, observations, argument_index)}
+    return {f.__name__: f for f in (canonical_entities, lexical_pairs, lexical_pairs_ratio, name_classes, prior_catalog, prior_catalog_topk, exact_prior_nodes, merge_components, merged_entities, merged_aliases, entity_mentions, merged_mentions, lexicon_growth, dense_typing_topk, embedding_topk, resolution_bands, review_queue, calibration_sweep, tfidf_class_scores, adjudication_outcomes, untraceable_candidates, redundant_review, reference_verdicts, reference_outcomes, decision_replay, judgment_repair, observations, argument_index)}
 
 
 def _n(c: str) -> str:
@@ -201,6 +218,7 @@ _CC = """
     e AS MATERIALIZED (SELECT left_id AS u, right_id AS v FROM log WHERE decision = 'same' AND left_id <> right_id UNION SELECT right_id, left_id FROM log WHERE decision = 'same' AND left_id <> right_id),
     r AS (SELECT u AS node, u AS reach FROM e UNION SELECT r.node, e.v FROM r JOIN e ON r.reach = e.u),
     cc AS (SELECT node, min(reach) AS component FROM r GROUP BY 1)"""
+_EM = f"em AS (SELECT 'entity_' || substr(sha256(label || chr(9247) || {_n('canonical_name')}), 1, 20) AS entity_id, entity_id AS mention_id, status AS sentence_id FROM ent WHERE label NOT IN ('EvidenceFragment','Mention'))"
 _REPS = f"""
     live AS (SELECT *, {_n('canonical_name')} AS norm FROM ent WHERE label NOT IN {_SCOPED}),
     reps AS (SELECT label, norm, min(entity_id) AS rep, arg_min(canonical_name, (entity_id, canonical_name)) AS name FROM live WHERE norm <> '' GROUP BY 1, 2),
@@ -227,6 +245,9 @@ def oracle_sql() -> dict[str, str]:
         "exact_prior_nodes": f"WITH {_ENT},{_CAT.format(ent='false')}, o AS (SELECT label, key, min(node_id) AS node_id FROM cat GROUP BY 1, 2 HAVING count(DISTINCT node_id) = 1) SELECT entity_id, o.node_id AS matched_node_id FROM ent LEFT JOIN o ON ent.label = o.label AND {_n('ent.canonical_name')} = o.key",
         "merge_components": f"WITH RECURSIVE {_LOG},{_CC} SELECT node, component FROM cc",
         "merged_entities": f"WITH RECURSIVE {_ENT},{_LOG},{_CC}, x AS (SELECT ent.*, coalesce(component, entity_id) AS c FROM ent LEFT JOIN cc ON entity_id = node), a AS (SELECT c, array_to_string(list_sort(list_distinct(list(a)))[1:200], '|') AS aliases FROM (SELECT c, unnest(aliases) AS a FROM x) WHERE a IS NOT NULL GROUP BY 1) SELECT x.c AS entity_id, arg_min(label, (entity_id, label)) AS label, arg_max(canonical_name, (length(canonical_name), canonical_name)) AS canonical_name, sum(coalesce(mention_count, 0))::BIGINT AS mention_count, count(DISTINCT entity_id) AS members, any_value(a.aliases) AS aliases FROM x LEFT JOIN a ON x.c = a.c GROUP BY x.c",
+        "merged_aliases": f"WITH RECURSIVE {_ENT},{_LOG},{_CC} SELECT DISTINCT coalesce(component, entity_id) AS entity_id, a AS alias FROM (SELECT entity_id, unnest(list_prepend(canonical_name, coalesce(aliases, []))) AS a FROM ent) LEFT JOIN cc ON entity_id = node WHERE a IS NOT NULL",
+        "entity_mentions": f"WITH {_ENT},{_EM} SELECT * FROM em",
+        "merged_mentions": f"WITH RECURSIVE {_ENT},{_LOG},{_EM}, s AS (SELECT a.entity_id AS u, b.entity_id AS v FROM log JOIN em a ON left_id = a.mention_id JOIN em b ON right_id = b.mention_id WHERE decision = 'same' AND a.entity_id <> b.entity_id), e AS MATERIALIZED (SELECT u, v FROM s UNION SELECT v, u FROM s), r AS (SELECT u AS node, u AS reach FROM e UNION SELECT r.node, e.v FROM r JOIN e ON r.reach = e.u), cc AS (SELECT node, min(reach) AS component FROM r GROUP BY 1) SELECT coalesce(component, entity_id) AS entity_id, mention_id FROM em LEFT JOIN cc ON entity_id = node",
         "embedding_topk": f"WITH {_EMB.format(cond='a.label = b.label', k=12)} SELECT query, neighbour, rank, score FROM k",
         "resolution_bands": f"WITH {_EMB.format(cond='a.label = b.label', k=12)} SELECT ql AS query_label, CASE WHEN score >= 0.35 THEN 'high' WHEN score >= 0.2 THEN 'middle' ELSE 'low' END AS band, count(*) AS pairs, max(score) AS best FROM k GROUP BY 1, 2",
         "review_queue": f"WITH {_LOG}, p AS (SELECT *, CASE decision WHEN 'same' THEN 0.9 WHEN 'pending' THEN 0.7 ELSE 0.3 END::DOUBLE AS score FROM log WHERE label IS NOT NULL AND left_name IS NOT NULL AND right_name IS NOT NULL) SELECT CASE WHEN score >= 0.82 THEN 'high' WHEN score >= 0.63 THEN 'middle' ELSE 'low' END AS band, label, least(lower(left_name), lower(right_name)) AS name_a, greatest(lower(left_name), lower(right_name)) AS name_b, count(*) AS pairs, max(score) AS best_score, min(score) AS least_score FROM p GROUP BY 1, 2, 3, 4",

@@ -65,9 +65,16 @@ def assertion_dedupe(spark, sf):
     return out.select("l_suppkey", "l_partkey", "l_returnflag", "l_orderkey", "l_linenumber", "l_discount")
 
 
+def _assertions(spark: SparkSession, sf: str) -> DataFrame:
+    return _read(spark, sf, "lineitem").select("l_suppkey", "l_returnflag", "l_partkey", F.col("l_orderkey").alias("evidence"), "l_discount", F.concat_ws("-", "l_orderkey", F.lpad(F.col("l_linenumber").cast("string"), 3, "0"), F.lpad(F.col("l_quantity").cast("int").cast("string"), 3, "0")).alias("assertion_id"))
+
+
 def relationship_support(spark, sf):
-    a = _read(spark, sf, "lineitem").select("l_suppkey", "l_returnflag", "l_partkey", F.col("l_orderkey").alias("evidence"), "l_discount", F.concat_ws("-", "l_orderkey", F.lpad(F.col("l_linenumber").cast("string"), 3, "0"), F.lpad(F.col("l_quantity").cast("int").cast("string"), 3, "0")).alias("assertion_id"))
-    return relations.materialize(a, ["l_suppkey", "l_returnflag", "l_partkey"], "evidence", "l_discount", "assertion_id")
+    return relations.materialize(_assertions(spark, sf), ["l_suppkey", "l_returnflag", "l_partkey"], "evidence", "l_discount", "assertion_id")
+
+
+def supporting(spark, sf):
+    return relations.supporting(_assertions(spark, sf), ["l_suppkey", "l_returnflag", "l_partkey"], "evidence", "l_discount", "assertion_id")
 
 
 def relationship_gates(spark, sf):
@@ -303,7 +310,7 @@ def earlier_neighbours(spark, sf):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (domain_range_violations, eligible_predicates, ancestor_closure, schema_edges, assertion_dedupe, relationship_support, relationship_gates, unknown_endpoints, endpoint_repair, authorship, title_match, competency_questions, semantic_completeness, orphans, usage_rollup, status_pivot, validation_codes, rejection_histogram, split_counts, document_profile, regression_gate, traceability, channel_boundary, graph_summary, graph_verification, graph_problems, edge_problems, edge_patterns, neighbourhood, graph_upsert_nodes, graph_upsert_edges, mention_arrays, identity_alignment, display_names, stage_fold, reading_columns, section_restriction, result_report, narrative_documents, heading_labels, earlier_neighbours)}
+    return {f.__name__: f for f in (domain_range_violations, eligible_predicates, ancestor_closure, schema_edges, assertion_dedupe, relationship_support, supporting, relationship_gates, unknown_endpoints, endpoint_repair, authorship, title_match, competency_questions, semantic_completeness, orphans, usage_rollup, status_pivot, validation_codes, rejection_histogram, split_counts, document_profile, regression_gate, traceability, channel_boundary, graph_summary, graph_verification, graph_problems, edge_problems, edge_patterns, neighbourhood, graph_upsert_nodes, graph_upsert_edges, mention_arrays, identity_alignment, display_names, stage_fold, reading_columns, section_restriction, result_report, narrative_documents, heading_labels, earlier_neighbours)}
 
 
 _LOG = r"log AS (SELECT decision_id, run_id, lower(trim(decision, E' \t\n\r')) AS decision, label, trim(left_entity_id, E' \t\n\r') AS left_id, trim(right_entity_id, E' \t\n\r') AS right_id, left_name, right_name, reviewed_at FROM entity_resolution_decisions)"
@@ -335,6 +342,7 @@ def oracle_sql() -> dict[str, str]:
         "schema_edges": "WITH d AS (SELECT DISTINCT status AS predicate, label AS domain FROM entities WHERE status IS NOT NULL AND label IS NOT NULL), r AS (SELECT DISTINCT status AS predicate, label[1] AS range FROM entities WHERE status IS NOT NULL AND label IS NOT NULL) SELECT predicate, domain, range FROM d JOIN r USING (predicate)",
         "assertion_dedupe": "SELECT l_suppkey, l_partkey, l_returnflag, l_orderkey, l_linenumber, l_discount FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_suppkey, l_partkey, l_returnflag ORDER BY l_discount DESC, l_orderkey * 100 + l_linenumber) = 1",
         "relationship_support": "WITH a AS (SELECT l_suppkey, l_returnflag, l_partkey, l_orderkey, l_discount, l_orderkey || '-' || lpad(l_linenumber::VARCHAR, 3, '0') || '-' || lpad(l_quantity::INT::VARCHAR, 3, '0') AS id FROM lineitem), u AS (SELECT l_suppkey, l_returnflag, l_partkey, l_orderkey, arg_max(id, (l_discount, id)) AS id FROM a GROUP BY 1, 2, 3, 4) SELECT l_suppkey, l_returnflag, l_partkey, count(*) AS support_count, array_to_string(list_sort(list(id))[1:10], ',') AS assertion_ids, 'relationship_' || substr(sha256(l_suppkey || chr(9247) || l_returnflag || chr(9247) || l_partkey), 1, 20) AS relationship_id FROM u GROUP BY 1, 2, 3",
+        "supporting": "WITH a AS (SELECT l_suppkey, l_returnflag, l_partkey, l_orderkey AS evidence, l_discount, l_orderkey || '-' || lpad(l_linenumber::VARCHAR, 3, '0') || '-' || lpad(l_quantity::INT::VARCHAR, 3, '0') AS id FROM lineitem) SELECT l_suppkey, l_returnflag, l_partkey, evidence, arg_max(id, (l_discount, id)) AS assertion_id FROM a GROUP BY 1, 2, 3, 4",
         "relationship_gates": """
             WITH p AS (SELECT *, CASE WHEN l_returnflag = 'R' THEN 'reject' ELSE 'accept' END AS decision, 1.0 - l_discount * 4 AS confidence FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey),
             g AS (SELECT *, o_orderkey IS NOT NULL AND l_quantity > 2 AS er, coalesce(l_tax < 0.07, false) AS te, (

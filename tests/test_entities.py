@@ -101,6 +101,15 @@ def test_merge_and_catalog(spark):
     assert {(r.entity_id, r.matched_node_id) for r in one} == {("a", "l1"), ("b", "b"), ("c", "c")}
 
 
+def test_merged_rows_are_whole(spark):
+    df = spark.createDataFrame([("a", "Tool", "Aqua", [f"A{i:03d}" for i in range(300)]), ("b", "Tool", "Aqua Net", None), ("c", "Model", "X", ["Y"])], E)
+    cc = spark.createDataFrame([("a", "a"), ("b", "a")], "node string, component string")
+    got = {tuple(r) for r in entities.merged_aliases(df, cc).collect()}
+    assert got == {("a", f"A{i:03d}") for i in range(300)} | {("a", "Aqua"), ("a", "Aqua Net"), ("c", "X"), ("c", "Y")}
+    em = spark.createDataFrame([("a", "m1", "s1"), ("b", "m2", "s2"), ("c", "m3", "s3"), ("b", "m4", None)], "entity_id string, mention_id string, sentence_id string")
+    assert {tuple(r) for r in entities.merged_mentions(em, cc).collect()} == {("a", "m1"), ("a", "m2"), ("a", "m4"), ("c", "m3")}
+
+
 def test_lexicon_growth(spark):
     lex = spark.createDataFrame([("l1", "Tool", "Aqua", ["AQ"], "seeded", None), ("l2", "Tool", "Aqua Net", [], "seeded", None), ("l3", "Model", "Aqua", [], None, None)], "canonical_id string, label string, canonical_name string, aliases array<string>, status string, replaced_by string")
     add = spark.createDataFrame([("Tool", "aqua net", ["AQ", "new"]), ("Tool", "Fresh", None)], "label string, canonical_name string, aliases array<string>")

@@ -29,6 +29,21 @@ def test_end_to_end(spark):
     assert spark.sql("select count(*) from kp_mentions where label = 'Tool'").first()[0] == 4
 
 
+def test_merged_stages(spark):
+    docs = spark.createDataFrame(DOCS, "document_id string, text string")
+    lex = spark.createDataFrame(LEX, "canonical_id string, label string, canonical_name string, aliases array<string>, status string")
+    same = spark.createDataFrame([("lex_d", "lex_n", " Same ")], "left_id string, right_id string, decision string")
+    p = KnowledgePipeline(docs, lex, pair_decisions=same)
+    p.register("km_")
+    assert spark.sql("select mention_count, members from km_merged").collect() == [(5, 2)]
+    assert {tuple(r) for r in spark.table("km_merged_aliases").collect()} == {("lex_d", "Dekrox"), ("lex_d", "DKX"), ("lex_d", "nitrate")}
+    assert spark.sql("select count(*), count(distinct mention_id), min(entity_id) from km_merged_mentions").first() == (5, 5, "lex_d")
+    assert spark.table("km_entity_mentions").count() == 5
+    m = {r.entity_id: r.mention_id for r in p.entity_mentions.collect()}
+    a = spark.createDataFrame([(f"a{i:02d}", m["lex_d"], "REMOVES", m["lex_n"], f"e{i}", 0.9) for i in range(12)], "assertion_id string, subject_mention_id string, predicate string, object_mention_id string, evidence string, confidence double")
+    assert p.relationships(a).first().support_count == 12 and p.supporting(a).count() == 12
+
+
 def test_replace_by_document(spark, tmp_path):
     out, src = str(tmp_path / "out"), str(tmp_path / "in")
     schema = "document_id string, v int"
