@@ -4,8 +4,8 @@ Every candidate chain reads the characters back into bytes by one encoding (the
 (the right one); UTF-8 read wrongly twice is a chain of its own. A chain is applied word by word, to the parts that it
 can decode, so a text may be garbled in part. Smoothed character n-gram models, trained on clean records, score each
 word before and after; a chain's score for a text is the sum of its words' gains in log-likelihood. The likeliest
-chain is accepted if its gain exceeds a margin, which is validated on clean records and on clean records garbled
-here by known chains. A replacement character, or a control character of the upper half, says that text was lost in
+chain is accepted if its gain exceeds a margin, which is validated on all clean records and on the same records garbled
+here by known chains: the gains of both are counted in steps in the pass that scores the texts. A replacement character, or a control character of the upper half, says that text was lost in
 decoding; such a field is reported with no original unless a chain restores it.
 
 The models are counts of 1- to 3-grams hashed into tables of a fixed size, summed over all clean records; only these
@@ -18,6 +18,7 @@ from __future__ import annotations
 import codecs
 import re
 import unicodedata
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm.lookalikes import SAME_SHAPE, looks, table_form
+from lodestrata.sources.scratch import Scratch
 
 #: Encodings that text is read in by mistake, and encodings that it was written in (fixed values).
 WRONG = ("cp1252", "cp1251", "cp437", "cp850", "mac_roman", "cp1250", "koi8_r", "cp866", "cp1253", "gbk", "shift_jis")
@@ -294,12 +296,14 @@ class Restorer:
     def __init__(self, model: Hashed, margin: float, most_chars: int = 20_000_000):
         self.model, self.margin, self.most_chars = model, margin, most_chars
         self.gains: dict[str, list[tuple[int, str, float]]] = {}
+        self.spoilt: dict[tuple[str, int], float] = {}
         self.chars = 0
 
     def learn(self, texts: list[str]) -> None:
         """Scores all chains for every new word of the texts, some hundred thousand characters in one pass."""
         if self.chars > self.most_chars:
             self.gains.clear()
+            self.spoilt.clear()
             self.chars = 0
         new, size = [], 0
         for w in dict.fromkeys(w for t in texts if not t.isascii() for w in _pieces(t) if not w.isascii()):
@@ -355,13 +359,51 @@ class Restorer:
 
     def restore(self, text: str) -> tuple[str | None, str | None] | None:
         """``(chain, original)`` of a garbled text, both null where the original is lost; None for a clean text."""
+        hit = self.reading(text)
+        return hit and hit[:2]
+
+    def reading(self, text: str) -> tuple[str | None, str | None, float, bool] | None:
+        """As ``restore``, with the gain and whether the text says by itself that something was lost."""
         if text.isascii():
             return None
         k, gain = self.best(text)
+        lost = bool(_LOST in text or _CONTROL.search(text))
         if k >= 0 and gain >= self.margin:
             fixed = "".join(next((o for chains, o, g in self.gains.get(w, ()) if chains >> k & 1 and g > -2), w) for w in _pieces(text))
-            return ">".join(CHAINS[k]), None if _LOST in fixed else fixed
-        return (None, None) if _LOST in text or _CONTROL.search(text) else None
+            return ">".join(CHAINS[k]), None if _LOST in fixed else fixed, gain, lost
+        return (None, None, gain, lost) if lost else None
+
+    def clean_gain(self, text: str, common: frozenset[str]) -> float:
+        """The gain of a learnt clean text; 0 if its best reading has a common word, as the text then is garbled itself, by a chain that leaves no telling bytes."""
+        k, gain = self.best(text)
+        return 0.0 if gain <= 0 or any(o in common for w in _pieces(text) for chains, o, g in self.gains.get(w, ()) if chains >> k & 1 and g > 0) else gain
+
+
+    def spoilt_gains(self, texts: list[str]) -> list[float]:
+        """What clean texts, garbled here, would gain by the chain that garbled them; the text decides which, not its place in a table."""
+        pairs = [(k := zlib.crc32(t.encode("utf_8", "replace")) % len(_SPOILING), [(w, k) for w in _pieces(t) if not w.isascii()])[1] for t in texts]
+        new, size = [], 0
+        for p in dict.fromkeys(p for own in pairs for p in own):
+            if p not in self.spoilt:
+                new.append(p)
+                size += len(p[0])
+                if size > 50_000:
+                    self._spoil(new)
+                    new, size = [], 0
+        self._spoil(new)
+        return [sum(self.spoilt[p] for p in own) for own in pairs]
+
+    def _spoil(self, new: list[tuple[str, int]]) -> None:
+        bad = [garble(w, *_SPOILING[k]) for w, k in new]
+        back = [b is not None and b != w and _utf8(b, _SPOILING[k][0]) == w for b, (w, k) in zip(bad, new)]
+        forms = [[b, *_disguises(b)] if ok else [] for b, ok in zip(bad, back)]
+        scores = self.model.likelihood([w for w, _ in new] + [f for own in forms for f in own])
+        at = len(new)
+        for i, (pair, own) in enumerate(zip(new, forms)):
+            now = max([scores[at], *(scores[at + 1 : at + len(own)] - 1)]) if own else scores[i]
+            self.spoilt[pair] = max(0.0, float(scores[i] - now))
+            self.chars += len(pair[0]) + 50
+            at += len(own)
 
 
 def _slices(values: list[str | None], chars: int = 500_000) -> Iterator[range]:
@@ -375,52 +417,110 @@ def _slices(values: list[str | None], chars: int = 500_000) -> Iterator[range]:
     yield range(at, len(values))
 
 
-def validated_margin(model: Hashed, clean: list[str], least: float = 3.5, most: float = 25.0) -> tuple[float, float]:
-    """A margin above what clean texts gain, and the share of the same texts, garbled here, that exceed it.
+#: Gains are counted in steps up to the largest margin; a margin is at least so much (fixed values).
+STEP, LEAST, MOST = 0.05, 3.5, 25.0
+#: Share of clean texts from which a word is common, if more than one has it (fixed value).
+COMMON = 1 / 4_000
+#: Clean texts for each garbled one, by which false hits and misses are weighed (fixed value; sf0.1 has about nine).
+CLEAN_TO_GARBLED = 10
+_SPOILING = (("cp1252", "utf_8"), ("cp1251", "utf_8"), ("cp437", "utf_8"), ("mac_roman", "utf_8"))
+
+
+def new_histogram() -> np.ndarray:
+    """Numbers of texts by step of the gain; the last place is for gains of ``MOST`` and more."""
+    return np.zeros(round(MOST / STEP) + 1, dtype=np.int64)
+
+
+def count_gains(r: Restorer, clean: list[str], common: frozenset[str], gains: np.ndarray, found: np.ndarray) -> None:
+    """Adds the gains of learnt clean texts to ``gains``, and those of the same texts garbled here to ``found``."""
+    place = lambda g: min(int(max(g, 0.0) / STEP), len(gains) - 1)
+    for t in clean:
+        gains[place(r.clean_gain(t, common))] += 1
+    for g in r.spoilt_gains(clean):
+        found[place(g)] += 1
+
+
+def chosen_margin(gains: np.ndarray, found: np.ndarray) -> tuple[float, float]:
+    """The margin from the gains of clean texts and of garbled ones, and the share of the garbled ones that reach it.
 
-    A text among the clean ones whose best reading consists of words that others of them have is garbled itself, by a
-    chain that leaves no telling bytes, and takes no part.
+    It is that of the fewest errors, clean texts above it and garbled ones below; of equals the least,
+    as texts garbled by other chains may gain less.
     """
-    r = Restorer(model, 0.0)
+    false, recall = (h[::-1].cumsum()[::-1] / max(1, h.sum()) for h in (gains, found))
+    errors = CLEAN_TO_GARBLED * false + (1 - recall)
+    best = min(range(round(LEAST / STEP), len(gains)), key=lambda m: (round(errors[m], 9), m))
+    return float(best * STEP), float(recall[best])
+
+
+def validated_margin(model: Hashed, clean: list[str]) -> tuple[float, float]:
+    """``chosen_margin`` of a list of clean texts."""
+    words = Counter(w for t in clean for w in set(_pieces(t)) if not w.isascii())
+    r, gains, found = Restorer(model, LEAST), new_histogram(), new_histogram()
     r.learn(clean)
-    words = Counter(w for t in clean for w in set(t.split(" ")))
-    gains = []
-    for t in clean:
-        k, gain = r.best(t)
-        if gain > 0:
-            read = [o for w in _pieces(t) for chains, o, g in r.gains.get(w, ()) if chains >> k & 1 and g > 0]
-            if not any(words[o] > 1 for o in read):
-                gains.append(gain)
-    gains.sort()
-    top = gains[-1 - len(gains) // 200] if gains else least
-    margin = float(min(most, max(least, 1.25 * top)))
-    spoilt = [g for i, t in enumerate(clean) if (g := garble(t, *[("cp1252", "utf_8"), ("cp1251", "utf_8"), ("cp437", "utf_8"), ("mac_roman", "utf_8")][i % 4])) and g != t]
-    r.learn(spoilt)
-    return margin, sum(r.best(t)[1] >= margin for t in spoilt) / max(1, len(spoilt))
-
-
-def restore(records: DataFrame, columns: list[str], model: Hashed | None = None, margin: float | None = None, validation_texts: int = 4_000) -> DataFrame:
+    count_gains(r, clean, frozenset(w for w, n in words.items() if n > max(1, len(clean) * COMMON)), gains, found)
+    return chosen_margin(gains, found)
+
+
+def _clean_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words outside ASCII with the number of clean texts that have them; that of all clean texts outside ASCII has no word."""
+    words: Counter = Counter()
+    judged: dict[str, bool] = {}
+
+    def out() -> pa.RecordBatch:
+        b = pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], ["word", "n"])
+        words.clear()
+        judged.clear()
+        return b
+
+    for batch in batches:
+        for column in batch.columns:
+            for text in column.to_pylist():
+                if text and not text.isascii():
+                    own = {w for w in _pieces(text) if not w.isascii()}
+                    for w in own:
+                        if w not in judged:
+                            judged[w] = suspicious(w)
+                    if not any(judged[w] for w in own):
+                        words.update(own)
+                        words[None] += 1
+                    if len(judged) > 300_000:
+                        yield out()
+    yield out()
+
+
+def common_words(texts: DataFrame) -> frozenset[str]:
+    """Words outside ASCII of more clean texts than one and than the share ``COMMON``: no more than its inverse times the words of a text."""
+    counts = Scratch(texts.sparkSession, "words").put(texts.mapInArrow(_clean_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    every = counts.where("word is null").first()
+    least = max(1, every["n"] * COMMON) if every else 1
+    return frozenset(r["word"] for r in counts.where(F.col("word").isNotNull() & (F.col("n") > F.lit(least))).select("word").toLocalIterator())
+
+
+def restore(records: DataFrame, columns: list[str], model: Hashed | None = None, margin: float | None = None) -> DataFrame:
     """``records`` with one row per garbled field: all other columns, ``field``, ``text``, ``chain``, ``original``.
 
     ``columns`` are the string columns to examine. Without a model it is trained on their clean values, and without a
-    margin that is validated on at most ``validation_texts`` of these. Null, empty and clean fields give no row. Own
-    columns named like the results are left out.
+    margin that is validated on all of these: the pass that scores the fields writes those that may be garbled, and the
+    gains of clean ones by step. Null, empty and clean fields give no row. Own columns named like the results are left out.
     """
     texts = records.select(*columns)
     model = model or train(texts)
-    if margin is None:
-        rows = texts.where(" or ".join(f"`{c}` rlike '[^\\\\x00-\\\\x7f]'" for c in columns)).limit(validation_texts).collect()
-        margin, _ = validated_margin(model, [t for r in rows for t in r if t and not t.isascii() and not suspicious(t)])
-    sent = records.sparkSession.sparkContext.broadcast((model.counts, margin))
+    validate = margin is None
+    common = common_words(texts) if validate else frozenset()
+    sent = records.sparkSession.sparkContext.broadcast((model.counts, LEAST if validate else margin, common))
     added = ["field", "text", "chain", "original"]
+    marks = ["_gain", "_lost", "_step", "_clean", "_garbled"]
     rest = [c for c in records.columns if c not in columns and c not in added]
     docs = records.select(*rest, *columns)
-    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*rest).schema) + "field string, text string, chain string, original string"
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*rest).schema) + "field string, text string, chain string, original string, _gain double, _lost boolean, _step int, _clean long, _garbled long"
+    kinds = [pa.string()] * 4 + [pa.float64(), pa.bool_(), pa.int32(), pa.int64(), pa.int64()]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, limit = sent.value
+        counts, limit, common = sent.value
         restorer = Restorer(Hashed(counts), limit)
+        gains, found, own = new_histogram(), new_histogram(), None
         for batch in batches:
+            own = [batch.column(k).type for k in range(len(rest))]
             at, out = [], []
             for column in columns:
                 values = batch.column(batch.schema.get_field_index(column)).to_pylist()
@@ -428,11 +528,26 @@ def restore(records: DataFrame, columns: list[str], model: Hashed | None = None,
                     restorer.learn([values[i] for i in part if values[i]])
                     for i in part:
                         v = values[i]
-                        if v and not v.isascii() and (hit := restorer.restore(v)):
+                        if v and not v.isascii() and (hit := restorer.reading(v)):
                             at.append(i)
-                            out.append((column, v, *hit))
+                            out.append((column, v, *hit, None, None, None))
+                    if validate:
+                        count_gains(restorer, [v for i in part if (v := values[i]) and not v.isascii() and not suspicious(v)], common, gains, found)
             rows = pa.array(at, type=pa.int64())
-            cols = list(zip(*out)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([batch.column(k).take(rows) for k in range(len(rest))] + [pa.array(c, pa.string()) for c in cols], [*rest, *added])
-
-    return docs.mapInArrow(emit, schema)
+            cols = list(zip(*out)) or [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([batch.column(k).take(rows) for k in range(len(rest))] + [pa.array(c, t) for c, t in zip(cols, kinds)], [*rest, *added, *marks])
+        steps = np.flatnonzero(gains + found)
+        if len(steps):
+            n = len(steps)
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, t) for t in own + kinds[:6]] + [pa.array(x, t) for x, t in zip((steps, gains[steps], found[steps]), kinds[6:])], [*rest, *added, *marks])
+
+    out = docs.mapInArrow(emit, schema)
+    if validate:
+        out = Scratch(records.sparkSession, "readings").put(out)
+        gains, found = new_histogram(), new_histogram()
+        for r in out.where("_step is not null").groupBy("_step").agg(F.sum("_clean").alias("c"), F.sum("_garbled").alias("g")).collect():
+            gains[r["_step"]], found[r["_step"]] = r["c"], r["g"]
+        margin, _ = chosen_margin(gains, found)
+    sure = F.col("_gain") >= F.lit(margin)
+    out = out.where(F.col("_step").isNull() & (sure | F.col("_lost")))
+    return out.select(*[F.col(f"`{c}`") for c in rest], "field", "text", F.when(sure, F.col("chain")).alias("chain"), F.when(sure, F.col("original")).alias("original"))

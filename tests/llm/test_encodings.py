@@ -48,6 +48,32 @@ def test_margin_is_validated(model):
     assert margin >= 3.5 and found > 0.95
 
 
+def test_margin_covers_all_rows(spark, model):
+    """Rows beyond the first 4,000 decide too, and where they lie does not matter."""
+    first, rest = "Flow fell below 3.2 m³/h – café.", [f"Ñandú {a}ł{b}ő ß{b}ü{a}ж" for a in "aeioubcdf" for b in "aeioulmnr"]
+    clean = [first] * 4_000 + rest * 4
+    rows = [(i, t) for i, t in enumerate([*clean, en.garble(CLEAN[0], "cp1252", "utf_8")])]
+    want, recall = en.validated_margin(model, clean)
+    few = en.validated_margin(model, clean[:4_000])[0]
+    r = en.Restorer(model, 0.0)
+    r.learn(rest)
+    gain = max(r.best(t)[1] for t in rest)
+    assert recall > 0.9 and want > few
+    assert gain > few  # by the first rows alone, clean ones would be hits
+    for part in (rows, rows[::-1]):
+        got = en.restore(spark.createDataFrame(part, "id int, t string").repartition(3), ["t"], model).collect()
+        assert [(x.id, x.original) for x in got] == [(len(clean), CLEAN[0])]
+
+
+def test_recall_chooses_the_margin():
+    gains, found = en.new_histogram(), en.new_histogram()
+    gains[[0, 100]] = 980, 20  # a fiftieth of the clean texts gain 5
+    found[[110, 400]] = 50, 50
+    assert en.chosen_margin(gains, found) == (pytest.approx(5.05), 1.0)
+    gains[[0, 100]], found[[90, 110, 400]] = (999, 1), (50, 0, 50)  # one text in 1,000 is not worth half of the garbled ones
+    assert en.chosen_margin(gains, found) == (pytest.approx(3.5), 1.0)
+
+
 def test_restore_keeps_other_columns(spark, model):
     rows = [("a", en.garble(CLEAN[0], "cp1252", "utf_8"), CLEAN[1], "x"), ("b", None, "", "y"), ("c", CLEAN[2], "Gr�n", "z"), (None, en.garble(CLEAN[2], "cp437", "utf_8"), None, None), ("d", "plain", "é" * 20_000, "w")]
     df = spark.createDataFrame(rows, "id string, one string, two string, field string")
