@@ -151,23 +151,25 @@ def _disguises(word: str) -> list[str]:
 
 
 def _readings(word: str) -> Iterator[tuple[int, str]]:
-    """Number of each chain and the word as read by it."""
+    """Number of each chain and the word as read by it.
+
+    One character of a single-byte encoding is never UTF-8, unless it has lost its second byte; in the wide ones it may be.
+    """
     several = len(_HIGH.findall(word)) > 1
     once: dict[str, str] = {}
     for k, chain in enumerate(CHAINS):
         if chain in _SINGLE:
             yield k, word.translate(_SINGLE[chain])
-        elif not several:
-            if chain[-1] == "utf_8" and len(chain) == 2 and chain[0] not in _WIDE and word[-1] == "\u00c3":
-                yield k, _utf8(word, chain[0])
         elif len(chain) == 4:
             if once.get(chain[0], word) != word:
                 yield k, _utf8(once[chain[0]], chain[2])
-        elif chain[1] == "utf_8":
+        elif chain[1] != "utf_8":
+            yield k, _decoded(word, *chain)
+        elif several:
             once[chain[0]] = got = _utf8(word, chain[0])
             yield k, got
-        else:
-            yield k, _decoded(word, *chain)
+        elif chain[0] in _WIDE or word[-1] == "\u00c3":
+            yield k, _utf8(word, chain[0])
 
 
 def garble(text: str, wrong: str, right: str) -> str | None:
@@ -190,6 +192,10 @@ def suspicious(text: str) -> bool:
     return _LOST in text or any(_utf8(text, w) != text for w in _TELLING)
 
 
+#: Log-likelihood of a character that no clean text has; one of the many from ``_MANY`` on costs twice as much, so that
+#: letters of a rare language don't gain by being read as half as many unseen characters of two bytes (fixed values).
+_UNSEEN, _MANY = float(np.log(1e-6)), 0x2E80
+
 #: Share of all characters below which a context is rare; the counts of garbled records among the clean ones are.
 RARE = 5e-5
 
@@ -219,7 +225,7 @@ class Hashed:
         two = c[at - 1] * p + c[at]
         three = (c[at - 2] * p + c[at - 1]) * p + c[at]
         mix = lambda x, b: ((x ^ (x >> np.uint64(29))) * q >> np.uint64(64 - b)).astype(np.int64)
-        return [c[at].astype(np.int64) & 0xFFFF, mix(two, 20), mix(three, 22), c[at - 1].astype(np.int64) & 0xFFFF, mix(c[at - 2] * p + c[at - 1], 20)], lengths
+        return [c[at].astype(np.int64) & 0xFFFF, mix(two, 20), mix(three, 22), c[at - 1].astype(np.int64) & 0xFFFF, mix(c[at - 2] * p + c[at - 1], 20), c[at]], lengths
 
     def likelihood(self, texts: list[str]) -> np.ndarray:
         """Log-likelihood of each text, with digits alike."""
@@ -228,7 +234,15 @@ class Hashed:
         k, lengths = self.keys([_DIGITS.sub("0", t) for t in texts])
         one, two, three = self.counts
         p = 0.7 * three[k[2]] / (two[k[4]] + self.few) + 0.25 * two[k[1]] / (one[k[3]] + self.few) + 0.0499 * one[k[0]] / self.total + 1e-6
-        return np.add.reduceat(np.log(p), np.concatenate(([0], np.cumsum(lengths)[:-1])))
+        p = np.log(p)
+        new = (one[k[0]] == 0) | (k[5] > 0xFFFF)
+        p[new] = np.where(k[5][new] >= _MANY, 2 * _UNSEEN, _UNSEEN)
+        return np.add.reduceat(p, np.concatenate(([0], np.cumsum(lengths)[:-1])))
+
+
+    def most(self, text: str) -> float:
+        """What the likelihood of a text cannot exceed, by its unseen characters."""
+        return 0.0 if self.known.issuperset(text) else _UNSEEN * sum(1 + (ord(c) >= _MANY) for c in text if c not in self.known)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,17 +330,18 @@ class Restorer:
         self._score(new)
 
     def _score(self, new: list[str]) -> None:
-        known = self.model.known
+        first = self.model.likelihood(new)
         tried, spelt = [], []
-        for w in new:
+        for w, as_is in zip(new, first):
             options: dict[str, int] = {}
             for k, got in _readings(w):
-                if got != w and known.issuperset(got):
+                if got != w:
                     options[got] = options.get(got, 0) | (1 << k)
+            options = {o: chains for o, chains in options.items() if self.model.most(o) - as_is > -2}  # others can't be taken
             tried.append(options)
             spelt.append(_disguises(w) if options else [])
-        flat = new + [f for forms in spelt for f in forms] + [o for options in tried for o in options]
-        scores = self.model.likelihood(flat)
+        rest = self.model.likelihood([f for forms in spelt for f in forms] + [o for options in tried for o in options])
+        scores = np.concatenate([first, rest])
         n = len(new)
         at = n + sum(map(len, spelt))
         for i, (w, options, forms) in enumerate(zip(new, tried, spelt)):

@@ -32,6 +32,30 @@ def test_other_chains(model, wrong, right, text):
     assert r.restore(spoilt)[1] == text
 
 
+@pytest.mark.parametrize(("wrong", "right", "word"), [("gbk", "utf_8", "café"), ("cp1252", "big5", "功"), ("gbk", "utf_8", "Größe")])
+def test_wide_chains_of_one_character(wrong, right, word):
+    spoilt = en.garble(word, wrong, right)
+    assert len(en._HIGH.findall(spoilt)) == 1 or word == "Größe"
+    assert word in [got for k, got in en._readings(spoilt) if en.CHAINS[k] == (wrong, right)]
+
+
+def test_one_accent_read_as_gbk(model):
+    text = "The caf茅-scale pilot."
+    r = en.Restorer(model, 4.0)
+    r.learn([text, CLEAN[8]])
+    assert r.restore(text) == ("gbk>utf_8", "The café-scale pilot.") and r.restore(CLEAN[8]) is None
+
+
+def test_unseen_characters_are_scored(model):
+    rare = "The Čapek pilot 😀."  # no clean value has these
+    spoilt = rare.encode("utf_8").decode("cp1252")
+    clean = ["Բարեւ Ձեզ", "ข้อความภาษาไทย", "Łódź", "日本語", rare]
+    r = en.Restorer(model, 4.0)
+    r.learn([spoilt, *clean])
+    assert r.restore(spoilt) == ("cp1252>utf_8", rare)
+    assert [r.restore(t) for t in clean] == [None] * len(clean)
+
+
 def test_twice_partly_and_lost(model):
     twice = en.garble(en.garble(CLEAN[2], "cp1252", "utf_8"), "cp1252", "utf_8")
     part = "Die Größenordnung der Messwerte bestÃ¤tigte die Prüfung."
