@@ -18,9 +18,11 @@ In Thai a space between two characters that are not digits ends a sentence.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -252,10 +254,33 @@ def _before(w: str) -> str:
     return ("U" if w[0].isupper() else "x") + ("s" if len(w) <= 3 else "m" if len(w) <= 6 else "l")
 
 
+class Levels:
+    """Levels of tokens by their 64-bit hashes in order: nine bytes a token, so every token with evidence is kept."""
+
+    def __init__(self, hashes: np.ndarray, levels: np.ndarray):
+        order = np.argsort(hashes)
+        self.hashes, self.levels = hashes[order], levels[order]
+
+    @staticmethod
+    def hash(token: str) -> int:
+        return int.from_bytes(hashlib.blake2b(token.encode("utf_8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+    def get(self, token: str, default: int | None = None) -> int | None:
+        h = self.hash(token)
+        at = int(np.searchsorted(self.hashes, np.int64(h)))
+        return int(self.levels[at]) if at < len(self.hashes) and self.hashes[at] == h else default
+
+    def __contains__(self, token: str) -> bool:
+        return self.get(token) is not None
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+
 class Model:
     """Counts of tokens and the weights of their features; ``ends(kind)`` decides one kind of candidate."""
 
-    def __init__(self, before: dict[str, int], after: dict[str, int], inner: dict[str, int], weights: dict[str, float]):
+    def __init__(self, before: dict[str, int] | Levels, after: dict[str, int] | Levels, inner: dict[str, int] | Levels, weights: dict[str, float]):
         self.before, self.after, self.inner, self.weights = before, after, inner, weights
         self.known: dict[tuple, bool] = {}
 
@@ -415,11 +440,16 @@ def _fit(rows: list[tuple[tuple, bool, int]], model: Model, rounds: int = 25, ri
     return dict(zip(names, w.tolist()))
 
 
-def train(documents: DataFrame, text_col: str = "text", training_documents: int = 8_000, vocabulary: int = 30_000) -> Model:
+def _levels(level: Callable[[int, int], int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        token, yes, no = (b.column(k).to_pylist() for k in range(3))
+        yield pa.RecordBatch.from_arrays([pa.array([Levels.hash(t) for t in token], pa.int64()), pa.array([level(y, n) for y, n in zip(yes, no)], pa.int8())], ["hash", "level"])
+
+
+def train(documents: DataFrame, text_col: str = "text", training_documents: int = 8_000) -> Model:
     """A model from the counts over all documents and the reliable boundaries of at most about ``training_documents``.
 
-    ``vocabulary`` bounds how many tokens of each side keep their own counts, the most frequent first; any other token
-    is judged by its form and by the other side. No documents, or none with two kinds of evidence, give a model that
+    Every token that is found three times keeps its level; a rarer one is judged by its form and by the other side. No documents, or none with two kinds of evidence, give a model that
     takes every candidate for a boundary.
     """
     texts = documents.select(F.col(text_col).alias("text")).where("text is not null")
@@ -435,8 +465,9 @@ def train(documents: DataFrame, text_col: str = "text", training_documents: int
         t = counts.where(F.col("kind") == side).groupBy("token").agg(F.sum(F.when(F.col("edge"), F.col("n")).otherwise(0)).alias("yes"), F.sum(F.when(F.col("edge"), 0).otherwise(F.col("n"))).alias("no"))
         total = t.agg(F.sum("yes"), F.sum("no")).first()
         base = (total[0] or 0) / max(1, (total[0] or 0) + (total[1] or 0))
-        top = t.where("yes + no >= 3").orderBy(F.desc(F.col("yes") + F.col("no")), "token").limit(vocabulary).collect()
-        sides[side] = {r[0]: Model.level(r[1], r[2], base) if side != "i" else Model.share(r[1], r[2]) for r in top}
+        level = Model.share if side == "i" else partial(Model.level, base=base)
+        got = t.where("yes + no >= 3").mapInArrow(partial(_levels, level), "hash long, level byte").toArrow()
+        sides[side] = Levels(got.column("hash").to_numpy(), got.column("level").to_numpy())
     model = Model(sides["w"], sides["n"], sides["i"], {})
     rows = []
     for token, edge, n in counts.where("kind = 't'").select("token", "edge", "n").collect():

@@ -78,3 +78,12 @@ def test_frames(spark, model):
     assert sorted((a or 0, b, c) for a, b, c in got if a != 4) == [(0, 0, 6), (1, 0, 9), (1, 0, 9), (1, 10, 20), (1, 10, 20)]
     assert sum(a == 4 for a, _, _ in got) == 5000
     assert se.sentences(d.limit(0)).count() == 0
+
+
+def test_every_token_with_evidence_is_kept(spark):
+    """More tokens than 30,000, and the rarest of them is an abbreviation."""
+    letters = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(4))
+    rows = [("\n\n".join(f"The pump ran with q{letters(i)}." for i in range(at, at + 1_000)),) for at in range(0, 31_000, 1_000)] * 4
+    rows += [("By the zzabb. Smith report it ran.\n\nNo more.",)] * 3
+    m = se.train(spark.createDataFrame(rows, "text string"))
+    assert len(m.before) > 31_000 and m.before.get("zzabb", 4) < m.before.get("q" + letters(30_999)) == 4 and "none such" not in m.before
