@@ -20,7 +20,7 @@ import re
 import unicodedata
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -200,6 +200,26 @@ _UNSEEN, _MANY = float(np.log(1e-6)), 0x2E80
 RARE = 5e-5
 
 
+#: Characters that are scored in one vectorised pass; it bounds memory and changes no score.
+_SPAN = 300_000
+
+
+def _spans(texts: Iterable[str]) -> Iterator[tuple[list[int], list[str]]]:
+    """Numbers of texts and their characters with digits alike, behind two characters of context; a long text is several spans, which change nothing about its n-grams."""
+    of, spans, size = [], [], 0
+    for i, t in enumerate(texts):
+        padded = f"  {_DIGITS.sub('0', t)} "
+        for at in range(2, len(padded), _SPAN):
+            of.append(i)
+            spans.append(padded[at - 2 : at + _SPAN])
+            size += len(spans[-1])
+            if size > _SPAN:
+                yield of, spans
+                of, spans, size = [], [], 0
+    if of:
+        yield of, spans
+
+
 class Hashed:
     """Character n-gram counts in tables of a fixed size, and log-likelihoods from them."""
 
@@ -212,10 +232,10 @@ class Hashed:
         self.known = frozenset(map(chr, np.flatnonzero(self.counts[0]))) | frozenset("0123456789")
 
     @staticmethod
-    def keys(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
-        """Bucket of each 1-, 2- and 3-gram that ends at a character, over all texts; and the number of characters of each."""
-        lengths = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-        c = np.frombuffer("".join(f"  {t} " for t in texts).encode("utf_32_le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    def keys(spans: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Bucket of each 1-, 2- and 3-gram that ends at a character, over all spans but for their first two characters, which are context; and the number of characters of each."""
+        lengths = np.array([len(t) - 2 for t in spans], dtype=np.int64)
+        c = np.frombuffer("".join(spans).encode("utf_32_le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
         ends = np.cumsum(lengths + 2)
         keep = np.ones(len(c), dtype=bool)
         starts = ends - lengths - 2
@@ -229,16 +249,16 @@ class Hashed:
 
     def likelihood(self, texts: list[str]) -> np.ndarray:
         """Log-likelihood of each text, with digits alike."""
-        if not texts:
-            return np.zeros(0)
-        k, lengths = self.keys([_DIGITS.sub("0", t) for t in texts])
+        out = np.zeros(len(texts))
         one, two, three = self.counts
-        p = 0.7 * three[k[2]] / (two[k[4]] + self.few) + 0.25 * two[k[1]] / (one[k[3]] + self.few) + 0.0499 * one[k[0]] / self.total + 1e-6
-        p = np.log(p)
-        new = (one[k[0]] == 0) | (k[5] > 0xFFFF)
-        p[new] = np.where(k[5][new] >= _MANY, 2 * _UNSEEN, _UNSEEN)
-        return np.add.reduceat(p, np.concatenate(([0], np.cumsum(lengths)[:-1])))
-
+        for of, spans in _spans(texts):
+            k, lengths = self.keys(spans)
+            p = 0.7 * three[k[2]] / (two[k[4]] + self.few) + 0.25 * two[k[1]] / (one[k[3]] + self.few) + 0.0499 * one[k[0]] / self.total + 1e-6
+            p = np.log(p)
+            new = (one[k[0]] == 0) | (k[5] > 0xFFFF)
+            p[new] = np.where(k[5][new] >= _MANY, 2 * _UNSEEN, _UNSEEN)
+            np.add.at(out, of, np.add.reduceat(p, np.concatenate(([0], np.cumsum(lengths)[:-1]))))
+        return out
 
     def most(self, text: str) -> float:
         """What the likelihood of a text cannot exceed, by its unseen characters."""
@@ -250,12 +270,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tables = [np.zeros(1 << b, dtype=np.int64) for b in Hashed.BITS]
 
     def add() -> None:
-        if words:
-            k, lengths = Hashed.keys(list(words))
-            n = np.repeat(np.fromiter(words.values(), dtype=np.int64), lengths)
+        n = np.fromiter(words.values(), dtype=np.int64)
+        for of, spans in _spans(words):
+            k, lengths = Hashed.keys(spans)
+            times = np.repeat(n[of], lengths)
             for table, key in zip(tables, k):
-                table += np.bincount(key, n, len(table)).astype(np.int64)
-            words.clear()
+                table += np.bincount(key, times, len(table)).astype(np.int64)
+        words.clear()
 
     judged: dict[str, bool] = {}
 
@@ -296,11 +317,14 @@ def train(texts: DataFrame) -> Hashed:
     return Hashed(model.counts)
 
 
-_PIECE = re.compile("[^ ]{1,256}[^ \x00-\x7f]{0,8}| +")
+_PIECE = re.compile("[^ ]+| +")
+#: Words from this length on are scored one reading at a time, and their readings are made again where they are used;
+#: it bounds memory and changes no score.
+_LONG = 256
 
 
 def _pieces(text: str) -> list[str]:
-    """A text as its words and the blanks between them; very long words are cut, at an ASCII character if one is near."""
+    """A text as its words and the blanks between them; a word is never cut, as no place in it is a sequence boundary of every chain."""
     return _PIECE.findall(text)
 
 
@@ -309,7 +333,7 @@ class Restorer:
 
     def __init__(self, model: Hashed, margin: float, most_chars: int = 20_000_000):
         self.model, self.margin, self.most_chars = model, margin, most_chars
-        self.gains: dict[str, list[tuple[int, str, float]]] = {}
+        self.gains: dict[str, list[tuple[int, str | None, float]]] = {}
         self.spoilt: dict[tuple[str, int], float] = {}
         self.chars = 0
 
@@ -321,7 +345,11 @@ class Restorer:
             self.chars = 0
         new, size = [], 0
         for w in dict.fromkeys(w for t in texts if not t.isascii() for w in _pieces(t) if not w.isascii()):
-            if w not in self.gains:
+            if w in self.gains:
+                continue
+            if len(w) >= _LONG:
+                self._score_long(w)
+            else:
                 new.append(w)
                 size += len(w)
                 if size > 100_000:
@@ -355,6 +383,31 @@ class Restorer:
             self.gains[w] = own
             self.chars += len(w) + 50
 
+    def _score_long(self, word: str) -> None:
+        """As ``_score`` for one word, with one reading held at a time."""
+        as_is = float(self.model.likelihood([word])[0])
+        now, own = None, {}
+        for k, got in _readings(word):
+            if got == word or self.model.most(got) - as_is <= -2:
+                continue
+            same = hash(got), len(got)
+            if same in own:
+                chains, gain = own[same]
+            else:
+                if now is None:
+                    now = max(as_is, *(self.model.likelihood(_disguises(word)) - 1))
+                chains, gain = 0, float(self.model.likelihood([got])[0] - now)
+            own[same] = chains | 1 << k, gain
+        self.gains[word] = [(chains, None, gain) for chains, gain in own.values()]
+        self.chars += len(word) + 50
+
+    def _fixed(self, word: str, k: int) -> str:
+        """A learnt word as read by a chain, if that is likely enough; else as it is."""
+        for chains, o, gain in self.gains.get(word, ()):
+            if chains >> k & 1 and gain > -2:
+                return apply_chain(word, CHAINS[k]) if o is None else o
+        return word
+
     def best(self, text: str) -> tuple[int, float]:
         """The likeliest chain of a learnt text and its gain; -1 if none changes it for the better."""
         total: dict[int, float] = {}
@@ -384,14 +437,14 @@ class Restorer:
         k, gain = self.best(text)
         lost = bool(_LOST in text or _CONTROL.search(text))
         if k >= 0 and gain >= self.margin:
-            fixed = "".join(next((o for chains, o, g in self.gains.get(w, ()) if chains >> k & 1 and g > -2), w) for w in _pieces(text))
+            fixed = "".join(self._fixed(w, k) for w in _pieces(text))
             return ">".join(CHAINS[k]), None if _LOST in fixed else fixed, gain, lost
         return (None, None, gain, lost) if lost else None
 
     def clean_gain(self, text: str, common: frozenset[str]) -> float:
         """The gain of a learnt clean text; 0 if its best reading has a common word, as the text then is garbled itself, by a chain that leaves no telling bytes."""
         k, gain = self.best(text)
-        return 0.0 if gain <= 0 or any(o in common for w in _pieces(text) for chains, o, g in self.gains.get(w, ()) if chains >> k & 1 and g > 0) else gain
+        return 0.0 if gain <= 0 or any((self._fixed(w, k) if o is None else o) in common for w in _pieces(text) for chains, o, g in self.gains.get(w, ()) if chains >> k & 1 and g > 0) else gain
 
 
     def spoilt_gains(self, texts: list[str]) -> list[float]:

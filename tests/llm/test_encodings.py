@@ -39,6 +39,55 @@ def test_wide_chains_of_one_character(wrong, right, word):
     assert word in [got for k, got in en._readings(spoilt) if en.CHAINS[k] == (wrong, right)]
 
 
+LONG = {
+    "zh": "在水厂，该系统运行了天。功能水压模型预测出水氨氮",
+    "ja": "水道の管網は夜間に圧力が下がり、ポンプが停止しました。",
+    "ko": "정수장의모델은암모니아를예측하고압력을낮추었다",
+    "ru": "Настанциисистеманеменяласьсемьднейподаннымонадаётсбой",
+}
+WRITES = {"utf_8": LONG, "gb18030": ("zh", "ru"), "big5": ("zh_hant",), "shift_jis": ("ja",), "euc_jp": ("ja",), "euc_kr": ("ko",)}
+
+
+@pytest.fixture(scope="module")
+def long_model(spark):
+    """Knows each language of unspaced texts in many orders."""
+    texts = [*TEXTS]
+    for own in (*LONG.values(), "在水廠，該系統運行了天。功能水壓模型預測出水氨氮"):
+        texts += [own[k:] + own[:k] for k in range(len(own))] * 8
+    return en.train(spark.createDataFrame([(t,) for t in texts], "t string"))
+
+
+@pytest.mark.parametrize("chain", [c for c in en.CHAINS_OF_TWO if c[1] in WRITES])
+def test_thousand_unspaced_characters_behind_a_letter(long_model, chain):
+    """Words are never cut, so a sequence across any place comes back whole, for every multi-byte chain."""
+    wrong, right = chain
+    tried = 0
+    for name in WRITES[right]:
+        own = "在水廠，該系統運行了天。功能水壓模型預測出水氨氮" if name == "zh_hant" else LONG[name]
+        text = "x" + (own * (1_000 // len(own) + 1))[:1_000]
+        spoilt = en.garble(text, wrong, right)
+        if spoilt is None or spoilt == text:
+            continue
+        tried += 1
+        assert en.apply_chain(spoilt, chain) == text
+        r = en.Restorer(long_model, 4.0)
+        r.learn([spoilt, text])
+        assert r.restore(text) is None and r.restore(spoilt)[1] == text
+    assert tried or wrong in ("gbk", "shift_jis")
+
+
+def test_long_words_score_as_short_ones(model, monkeypatch):
+    texts = [en.garble(t, w, "utf_8") for t in CLEAN if not t.isascii() for w in ("cp1252", "cp1251")] + CLEAN
+    short, long = en.Restorer(model, 4.0), en.Restorer(model, 4.0)
+    short.learn(texts)
+    monkeypatch.setattr(en, "_LONG", 1)
+    monkeypatch.setattr(en, "_SPAN", 7)
+    long.learn(texts)
+    for t in texts:
+        a, b = short.reading(t), long.reading(t)
+        assert (a and a[:2]) == (b and b[:2]) and short.best(t)[1] == pytest.approx(long.best(t)[1])
+
+
 def test_one_accent_read_as_gbk(model):
     text = "The caf茅-scale pilot."
     r = en.Restorer(model, 4.0)
