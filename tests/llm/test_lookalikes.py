@@ -1,8 +1,39 @@
+import unicodedata
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from lodestrata.llm import lookalikes as la
 
+#: Hangul syllables and letters, Thai, Devanagari, marks of several classes in any order, a blank with a mark.
+SCRIPTS = "모델한각\u1112\u1161\u11abกำแ้ี" + "\u0915\u093f\u0902\u0958\u0915\u093c\u094d" + "aấậ\u0323\u0302\u0308\u0344\u0345\u034f\u00a8\u0f71\u0f72\u0f73 \u200b"
+
+
+@settings(max_examples=400)
+@given(st.lists(st.text(alphabet=SCRIPTS, min_size=1, max_size=6), min_size=1, max_size=8), st.sampled_from(["NFC", "NFD", "NFKC"]))
+def test_trie_equals_comparing_forms_in_other_scripts(words, form):
+    words = [*words, *(w for w in (unicodedata.normalize(form, w) for w in words) if w)]
+    trie = la.Trie(words)
+    for t in words:
+        got = {trie.words[i] for i in trie.match(t)}
+        assert t in got and got == {w for w in words if la.table_form(w) == la.table_form(t)}
+
+
+def test_hangul_and_unordered_marks():
+    assert la.Trie(["모델"]).match("모델") == la.Trie(["모델"]).match(unicodedata.normalize("NFD", "모델")) == [0]
+    assert la.Trie(["a\u0302\u0323"]).match("ậ") == la.Trie(["a\u0302\u0323"]).match("a\u0302\u0323") == [0]
+
+
+def test_one_alias_of_many_entries(spark):
+    """An alias that all entries hold pairs none of them; another spelling meets each that lacks it."""
+    n = 20_000
+    lex = spark.range(n).selectExpr("concat('c', id) as canonical_id", "array('Dekrox') as aliases").unionByName(spark.createDataFrame([("a", ["Dekrоx"]), ("b", ["Dekrоx", "Dekrox"])], "canonical_id string, aliases array<string>"))
+    m = spark.createDataFrame([("r1", "Dekrox"), ("r2", "Dekrоx")], "resolution_id string, surface_text string")
+    got = la.same_looking(m, lex)
+    assert got.count() == n + 1 + n  # a with each c; r1 with a; r2 with each c
+    assert got.where("key_a = 'a'").count() == n + 1 and got.where("key_b = 'r2'").count() == n and got.where("key_a = 'b' or key_b = 'b'").count() == 0
+
+
 ODD = "abcÅÄéоаа​­  　ﬁｆ－-‑Á̊KÅµμ₂2"
 
 
