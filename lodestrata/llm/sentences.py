@@ -10,8 +10,11 @@ abbreviation is a token that hardly ever ends a unit.
 The model is trained on reliable boundaries only. Ends of units are boundaries, and so are stops after a token that ends
 units as often as others and after which lower case hardly ever follows, whatever follows there; stops before a token that never begins
 a unit (if the token before the stop is known to go on), and stops after a token that occurs often but never ends one, are not. Its weights come from a bounded sample
-of documents (``training_documents``), the counts from all. Decisions are one dictionary lookup for each kind of
-candidate, so that the cost is that of finding the stops.
+of documents (``training_documents``), the counts from all.
+
+The corpus is read once: one pass counts the tokens and writes, for each document, where its candidates are and of what
+kind, a few bytes each; when the model is fitted, these decide without the text. A decision is one dictionary lookup
+for each candidate, so that the cost is that of finding the stops.
 
 In Thai a space between two characters that are not digits ends a sentence.
 """
@@ -29,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestrata.sources.scratch import Scratch
+
 _BREAK = "(?>\r\n|[\n\r\x0b\x0c\x85\u2028])[^\\S\n\r]*"  # atomic: a carriage return and line feed are one break
 _UNIT_END = re.compile(f"{_BREAK}(?:{_BREAK})+|\u2029")
 _STOP = re.compile("[.!?\u2026\u3002\uff01\uff1f\uff61\u061f\u06d4\u0964\u0965]+")
@@ -37,6 +42,7 @@ _ODD_BREAK = re.compile("[\r\x0b\x0c\x85\u2028\u2029]|\n[^\\S\n]")
 _FREE = frozenset("\u3002\uff01\uff1f\uff61\u0964\u0965\u06d4")  # marks after which no space is needed
 _QUOTES = re.compile("[\u201c\u201d\u201e\u00ab\u00bb\u300c\u300d\u300e\u300f\u2039\u203a\"]")
 _CLOSES = {"\u201c": "\u201d", "\u201e": "\u201c\u201d", "\u00ab": "\u00bb", "\u300c": "\u300d", "\u300e": "\u300f", "\u2039": "\u203a", '"': '"'}
+_OPENED_BY = {c: [q for q, closing in _CLOSES.items() if c in closing] for closing in _CLOSES.values() for c in closing}
 _BRACKETS = frozenset(")]}\uff09\u3011\u3015\uff3d")
 _LEADING = ".!?\u2026\u3002\uff01\uff1f\u061f\u0964\u201d\u201c\u00bb\u300d)\uff09]"
 _OPENERS = "([{\uff08\u3010\u201c\u201e\u00ab\u300c\u300e\u2039\"\u00bf\u00a1"
@@ -47,6 +53,7 @@ _NEXT = re.compile("\\s*([\\w.\u2019'-]*)")
 _GLUED = re.compile("^.*[^\\W\\d_]{3}[.!?\u2026](?=[^\\W\\d_])")  # the end of a sentence that no space follows
 _DIGITS = re.compile("\\d+")
 _THAI_SPACE = re.compile("(?<=[^\\s\\d])[^\\S\n\r]+(?=[^\\s\\d])")
+_SPACE = re.compile("\\s")
 _THAI = re.compile("[\u0e00-\u0e7f]")
 
 
@@ -88,17 +95,20 @@ def _quotations(unit: str) -> list[tuple[int, int]]:
     if not _QUOTES.search(unit):
         return []
     stack: list[tuple[str, int]] = []
+    places: dict[str, list[int]] = {}  # of each opening mark in the stack
     pairs = []
     for m in _QUOTES.finditer(unit):
         c, i = m[0], m.start()
-        for k in range(len(stack) - 1, max(-1, len(stack) - 9), -1):  # quotations nest no deeper
-            if c in _CLOSES[stack[k][0]]:
-                pairs.append((stack[k][1], i))
-                del stack[k:]
-                break
-        else:
-            if c in _CLOSES:
-                stack.append((c, i))
+        opened = [places[q] for q in _OPENED_BY.get(c, ()) if places.get(q)]
+        if opened:
+            k = max(own[-1] for own in opened)  # the innermost that this mark closes
+            pairs.append((stack[k][1], i))
+            for q, _ in stack[k:]:
+                places[q].pop()
+            del stack[k:]
+        elif c in _CLOSES:
+            places.setdefault(c, []).append(len(stack))
+            stack.append((c, i))
     pairs.sort()
     out: list[tuple[int, int]] = []
     for a, b in pairs:
@@ -113,12 +123,11 @@ _seen_after: dict[tuple[str, bool], str] = {}
 
 
 def _token_before(raw: str) -> str:
-    """The token before a stop: digits alike, without opening marks; long ones are not told apart."""
+    """The token before a stop: digits alike, without opening marks and without an earlier sentence that no space follows."""
     if (w := _seen_before.get(raw)) is None:
         if len(_seen_before) > 100_000:
             _seen_before.clear()
-        w = _GLUED.sub("", raw.lstrip(_OPENERS))
-        w = _seen_before[raw] = _DIGITS.sub("0", w) if len(w) <= 15 else "<long>"
+        w = _seen_before[raw] = _DIGITS.sub("0", _GLUED.sub("", raw.lstrip(_OPENERS)))
     return w
 
 
@@ -134,7 +143,7 @@ def _token_after(raw: str, short: bool) -> str:
         elif short and not token[0].isascii():
             token = token[:2]
         else:
-            token = token.rstrip(".'\u2019-")[:14] or "."
+            token = token.rstrip(".'\u2019-") or "."
             if token[0].isdigit():
                 token = "0"
         _seen_after[key] = token
@@ -145,6 +154,9 @@ def _views(text: str) -> tuple[str, bool, bool]:
     """A text with every white space as a blank, and whether it has any other script than Latin and any quotation mark."""
     flat = text.replace("\n", " ").replace("\r", " ").replace("\t", " ")
     if text.isascii():
+        if not text.isprintable():
+            for c in "\x0b\x0c\x1c\x1d\x1e\x1f":
+                flat = flat.replace(c, " ")
         return flat, False, '"' in text
     for c in _SPACES:
         flat = flat.replace(c, " ")
@@ -152,12 +164,16 @@ def _views(text: str) -> tuple[str, bool, bool]:
 
 
 def _candidates(unit: str, flat: str, script: str, quoted: bool) -> list[tuple[int, tuple]]:
-    """``(end, kind)`` of each candidate; kind is (token before, token after, mark, closers, opening quote leads, citation, no space). At the unit's end the token after is empty."""
-    out: list[tuple[int, tuple]] = []
+    """``(end, next start, kind)`` of each candidate; kind is (token before, token after, mark, closers, opening quote leads, citation, no space, script). At the unit's end the token after is empty.
+
+    The token before a stop reaches to the blank before it, in scripts without spaces it is the last two characters.
+    """
+    out: list[tuple[int, int, tuple]] = []
     quotes = _quotations(unit) if quoted else ()
     ends = {b: a for a, b in quotes} if quotes else ()
     plain = script in "lc"
     n, q, spaceless = len(unit), 0, script in "hkt"
+    blank, known_to = -1, 0  # the last blank before a stop, and how far blanks were looked for
     for m in _STOP.finditer(unit):
         i, j = m.span()
         if j - i == 1 and j < n and unit[j] in _GOES_ON and unit[i] == ".":
@@ -179,8 +195,10 @@ def _candidates(unit: str, flat: str, script: str, quoted: bool) -> list[tuple[i
                 if j in ends or (c == " " and j + 1 in ends and flat[j + 1] == "\u00bb"):
                     j += c == " "
                     closers += "q"
-                    before = unit[max(0, ends[j] - 200) : ends[j]].rstrip()
-                    leads = not before or before[-1] in _LEADING
+                    at = ends[j] - 1
+                    while at >= 0 and flat[at] == " ":
+                        at -= 1
+                    leads = at < 0 or unit[at] in _LEADING
                     j += 1
                 elif c in _BRACKETS:
                     closers += "b"
@@ -190,33 +208,39 @@ def _candidates(unit: str, flat: str, script: str, quoted: bool) -> list[tuple[i
                     j = cite.end()
                 else:
                     break
+        at = j
         if j < n:
             c = flat[j]
-            at = j
             if c != " ":
                 joined = True
                 if c in ",;:\u3001\uff0c\uff1b\uff1a":
                     continue
                 if mark not in _FREE and flat[j - 1] not in _FREE and not ((closers or mark == "\u2026") and script in "hk"):
-                    if not (c.isupper() or c in "\u00bf\u00a1\u201c\u201e\u00ab(") or (mark == "." and not closers and not cited and not _wordlike(unit, i, j)):
+                    if c.isupper() or c in "\u00bf\u00a1\u201c\u201e\u00ab(":
+                        if mark == "." and not closers and not cited and not _wordlike(unit, i, j):
+                            continue
+                    elif c.isascii() or not c.isalpha() or c.islower() or i == 0 or unit[i - 1].isascii():  # letters without case may begin a sentence
                         continue
             else:
                 at = j + 1
                 while flat[at] == " ":
                     at += 1
-            to = flat.find(" ", at, at + 24)
-            raw = flat[at : to if to > 0 else at + 24]
+            to = flat.find(" ", at)
+            raw = flat[at : to if to > 0 else n]
             token = _seen_after.get((raw, spaceless)) or _token_after(raw, spaceless)
             if not joined and plain and i > 40 and token.islower() and "." not in token and flat[i - 60 if i > 60 else 0 : i].islower():
                 token = token.capitalize()  # a passage without capitals: what follows its stops says nothing by its case
         if mark == "." and not closers:
-            raw = flat[flat.rfind(" ", i - 24 if i > 24 else 0, i) + 1 or (i - 24 if i > 24 else 0) : i]
+            if (found := flat.rfind(" ", known_to, i)) >= 0:
+                blank = found
+            known_to = i
+            raw = flat[max(blank + 1, i - 2) if spaceless and i and not flat[i - 1].isascii() else blank + 1 : i]
             w = _seen_before.get(raw)
             if w is None:
                 w = _token_before(raw)
         else:
             w = f"{mark}{closers}{script}{'L' if leads else ''}"
-        out.append((j, (w, token, mark, closers, leads, cited, joined)))
+        out.append((j, at, (w, token, mark, closers, leads, cited, joined, script)))
     return out
 
 
@@ -283,6 +307,7 @@ class Model:
     def __init__(self, before: dict[str, int] | Levels, after: dict[str, int] | Levels, inner: dict[str, int] | Levels, weights: dict[str, float]):
         self.before, self.after, self.inner, self.weights = before, after, inner, weights
         self.known: dict[tuple, bool] = {}
+        self.texts: dict[str, bool] = {}
 
     @staticmethod
     def level(yes: int, no: int, base: float) -> int:
@@ -304,13 +329,13 @@ class Model:
         return kind[1].islower() and self.before.get(kind[0]) == 4 and self.inner.get(kind[0]) == 0
 
     def features(self, kind: tuple) -> list[str]:
-        w, token, mark, closers, leads, cited, joined = kind
+        w, token, mark, closers, leads, cited, joined, script = kind
         b, a = self.before.get(w, 4), self.after.get(token, 3)
         s, p = _shape(token), _before(w) if mark == "." and not closers else "mark"
         known, i = "k" if token in self.after else "u", self.inner.get(w, 0)
         return [
             "bias", f"b{b}", f"a{a}{known}", f"s{s}", f"p{p}", f"m{mark}", f"c{closers}", f"b{b}a{a}", f"b{b}s{s}", f"a{a}s{s}", f"m{mark}s{s}",
-            f"c{closers}{leads}s{s}", f"p{p}s{s}", f"p{p}a{a}", f"t{cited}", f"n{min(len(w), 6)}", f"b{b}p{p}", f"i{i}", f"i{i}s{s}", f"i{i}a{a}", f"i{i}b{b}s{s}", f"i{i}b{b}a{a}s{s}",
+            f"c{closers}{leads}s{s}", f"p{p}s{s}", f"p{p}a{a}", f"t{cited}", f"n{min(len(w), 6)}", f"b{b}p{p}", f"i{i}", f"i{i}s{s}", f"i{i}a{a}", f"i{i}b{b}s{s}", f"i{i}b{b}a{a}s{s}", f"r{script}", f"r{script}m{mark}", f"r{script}s{s}",
         ]
 
     def probability(self, kind: tuple) -> float:
@@ -325,91 +350,156 @@ class Model:
             got = self.known[kind] = bool(self.probability(kind) >= 0.5)
         return got
 
+    def decide(self, first: int, ends: np.ndarray, starts: np.ndarray, kinds: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of sentences from a document's ``boundaries``."""
+        known, yes = self.texts, []
+        for k in kinds:
+            got = known.get(k)
+            if got is None:
+                if len(known) > 400_000:
+                    known.clear()
+                got = known[k] = not k or self.ends(unwritten(k))
+            yes.append(got)
+        cut = np.array(yes, dtype=bool)
+        return np.concatenate(([first], starts[cut][:-1])).astype(np.int32), ends[cut]
+
     def sentences(self, text: str) -> list[tuple[int, int]]:
         """``(start, end)`` of each sentence, without surrounding white space."""
-        out = []
-        known = self.known
-        flat, mixed, quoted = _views(text)
-        for a, b in units(text):
-            unit, n = text[a:b], b - a
-            script = _script(unit) if mixed else "l"
-            cuts = []
-            for j, kind in _candidates(unit, flat[a:b], script, quoted):
-                if j < n:
-                    yes = known.get(kind)
-                    if yes or (yes is None and self.ends(kind)):
-                        cuts.append(j)
-            if script == "t":
-                cuts = sorted({*cuts, *(m.start() for m in _THAI_SPACE.finditer(unit) if _THAI.search(unit[m.start() - 1] + unit[m.end()]))})
-            at = 0
-            for cut in cuts:
-                while unit[at].isspace():
-                    at += 1
-                if at < cut:
-                    out.append((a + at, a + cut))
-                at = cut
-            while at < n and unit[at].isspace():
-                at += 1
-            if at < n:
-                out.append((a + at, b))
-        return out
+        first, ends, starts, kinds = boundaries(text)
+        if not ends:
+            return []
+        a, b = self.decide(first, np.array(ends, dtype=np.int32), np.array(starts, dtype=np.int32), kinds)
+        return list(zip(a.tolist(), b.tolist()))
+
+
+def written(kind: tuple) -> str:
+    """A kind of candidate as a string; tokens have no white space and so none of its separators."""
+    w, token, mark, closers, leads, cited, joined, script = kind
+    return f"{w}\x1f{token}\x1f{mark}\x1f{closers}\x1f{leads:d}{cited:d}{joined:d}{script}"
 
 
-def _observe(text: str, edges: Counter, kinds: Counter, trained: Counter | None) -> None:
-    """Adds one document's counts: ('w', token) at the ends of units and ('n', token) at their starts; kinds of candidates inside units; and pairs of an end with the next start, for training."""
-    before, seen = None, kinds.get
+def unwritten(text: str) -> tuple:
+    w, token, mark, closers, flags = text.split("\x1f")
+    return (w, token, mark, closers, *(f == "1" for f in flags[:3]), flags[3])
+
+
+def boundaries(text: str, observe: Callable[[list, str, str], None] | None = None) -> tuple[int, list[int], list[int], list[str]]:
+    """The first start, and for each boundary or candidate its end, the start of what follows, and its kind; boundaries that are sure have the empty kind.
+
+    A sentence runs from the start after the last boundary to the end of the next. ``observe`` is told the candidates
+    of each unit, the unit and its script.
+    """
+    first, ends, starts, kinds = 0, [], [], []
     flat, mixed, quoted = _views(text)
     for a, b in units(text):
-        unit = text[a:b]
+        unit, n = text[a:b], b - a
         script = _script(unit) if mixed else "l"
-        last, n = None, b - a
-        for j, kind in _candidates(unit, flat[a:b], script, quoted):
+        found = _candidates(unit, flat[a:b], script, quoted)
+        if observe is not None:
+            observe(found, unit, script)
+        if ends:
+            starts.append(a)
+        else:
+            first = a
+        own = [(j, at, written(kind)) for j, at, kind in found if j < n]
+        if script == "t":
+            spaces = {m.start(): m.end() for m in _THAI_SPACE.finditer(unit) if _THAI.search(unit[m.start() - 1] + unit[m.end()])}
+            own = sorted([*((j, at, k) for j, at, k in own if j not in spaces), *((j, at, "") for j, at in spaces.items())])
+        at = 0
+        for j, after, kind in own:
+            if j > at and after < n:
+                ends.append(a + j)
+                starts.append(a + after)
+                kinds.append(kind)
+                at = after
+        ends.append(b)
+        kinds.append("")
+    if ends:
+        starts.append(len(text))
+    return first, ends, starts, kinds
+
+
+class _Counts:
+    """Counts over documents: tokens at the ends and starts of units, kinds of candidates inside, and, of documents for training, kinds of ends with the start that follows."""
+
+    def __init__(self):
+        self.edges, self.kinds, self.pairs = Counter(), (Counter(), Counter()), Counter()
+        self.before, self.train = None, 0
+
+    def begin(self, train: bool) -> None:
+        self.before, self.train = None, int(train)
+
+    def __call__(self, found: list, unit: str, script: str) -> None:
+        last, n, kinds = None, len(unit), self.kinds[self.train]
+        seen = kinds.get
+        for j, _, kind in found:
             if j == n:
                 last = kind
             else:
                 kinds[kind] = seen(kind, 0) + 1
         if last:
-            token = _token_after(unit[:24].split()[0], script in "hkt")
-            edges["w", last[0]] += 1
-            edges["n", token] += 1
-            if before and trained is not None:
-                trained[before[0], token, *before[2:]] += 1
-            before = last
-
-
-def _rows(edges: Counter, kinds: Counter, ends: Counter, train: bool) -> Iterator[tuple]:
-    """Rows of counts: kind, token, whether at an edge (or in lower case), how many."""
-    inside: Counter = Counter()
-    for k, n in kinds.items():
-        inside["w", k[0], False] += n
-        inside["i", k[0], k[1].islower()] += n
-        if not k[6]:
-            inside["n", k[1], False] += n
-    yield from ((*k, n) for k, n in inside.items())
-    yield from ((*k, True, n) for k, n in edges.items())
-    if train:
-        for c, yes in ((kinds, False), (ends, True)):
-            yield from (("t", "\x1f".join(map(str, k)), yes, n) for k, n in c.items())
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    state = [(Counter(), Counter(), Counter()) for _ in range(2)]
-
-    def flush() -> pa.RecordBatch:
-        rows = [r for train in (0, 1) for r in _rows(*state[train], bool(train))]
-        for counters in state:
-            for c in counters:
-                c.clear()
-        cols = list(zip(*rows)) or [(), (), (), ()]
-        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.bool_()), pa.array(cols[3], pa.int64())], ["kind", "token", "edge", "n"])
+            token = _token_after(unit[: _first_blank(unit)], script in "hkt")
+            self.edges["w", last[0]] += 1
+            self.edges["n", token] += 1
+            if self.before and self.train:
+                b = self.before
+                self.pairs[b[0], token, b[2], b[3], b[4], b[5], b[6], b[7]] += 1
+            self.before = last
+
+    def __len__(self) -> int:
+        return len(self.edges) + len(self.kinds[0]) + len(self.kinds[1]) + len(self.pairs)
+
+    def rows(self) -> list[tuple[str, str, bool, int]]:
+        """Rows of counts: kind, token, whether at an edge (or in lower case), how many; and empties the counts."""
+        inside: Counter = Counter()
+        for counted in self.kinds:
+            for k, n in counted.items():
+                inside["w", k[0], False] += n
+                inside["i", k[0], k[1].islower()] += n
+                if not k[6]:
+                    inside["n", k[1], False] += n
+        out = [(*k, n) for k, n in inside.items()] + [(*k, True, n) for k, n in self.edges.items()]
+        out += [("t", written(k), False, n) for k, n in self.kinds[1].items()] + [("t", written(k), True, n) for k, n in self.pairs.items()]
+        for c in (self.edges, *self.kinds, self.pairs):
+            c.clear()
+        return out
 
+
+def _first_blank(unit: str) -> int:
+    m = _SPACE.search(unit)
+    return m.start() if m else len(unit)
+
+
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For ``(id, text, train)``: a row for each document with its boundaries, and rows of counts."""
+    counts = _Counts()
     for batch in batches:
-        for text, train in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            edges, kinds, ends = state[train]
-            _observe(text, edges, kinds, ends if train else None)
-        if sum(len(c) for counters in state for c in counters) > 200_000:
-            yield flush()
-    yield flush()
+        at, firsts, ends, starts, kinds = [], [], [], [], []
+        for i, (text, train) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+            counts.begin(train)
+            first, e, s, k = boundaries(text, counts)
+            if e:
+                at.append(i)
+                firsts.append(first)
+                ends.append(np.array(e, dtype=np.int32).tobytes())
+                starts.append(np.array(s, dtype=np.int32).tobytes())
+                kinds.append("\x1e".join(k))
+        n = len(at)
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(firsts, pa.int32()), pa.array(ends, pa.binary()), pa.array(starts, pa.binary()), pa.array(kinds, pa.string()), pa.nulls(n, pa.string()), pa.nulls(n, pa.string()), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.int64())], _COLUMNS)
+        if len(counts) > 200_000:
+            yield _count_rows(counts, batch.column(0).type)
+        kind = batch.column(0).type
+    if len(counts):
+        yield _count_rows(counts, kind)
+
+
+_COLUMNS = ["id", "first", "ends", "starts", "kinds", "kind", "token", "edge", "n"]
+
+
+def _count_rows(counts: _Counts, id_type: pa.DataType) -> pa.RecordBatch:
+    cols = list(zip(*counts.rows()))
+    n = len(cols[0])
+    return pa.RecordBatch.from_arrays([pa.nulls(n, id_type), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.string()), pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.bool_()), pa.array(cols[3], pa.int64())], _COLUMNS)
 
 
 def _fit(rows: list[tuple[tuple, bool, int]], model: Model, rounds: int = 25, ridge: float = 0.02) -> dict[str, float]:
@@ -446,19 +536,18 @@ def _levels(level: Callable[[int, int], int], batches: Iterator[pa.RecordBatch])
         yield pa.RecordBatch.from_arrays([pa.array([Levels.hash(t) for t in token], pa.int64()), pa.array([level(y, n) for y, n in zip(yes, no)], pa.int8())], ["hash", "level"])
 
 
-def train(documents: DataFrame, text_col: str = "text", training_documents: int = 8_000) -> Model:
-    """A model from the counts over all documents and the reliable boundaries of at most about ``training_documents``.
+def _scanned(documents: DataFrame, id_col: str, text_col: str, training_documents: int) -> DataFrame:
+    """A written table of the boundaries of all documents and the counts over them, from one pass over the texts."""
+    every = max(1, -(-documents.count() // training_documents))  # rows are counted from the footers
+    docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
+    docs = docs.withColumn("train", F.pmod(F.xxhash64("text"), F.lit(every)) == 0)
+    schema = f"id {docs.schema['id'].dataType.simpleString()}, first int, ends binary, starts binary, kinds string, kind string, token string, edge boolean, n long"
+    return Scratch(documents.sparkSession, "sentences").put(docs.mapInArrow(_scan, schema))
 
-    Every token that is found three times keeps its level; a rarer one is judged by its form and by the other side. No documents, or none with two kinds of evidence, give a model that
-    takes every candidate for a boundary.
-    """
-    texts = documents.select(F.col(text_col).alias("text")).where("text is not null")
-    every = max(1, -(-texts.count() // training_documents))
-    texts = texts.select("text", (F.pmod(F.xxhash64("text"), F.lit(every)) == 0).alias("train"))
-    counts = texts.mapInArrow(_count, "kind string, token string, edge boolean, n long").groupBy("kind", "token", "edge").agg(F.sum("n").alias("n"))
-    from lodestrata.sources.scratch import Scratch
 
-    scratch = Scratch(documents.sparkSession, "sentences")
+def _trained(scanned: DataFrame) -> Model:
+    counts = scanned.where("kind is not null").groupBy("kind", "token", "edge").agg(F.sum("n").alias("n"))
+    scratch = Scratch(scanned.sparkSession, "tokens")
     counts = scratch.put(counts)
     sides = {}
     for side in ("w", "n", "i"):
@@ -471,8 +560,7 @@ def train(documents: DataFrame, text_col: str = "text", training_documents: int
     model = Model(sides["w"], sides["n"], sides["i"], {})
     rows = []
     for token, edge, n in counts.where("kind = 't'").select("token", "edge", "n").collect():
-        k = token.split("\x1f")
-        kind = (k[0], k[1], k[2], k[3], k[4] == "True", k[5] == "True", k[6] == "True")
+        kind = unwritten(token)
         if edge or model.reliable(kind):
             rows.append((kind, edge, n))
         elif model.ordinary(kind):
@@ -482,25 +570,48 @@ def train(documents: DataFrame, text_col: str = "text", training_documents: int
     return model
 
 
-def sentences(documents: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def train(documents: DataFrame, text_col: str = "text", training_documents: int = 8_000) -> Model:
+    """A model from the counts over all documents and the reliable boundaries of at most about ``training_documents``.
+
+    Every token that is found three times keeps its level; a rarer one is judged by its form and by the other side. No documents, or none with two kinds of evidence, give a model that
+    takes every candidate for a boundary.
+    """
+    return _trained(_scanned(documents, text_col, text_col, training_documents))
+
+
+def sentences(documents: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", training_documents: int = 8_000) -> DataFrame:
     """``(id, start_char, end_char)`` for each sentence; offsets count code points, the end is exclusive.
 
-    Null and blank texts give no rows; repeated rows repeat theirs. Only the id and the text are read.
+    Null and blank texts give no rows; repeated rows repeat theirs. Only the id and the text are read, once: without a
+    model the pass that counts tokens also writes each document's candidates, and these are decided when it is fitted.
     """
-    model = model or train(documents, text_col)
+    if model is None:
+        scanned = _scanned(documents, id_col, text_col, training_documents)
+        model = _trained(scanned)
+        docs = scanned.where("kind is null").select(F.col("id").alias(id_col), "first", "ends", "starts", "kinds")
+    else:
+        docs = documents.select(F.col(id_col), F.col(text_col).alias("_text")).where("_text is not null")
+    whole = "_text" in docs.columns
     sent = documents.sparkSession.sparkContext.broadcast((model.before, model.after, model.inner, model.weights))
-    docs = documents.select(F.col(id_col), F.col(text_col).alias("text")).where("text is not null")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*sent.value)
         for batch in batches:
-            rows, starts, ends = [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                for a, b in own.sentences(text):
-                    rows.append(i)
-                    starts.append(a)
-                    ends.append(b)
-            ids = batch.column(0).take(pa.array(rows, type=pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], [id_col, "start_char", "end_char"])
+            rows, starts, ends = [], [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.int32)]
+            columns = [c.to_pylist() for c in batch.columns[1:]]
+            for i, row in enumerate(zip(*columns)):
+                if whole:
+                    first, e, s, kinds = boundaries(row[0])
+                    if not e:
+                        continue
+                    e, s = np.array(e, dtype=np.int32), np.array(s, dtype=np.int32)
+                else:
+                    first, e, s, kinds = row[0], np.frombuffer(row[1], dtype=np.int32), np.frombuffer(row[2], dtype=np.int32), row[3].split("\x1e")
+                a, b = own.decide(first, e, s, kinds)
+                rows.append(np.full(len(a), i, dtype=np.int64))
+                starts.append(a)
+                ends.append(b)
+            ids = batch.column(0).take(pa.array(np.concatenate([np.zeros(0, dtype=np.int64), *rows])))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(starts)), pa.array(np.concatenate(ends))], [id_col, "start_char", "end_char"])
 
     return docs.mapInArrow(emit, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, start_char int, end_char int")

@@ -87,3 +87,35 @@ def test_every_token_with_evidence_is_kept(spark):
     rows += [("By the zzabb. Smith report it ran.\n\nNo more.",)] * 3
     m = se.train(spark.createDataFrame(rows, "text string"))
     assert len(m.before) > 31_000 and m.before.get("zzabb", 4) < m.before.get("q" + letters(30_999)) == 4 and "none such" not in m.before
+
+
+def test_stops_before_letters_without_case_are_candidates():
+    for unit, end in (("هطل المطر.ثم توقف", 10), ("पानी गिरा!फिर रुका", 10), ("水位下降.水泵停止", 5), ("น้ำลดลง.ปั๊มหยุด", 8), ("نزل الماء؟نعم", 10)):
+        flat, mixed, quoted = se._views(unit)
+        found = se._candidates(unit, flat, se._script(unit), quoted)
+        assert [(j, at, k[6]) for j, at, k in found if j < len(unit)] == [(end, end, True)]
+    assert [j for j, _, _ in se._candidates("run in v.2 or a.b", "run in v.2 or a.b", "l", False)] == []
+
+
+def test_no_window_hides_a_token_or_a_quotation(model):
+    long = "x" * 5_000 + "Y"
+    found = se._candidates(f"It was {long}. {long}y ran on.", f"It was {long}. {long}y ran on.", "l", False)
+    assert found[0][2][:2] == (long, f"{long}y")
+    deep = "„" * 30 + "a. b" + "“" * 30
+    assert se._quotations(deep) == [(0, len(deep) - 1)]
+    lead = f"{' ' * 400}“Shut it!” he said."
+    assert cut(model, f"He asked:{lead}") == [f"He asked:{lead}"]
+
+
+def test_the_pass_over_texts_and_the_one_with_a_model_agree(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    own = se.train(docs)
+    assert sorted(map(tuple, se.sentences(docs, own).collect())) == sorted(map(tuple, se.sentences(docs).collect()))
+
+
+@given(st.text(alphabet="aB.\x1e\x1f\x0b 中。", max_size=30))
+def test_kinds_survive_writing(text):
+    flat, mixed, quoted = se._views(text)
+    for a, b in se.units(text):
+        for _, _, kind in se._candidates(text[a:b], flat[a:b], "l", quoted):
+            assert se.unwritten(se.written(kind)) == kind and "\x1e" not in se.written(kind)
