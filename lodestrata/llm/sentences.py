@@ -308,6 +308,8 @@ class Model:
         self.before, self.after, self.inner, self.weights = before, after, inner, weights
         self.known: dict[tuple, bool] = {}
         self.texts: dict[str, bool] = {}
+        self.lefts: dict[str, tuple] = {}
+        self.rights: dict[str, tuple] = {}
 
     @staticmethod
     def level(yes: int, no: int, base: float) -> int:
@@ -328,26 +330,40 @@ class Model:
         """Whether a stop inside a unit certainly is a boundary though lower case follows: the token before it ends units as often as others, and hardly ever goes on."""
         return kind[1].islower() and self.before.get(kind[0]) == 4 and self.inner.get(kind[0]) == 0
 
-    def features(self, kind: tuple) -> list[str]:
+    def traits(self, kind: tuple) -> tuple:
+        """What of a kind its features depend on: few values, however many tokens there are."""
         w, token, mark, closers, leads, cited, joined, script = kind
-        b, a = self.before.get(w, 4), self.after.get(token, 3)
-        s, p = _shape(token), _before(w) if mark == "." and not closers else "mark"
-        known, i = "k" if token in self.after else "u", self.inner.get(w, 0)
+        left, right = self.lefts.get(w), self.rights.get(token)
+        if left is None:
+            if len(self.lefts) > 200_000:
+                self.lefts.clear()
+            left = self.lefts[w] = self.before.get(w, 4), self.inner.get(w, 0), _before(w), min(len(w), 6)
+        if right is None:
+            if len(self.rights) > 200_000:
+                self.rights.clear()
+            level = self.after.get(token)
+            right = self.rights[token] = (3, "u", _shape(token)) if level is None else (level, "k", _shape(token))
+        return left, right, mark, closers, leads, cited, script
+
+    @staticmethod
+    def features(traits: tuple) -> list[str]:
+        (b, i, p, n), (a, known, s), mark, closers, leads, cited, script = traits
+        if mark != "." or closers:
+            p = "mark"
         return [
             "bias", f"b{b}", f"a{a}{known}", f"s{s}", f"p{p}", f"m{mark}", f"c{closers}", f"b{b}a{a}", f"b{b}s{s}", f"a{a}s{s}", f"m{mark}s{s}",
-            f"c{closers}{leads}s{s}", f"p{p}s{s}", f"p{p}a{a}", f"t{cited}", f"n{min(len(w), 6)}", f"b{b}p{p}", f"i{i}", f"i{i}s{s}", f"i{i}a{a}", f"i{i}b{b}s{s}", f"i{i}b{b}a{a}s{s}", f"r{script}", f"r{script}m{mark}", f"r{script}s{s}",
+            f"c{closers}{leads}s{s}", f"p{p}s{s}", f"p{p}a{a}", f"t{cited}", f"n{n}", f"b{b}p{p}", f"i{i}", f"i{i}s{s}", f"i{i}a{a}", f"i{i}b{b}s{s}", f"i{i}b{b}a{a}s{s}", f"r{script}", f"r{script}m{mark}", f"r{script}s{s}",
         ]
 
-    def probability(self, kind: tuple) -> float:
-        z = sum(self.weights.get(f, 0.0) for f in self.features(kind))
-        return 1 / (1 + np.exp(-z))
-
     def ends(self, kind: tuple) -> bool:
-        got = self.known.get(kind)
+        """Whether a kind of candidate is a boundary."""
+        traits = self.traits(kind)
+        got = self.known.get(traits)
         if got is None:
             if len(self.known) > 200_000:
                 self.known.clear()
-            got = self.known[kind] = bool(self.probability(kind) >= 0.5)
+            z = sum(self.weights.get(f, 0.0) for f in self.features(traits))
+            got = self.known[traits] = z >= 0
         return got
 
     def decide(self, first: int, ends: np.ndarray, starts: np.ndarray, kinds: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -506,7 +522,7 @@ def _fit(rows: list[tuple[tuple, bool, int]], model: Model, rounds: int = 25, ri
     """Weights of a maximum-entropy model by Newton's method, over distinct feature lists with their counts."""
     grouped: Counter = Counter()
     for kind, yes, n in rows:
-        grouped[tuple(model.features(kind)), yes] += n
+        grouped[tuple(model.features(model.traits(kind))), yes] += n
     names = sorted({f for (fs, _), _ in grouped.items() for f in fs})
     if not names or len({yes for _, yes in grouped}) < 2:
         return {"bias": 1.0}

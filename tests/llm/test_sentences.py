@@ -103,8 +103,9 @@ def test_no_window_hides_a_token_or_a_quotation(model):
     assert found[0][2][:2] == (long, f"{long}y")
     deep = "„" * 30 + "a. b" + "“" * 30
     assert se._quotations(deep) == [(0, len(deep) - 1)]
-    lead = f"{' ' * 400}“Shut it!” he said."
-    assert cut(model, f"He asked:{lead}") == [f"He asked:{lead}"]
+    lead = f"Shut it.{' ' * 400}“Now!” he said."
+    end = lambda t: [k[4] for j, _, k in se._candidates(t, t, "l", True) if t[j - 1] == "”"]
+    assert end(lead) == [True] and end(lead.replace("it.", "it")) == [False]
 
 
 def test_the_pass_over_texts_and_the_one_with_a_model_agree(spark):
