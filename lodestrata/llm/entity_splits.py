@@ -16,6 +16,7 @@ import heapq
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -94,8 +95,11 @@ def author_links(rows: DataFrame) -> DataFrame:
     return links.select(F.concat(F.lit("r\x1f"), "node").alias("a"), F.concat_ws("\x1f", F.lit("p"), "who", "given").alias("b")).distinct()
 
 
-def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Union-find over one partition's edges: a row for each node, with the smallest node of its local tree."""
+def _forest(batches: Iterator[pd.DataFrame], most_nodes: int | None = None) -> Iterator[pd.DataFrame]:
+    """Union-find over one partition's edges: a row for each node, with the smallest node of its local tree.
+
+    With ``most_nodes`` a forest of so many nodes is given out and a new one begun; what both have is merged later.
+    """
     ids: dict[str, int] = {}
     names: list[str] = []
     up: list[int] = []
@@ -105,6 +109,11 @@ def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             up[i] = i = up[up[i]]
         return i
 
+    def grown() -> Iterator[pd.DataFrame]:
+        for at in range(0, len(names), 50_000):
+            part = range(at, min(at + 50_000, len(names)))
+            yield pd.DataFrame({"node": [names[i] for i in part], "root": [names[root(i)] for i in part]})
+
     for b in batches:
         for x, y in zip(b["a"], b["b"]):
             pair = []
@@ -120,9 +129,12 @@ def _forest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     up[j] = i
                 else:
                     up[i] = j
-    for at in range(0, len(names), 50_000):
-        part = range(at, min(at + 50_000, len(names)))
-        yield pd.DataFrame({"node": [names[i] for i in part], "root": [names[root(i)] for i in part]})
+            if most_nodes and len(names) >= most_nodes:
+                yield from grown()
+                ids.clear()
+                names.clear()
+                up.clear()
+    yield from grown()
 
 
 def union_find(edges: DataFrame, edges_per_task: int = 200_000) -> DataFrame:
@@ -139,7 +151,9 @@ def union_find(edges: DataFrame, edges_per_task: int = 200_000) -> DataFrame:
             hot = hot_keys(graph, "a", n)
             salt = F.when(F.col("a").isin(hot), F.pmod(F.xxhash64("b"), F.lit(tasks))).otherwise(F.lit(0)) if hot else F.lit(0)
             graph = graph.repartition(tasks, F.col("a"), salt) if tasks > 1 else graph.coalesce(1)
-        local = scratch.put(graph.mapInPandas(_forest, "node string, root string"))
+        # The first level takes the edges where they lie, in forests of bounded size, without a shuffle.
+        grow = _forest if levels else partial(_forest, most_nodes=edges_per_task)
+        local = scratch.put(graph.mapInPandas(grow, "node string, root string"))
         merged = local.groupBy("node").agg(F.min("root").alias("root"), F.collect_set("root").alias("roots"))
         merged = scratch.put(merged)
         levels.append((merged.select("node", "root"), row_count(merged)))
@@ -165,8 +179,9 @@ def record_groups(manifest: DataFrame, id_col: str = "id", authors_col: str = "a
     lone = F.concat(F.lit("\x00"), F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in dict.fromkeys(manifest.columns)])), 256))
     split = F.regexp_replace(F.lower(F.col(split_col)), r"[\s\p{Z}\p{Pd}_]+", "")
     rows = manifest.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col), lone).alias("node"), F.col(authors_col).alias("authors"), F.when(split != "", split).alias("split"))
+    rows = Scratch(manifest.sparkSession, "records").put(rows)
     found = union_find(author_links(rows)).where("startswith(node, 'r\x1f')").select(F.substr("node", F.lit(3)).alias("node"), F.col("root").alias("group_id"))
-    return split_join(rows, found, "node", rows.count(), "left").select("id", "node", F.translate(F.coalesce("group_id", F.concat(F.lit("r\x1f"), "node")), "\x1f", "/").alias("group_id"), "split")
+    return split_join(rows, found, "node", row_count(rows), "left").select("id", "node", F.translate(F.coalesce("group_id", F.concat(F.lit("r\x1f"), "node")), "\x1f", "/").alias("group_id"), "split")
 
 
 def conflicting_records(groups: DataFrame) -> DataFrame:
@@ -223,13 +238,15 @@ def greedy_quotas(sizes: list[tuple[int, int]], shares: list[tuple[str, float]])
 def assign_splits(groups: DataFrame, policy: DataFrame) -> DataFrame:
     """``(id, group_id, assigned)`` for every row of ``record_groups``, by the shares of ``policy(split, share)``.
 
-    The policy is a table of a few rows that names the splits. Groups of one size are ranked by a range sort, so no
+    The policy is a table of a few rows that names the splits; more than 1,000 are an error. Groups of one size are ranked by a range sort, so no
     task holds a whole size class. An empty policy or no groups give no rows.
     """
     scratch = Scratch(groups.sparkSession, "assign")
     groups = scratch.put(groups)
     sizes = scratch.put(groups.groupBy("group_id").agg(F.count(F.lit(1)).alias("size")))
-    shares = [(r[0], float(r[1])) for r in policy.where("split is not null and share > 0").groupBy("split").agg(F.max("share")).limit(1000).collect()]
+    shares = [(r[0], float(r[1])) for r in policy.where("split is not null and share > 0").groupBy("split").agg(F.max("share")).take(1001)]
+    if len(shares) > 1000:
+        raise ValueError("more than 1,000 splits")
     counts = [(r[0], r[1]) for r in sizes.groupBy("size").count().collect()]
     if not shares or not counts:
         return groups.sparkSession.createDataFrame([], "id string, group_id string, assigned string")

@@ -8,9 +8,9 @@ where that is nothing does the bucket of that block give the patterns to compare
 characters hardly any position of an unrelated text is in the table, so a scan looks at about one position in
 ``m - 7``. A hit in a word pattern counts if it begins and ends at words of the document.
 
-The corpus is read once, is never shuffled and needs no key; the result is produced in the same pass. Test items are
-searched in blocks of at most ``block_chars`` characters each, so what is sent to the executors is bounded however
-many items there are.
+The corpus is never shuffled and needs no key; the result is produced in the pass that reads it. Test items are
+searched in blocks of at most ``block_chars`` characters each, so what a worker holds is bounded however many items
+there are: about 122 bytes a character, which is 120 MB for the default. Every further block is one more pass.
 """
 
 from __future__ import annotations
@@ -131,7 +131,7 @@ class _Matcher:
         return sorted(found)
 
 
-def leaked_items(documents: DataFrame, items: DataFrame, doc_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", words: int = 12, characters: int = 30, block_chars: int = 4_000_000) -> DataFrame:
+def leaked_items(documents: DataFrame, items: DataFrame, doc_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", words: int = 12, characters: int = 30, block_chars: int = 1_000_000) -> DataFrame:
     """``(item, doc)`` for every document with ``words`` consecutive words (or ``characters`` characters) of an item.
 
     Null, blank or shorter texts on either side match nothing; an item that is repeated under several ids gives a row

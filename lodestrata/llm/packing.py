@@ -3,8 +3,8 @@
 Each text is tokenized once by a public tokenizer. Its hashed vector is the sum of one pseudo-random sign vector per
 token, which is a random projection of its token counts to a few dimensions; the coordinates are put on a grid by
 fixed bounds and give a Hilbert key, so that texts with similar tokens are neighbours along the curve. Items (a text,
-or a piece of a text that alone exceeds the capacity) are range-sorted by that key, with a hash of the id to divide
-equal keys, and each range is packed in order: windows of neighbouring items are placed largest first, each into the
+or a piece of a text that alone exceeds the capacity) are range-sorted by that key, over ranges that are found by
+counting the items of cells of the curve, with a hash of the id to divide equal keys, and each range is packed in order: windows of neighbouring items are placed largest first, each into the
 fullest context with room for it among those still open; contexts stay open from window to window until they are
 nearly full or too many are open. Only ids, sizes and keys are shuffled, never texts.
 """
@@ -179,11 +179,37 @@ class Packer:
         return out
 
 
-def pack(sized: DataFrame, budgets: list[tuple[int, int]], ranges: int, id_col: str = "doc_id", window: int = 2_000, most_open: int = 400) -> DataFrame:
+#: Bits of the curve by which items are counted for the ranges: at most 65,536 numbers for each budget (fixed value).
+_CELL_BITS = 16
+
+
+def ranges_of(cells: list[tuple[int, int, int]], items_per_range: int) -> list[tuple[int, int, int, int]]:
+    """``(budget_id, cell, range, parts)`` from counts ``(budget_id, cell, items)``.
+
+    Ranges follow the curve and hold about ``items_per_range`` items; a cell of more is divided into ``parts`` ranges
+    of its own. They depend on the counts alone, so the same items always give the same ranges.
+    """
+    out, number, held, last = [], 0, 0, None
+    for budget, cell, n in sorted(cells):
+        parts = -(-n // items_per_range)
+        if budget != last or held + n > items_per_range:
+            number += held > 0
+            held = 0
+        out.append((budget, cell, number, parts))
+        held += n
+        if parts > 1:
+            number += parts
+            held = 0
+        last = budget
+    return out
+
+
+def pack(sized: DataFrame, budgets: list[tuple[int, int]], id_col: str = "doc_id", items_per_range: int = 100_000, window: int = 2_000, most_open: int = 400) -> DataFrame:
     """``sized`` items with ``context_id``; every context holds at most its budget's capacity.
 
-    A context is numbered within its range of the curve. Items of equal keys are divided by a hash of their id, so a
-    text that fills a large part of the rows is spread over ranges.
+    Items are counted by cells of the curve, which gives ranges that depend on the items alone; a context is numbered
+    within its range, so ids are the same in every run. Items of one cell with more than a range are divided by a hash
+    of their id, so a text that fills a large part of the rows is spread over ranges.
     """
     columns = ["budget_id", "context_id", id_col, "piece", "start_char", "end_char", "tokens"]
     kinds = {f.name: f.dataType.simpleString() for f in sized.schema}
@@ -191,17 +217,16 @@ def pack(sized: DataFrame, budgets: list[tuple[int, int]], ranges: int, id_col:
     capacity = dict(budgets)
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        packers: dict[int, Packer] = {}
         held: list[pd.DataFrame] = []
-        rows = 0
+        rows, packer, current = 0, None, None
 
         def place(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
+            nonlocal packer, current
             for at in range(0, len(part), window):
-                w = part.iloc[at : at + window]
-                for budget, own in w.groupby("budget_id", sort=True):
-                    p = packers.setdefault(budget, Packer(capacity[budget], most_open))
-                    numbers = p.place(own["tokens"].tolist())
-                    yield own.assign(context_id=[f"{budget}-{own['part'].iloc[0]}-{k}" for k in numbers])[columns]
+                for (number, budget), own in part.iloc[at : at + window].groupby(["range", "budget_id"], sort=True):
+                    if number != current:
+                        packer, current = Packer(capacity[budget], most_open), number
+                    yield own.assign(context_id=[f"{budget}-{number}-{k}" for k in packer.place(own["tokens"].tolist())])[columns]
 
         for b in batches:
             held.append(b)
@@ -214,19 +239,28 @@ def pack(sized: DataFrame, budgets: list[tuple[int, int]], ranges: int, id_col:
         if rows:
             yield from place(pd.concat(held))
 
-    salted = sized.withColumn("salt", F.xxhash64(id_col, "piece"))
-    ordered = salted.repartitionByRange(ranges, "budget_id", "curve", "salt").sortWithinPartitions("budget_id", "curve", "salt")
-    return ordered.withColumn("part", F.spark_partition_id()).drop("salt", "curve").mapInPandas(emit, schema)
+    spark = sized.sparkSession
+    cell = F.shiftright("curve", DIMENSIONS * GRID_BITS - _CELL_BITS).cast("int")
+    celled = sized.withColumn("cell", cell).withColumn("salt", F.xxhash64(id_col, "piece"))
+    counts = [(r[0], r[1], r[2]) for r in celled.groupBy("budget_id", "cell").count().collect()]
+    found = ranges_of(counts, items_per_range)
+    first = spark.createDataFrame(found, "budget_id int, cell int, first int, parts int")
+    placed = celled.join(F.broadcast(first), ["budget_id", "cell"]).withColumn("range", F.col("first") + F.pmod("salt", "parts").cast("int"))
+    tasks = max((f + p for _, _, f, p in found), default=1)
+    ordered = placed.repartitionById(tasks, "range").sortWithinPartitions("range", "curve", "salt", id_col, "piece")
+    return ordered.drop("salt", "curve", "cell", "first", "parts").mapInPandas(emit, schema)
 
 
 def fill_contexts(documents: DataFrame, budgets: DataFrame, ranks_file: str, id_col: str = "doc_id", text_col: str = "text", items_per_range: int = 100_000) -> DataFrame:
     """An assignment of all texts to contexts, for each budget of ``budgets(budget_id, capacity_tokens)``.
 
-    ``budgets`` is a table of a few rows; null or non-positive capacities are left out. Rows: ``budget_id``,
-    ``context_id``, the id, ``piece``, ``start_char``, ``end_char``, ``tokens``.
+    ``budgets`` is a table of a few rows, more than 1,000 are an error; null or non-positive capacities are left out.
+    Rows: ``budget_id``, ``context_id``, the id, ``piece``, ``start_char``, ``end_char``, ``tokens``.
     """
     from lodestrata.sources.scratch import Scratch
 
-    capacities = [(r[0], r[1]) for r in budgets.where("budget_id is not null and capacity_tokens > 0").groupBy("budget_id").agg(F.max("capacity_tokens")).orderBy("budget_id").limit(1000).collect()]
+    capacities = [(r[0], r[1]) for r in budgets.where("budget_id is not null and capacity_tokens > 0").groupBy("budget_id").agg(F.max("capacity_tokens")).orderBy("budget_id").take(1001)]
+    if len(capacities) > 1000:
+        raise ValueError("more than 1,000 budgets")
     sized = Scratch(documents.sparkSession, "packing").put(items(documents, capacities, ranks_file, id_col, text_col))
-    return pack(sized, capacities, max(1, -(-sized.count() // items_per_range)), id_col)
+    return pack(sized, capacities, id_col, items_per_range)

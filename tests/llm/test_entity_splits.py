@@ -98,3 +98,17 @@ def test_assignment_keeps_groups_and_shares(spark, tables):
     for r in rows:
         assert by.setdefault(r["group_id"], r["assigned"]) == r["assigned"]
     assert es.assign_splits(groups, spark.createDataFrame([], "split string, share double")).count() == 0
+
+
+def test_first_level_forests_are_bounded():
+    import pandas as pd
+
+    edges = pd.DataFrame({"a": [f"r{i}" for i in range(40)], "b": [f"p{i // 2}" for i in range(40)]})
+    parts = list(es._forest(iter([edges[i : i + 5] for i in range(0, 40, 5)]), 10))
+    assert all(len(p) <= 10 + 10 for p in parts) and sum(map(len, parts)) > 60 and len(parts) > 4
+
+
+def test_more_splits_than_allowed(spark):
+    groups = es.record_groups(spark.createDataFrame([("a", "Anna Lund", "x")], "id string, authors string, split string"))
+    with pytest.raises(ValueError, match="splits"):
+        es.assign_splits(groups, spark.range(1_001).selectExpr("cast(id as string) as split", "1.0D as share"))

@@ -56,3 +56,27 @@ def test_contexts(spark):
     assert {d for b, d in parts if b == 1} == {i for i, t in rows if t}
     assert pk.fill_contexts(d.limit(0), budgets, RANKS).count() == 0
     assert pk.fill_contexts(d, budgets.limit(0), RANKS).count() == 0
+
+
+def test_ranges_follow_the_curve_and_divide_full_cells():
+    cells = [(1, 0, 30), (1, 1, 30), (1, 2, 60), (1, 5, 450), (1, 6, 10), (2, 0, 10), (2, 9, 250)]
+    assert pk.ranges_of(cells, 100) == [(1, 0, 0, 1), (1, 1, 0, 1), (1, 2, 1, 1), (1, 5, 2, 5), (1, 6, 7, 1), (2, 0, 8, 1), (2, 9, 9, 3)]
+    assert pk.ranges_of([], 100) == []
+
+
+@needs_vocabulary
+def test_contexts_are_full_and_named_alike_in_every_run(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    budgets = spark.read.parquet("/root/testdata/sf0.01/judge_budgets.parquet")
+    runs = [pk.fill_contexts(x, budgets, RANKS, items_per_range=1_500).collect() for x in (d, d.repartition(7))]
+    assert sorted(map(tuple, runs[0])) == sorted(map(tuple, runs[1]))
+    capacity = dict(budgets.select("budget_id", "capacity_tokens").collect())
+    for b, c in capacity.items():
+        own = [r for r in runs[0] if r["budget_id"] == b]
+        assert sum(r["tokens"] for r in own) / (c * len({r["context_id"] for r in own})) > 0.96
+
+
+def test_more_budgets_than_allowed(spark):
+    many = spark.range(1_001).selectExpr("cast(id as int) as budget_id", "10 as capacity_tokens")
+    with pytest.raises(ValueError, match="budgets"):
+        pk.fill_contexts(spark.createDataFrame([(1, "a")], "doc_id long, text string"), many, RANKS)
