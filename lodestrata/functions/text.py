@@ -89,17 +89,43 @@ def heading_number(col) -> Column:
 KNOWN_HEADINGS = ("abstract", "introduction", "background", "methods", "materials and methods", "study area", "results", "discussion", "results and discussion", "conclusion", "conclusions", "limitations", "acknowledgements", "references")
 
 
-def looks_like_heading(col, styled: Column | None = None) -> Column:
-    """A short line without a final stop that is a known heading, or numbered and capitalised and styled or like a title."""
+#: Labels that are headings whatever their spacing, words that need no capital in a title, and the largest first number of a heading (fixed values).
+COMPACT_HEADINGS = ("abstract", "introduction", "methodology", "references", "conclusions")
+SMALL_WORDS = ("a", "an", "and", "as", "at", "for", "from", "in", "of", "on", "or", "the", "to", "with")
+LARGEST_FIRST_NUMBER = 9
+#: The number of a section heading.
+SECTION_NUMBER = "^(\\d{1,2}(\\.\\d{1,2}){0,3}\\.?|[IVX]+\\.)\\s+"
+
+
+def letter_words(col) -> Column:
+    """Runs of letters a-z."""
+    return F.regexp_extract_all(_c(col), F.lit("[A-Za-z]+"), F.lit(0))
+
+
+def visible_heading(col) -> Column:
+    """A heading without leading marks, and with the capitals of small-caps words joined to their words."""
+    return F.regexp_replace(F.trim(F.regexp_replace(_c(col), "^[^A-Za-z0-9]+\\s*", "")), "\\b([A-Z])\\s+(?=[A-Z]{2,}\\b)", "$1")
+
+
+def looks_like_heading(col, styled: Column | None = None, large_enough: Column | None = None) -> Column:
+    """A short line without a final stop that is a known heading, or numbered (up to 9) and capitalised and styled or like a title.
+
+    ``styled`` says whether the line stands out, ``large_enough`` whether it is at least near the size of the text.
+    """
     c = _c(col)
-    bare = F.regexp_replace(c, "^(\\d{1,2}(\\.\\d{1,2}){0,3}\\.?|[IVX]+\\.)\\s+", "")
-    words = F.filter(F.split(bare, "[^A-Za-z'-]+"), lambda w: w != "")
-    content = F.filter(words, lambda w: ~F.lower(w).isin("a", "an", "and", "as", "at", "for", "from", "in", "of", "on", "or", "the", "to", "with"))
+    bare = F.regexp_replace(c, SECTION_NUMBER, "")
+    words = F.regexp_extract_all(bare, F.lit("[A-Za-z][A-Za-z'-]*"), F.lit(0))
+    content = F.filter(words, lambda w: ~F.lower(w).isin(*SMALL_WORDS))
     title = F.size(F.filter(content, lambda w: w.rlike("^[A-Z]"))) / F.greatest(F.size(content), F.lit(1)) >= 0.55
-    numbered = (bare != c) & bare.rlike("^[A-Z]") & (F.size(words) <= 14) & ~bare.rlike("https?://|www\\.|[=#]")
+    first = F.regexp_extract(c, "^(\\d+)", 1)
+    low = (first == "") | (first.cast("int") <= LARGEST_FIRST_NUMBER)
+    numbered = (bare != c) & low & F.coalesce(F.get(words, F.lit(0)).rlike("^[A-Z]"), F.lit(False)) & (F.size(words) <= 14) & ~bare.rlike("(?i)https?://|www\\.|[=#]")
+    if large_enough is not None:
+        numbered = numbered & large_enough
     shape = (styled if styled is not None else F.lit(False)) | (F.size(words) <= 6) | ((F.size(words) <= 10) & title)
     ok = (F.length(c) > 0) & (F.length(c) <= 140) & ~c.rlike("[.;,]$")
-    return F.coalesce(ok & (F.lower(bare).isin(*KNOWN_HEADINGS) | (numbered & shape)), F.lit(False))
+    known = F.lower(bare).isin(*KNOWN_HEADINGS) | F.lower(F.regexp_replace(c, "\\s+", "")).isin(*COMPACT_HEADINGS)
+    return F.coalesce(ok & (known | (numbered & shape)), F.lit(False))
 
 
 def split_sentences(col) -> Column:

@@ -264,7 +264,7 @@ def oracle_sql() -> dict[str, str]:
             WITH m AS (SELECT DISTINCT s.sentence_id AS sentence_id, s.text AS text FROM (SELECT unnest(source.context_sentences) AS s FROM reference_resolution_ignored) WHERE s.sentence_id IS NOT NULL AND s.text IS NOT NULL),
             f AS (SELECT *, regexp_matches(text, '(?i)\b(we|our|this (study|paper|work)|the proposed|our (model|method|approach))\b') AS first FROM m)
             SELECT sentence_id, array_to_string(regexp_extract_all(text, p, 1), ',') AS values, array_to_string(regexp_extract_all(text, p, 2), ',') AS units
-            FROM f, (SELECT '(?i)(\d+(?:\.\d+)?)\s*(%|percent|mg(?:N)?/L|[µu]g/L|ng/L|ppm|ppb|°C|K|hours?|hr|h|minutes?|min|days?)(?:$|[^A-Za-z0-9])' AS p)
+            FROM f, (SELECT '(?i)(\d+(?:\.\d+)?)\s*(%|percent|mg(?:N)?/L|[µu]g/L|ng/L|ppm|ppb|°C|K|h|hr|hours?|min|minutes?|days?|gCO[^\s,.;)]*)(?:$|[^A-Za-z0-9])' AS p)
             WHERE NOT regexp_matches(text, '(?i)\b(future work|will aim|will be|would|could|may|might|expected to|plans? to|aims? to|potential to)\b')
               AND NOT (regexp_matches(text, '\[[0-9,;\s-]+\]|\b[A-Z][A-Za-z-]+\s+et\s+al\.|\([A-Z][A-Za-z-]+(\s+et\s+al\.)?,\s*\d{4}[a-z,]*\)') AND regexp_matches(text, '(?i)\b(proposed|developed|used|applied|demonstrated|reported|found|showed|achieved|optimized|trained|removed)\b') AND NOT first)
               AND regexp_matches(text, '(?i)\b(remov(e|es|ed|al)|measur(e|es|ed)|observ(e|es|ed)|detect(s|ed)?|predict(s|ed|ion)?|reduc(e|es|ed|tion)|increas(e|es|ed)|decreas(e|es|ed)|achiev(e|es|ed)|efficien(cy|t)|concentration)\b')

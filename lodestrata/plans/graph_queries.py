@@ -384,6 +384,6 @@ def oracle_sql() -> dict[str, str]:
         "reading_columns": """
             WITH p AS (SELECT user_id::VARCHAR AS document_id, event_id::VARCHAR AS text, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS top, CASE WHEN event_type = 'error' THEN 's' WHEN value > 10 THEN 'r' ELSE 'l' END AS side FROM events),
             q AS (SELECT *, count(*) FILTER (side = 'l') OVER w AS l, count(*) FILTER (side = 'r') OVER w AS r, count(*) OVER w AS n, sum((side = 's')::INT) OVER (PARTITION BY document_id ORDER BY top) AS band FROM p WINDOW w AS (PARTITION BY document_id)),
-            z AS (SELECT *, l >= 4 AND r >= 4 AND (l + r) / n >= 0.58 AS two FROM q)
+            z AS (SELECT *, least(l, r) >= 4 AND l + r >= n * 0.58 AS two FROM q)
             SELECT document_id, text, (row_number() OVER (PARTITION BY document_id ORDER BY CASE WHEN two THEN band ELSE 0 END, CASE WHEN NOT two OR side = 's' THEN 0 WHEN side = 'l' THEN 1 ELSE 2 END, top) - 1)::INT AS seq FROM z""",
     }

@@ -203,10 +203,11 @@ _SECTIONS = r"""
     heads AS (
       SELECT *, coalesce(length(text) > 0 AND length(text) <= 140 AND NOT regexp_matches(text, '[.;,]$') AND (
           lower(bare) IN ('abstract','introduction','background','methods','materials and methods','study area','results','discussion','results and discussion','conclusion','conclusions','limitations','acknowledgements','references')
-          OR (bare <> text AND regexp_matches(bare, '^[A-Z]') AND len(words) <= 14 AND NOT regexp_matches(bare, 'https?://|www\.|[=#]')
+          OR lower(regexp_replace(text, '\s+', '', 'g')) IN ('abstract','introduction','methodology','references','conclusions')
+          OR (bare <> text AND coalesce(TRY_CAST(regexp_extract(text, '^\d+') AS INT), 0) <= 9 AND regexp_matches(words[1], '^[A-Z]') AND len(words) <= 14 AND NOT regexp_matches(bare, '(?i)https?://|www\.|[=#]')
               AND (len(words) <= 6 OR (len(words) <= 10 AND len(list_filter(content, lambda w: regexp_matches(w, '^[A-Z]'))) / greatest(len(content), 1) >= 0.55)))), false) AS is_heading
       FROM (SELECT *, list_filter(words, lambda w: lower(w) NOT IN ('a','an','and','as','at','for','from','in','of','on','or','the','to','with')) AS content
-            FROM (SELECT *, list_filter(string_split_regex(bare, '[^A-Za-z''-]+'), lambda w: w <> '') AS words
+            FROM (SELECT *, regexp_extract_all(bare, '[A-Za-z][A-Za-z''-]*') AS words
                   FROM (SELECT *, regexp_replace(text, '^(\d{1,2}(\.\d{1,2}){0,3}\.?|[IVX]+\.)\s+', '') AS bare FROM paras)))),
     secs AS (
       SELECT doc_id, ordinal, text, is_heading, CAST(sum(is_heading::INT) OVER w AS INT) AS section,

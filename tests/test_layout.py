@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from lodestrata.operators import layout, structure
 
 WORDS = "document_id string, page int, text string, x0 double, x1 double, top double, bottom double, size double, fontname string"
@@ -37,20 +39,46 @@ def test_reading_order(spark):
     assert [r.text for r in got] == ["title", "l0", "l1", "l2", "l3", "r0", "r1", "r2", "r3"]
 
 
+def test_narrow_columns_by_the_fixed_bounds(spark):
+    """Lines that end before 56 % are left, that begin after 44 % right; a page of too few in columns is read by height."""
+    rows = [line(f"l{i}", 30.0 + 20 * i, 50.0, 341.0) for i in range(4)] + [line(f"r{i}", 30.0 + 20 * i, 270.0, 560.0) for i in range(4)] + [line("across", 60.0, 50.0, 560.0)]
+    got = [r.text for r in layout.reading_order(spark.createDataFrame(rows, LINES)).orderBy("seq").collect()]
+    assert got == ["l0", "l1", "r0", "r1", "across", "l2", "l3", "r2", "r3"]
+    few = [r.text for r in layout.reading_order(spark.createDataFrame([r for r in rows if r[3] != "r3"], LINES)).orderBy("seq").collect()]
+    assert few == ["l0", "r0", "l1", "r1", "across", "l2", "r2", "l3"]
+
+
+def test_style_of_half_the_words_and_clean_text(spark):
+    words = [("d", 1, "Eﬃcient", 10.0, 30.0, 100.0, 110.0, None, "X-Bold"), ("d", 1, "\u00ad", 31.0, 32.0, 130.0, 140.0, 9.0, "X"), ("d", 1, "pumps", 33.0, 50.0, 100.4, 110.4, 10.0, "X-Oblique"), ("d", 1, "more", 52.0, 60.0, 100.2, 110.2, 10.0, None)]
+    rows = layout.lines_from_words(spark.createDataFrame(words, WORDS)).collect()
+    assert [(r.text, r.size, r.bold, r.italic) for r in rows] == [("Efficient pumps more", 10.0, True, True)]
+
+
 def test_furniture_and_kinds(spark):
-    rows = [line("Journal", 20.0, page=p, seq=0) for p in (1, 2, 3)] + [line("Figure 1: A tank", 300.0, seq=1), line("with two pumps", 312.0, seq=2), line("Body text goes here", 500.0, seq=20)]
+    rows = [line("Journal", 60.0, page=p, seq=0) for p in (1, 2, 3)] + [line("Body repeats", 300.0, page=p, seq=1) for p in (1, 2, 3)]
+    rows += [line("Figure 1: A tank", 400.0, seq=2), line("with two pumps", 412.0, seq=3), line("and valves", 424.0, seq=4), line("Body text goes here", 500.0, seq=20), line("A (1)", 520.0, 5.0, 40.0, seq=21), line("p. 7", 770.0, seq=22)]
+    rows += [("d", 1, 23, "slanted words", 600.0, 610.0, 50.0, 250.0, 10.0, False, True), ("d", 1, 24, "2.1 Slanted words", 620.0, 630.0, 50.0, 250.0, 10.0, False, True)]
     lines = spark.createDataFrame(rows, LINES)
-    f = layout.repeated_furniture(lines)
-    assert [(r.text, r.pages) for r in f.collect()] == [("Journal", 3)]
+    f = layout.repeated_furniture(lines, margin=0.09)
+    assert [(r.text, r.pages) for r in f.collect()] == [("journal", 3)]
     kinds = {(r.page, r.text): r.kind for r in layout.classify_lines(lines, f).collect()}
-    assert kinds[1, "Journal"] == "furniture" and kinds[1, "with two pumps"] == "caption" and kinds[1, "Body text goes here"] == "text"
+    assert kinds[1, "Journal"] == kinds[1, "A (1)"] == kinds[1, "p. 7"] == "furniture" and kinds[1, "Body text goes here"] == kinds[1, "Body repeats"] == kinds[1, "2.1 Slanted words"] == "text"
+    assert kinds[1, "with two pumps"] == kinds[1, "and valves"] == "caption" and kinds[1, "slanted words"] == "formula"
 
 
 def test_profile_and_body(spark):
-    lines = spark.createDataFrame([line("x" * 50, 10.0, size=9.0), line("Open journal of water", 20.0, seq=1), line("short", 30.0, size=30.0)], LINES)
-    assert layout.body_size(lines).first().body_size == 9.0
-    assert layout.detect_profile(lines, [("a", "never"), ("b", "(?i)open journal")]).first().profile == "b"
-    assert layout.detect_profile(lines, [("a", "never")]).first().profile == "generic"
+    one = lambda *texts: layout.detect_profile(spark.createDataFrame([line(t, 10.0 * i, seq=i) for i, t in enumerate(texts)], LINES)).first().profile
+    assert layout.body_size(spark.createDataFrame([line("x" * 50, 10.0, size=9.0), line("short", 30.0, size=30.0)], LINES)).first().body_size == 9.0
+    assert one("Environ. Sci. Technol. 2024") == "acs_est" and one("Water", "Research 12") == "elsevier_water_research" and one("Open access", "Edited by A", "Reviewed by B") == "frontiers_open_access"
+    assert one("I. I NTRODUCTION") == "ieee_arxiv_preprint" and one("ABSTRACT", "text", "INTRODUCTION") == "conference_preprint" and one("A paper") == "generic_research_paper"
+
+
+def test_headings_of_profiles_and_back_matter(spark):
+    rows = [("RESULTS", "acs_est", 9.0, False, 3), ("RESULTS", "generic_research_paper", 9.0, False, 3), ("I. I NTRODUCTION", "ieee_arxiv_preprint", 10.0, True, 1), ("Some Larger Words", "conference_preprint", 12.0, False, 3), ("Some larger words.", "conference_preprint", 12.0, False, 3), ("Reference", "generic_research_paper", 10.0, False, 14), ("References", "generic_research_paper", 10.0, True, 29), ("8. References", "generic_research_paper", 10.0, False, 29), ("Author information", "acs_est", 10.0, True, 20)]
+    df = spark.createDataFrame(rows, "text string, profile string, size double, bold boolean, page int").selectExpr("*", "10.0D as body_size", "false as italic")
+    got = df.select("text", layout.profile_heading(F.col("profile")).alias("h"), layout.back_matter_heading(F.col("profile"), F.lit(34), F.lit(False)).alias("b")).collect()
+    assert [r.h for r in got] == [True, False, True, True, False, False, False, False, False]
+    assert [r.b for r in got] == [False] * 5 + [False, True, True, True]
 
 
 def test_paragraphs_and_sections(spark):
