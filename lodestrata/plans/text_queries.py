@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from lodestrata.functions import ids
 from lodestrata.functions.skew import positions
-from lodestrata.operators import layout, references, spans, structure, windows
+from lodestrata.functions.text import split_sentences
+from lodestrata.operators import audit, layout, references, spans, structure, windows
 from lodestrata.sources import files
 
 
@@ -39,6 +40,29 @@ def sentences(spark, sf):
     return structure.sentences_of(p, ["doc_id", "paragraph"])
 
 
+def parse_audit(spark, sf):
+    s = _sections(spark, sf)
+    body = s.where(~F.col("is_heading")).withColumn("sentences", split_sentences("text"))
+    papers = files.latest_per_key(_read(spark, sf, "manifest").select("id", "title", "authors", "added_at"), "id", "added_at", "title")
+    d = _read(spark, sf, "documents").select("doc_id", F.col("paper_id").alias("id")).join(papers, "id", "left").select("doc_id", "title", F.col("authors").alias("authors_text"), F.lit(None).cast("int").alias("pages"), F.lit(1.0).alias("narrative_page_ratio"), F.lit(None).cast("int").alias("last_narrative_page"))
+    heads = s.where("is_heading").select("doc_id", F.col("text").alias("title"))
+    return audit.parse_issues(d, heads, body, "doc_id").select("doc_id", F.array_join("issues", ";").alias("issues"))
+
+
+def mention_codes(spark, sf):
+    r = _read(spark, sf, "reference_resolution_ignored")
+    sentences = r.select(F.explode("source.context_sentences").alias("s")).select("s.sentence_id", "s.text")
+    m = r.select(F.col("resolution_id").alias("mention_id"), F.col("reference_head").alias("label"), "source.kind", "source.sentence_id", "source.start_char", "source.end_char", "source.quote", "surface_text", "source.paragraph_id", "source.section_id")
+    parents = m.select(F.col("paragraph_id").alias("unit_id")).unionByName(r.select(F.explode("source.context_sentences.paragraph_id").alias("unit_id"))).where("unit_id is not null")
+    return audit.mention_codes(m, sentences, m.where("label is not null").groupBy("label").count().where("count > 5").select("label"), parents)
+
+
+def resolution_codes(spark, sf):
+    log = _read(spark, sf, "entity_resolution_decisions")
+    r = log.select(F.col("decision_id").alias("resolution_id"), F.trim("left_entity_id").alias("left_mention_id"), F.trim("right_entity_id").alias("right_mention_id"), F.lit(False).alias("auto_merged"))
+    return audit.resolution_codes(r, _read(spark, sf, "entities").select(F.col("entity_id").alias("mention_id"))).groupBy("code", "id").agg(F.sum("n").alias("n"))
+
+
 def stable_ids(spark, sf):
     d = _read(spark, sf, "documents")
     return d.select("doc_id", ids.parser_id("doc", "paper_id", "section_title").alias("parser_id"), ids.stable_id("node", "document_id", "lang").alias("node_id"), ids.core_id("core", "doc_id", "source").alias("core_id"))
@@ -179,7 +203,7 @@ def realigned_spans(spark, sf):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (sentences, stable_ids, normalized_names, document_sections, document_chunks, section_hierarchy, repeated_furniture, paragraph_islands, quality_issues, context_windows, antecedent_windows, alias_ambiguity, lexicon_lookup, lexicon_spans, span_selection, reference_words, antecedent_asof, metadata_mentions, content_dedupe, latest_run, parse_summary, plain_text, paragraph_integrity, name_propagation, rule_spans, reference_spans, reference_resolution, realigned_spans)}
+    return {f.__name__: f for f in (sentences, stable_ids, normalized_names, document_sections, document_chunks, section_hierarchy, repeated_furniture, paragraph_islands, quality_issues, context_windows, antecedent_windows, alias_ambiguity, lexicon_lookup, lexicon_spans, span_selection, reference_words, antecedent_asof, metadata_mentions, content_dedupe, latest_run, parse_summary, plain_text, paragraph_integrity, name_propagation, rule_spans, reference_spans, reference_resolution, realigned_spans, parse_audit, mention_codes, resolution_codes)}
 
 
 _PARAS = r"""
@@ -257,6 +281,42 @@ def oracle_sql() -> dict[str, str]:
         "metadata_mentions": r"WITH m AS (SELECT DISTINCT id, title, authors FROM manifest), n AS (SELECT id, list_distinct(list_filter(list_transform(string_split_regex(regexp_replace(authors, '[\d*†‡§¶⁰¹²³⁴⁵⁶⁷⁸⁹]+', '', 'g'), '\s*(?:[;|&]|\band\b)\s*'), lambda p: trim(regexp_replace(regexp_replace(p, '\s+', ' ', 'g'), '[,\s]+$', ''))), lambda p: regexp_matches(p, '\p{L}{2}') AND NOT regexp_matches(lower(p), '^(et al\.?|others)$'))) AS l FROM m) SELECT id, 'Publication' AS label, trim(title) AS surface_text, 1.0::DOUBLE AS confidence FROM m WHERE trim(title) <> '' UNION ALL SELECT id, 'Person', unnest(l), 0.98::DOUBLE FROM n",
         "content_dedupe": "SELECT sha256(text) AS sha256, min(document_id) AS first_location, count(DISTINCT document_id) AS locations, count(*) AS copies FROM documents WHERE text IS NOT NULL GROUP BY 1",
         "latest_run": "SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(event_type, (ts, event_id)) AS event_type FROM events WHERE user_id IS NOT NULL GROUP BY 1",
+        "parse_audit": rf"""
+            WITH {_PARAS},{_SECTIONS}, body AS (SELECT doc_id, ordinal, section, text FROM secs WHERE NOT is_heading),{_SENT.replace('FROM paras', 'FROM body')},
+            h AS (SELECT doc_id, count(*) AS n, bool_or(contains(lower(text), 'abstract')) AS a, bool_or(contains(lower(text), 'intro')) AS i, bool_or(length(text) > 160 OR regexp_matches(text, '[.,;]$')) AS odd FROM secs WHERE is_heading GROUP BY 1),
+            sp AS (SELECT doc_id, paragraph, string_agg(text, ' ' ORDER BY ordinal) AS j, count(*) AS n FROM sents GROUP BY 1, 2),
+            b AS (SELECT body.doc_id, count(*) AS n, sum(coalesce(sp.n, 0)) AS s, bool_or(length(text) > 6000) AS large, bool_or(sp.n IS NULL) AS bare, bool_or(contains(lower(text), 'cid:') OR contains(text, '�')) AS art,
+                         bool_or(regexp_matches(text, '(?i)\b(journal homepage|available online at|contents lists available)\b')) AS pub, bool_or(coalesce(j, '') <> text) AS torn, right(string_agg(text, chr(10) ORDER BY ordinal), 8000) AS tail
+                  FROM body LEFT JOIN sp ON sp.doc_id = body.doc_id AND sp.paragraph = body.ordinal GROUP BY 1),
+            m AS (SELECT id, arg_max({{'t': title, 'a': authors}}, (added_at, title)) AS x FROM manifest WHERE id IS NOT NULL GROUP BY 1),
+            d AS (SELECT doc_id, x.t AS title, coalesce(x.a, '') AS authors FROM documents LEFT JOIN m ON m.id = paper_id)
+            SELECT d.doc_id, array_to_string(list_filter([
+              CASE WHEN coalesce(title, '') = '' THEN 'missing_title' END, CASE WHEN authors = '' THEN 'missing_authors' END,
+              CASE WHEN regexp_matches(authors, '(?i)(published as part of|special issue|cite this|@)') THEN 'author_furniture_leakage' END,
+              CASE WHEN regexp_matches(authors, '(?i)\b(university|department|institute|laboratory)\b') THEN 'author_affiliation_leakage' END,
+              CASE WHEN coalesce(h.n, 0) < 3 THEN 'too_few_sections' END, CASE WHEN coalesce(b.n, 0) < 5 THEN 'too_few_paragraphs' END, CASE WHEN coalesce(b.s, 0) < 20 THEN 'too_few_sentences' END,
+              CASE WHEN NOT coalesce(a, false) THEN 'missing_abstract_section' END, CASE WHEN NOT coalesce(i, false) THEN 'missing_introduction_section' END, CASE WHEN odd THEN 'suspicious_section_title' END,
+              CASE WHEN large THEN 'oversized_paragraph' END, CASE WHEN bare THEN 'paragraph_without_sentences' END, CASE WHEN art THEN 'encoding_or_formula_artifact' END,
+              CASE WHEN regexp_matches(tail, '(?is)\b(references|bibliography)\b.{{0,80}}\bet al\.\b') THEN 'possible_reference_leakage' END, CASE WHEN pub THEN 'publisher_furniture_leakage' END, CASE WHEN torn THEN 'sentence_coverage_mismatch' END],
+              lambda c: c IS NOT NULL), ';') AS issues
+            FROM d LEFT JOIN h ON h.doc_id = d.doc_id LEFT JOIN b ON b.doc_id = d.doc_id""",
+        "mention_codes": """
+            WITH s AS (SELECT x.sentence_id AS sentence_id, min(x.text) AS t FROM (SELECT unnest(source.context_sentences) AS x FROM reference_resolution_ignored) WHERE x.sentence_id IS NOT NULL GROUP BY 1),
+            m AS (SELECT resolution_id AS id, reference_head AS label, source.kind AS kind, source.sentence_id AS sentence_id, source.start_char AS a, source.end_char AS b, source.quote AS q, surface_text AS f, source.paragraph_id AS p, source.section_id AS c FROM reference_resolution_ignored),
+            u AS (SELECT p AS unit FROM m WHERE p IS NOT NULL UNION SELECT x.paragraph_id FROM (SELECT unnest(source.context_sentences) AS x FROM reference_resolution_ignored) WHERE x.paragraph_id IS NOT NULL),
+            l AS (SELECT label FROM m WHERE label IS NOT NULL GROUP BY 1 HAVING count(*) > 5),
+            j AS (SELECT m.*, s.sentence_id IS NOT NULL AS there, t, coalesce(a >= 0 AND a < b AND b <= length(t), false) AS inside FROM m LEFT JOIN s ON s.sentence_id = m.sentence_id WHERE kind = 'sentence_span')
+            SELECT 'duplicate_mention_id' AS code, id, count(*) - 1 AS n FROM m WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1
+            UNION ALL SELECT 'missing_sentence_reference', id, 1 FROM j WHERE NOT there
+            UNION ALL SELECT 'invalid_character_span', id, 1 FROM j WHERE there AND NOT inside
+            UNION ALL SELECT 'evidence_quote_mismatch', id, 1 FROM j WHERE there AND inside AND NOT coalesce(substr(t, a + 1, b - a) = q AND q = f, false)
+            UNION ALL SELECT 'unknown_node_label', id, 1 FROM m WHERE label IS NULL OR label NOT IN (SELECT label FROM l)
+            UNION ALL SELECT 'missing_parent_reference', id, 1 FROM j WHERE there AND (p IS NULL OR c IS NULL OR p NOT IN (SELECT unit FROM u) OR c NOT IN (SELECT unit FROM u))""",
+        "resolution_codes": """
+            WITH r AS (SELECT decision_id AS id, trim(left_entity_id) AS l, trim(right_entity_id) AS r FROM entity_resolution_decisions), e AS (SELECT DISTINCT entity_id FROM entities WHERE entity_id IS NOT NULL),
+            x AS (SELECT 'duplicate_resolution_id' AS code, id, count(*) - 1 AS n FROM r WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1
+                  UNION ALL SELECT 'missing_resolution_endpoint', r.id, 1 FROM r LEFT JOIN e a ON a.entity_id = r.l LEFT JOIN e b ON b.entity_id = r.r WHERE a.entity_id IS NULL OR b.entity_id IS NULL)
+            SELECT code, id, sum(n)::BIGINT AS n FROM x GROUP BY 1, 2""",
         "parse_summary": f"WITH {_PARAS},{_SECTIONS}, body AS (SELECT doc_id, ordinal, section, text FROM secs WHERE NOT is_heading),{_SENT.replace('FROM paras', 'FROM body')}, n AS (SELECT doc_id, count(*) AS s FROM sents GROUP BY 1) SELECT doc_id, count(DISTINCT section) AS sections, count(*) AS paragraphs, any_value(coalesce(s, 0))::BIGINT AS sentences, sum(length(text))::BIGINT AS characters, array_to_string(list_filter([CASE WHEN sum(length(text)) < 250 THEN 'low_text' END, CASE WHEN any_value(coalesce(s, 0)) = 0 THEN 'no_sentences' END], lambda x: x IS NOT NULL), ';') AS warnings FROM body LEFT JOIN n USING (doc_id) GROUP BY 1",
         "plain_text": f"WITH {_PARAS}, t AS (SELECT doc_id, string_agg(text, chr(10) || chr(10) ORDER BY ordinal) AS text FROM paras GROUP BY 1) SELECT doc_id, sha256(text) AS text_hash, length(text)::INT AS n FROM t",
         "paragraph_integrity": f"WITH {_PARAS} SELECT doc_id, count(*) - count(DISTINCT text) AS duplicate_ids, min(ordinal) <> 0 OR max(ordinal) - min(ordinal) + 1 <> count(DISTINCT ordinal) AS gaps FROM paras GROUP BY 1",
