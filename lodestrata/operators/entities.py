@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from difflib import SequenceMatcher
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrata.functions.ids import name_tokens, normalized, stable_id
 from lodestrata.functions.similarity import ratio_bound, sequence_ratio, token_jaccard, version_of
-from lodestrata.sources.scratch import Scratch
+from lodestrata.sources.scratch import Scratch, read_block
 
 #: Labels whose things are told apart by occurrence, and labels that never become entities (fixed values).
 SCOPED_LABELS = ("Experiment", "Observation", "Claim", "Sample", "SamplingEvent", "Condition", "Parameter")
@@ -19,22 +24,18 @@ def entity_key(label: Column, name: Column, canonical_id: Column) -> Column:
     return F.when(label.isin(*SCOPED_LABELS), F.coalesce(F.when(canonical_id != "", canonical_id), normalized(name))).otherwise(normalized(name))
 
 
-def canonical_entities(mentions: DataFrame, seq: str = "seq", evidence: int = 5) -> DataFrame:
+def canonical_entities(mentions: DataFrame, seq: str = "seq", evidence: int = 5, most_aliases: int = 200) -> DataFrame:
     """One row per label and key of ``mentions(mention_id, label, surface_text, canonical_name, canonical_id, from_lexicon, is_reference, sentence_id, seq)``.
 
     The name is the longest, of equals the first; a reference such as "this model" is evidence but no alias; the id is
     that of a lexicon mention, else the first given, else made from label and key. Mentions and their sentences are
-    counted in full, and of evidence the first few are kept; ``entity_mentions`` has all of them as rows, as an entity
-    may hold a large part of the mentions.
+    counted in full, and of evidence and aliases the first few are kept, in order; ``entity_mentions`` and
+    ``entity_aliases`` have all of them as rows, as an entity may hold a large part of the mentions.
     """
-    name = F.coalesce(F.when(F.col("canonical_name") != "", F.col("canonical_name")), F.col("surface_text"))
-    rows = mentions.where(~F.col("label").isin(*PROVENANCE_LABELS)).withColumn("_name", name)
-    rows = rows.withColumn("key", entity_key(F.col("label"), F.col("_name"), F.coalesce("canonical_id", F.lit(""))))
+    rows = _keyed(mentions)
     first_id = lambda c: F.min_by(F.when(c & (F.col("canonical_id") != ""), F.col("canonical_id")), F.when(c & (F.col("canonical_id") != ""), F.col(seq)))
-    surfaces = F.collect_set(F.when(~F.coalesce("is_reference", F.lit(False)), F.col("surface_text")))
     agg = rows.groupBy("label", "key").agg(
         F.min_by("_name", F.struct((-F.length("_name")).alias("l"), F.col(seq), F.col("_name"))).alias("canonical_name"),
-        F.array_sort(F.array_distinct(F.concat(surfaces, F.collect_set("_name")))).alias("aliases"),
         first_id(F.coalesce("from_lexicon", F.lit(False))).alias("_lex"), first_id(F.lit(True)).alias("_any"),
         F.count(F.lit(1)).cast("int").alias("mention_count"),
         F.count_distinct("sentence_id").alias("sentences"),
@@ -42,15 +43,36 @@ def canonical_entities(mentions: DataFrame, seq: str = "seq", evidence: int = 5)
     w = Window.partitionBy("label", "key").orderBy(seq, "mention_id")
     kept = rows.select("label", "key", seq, "mention_id").withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= evidence)
     kept = kept.groupBy("label", "key").agg(F.transform(F.array_sort(F.collect_list(F.struct(seq, "mention_id"))), lambda x: x["mention_id"]).alias("evidence"))
-    out = agg.join(kept, ["label", "key"])
-    return out.select(F.coalesce("_lex", "_any", stable_id("entity", "label", "key")).alias("entity_id"), "label", "key", "canonical_name", "aliases", "mention_count", "sentences", "evidence")
+    out = agg.join(kept, ["label", "key"]).join(_first_aliases(_aliases(rows), ["label", "key"], most_aliases), ["label", "key"])
+    return out.select(F.coalesce("_lex", "_any", stable_id("entity", "label", "key")).alias("entity_id"), "label", "key", "canonical_name", "aliases", "alias_count", "mention_count", "sentences", "evidence")
+
+
+def _keyed(mentions: DataFrame) -> DataFrame:
+    name = F.coalesce(F.when(F.col("canonical_name") != "", F.col("canonical_name")), F.col("surface_text"))
+    rows = mentions.where(~F.col("label").isin(*PROVENANCE_LABELS)).withColumn("_name", name)
+    return rows.withColumn("key", entity_key(F.col("label"), F.col("_name"), F.coalesce("canonical_id", F.lit(""))))
+
+
+def _aliases(rows: DataFrame) -> DataFrame:
+    """``(label, key, alias)``: distinct names and surfaces but for references."""
+    surface = F.when(~F.coalesce("is_reference", F.lit(False)), F.col("surface_text"))
+    return rows.select("label", "key", F.explode(F.array(surface, F.col("_name"))).alias("alias")).where("alias is not null").distinct()
+
+
+def _first_aliases(aliases: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """``aliases`` (the first ``most`` in order) and ``alias_count`` of each key; Spark limits each group before its sort is shuffled."""
+    first = aliases.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy("alias"))).where(F.col("_n") <= most)
+    return first.groupBy(*keys).agg(F.array_sort(F.collect_list("alias")).alias("aliases")).join(aliases.groupBy(*keys).agg(F.count(F.lit(1)).alias("alias_count")), keys)
+
+
+def entity_aliases(mentions: DataFrame, entities: DataFrame) -> DataFrame:
+    """``(entity_id, alias)``: every alias of each entity of ``canonical_entities``."""
+    return _aliases(_keyed(mentions)).join(entities.select("label", "key", "entity_id"), ["label", "key"]).select("entity_id", "alias")
 
 
 def entity_mentions(mentions: DataFrame, entities: DataFrame) -> DataFrame:
     """``(entity_id, mention_id, sentence_id)``: every mention with its entity of ``canonical_entities``."""
-    name = F.coalesce(F.when(F.col("canonical_name") != "", F.col("canonical_name")), F.col("surface_text"))
-    rows = mentions.where(~F.col("label").isin(*PROVENANCE_LABELS)).withColumn("key", entity_key(F.col("label"), name, F.coalesce("canonical_id", F.lit(""))))
-    return rows.select("label", "key", "mention_id", "sentence_id").join(entities.select("label", "key", "entity_id"), ["label", "key"]).select("entity_id", "mention_id", "sentence_id")
+    return _keyed(mentions).select("label", "key", "mention_id", "sentence_id").join(entities.select("label", "key", "entity_id"), ["label", "key"]).select("entity_id", "mention_id", "sentence_id")
 
 
 def prefix_keys(names: DataFrame, frequency: DataFrame, key: str, least: float) -> DataFrame:
@@ -167,17 +189,34 @@ def _to_components(rows: DataFrame, components: DataFrame, id_col: str, columns:
     return found.select(F.coalesce("component", id_col).alias("entity_id"), *columns)
 
 
-def prior_catalog(sources: list[DataFrame]) -> DataFrame:
-    """Earlier names from ``(node_id, label, canonical_name, aliases)`` tables, the first table first: one row per label and normalised name with the first id and all aliases."""
+def prior_catalog(sources: list[DataFrame], most_aliases: int = 200) -> DataFrame:
+    """Earlier names from ``(node_id, label, canonical_name, aliases)`` tables, the first table first: one row per label and normalised name with the first id, the first aliases in order and their number.
+
+    ``catalog_aliases`` has all aliases as rows.
+    """
+    out = _sources(sources)
+    first = out.groupBy("label", "key").agg(F.min(F.struct("source", "node_id", "canonical_name")).alias("f"))
+    names = _first_aliases(_source_aliases(out), ["label", "key"], most_aliases)
+    return first.join(names, ["label", "key"]).select(F.col("f.node_id").alias("node_id"), "label", "key", F.col("f.canonical_name").alias("canonical_name"), "aliases", "alias_count")
+
+
+def catalog_aliases(sources: list[DataFrame]) -> DataFrame:
+    """``(node_id, label, key, alias)``: every alias and name of each node of ``prior_catalog``."""
+    out = _sources(sources)
+    first = out.groupBy("label", "key").agg(F.min(F.struct("source", "node_id", "canonical_name")).alias("f"))
+    return _source_aliases(out).join(first, ["label", "key"]).select(F.col("f.node_id").alias("node_id"), "label", "key", "alias")
+
+
+def _source_aliases(out: DataFrame) -> DataFrame:
+    return out.select("label", "key", F.explode(F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("alias")).where("alias is not null").distinct()
+
+
+def _sources(sources: list[DataFrame]) -> DataFrame:
     out = None
     for k, s in enumerate(sources):
         s = s.select("node_id", "label", F.trim("canonical_name").alias("canonical_name"), "aliases", F.lit(k).alias("source"))
         out = s if out is None else out.unionByName(s)
-    out = out.where((F.col("canonical_name") != "") & ~F.col("label").isin(*SCOPED_LABELS)).withColumn("key", normalized("canonical_name"))
-    names = out.select("label", "key", F.explode(F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("a")).where("a is not null").distinct()
-    names = names.groupBy("label", "key").agg(F.array_sort(F.collect_list("a")).alias("aliases"))
-    first = out.groupBy("label", "key").agg(F.min(F.struct("source", "node_id", "canonical_name")).alias("f"))
-    return first.join(names, ["label", "key"]).select(F.col("f.node_id").alias("node_id"), "label", "key", F.col("f.canonical_name").alias("canonical_name"), "aliases")
+    return out.where((F.col("canonical_name") != "") & ~F.col("label").isin(*SCOPED_LABELS)).withColumn("key", normalized("canonical_name"))
 
 
 def exact_prior(rows: DataFrame, catalog: DataFrame, label: str, name: str) -> DataFrame:
@@ -187,24 +226,83 @@ def exact_prior(rows: DataFrame, catalog: DataFrame, label: str, name: str) -> D
     return keyed.join(one, ["_l", "_k"], "left").drop("_l", "_k")
 
 
-def prior_top_k(candidates: DataFrame, catalog: DataFrame, key: str, label: str, name: str, k: int = 12, least: float = 0.3) -> DataFrame:
-    """``(key, node_id, score, rank)``: the ``k`` earlier names of a candidate's label with the best word Jaccard over name and aliases, ``least`` or more.
+def prior_top_k(candidates: DataFrame, catalog: DataFrame, key: str, label: str, name: str, k: int = 12, alternatives: str | None = None, block_rows: int = 5_000) -> DataFrame:
+    """``(key, node_id, score, rank)``: the ``k`` earlier nodes of a candidate's labels with the best ratio of characters over name and aliases.
 
-    Distinct candidate names are scored once; they meet the catalog by ``prefix_keys``, so a word that most names have
-    joins nothing by itself. The best alias counts, and equal scores fall to the least id.
+    A candidate's labels are its own and those of the array ``alternatives``. The score is the Ratcliff-Obershelp ratio
+    of the normalised names, at four digits; equal scores fall to the first name without case, then to the least id.
+    Every node of a label is compared, by this search: distinct names are written to the shared folder in blocks, a task
+    holds a part of the catalog and reads the blocks one after another, bounds all ratios at once by the characters that
+    both names have, and computes them from the largest bound down until no further one can be among its best ``k``. Only
+    these are shuffled. Candidates with an empty name, and nodes without any, have none.
     """
-    c = candidates.select(F.col(key), F.col(label).alias("label"), normalized(name).alias("norm")).where("norm <> ''")
-    names = c.select("label", "norm").distinct().withColumn("tokens", name_tokens("norm"))
-    alias = catalog.select("node_id", "label", F.explode("aliases").alias("a")).select("node_id", "label", name_tokens("a").alias("tokens")).where("size(tokens) > 0").distinct()
-    alias = alias.withColumn("alias", F.concat_ws("/", "node_id", F.array_join("tokens", " ")))
-    df = word_frequency(names, alias)
-    left, right = prefix_keys(names, df, "norm", least), prefix_keys(alias, df, "alias", least)
-    met = left.join(right, ["label", "k"]).select("label", "norm", "alias").distinct()
-    met = met.join(names, ["label", "norm"]).join(alias.select("label", "alias", "node_id", F.col("tokens").alias("at")), ["label", "alias"])
-    scored = met.select("label", "norm", "node_id", token_jaccard(F.col("tokens"), F.col("at")).alias("s")).groupBy("label", "norm", "node_id").agg(F.max("s").alias("score")).where(F.col("score") >= least)
-    w = Window.partitionBy("label", "norm").orderBy(F.desc("score"), "node_id")
-    best = scored.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
-    return c.join(best, ["label", "norm"]).select(key, "node_id", "score", "rank")
+    own = F.array(F.col(label)) if alternatives is None else F.concat(F.array(F.col(label)), F.coalesce(alternatives, F.array().cast("array<string>")))
+    c = candidates.select(F.col(key), F.explode(F.array_distinct(own)).alias("label"), normalized(name).alias("norm")).where("norm <> '' and label <> ''")
+    files = Scratch(candidates.sparkSession, "names").put_blocks(c.select("label", "norm").distinct(), block_rows)
+    shown = F.lower("canonical_name")
+    nodes = catalog.select("node_id", "label", shown.alias("shown"), F.array_distinct(F.filter(F.transform(F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>"))), lambda a: normalized(a)), lambda a: a != "")).alias("names"))
+    nodes = nodes.where("label is not null and size(names) > 0")
+
+    def best(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        held = {label: _Names(rows) for label, rows in part.groupby("label", sort=False)}
+        for file in files:
+            rows = [(label, norm, *hit) for label, norm in read_block(file).select(["label", "norm"]).to_pandas().itertuples(index=False) if label in held for hit in held[label].nearest(norm, k)]
+            if rows:
+                yield pd.DataFrame(rows, columns=["label", "norm", "node_id", "shown", "score"])
+
+    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, n = [], 0
+        for b in batches:
+            held.append(b)
+            n += len(b)
+            if n >= 4 * block_rows:
+                yield from best(pd.concat(held, ignore_index=True))
+                held, n = [], 0
+        if n:
+            yield from best(pd.concat(held, ignore_index=True))
+
+    found = nodes.mapInPandas(emit, f"label string, norm string, node_id {catalog.schema['node_id'].dataType.simpleString()}, shown string, score double")
+    # The labels of one candidate share its k places, so nodes are ranked for each candidate, after the k of each label.
+    first = lambda rows, keys: rows.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("score"), "shown", "node_id")).cast("int")).where(F.col("rank") <= k)
+    found = first(found, ["label", "norm"]).drop("rank")
+    return first(c.join(found, ["label", "norm"]), [key]).select(key, "node_id", "score", "rank")
+
+
+class _Names:
+    """Names of nodes with the counts of their characters, for bounds on ratios with all of them at once."""
+
+    def __init__(self, rows: pd.DataFrame):
+        self.names = [(n, i) for i, own in enumerate(rows["names"]) for n in own]
+        self.nodes, self.shown = rows["node_id"].tolist(), rows["shown"].tolist()
+        self.lengths = np.array([len(n) for n, _ in self.names])
+        self.counts = np.stack([_characters(n) for n, _ in self.names])
+
+    def nearest(self, norm: str, k: int) -> list[tuple]:
+        """The ``k`` best ``(node_id, shown, score)``."""
+        bound = 2.0 * np.minimum(self.counts, _characters(norm)).sum(axis=1) / (self.lengths + len(norm))
+        score: dict[int, float] = {}
+        least = -1.0  # the k-th best score so far
+        match = SequenceMatcher(None)
+        for at in np.argsort(-bound, kind="stable").tolist():
+            if len(score) >= k and round(float(bound[at]), 4) < least:
+                break
+            other, node = self.names[at]
+            match.set_seqs(norm, other)
+            got = round(match.ratio(), 4)
+            if got > score.get(node, -1.0):
+                score[node] = got
+                if len(score) >= k:
+                    least = sorted(score.values(), reverse=True)[k - 1]
+        order = sorted(score, key=lambda i: (-score[i], self.shown[i] or "", self.nodes[i]))
+        return [(self.nodes[i], self.shown[i], score[i]) for i in order[:k]]
+
+
+def _characters(name: str) -> np.ndarray:
+    """How often each of a-z, 0-9 and the blank stands in a normalised name."""
+    return np.bincount(np.frombuffer(name.encode("ascii"), dtype=np.uint8) - 32, minlength=91)[_PLACES]
+
+
+_PLACES = np.array([0, *range(16, 26), *range(65, 91)])
 
 
 def grow_lexicon(lexicon: DataFrame, additions: DataFrame) -> DataFrame:

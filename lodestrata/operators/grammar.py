@@ -1,7 +1,7 @@
 """Subject-predicate-object triples from dependency tokens, and the index of their arguments.
 
 Tokens are a table (``sentence_id, index, text, lemma, pos, dep, head_index, start_char, end_char``) from any parser.
-Everything is self-joins on (sentence, head); conjunct chains are followed to a fixed depth.
+Everything is self-joins on (sentence, head); chains of conjuncts and dependents are followed until they end.
 """
 
 from __future__ import annotations
@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestrata.sources.scratch import grown
+
 #: Dependency relations (fixed values).
 SUBJECTS = ("nsubj", "nsubjpass", "csubj")
 OBJECTS = ("dobj", "obj", "attr", "oprd", "dative")
@@ -18,34 +20,26 @@ def _tokens(t: DataFrame, name: str) -> DataFrame:
     return t.select(*[F.col(c).alias(f"{name}_{c}" if c != "sentence_id" else c) for c in ("sentence_id", "index", "text", "lemma", "pos", "dep", "head_index", "start_char", "end_char")])
 
 
-def with_conjuncts(heads: DataFrame, tokens: DataFrame, column: str, depth: int = 3) -> DataFrame:
-    """``heads`` and, for each, the tokens coordinated with it, followed ``depth`` times."""
+def with_conjuncts(heads: DataFrame, tokens: DataFrame, column: str) -> DataFrame:
+    """``heads`` and, for each, all tokens coordinated with it, directly or through others."""
     conj = tokens.where("dep = 'conj'").select("sentence_id", F.col("head_index").alias(column), F.col("index").alias("_c"))
-    out = now = heads
-    for _ in range(depth):
-        now = now.join(conj, ["sentence_id", column]).drop(column).withColumnRenamed("_c", column)
-        out = out.unionByName(now)
-    return out.distinct()
+    return grown(heads, lambda new: new.join(conj, ["sentence_id", column]).drop(column).withColumnRenamed("_c", column), "conjuncts")
 
 
-def argument_spans(tokens: DataFrame, depth: int = 4) -> DataFrame:
-    """``(sentence_id, index, start_char, end_char)``: each token with the extent of what depends on it, without clauses."""
+def argument_spans(tokens: DataFrame) -> DataFrame:
+    """``(sentence_id, index, start_char, end_char)``: each token with the extent of all that depends on it, at any depth, without clauses."""
     inner = tokens.where(~F.col("dep").isin("conj", "cc", "punct", "relcl", "acl", "advcl", "appos", *SUBJECTS, "ROOT"))
-    edge = inner.select("sentence_id", F.col("index").alias("_child"), F.col("head_index").alias("_up"), F.col("start_char").alias("_s"), F.col("end_char").alias("_e"))
-    out = tokens.select("sentence_id", "index", F.col("start_char").alias("_s"), F.col("end_char").alias("_e"), F.col("index").alias("_at"))
-    now = out
-    for _ in range(depth):
-        e = edge.select(F.col("sentence_id").alias("_sid"), F.col("_up").alias("_u"), "_child", F.col("_s").alias("_cs"), F.col("_e").alias("_ce"))
-        now = now.join(e, (F.col("sentence_id") == F.col("_sid")) & (F.col("_at") == F.col("_u"))).select("sentence_id", "index", F.col("_cs").alias("_s"), F.col("_ce").alias("_e"), F.col("_child").alias("_at"))
-        out = out.unionByName(now)
-    return out.groupBy("sentence_id", "index").agg(F.min("_s").alias("start_char"), F.max("_e").alias("end_char"))
+    below = inner.select("sentence_id", F.col("head_index").alias("_at"), F.col("index").alias("_child"), F.col("start_char").alias("_cs"), F.col("end_char").alias("_ce"))
+    own = tokens.select("sentence_id", "index", F.col("start_char").alias("_s"), F.col("end_char").alias("_e"), F.col("index").alias("_at"))
+    step = lambda new: new.join(below, ["sentence_id", "_at"]).select("sentence_id", "index", F.col("_cs").alias("_s"), F.col("_ce").alias("_e"), F.col("_child").alias("_at"))
+    return grown(own, step, "extents").groupBy("sentence_id", "index").agg(F.min("_s").alias("start_char"), F.max("_e").alias("end_char"))
 
 
 def triples(tokens: DataFrame) -> DataFrame:
     """``(sentence_id, subject_index, predicate_index, object_index, predicate, voice)``.
 
-    A predicate is a verb; its objects are direct ones and those of its prepositions ("flows into"); conjuncts of
-    subjects and objects count, and a coordinated predicate without a subject takes that of the one before it.
+    A predicate is a verb; its objects are direct ones and those of its prepositions ("flows into", "removed by") and
+    of prepositions of its direct objects ("removes contaminants from wastewater"); conjuncts of subjects and objects count, and a coordinated predicate without a subject takes that of the one before it.
     """
     verbs = tokens.where(F.col("pos").isin("VERB", "AUX") & ~F.col("dep").isin("aux", "auxpass")).select("sentence_id", F.col("index").alias("predicate_index"), "lemma", "dep", "head_index")
     subj = tokens.where(F.col("dep").isin(*SUBJECTS)).select("sentence_id", F.col("head_index").alias("predicate_index"), F.col("index").alias("subject_index"), (F.col("dep") == "nsubjpass").alias("passive"))
@@ -55,7 +49,9 @@ def triples(tokens: DataFrame) -> DataFrame:
     both = own.select("sentence_id", "predicate_index", "lemma", "subject_index", "passive").unionByName(inherited.select("sentence_id", "predicate_index", "lemma", "subject_index", "passive"))
     both = with_conjuncts(both, tokens, "subject_index")
     direct = tokens.where(F.col("dep").isin(*OBJECTS)).select("sentence_id", F.col("head_index").alias("predicate_index"), F.col("index").alias("object_index"), F.lit("").alias("preposition"))
-    prep = tokens.where("dep = 'prep'").select("sentence_id", F.col("head_index").alias("predicate_index"), F.col("index").alias("_p"), F.col("lemma").alias("preposition"))
+    prep = tokens.where("dep in ('prep', 'agent')").select("sentence_id", F.col("head_index").alias("predicate_index"), F.col("index").alias("_p"), F.col("lemma").alias("preposition"))
+    of_object = prep.withColumnRenamed("predicate_index", "object_index").join(direct.select("sentence_id", "object_index", "predicate_index"), ["sentence_id", "object_index"]).select(*prep.columns)
+    prep = prep.unionByName(of_object)
     pobj = tokens.where("dep = 'pobj'").select("sentence_id", F.col("head_index").alias("_p"), F.col("index").alias("object_index"))
     objects = with_conjuncts(direct.unionByName(prep.join(pobj, ["sentence_id", "_p"]).drop("_p")), tokens, "object_index")
     out = both.join(objects, ["sentence_id", "predicate_index"]).where("subject_index <> object_index")

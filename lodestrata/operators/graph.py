@@ -63,16 +63,24 @@ def align_identities(new_nodes: DataFrame, nodes: DataFrame, mentions: DataFrame
     return new_nodes.select("entity_id", "label", F.lower(F.trim("name")).alias("_n")).join(best, ["label", "_n"], "left").select("entity_id", F.coalesce("aligned_id", "entity_id").alias("aligned_id"))
 
 
+def mention_surfaces(mentions: DataFrame) -> DataFrame:
+    """``(entity_id, surface, mentions)``: every surface of each entity and how often it stands for it."""
+    return mentions.where("surface is not null").groupBy("entity_id", "surface").agg(F.count(F.lit(1)).alias("mentions"))
+
+
 def mention_arrays(mentions: DataFrame, most: int = 1000) -> DataFrame:
-    """The view with parallel arrays: per entity its first ``most`` mentions in order with their documents and surfaces, and counts of all.
+    """The view with parallel arrays: per entity its first ``most`` mentions in order with their documents, its first ``most`` surfaces in order, and counts of all.
 
-    An entity that most documents mention keeps the rest in the mention table.
+    An entity that most documents mention keeps the rest in the mention table, and its surfaces in ``mention_surfaces``.
     """
+    first = lambda rows, order: rows.withColumn("_n", F.row_number().over(Window.partitionBy("entity_id").orderBy(*order))).where(F.col("_n") <= most)
     order = ["document_id", "mention_id", "surface"]
-    first = mentions.withColumn("_n", F.row_number().over(Window.partitionBy("entity_id").orderBy(*order))).where(F.col("_n") <= most)
-    arrays = first.groupBy("entity_id").agg(F.array_sort(F.collect_list(F.struct(*order))).alias("_m"))
-    counts = mentions.groupBy("entity_id").agg(F.count(F.lit(1)).alias("mentions"), F.count_distinct("document_id").alias("documents"))
-    return arrays.join(counts, "entity_id").select("entity_id", F.transform("_m", lambda x: x["mention_id"]).alias("mention_ids"), F.transform("_m", lambda x: x["document_id"]).alias("document_ids"), F.array_distinct(F.transform("_m", lambda x: x["surface"])).alias("surfaces"), "mentions", "documents")
+    arrays = first(mentions, order).groupBy("entity_id").agg(F.array_sort(F.collect_list(F.struct(*order))).alias("_m"))
+    known = mention_surfaces(mentions)
+    surfaces = first(known, ["surface"]).groupBy("entity_id").agg(F.array_sort(F.collect_list("surface")).alias("_s"))
+    counts = mentions.groupBy("entity_id").agg(F.count(F.lit(1)).alias("mentions"), F.count_distinct("document_id").alias("documents"), F.count_distinct("surface").alias("surface_count"))
+    out = arrays.join(counts, "entity_id").join(surfaces, "entity_id", "left")
+    return out.select("entity_id", F.transform("_m", lambda x: x["mention_id"]).alias("mention_ids"), F.transform("_m", lambda x: x["document_id"]).alias("document_ids"), F.coalesce("_s", F.array().cast("array<string>")).alias("surfaces"), "mentions", "documents", "surface_count")
 
 
 def summary(nodes: DataFrame, mentions: DataFrame, edges: DataFrame) -> DataFrame:

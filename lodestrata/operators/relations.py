@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.functions.ids import stable_id
 from lodestrata.operators.windows import best_per_key
+from lodestrata.sources.scratch import grown
 
 
 def dedupe_assertions(assertions: DataFrame, keys: list[str], confidence: str, order: str) -> DataFrame:
@@ -39,20 +40,12 @@ def materialize(assertions: DataFrame, keys: list[str], evidence: str, confidenc
     return count.join(first, keys).withColumn("relationship_id", stable_id("relationship", *keys))
 
 
-def ancestors(parents: DataFrame, child: str = "label", parent: str = "parent", depth: int = 8) -> DataFrame:
-    """``(label, ancestor)``: the reflexive closure of a hierarchy, by joins up to a fixed depth.
-
-    An ontology is small; the joins' sizes are left to the optimiser. A cycle ends at the depth.
-    """
-    edge = parents.where(F.col(parent).isNotNull()).select(F.col(child).alias("label"), F.col(parent).alias("ancestor")).distinct()
-    out = edge
-    now = edge
-    for _ in range(depth - 1):
-        step = edge.select(F.col("label").alias("_l"), F.col("ancestor").alias("_a"))
-        now = now.join(step, now["ancestor"] == step["_l"]).select("label", F.col("_a").alias("ancestor")).distinct()
-        out = out.unionByName(now)
-    own = parents.select(F.col(child).alias("label")).unionByName(parents.where(F.col(parent).isNotNull()).select(F.col(parent).alias("label"))).distinct()
-    return out.unionByName(own.select("label", F.col("label").alias("ancestor"))).distinct()
+def ancestors(parents: DataFrame, child: str = "label", parent: str = "parent") -> DataFrame:
+    """``(label, ancestor)``: the reflexive closure of a hierarchy of any depth; members of a cycle are each other's ancestors."""
+    edge = parents.where(F.col(child).isNotNull() & F.col(parent).isNotNull()).select(F.col(child).alias("label"), F.col(parent).alias("ancestor")).distinct()
+    above = edge.select(F.col("label").alias("_l"), F.col("ancestor").alias("_a"))
+    own = parents.select(F.explode(F.array(child, parent)).alias("label")).where("label is not null").select("label", F.col("label").alias("ancestor"))
+    return grown(own, lambda new: new.join(above, new["ancestor"] == above["_l"]).select("label", F.col("_a").alias("ancestor")), "closure")
 
 
 def domain_range_violations(edges: DataFrame, closure: DataFrame, permitted: DataFrame) -> DataFrame:

@@ -94,37 +94,49 @@ def find_entries(values: DataFrame, lexicon: DataFrame, value: str, label: str |
     return keyed.join(one, "alias_key").drop("alias_key")
 
 
-_WORDS = re.compile(r"\w+")
+_RUNS = re.compile("[A-Za-z0-9]+")
+#: What makes a name of a label another one (fixed values): a hyphen on either side of a tool, a version or a following word after a model.
+HYPHEN_LABEL, VERSION_LABEL = "Tool", "Model"
+_VERSION = re.compile(r"(?:\.\d+|o\b|\s+Search\b)", re.I)
 
 
 class _AliasMatcher:
-    """Aliases by their first word; a text is matched word by word, longest alias first, at word boundaries."""
+    """Aliases by their first run of ASCII letters and digits, or by their first character if that is another; matched at boundaries of such runs."""
 
     def __init__(self, aliases: list[str]):
-        self.by_word: dict[str, list[tuple[str, re.Pattern]]] = {}
-        for a in sorted(set(aliases), key=lambda a: (-len(a), a)):
-            first = _WORDS.search(a)
+        self.by_run: dict[str, list[tuple[str, re.Pattern]]] = {}
+        self.by_character: dict[str, list[tuple[str, re.Pattern]]] = {}
+        for a in sorted(set(aliases)):
+            p = re.compile(rf"(?<![A-Za-z0-9]){re.escape(a)}(?![A-Za-z0-9])", re.I)
+            first = _RUNS.match(a)
             if first:
-                body = r"\s+".join(map(re.escape, a.split()))
-                self.by_word.setdefault(first[0].lower(), []).append((a, re.compile(rf"(?<!\w){body}(?!\w)", re.I)))
-
-    def find(self, text: str) -> Iterator[tuple[str, int, int]]:
-        for w in _WORDS.finditer(text):
-            for alias, p in self.by_word.get(w[0].lower(), ()):
-                lead = _WORDS.search(alias).start()
-                if (m := p.match(text, w.start() - lead)) if w.start() >= lead else None:
-                    yield alias, m.start(), m.end()
-
-
-def lexicon_spans(sentences: DataFrame, lexicon: DataFrame, keys: list[str], text: str = "text", block_chars: int = 8_000_000) -> DataFrame:
-    """Spans of every alias in each sentence, with the entries that have it; ``method`` says whether the alias is unambiguous.
-
-    Matching ignores case and the width of blanks, and needs a word boundary at both ends.
+                self.by_run.setdefault(first[0].lower(), []).append((a, p))
+            else:
+                self.by_character.setdefault(a[0].lower(), []).append((a, p))
+
+    def find(self, text: str) -> Iterator[tuple[str, int, int, bool, bool]]:
+        """Alias, start, end, whether a hyphen is beside it, and whether a version follows."""
+        starts = [(m.start(), own) for m in _RUNS.finditer(text) if (own := self.by_run.get(m[0].lower()))]
+        if self.by_character:
+            starts += [(i, own) for i, c in enumerate(text) if (own := self.by_character.get(c.lower()))]
+        for at, own in starts:
+            for alias, p in own:
+                if m := p.match(text, at):
+                    e = m.end()
+                    yield alias, at, e, text[at - 1 : at] == "-" or text[e : e + 1] == "-", _VERSION.match(text, e) is not None
+
+
+def lexicon_spans(sentences: DataFrame, lexicon: DataFrame, keys: list[str], text: str = "text", block_chars: int = 1_000_000) -> DataFrame:
+    """Spans of every alias of two characters or more in each sentence, with the entries that have it; ``method`` says whether the alias is unambiguous.
+
+    Matching ignores case; no ASCII letter or digit may stand at either end. A tool's name with a hyphen beside it and a
+    model's name that a version follows ("GPT-4" in "GPT-4.5") are other names and left out. Each further block of
+    aliases is a further pass over the sentences; a block takes about 1 kB an alias in a worker.
     """
-    index = alias_index(lexicon).select("alias", "canonical_id", "label", "canonical_name", "entries").distinct()
+    index = alias_index(lexicon).where(F.length("alias") >= 2).select("alias", "canonical_id", "label", "canonical_name", "entries").distinct()
     words = index.select("alias").distinct()
     blocks = max(1, -(-(words.agg(F.sum(F.length("alias") + 1)).first()[0] or 0) // block_chars))
-    schema = _schema(sentences, keys) + ", alias string, start_char int, end_char int, surface_text string"
+    schema = _schema(sentences, keys) + ", alias string, start_char int, end_char int, surface_text string, _hyphen int, _version int"
     found = None
     for k in range(blocks):
         sent = sentences.sparkSession.sparkContext.broadcast([r[0] for r in words.where(F.pmod(F.xxhash64("alias"), F.lit(blocks)) == k).collect()])
@@ -134,14 +146,15 @@ def lexicon_spans(sentences: DataFrame, lexicon: DataFrame, keys: list[str], tex
             for b in batches:
                 at, rows = [], []
                 for i, t in enumerate(b.column(len(keys)).to_pylist()):
-                    for alias, a, e in matcher.find(t) if t else ():
+                    for alias, a, e, hyphen, version in matcher.find(t) if t else ():
                         at.append(i)
-                        rows.append((alias, a, e, t[a:e]))
-                yield _beside(b, keys, at, rows, ["alias", "start_char", "end_char", "surface_text"], "siis")
+                        rows.append((alias, a, e, t[a:e], int(hyphen), int(version)))
+                yield _beside(b, keys, at, rows, ["alias", "start_char", "end_char", "surface_text", "_hyphen", "_version"], "siisii")
 
         part = sentences.select(*keys, text).mapInArrow(emit, schema)
         found = part if found is None else found.unionByName(part)
-    out = found.join(index, "alias")
+    label = F.coalesce("label", F.lit(""))
+    out = found.join(index, "alias").where(~((label == HYPHEN_LABEL) & (F.col("_hyphen") == 1)) & ~((label == VERSION_LABEL) & (F.col("_version") == 1)))
     method = F.when(F.col("entries") == 1, "persistent_lexicon").otherwise("persistent_lexicon_ambiguous")
     return out.select(*keys, "label", "start_char", "end_char", "surface_text", "canonical_id", "canonical_name", method.alias("method"))
 
@@ -183,27 +196,37 @@ def introduced_systems(sentences: DataFrame, keys: list[str], text: str = "text"
 
 
 def propagate_names(sentences: DataFrame, names: DataFrame, document: str, keys: list[str], text: str = "text", name: str = "surface_text") -> DataFrame:
-    """Every occurrence, in each document, of the names found in it; a hyphen matches a blank as well.
+    """Every occurrence, in each document, of the names found in it, in any case; a hyphen, a blank and nothing stand for each other.
 
-    Names meet sentences by document and by the first word of the name, so a document with many sentences is divided
-    by words; what remains is checked in place.
+    Names meet sentences by document and by their letters and digits up to the first blank or hyphen, so a document
+    with many sentences is divided by words. Only keys and words are joined for that; the text of a sentence that may
+    have names is fetched once, and what remains is checked in place. Occurrences may overlap. Names without a letter
+    or digit, and null keys, have none.
     """
-    n = names.select(F.col(document), F.col(name).alias("name")).distinct().withColumn("_w", F.lower(F.regexp_extract("name", "[\\p{L}\\p{N}_]+", 0))).where("_w <> ''")
-    words = sentences.select(*dict.fromkeys([document, *keys, text])).withColumn("_w", F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit("[\\p{L}\\p{N}_]+"), F.lit(0)))))
-    met = words.join(n, [document, "_w"])
-    schema = _schema(met, keys) + ", name string, start_char int, end_char int, surface_text string"
+    run = "[\\p{L}\\p{N}_]+"
+    n = names.select(F.col(document), F.col(name).alias("name")).distinct().withColumn("_w", F.lower(F.regexp_extract("name", run, 0))).where("_w <> ''")
+    rows = sentences.select(*dict.fromkeys([document, *keys, text])).where(F.col(text).isNotNull())
+    ids = [F.col(k) for k in dict.fromkeys([document, *keys])]
+    # A name's parts may be joined in the text, so its first part meets every word that begins with it: by length of the part.
+    sizes = n.select(document, F.length("_w").alias("_z")).distinct()
+    words = rows.select(*ids, F.explode(F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(run), F.lit(0)))).alias("_t")).distinct()
+    met = words.join(sizes, document).where(F.length("_t") >= F.col("_z")).select(*ids, F.expr("left(_t, _z)").alias("_w")).distinct().join(n, [document, "_w"])
+    met = met.groupBy(*ids).agg(F.collect_set("name").alias("_names"))
+    kept = rows.join(met, list(dict.fromkeys([document, *keys])))
+    schema = _schema(kept, keys) + ", name string, start_char int, end_char int, surface_text string"
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at, rows = [], []
-            for i, (t, x) in enumerate(zip(b.column(len(keys)).to_pylist(), b.column(len(keys) + 1).to_pylist())):
-                body = "[- ]?".join(map(re.escape, re.split("[- ]+", x)))
-                for m in re.finditer(rf"(?<!\w){body}(?!\w)", t):
-                    at.append(i)
-                    rows.append((x, m.start(), m.end(), m[0]))
-            yield _beside(b, keys, at, rows, ["name", "start_char", "end_char", "surface_text"], "siis")
+            at, out = [], []
+            for i, (t, own) in enumerate(zip(b.column(len(keys)).to_pylist(), b.column(len(keys) + 1).to_pylist())):
+                for x in own:
+                    body = "[- ]?".join(map(re.escape, filter(None, re.split("[- ]+", x))))
+                    for m in re.finditer(rf"(?<!\w)(?=({body})(?!\w))", t, re.I):
+                        at.append(i)
+                        out.append((x, m.start(), m.end(1), m[1]))
+            yield _beside(b, keys, at, out, ["name", "start_char", "end_char", "surface_text"], "siis")
 
-    return met.select(*keys, text, "name").mapInArrow(emit, schema).distinct()
+    return kept.select(*keys, text, "_names").mapInArrow(emit, schema).distinct()
 
 
 def realign(spans: DataFrame, text: str = "text", surface: str = "surface_text", start: str = "start_char") -> DataFrame:
@@ -250,3 +273,83 @@ def metadata_mentions(documents: DataFrame, key: str, title: str, authors: str)
     pub = documents.where(F.trim(title) != "").select(F.col(key), F.lit("Publication").alias("label"), F.trim(title).alias("surface_text"), F.lit(1.0).alias("confidence"))
     people = documents.select(F.col(key), F.lit("Person").alias("label"), F.explode(person_names(F.col(authors))).alias("surface_text"), F.lit(0.98).alias("confidence"))
     return pub.unionByName(people)
+
+
+def mention_key(label: Column, kind: Column, field: Column, name: Column, surface: Column, sentence: Column, start: Column, end: Column) -> Column:
+    """What makes two mentions of a document one: for metadata the label, field and normalised name, else the label and the exact place."""
+    of_metadata = F.to_json(F.array(label, F.coalesce(field, F.lit("")), normalized(F.coalesce(F.when(name != "", name), surface, F.lit("")))))
+    place = F.to_json(F.array(label, F.coalesce(sentence, F.lit("")), F.coalesce(start.cast("string"), F.lit("")), F.coalesce(end.cast("string"), F.lit(""))))
+    return F.when(kind == "document_metadata", F.concat(F.lit("m"), of_metadata)).otherwise(F.concat(F.lit("s"), place))
+
+
+def distinct_mentions(mentions: DataFrame, arrival: str = "arrival") -> DataFrame:
+    """The first of the mentions of each document that are one by ``mention_key``, in order of ``arrival`` (unique within a document).
+
+    ``mentions(document_id, label, kind, field, canonical_name, surface_text, sentence_id, start_char, end_char)``; distinct
+    values of one metadata field stay apart.
+    """
+    key = mention_key(*[F.col(c) for c in ("label", "kind", "field", "canonical_name", "surface_text", "sentence_id", "start_char", "end_char")])
+    rows = mentions.withColumn("_key", key)
+    return best_per_key(rows, ["document_id", "_key"], F.struct((-F.col(arrival)).alias("a"))).drop("_key").select(*mentions.columns)
+
+
+#: Channels of the alternative generator with their confidence, from the most to the least trusted (fixed values).
+ALTERNATIVE_CHANNELS = {"specific_lexicon": 0.94, "rule_candidate": 0.72, "challenge_candidate": 0.72, "quantity_candidate": 0.72, "result_candidate": 0.72, "claim_candidate": 0.72}
+_SURROUND = " ,;:()"
+
+
+def alternative_candidates(sentences: DataFrame, patterns: list[tuple[str, str, str]], keys: list[str], text: str = "text", quantity: str | None = None, result: str | None = None, claim: str | None = None, leading: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(chosen, rejected)`` candidates of six channels, one label for each place.
+
+    ``patterns`` are ``(label, pattern, channel)`` for the channels specific_lexicon, rule_candidate and
+    challenge_candidate (of which only a sentence's first match counts). ``quantity`` has a named group ``unit``, whose
+    matches are conditions; a sentence with any and with a match of ``result`` is an observation as a whole, one with a
+    match of ``claim`` a claim. Surrounding marks, and what ``leading`` matches before a rule's match, are no part of a
+    span; spans of one character are none. Of several labels for one place that of the most trusted channel is chosen,
+    of equals the last by name; the others come out as rejected, with the chosen label.
+    """
+    schema = _schema(sentences, keys) + ", label string, start_char int, end_char int, surface_text string, method string"
+    names = ["label", "start_char", "end_char", "surface_text", "method"]
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compiled = [(label, re.compile(p, re.I), channel) for label, p, channel in patterns]
+        amount, outcome, stated, lead = (re.compile(p, re.I) if p else None for p in (quantity, result, claim, leading))
+
+        def found(t: str) -> Iterator[tuple[str, int, int, str]]:
+            for label, p, channel in compiled:
+                for m in p.finditer(t):
+                    yield label, *m.span(next(iter(p.groupindex), 0)), channel
+                    if channel == "challenge_candidate":
+                        break
+            amounts = list(amount.finditer(t)) if amount else []
+            for m in amounts:
+                if m["unit"]:
+                    yield "Condition", *m.span(), "quantity_candidate"
+            if amounts and outcome and outcome.search(t):
+                yield "Observation", 0, len(t), "result_candidate"
+            if stated and stated.search(t):
+                yield "Claim", 0, len(t), "claim_candidate"
+
+        for b in batches:
+            at, rows = [], []
+            for i, t in enumerate(b.column(len(keys)).to_pylist()):
+                for label, a, e, channel in found(t) if t else ():
+                    if lead and channel == "rule_candidate" and (m := lead.match(t[a:e])):
+                        a += m.end()
+                    while a < e and t[a] in _SURROUND:
+                        a += 1
+                    while e > a and t[e - 1] in _SURROUND:
+                        e -= 1
+                    if e - a >= 2:
+                        at.append(i)
+                        rows.append((label, a, e, t[a:e], channel))
+            yield _beside(b, keys, at, rows, names, "siiss")
+
+    spans = sentences.select(*keys, text).mapInArrow(emit, schema).distinct()
+    trust = F.coalesce(*[F.when(F.col("method") == c, F.lit(v)) for c, v in ALTERNATIVE_CHANNELS.items()])
+    spans = spans.withColumn("base_confidence", trust)
+    place = [*keys, "start_char", "end_char"]
+    best = spans.groupBy(*place).agg(F.max(F.struct("base_confidence", "label", "method")).alias("_b"))
+    judged = spans.join(best, place)
+    chosen = (F.col("label") == F.col("_b.label")) & (F.col("method") == F.col("_b.method"))
+    return judged.where(chosen).drop("_b"), judged.where(~chosen).withColumn("chosen_label", F.col("_b.label")).withColumn("reason", F.lit("ambiguous_span_lower_ranked_label")).drop("_b")

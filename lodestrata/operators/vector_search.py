@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestrata.sources.scratch import Scratch, read_block
+
 
 def class_centroids(vectors: DataFrame, label: str, vector: str, dimensions: int) -> DataFrame:
     """``(label, centroid)``: the mean vector of each class; one partial aggregate per dimension, so a class with most rows is reduced before the shuffle."""
@@ -49,44 +51,48 @@ def type_by_vectors(rows: DataFrame, classes: DataFrame, key: str, vector: str,
 
 
 def neighbours(queries: DataFrame, rows: DataFrame, key: str, vector: str, k: int = 12, block: str | None = None, block_rows: int = 20_000, earlier: bool = False) -> DataFrame:
-    """``(query, neighbour, score)``: the ``k`` rows of largest cosine for each query, exactly, not counting itself.
+    """``(query, neighbour, score, rank)``: the ``k`` rows of largest cosine for each query, exactly, not counting itself; keys keep their type.
 
-    ``block`` names a column that must agree; with ``earlier`` only rows of a smaller key count. Queries are sent to the executors in blocks of ``block_rows``; each task
-    keeps ``k`` rows per query of its own part by matrix products, and only these are shuffled. Vectors that are null
-    or of no length are left out.
+    ``block`` names a column that must agree; with ``earlier`` only rows of a smaller key count. Queries are written to
+    the shared folder in blocks of ``block_rows``. A task holds as many of its rows at once and reads the blocks one
+    after another; it keeps ``k`` rows per query by matrix products, and only these are shuffled. Rows are read once,
+    and nothing passes through the driver. Vectors that are null or of no length are left out.
     """
     spark = rows.sparkSession
-    cols = [F.col(key).cast("long").alias("key"), F.col(vector).cast("array<float>").alias("v"), (F.col(block).cast("string") if block else F.lit("")).alias("b")]
+    cols = [F.col(key).alias("key"), F.col(vector).cast("array<float>").alias("v"), (F.col(block).cast("string") if block else F.lit("")).alias("b")]
     q, r = (t.select(*cols).where("key is not null and v is not null and b is not null") for t in (queries, rows))
-    parts = max(1, -(-q.count() // block_rows))
-    q = q.withColumn("p", F.pmod(F.xxhash64("key"), F.lit(parts)))
-    out = None
-    for p in range(parts):
-        own = q.where(F.col("p") == p).orderBy("b", "key").toPandas()
-        if not len(own):
-            continue
-        sent = spark.sparkContext.broadcast((own["key"].to_numpy(), own["b"].to_numpy(), _unit(own["v"])))
-
-        def emit(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            keys, blocks, m = sent.value
-            for b in batches:
-                v, ids = _unit(b["v"]), b["key"].to_numpy()
-                for name, group in b.groupby("b", sort=False).indices.items():
-                    at = np.flatnonzero(blocks == name)
-                    for lo in range(0, len(at), 1_000):
-                        rows_of = at[lo : lo + 1_000]
-                        s = m[rows_of] @ v[group].T
-                        s[(keys[rows_of][:, None] <= ids[group][None, :]) if earlier else (keys[rows_of][:, None] == ids[group][None, :])] = -2
-                        n = min(k, s.shape[1])
-                        best = np.argpartition(-s, n - 1, axis=1)[:, :n]
-                        score = np.take_along_axis(s, best, 1)
-                        out = pd.DataFrame({"query": np.repeat(keys[rows_of], n), "neighbour": ids[group][best].ravel(), "score": score.ravel().astype("float64")})
-                        yield out[out["score"] > -1.5]
-
-        part = r.mapInPandas(emit, "query long, neighbour long, score double")
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        return spark.createDataFrame([], "query long, neighbour long, score double, rank int")
+    files = Scratch(spark, "queries").put_blocks(q, block_rows)
+
+    def best(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        v, ids = _unit(part["v"]), part["key"].to_numpy()
+        groups = part.groupby("b", sort=False).indices
+        for file in files:
+            own = read_block(file).to_pandas()
+            keys, blocks, m = own["key"].to_numpy(), own["b"].to_numpy(), _unit(own["v"])
+            for name, group in groups.items():
+                at = np.flatnonzero(blocks == name)
+                for lo in range(0, len(at), 1_000):
+                    rows_of = at[lo : lo + 1_000]
+                    s = m[rows_of] @ v[group].T
+                    s[(keys[rows_of][:, None] <= ids[group][None, :]) if earlier else (keys[rows_of][:, None] == ids[group][None, :])] = -2
+                    n = min(k, s.shape[1])
+                    near = np.argpartition(-s, n - 1, axis=1)[:, :n]
+                    score = np.take_along_axis(s, near, 1)
+                    out = pd.DataFrame({"query": np.repeat(keys[rows_of], n), "neighbour": ids[group][near].ravel(), "score": score.ravel().astype("float64")})
+                    yield out[out["score"] > -1.5]
+
+    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, n = [], 0
+        for b in batches:
+            held.append(b)
+            n += len(b)
+            if n >= block_rows:
+                yield from best(pd.concat(held, ignore_index=True))
+                held, n = [], 0
+        if n:
+            yield from best(pd.concat(held, ignore_index=True))
+
+    out = r.mapInPandas(emit, f"query {q.schema['key'].dataType.simpleString()}, neighbour {r.schema['key'].dataType.simpleString()}, score double")
     w = Window.partitionBy("query").orderBy(F.desc(F.round("score", 5)), "neighbour")
     return out.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
 
@@ -127,19 +133,41 @@ def threshold_sweep(scored: DataFrame, score: str, truth: str, thresholds: list[
     return out.withColumn("balanced_accuracy", (F.col("recall") + ratio(F.col("tn"), F.col("tn") + F.col("fp"))) / 2)
 
 
-def tfidf_scores(texts: DataFrame, classes: DataFrame, key: str, text_tokens: Column, label: str, class_tokens: Column) -> DataFrame:
-    """``(key, label, score)``: cosine of tf-idf vectors of each text and each class that share a token.
+#: Lengths of the character n-grams of names and what one counts against a word (fixed values).
+GRAMS, GRAM_WEIGHT = (3, 4, 5), 0.35
+
+
+def _grams(text: Column, n: int) -> Column:
+    places = F.sequence(F.lit(1), F.length(text) - (n - 1))
+    return F.when(F.length(text) >= n, F.transform(places, lambda i: F.concat(F.lit("c:"), F.substr(text, i, F.lit(n))))).otherwise(F.array().cast("array<string>"))
+
+
+def name_features(text: Column) -> Column:
+    """The words of a text (``w:``) and the character n-grams of the words joined by blanks (``c:``), repeated as often as they stand in it."""
+    words = F.regexp_extract_all(F.replace(F.lower(text), F.lit("ß"), F.lit("ss")), F.lit("[a-z0-9]+"), F.lit(0))
+    whole = F.array_join(words, " ")
+    grams = [_grams(whole, n) for n in GRAMS]
+    return F.concat(F.transform(words, lambda w: F.concat(F.lit("w:"), w)), *grams)
+
+
+def tfidf_scores(texts: DataFrame, classes: DataFrame, key: str, text: Column, label: str, class_text: Column) -> DataFrame:
+    """``(key, label, score)``: cosine of tf-idf vectors of each text and each class that share a feature of ``name_features``.
 
-    Weights are ``tf * (ln((1+N)/(1+df)) + 1)`` over the classes. Classes meet texts by token; the join's right side
-    has one row per token of a class, and the common tokens' rows are pre-aggregated per text and class.
+    A word counts 1, an n-gram 0.35; weights are ``tf * (ln((1+N)/(1+df)) + 1)`` over the N classes, and a feature that
+    no class has weighs 1 in its text. Distinct texts are scored once. Classes meet texts by feature; the classes' side has one row
+    per feature and class.
     """
-    c = classes.select(F.col(label).alias("label"), F.explode(class_tokens).alias("t")).groupBy("label", "t").agg(F.count(F.lit(1)).alias("tf"))
+    weight = F.when(F.startswith("t", F.lit("w:")), 1.0).otherwise(GRAM_WEIGHT)
+    c = classes.where(F.col(label).isNotNull()).select(F.col(label).alias("label"), F.explode(name_features(class_text)).alias("t")).groupBy("label", "t").agg(F.sum(weight).alias("tf"))
+    c = Scratch(classes.sparkSession, "features").put(c)
     n = c.select("label").distinct().count()
     idf = c.groupBy("t").agg(F.count(F.lit(1)).alias("df")).select("t", (F.log(F.lit(1 + n) / (1 + F.col("df"))) + 1).alias("idf"))
-    cw = c.join(idf, "t").select("label", "t", (F.col("tf") * F.col("idf")).alias("w"))
+    cw = c.join(idf, "t").select("label", "t", (F.col("tf") * F.col("idf")).alias("w"), "idf")
     cn = cw.groupBy("label").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("cn"))
-    x = texts.select(F.col(key).alias("key"), F.explode(text_tokens).alias("t")).groupBy("key", "t").agg(F.count(F.lit(1)).alias("tf"))
-    xw = x.join(idf, "t").select("key", "t", (F.col("tf") * F.col("idf")).alias("xw"))
-    xn = xw.groupBy("key").agg(F.sqrt(F.sum(F.col("xw") * F.col("xw"))).alias("xn"))
-    dots = xw.join(cw, "t").groupBy("key", "label").agg(F.sum(F.col("xw") * F.col("w")).alias("d"))
-    return dots.join(cn, "label").join(xn, "key").select(F.col("key").alias(key), "label", (F.col("d") / (F.col("cn") * F.col("xn"))).alias("score"))
+    keyed = texts.select(F.col(key).alias("key"), text.alias("text")).where("text is not null")
+    x = keyed.select("text").distinct().select("text", F.explode(name_features(F.col("text"))).alias("t")).groupBy("text", "t").agg(F.sum(weight).alias("tf"))
+    xw = x.join(idf, "t", "left").select("text", "t", (F.col("tf") * F.coalesce("idf", F.lit(1.0))).alias("xw"))
+    xn = xw.groupBy("text").agg(F.sqrt(F.sum(F.col("xw") * F.col("xw"))).alias("xn"))
+    dots = xw.join(cw.drop("idf"), "t").groupBy("text", "label").agg(F.sum(F.col("xw") * F.col("w")).alias("d"))
+    scored = dots.join(cn, "label").join(xn, "text").select("text", "label", (F.col("d") / (F.col("cn") * F.col("xn"))).alias("score"))
+    return keyed.join(scored, "text").select(F.col("key").alias(key), "label", "score")

@@ -32,7 +32,12 @@ def _mentions(spark: SparkSession, sf: str) -> DataFrame:
 
 def canonical_entities(spark, sf):
     out = entities.canonical_entities(_mentions(spark, sf))
-    return out.select("entity_id", "label", "key", "canonical_name", F.array_join("aliases", "|").alias("aliases"), "mention_count", F.array_join("evidence", "|").alias("evidence"))
+    return out.select("entity_id", "label", "key", "canonical_name", F.array_join("aliases", "|").alias("aliases"), "alias_count", "mention_count", F.array_join("evidence", "|").alias("evidence"))
+
+
+def entity_aliases(spark, sf):
+    m = _mentions(spark, sf)
+    return entities.entity_aliases(m, entities.canonical_entities(m))
 
 
 def lexical_pairs(spark, sf):
@@ -50,7 +55,13 @@ def name_classes(spark, sf):
 def prior_catalog(spark, sf):
     lex = _read(spark, sf, "lexicon").select(F.col("canonical_id").alias("node_id"), "label", "canonical_name", "aliases")
     ent = _entities(spark, sf).select(F.col("entity_id").alias("node_id"), "label", "canonical_name", "aliases")
-    return entities.prior_catalog([lex, ent]).select("node_id", "label", "key", F.array_join("aliases", "|").alias("aliases"))
+    return entities.prior_catalog([lex, ent]).select("node_id", "label", "key", F.array_join("aliases", "|").alias("aliases"), "alias_count")
+
+
+def catalog_aliases(spark, sf):
+    lex = _read(spark, sf, "lexicon").select(F.col("canonical_id").alias("node_id"), "label", "canonical_name", "aliases")
+    ent = _entities(spark, sf).select(F.col("entity_id").alias("node_id"), "label", "canonical_name", "aliases")
+    return entities.catalog_aliases([lex, ent])
 
 
 def _catalog(spark: SparkSession, sf: str) -> DataFrame:
@@ -59,8 +70,12 @@ def _catalog(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def prior_catalog_topk(spark, sf):
-    top = entities.prior_top_k(_entities(spark, sf), _catalog(spark, sf), "entity_id", "label", "canonical_name")
-    return top.select("entity_id", "node_id", F.round("score", 6).alias("score"), "rank")
+    """Queries are the entities whose id's last digits, read as a number, are divisible by 20, against lexicon and entities as earlier nodes."""
+    lex = _read(spark, sf, "lexicon").select(F.col("canonical_id").alias("node_id"), "label", "canonical_name", "aliases")
+    ent = _entities(spark, sf)
+    catalog = entities.prior_catalog([lex, ent.select(F.col("entity_id").alias("node_id"), "label", "canonical_name", "aliases")])
+    asked = ent.where("pmod(cast(conv(right(entity_id, 8), 16, 10) as bigint), 20) = 0")
+    return entities.prior_top_k(asked, catalog, "entity_id", "label", "canonical_name")
 
 
 def exact_prior_nodes(spark, sf):
@@ -139,9 +154,9 @@ def calibration_sweep(spark, sf):
 
 
 def tfidf_class_scores(spark, sf):
+    """Classes are labels, described by all names and definitions of their entries."""
     lex = _read(spark, sf, "lexicon").where("label is not null").select("label", F.concat_ws(" ", "canonical_name", "definition").alias("t"))
-    texts = _entities(spark, sf).select("entity_id", name_tokens("canonical_name").alias("tokens"))
-    s = vector_search.tfidf_scores(texts, lex, "entity_id", F.col("tokens"), "label", F.filter(F.split(normalized("t"), " "), lambda w: w != ""))
+    s = vector_search.tfidf_scores(_entities(spark, sf), lex, "entity_id", F.col("canonical_name"), "label", F.col("t"))
     return s.select("entity_id", "label", F.round("score", 6).alias("score"))
 
 
@@ -204,7 +219,7 @@ def argument_index(spark, sf):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (canonical_entities, lexical_pairs, lexical_pairs_ratio, name_classes, prior_catalog, prior_catalog_topk, exact_prior_nodes, merge_components, merged_entities, merged_aliases, entity_mentions, merged_mentions, lexicon_growth, dense_typing_topk, embedding_topk, resolution_bands, review_queue, calibration_sweep, tfidf_class_scores, adjudication_outcomes, untraceable_candidates, redundant_review, reference_verdicts, reference_outcomes, decision_replay, judgment_repair, observations, argument_index)}
+    return {f.__name__: f for f in (canonical_entities, entity_aliases, catalog_aliases, lexical_pairs, lexical_pairs_ratio, name_classes, prior_catalog, prior_catalog_topk, exact_prior_nodes, merge_components, merged_entities, merged_aliases, entity_mentions, merged_mentions, lexicon_growth, dense_typing_topk, embedding_topk, resolution_bands, review_queue, calibration_sweep, tfidf_class_scores, adjudication_outcomes, untraceable_candidates, redundant_review, reference_verdicts, reference_outcomes, decision_replay, judgment_repair, observations, argument_index)}
 
 
 def _n(c: str) -> str:
@@ -237,11 +252,12 @@ _GENERIC = "('model','method','system','agent','data','result','study','approach
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "canonical_entities": f"WITH {_ENT}, m AS (SELECT *, {_n('canonical_name')} AS key FROM ent), g AS (SELECT label, key, arg_min(canonical_name, (-length(canonical_name), entity_id)) AS canonical_name, array_to_string(list_sort(list_distinct(list(canonical_name))), '|') AS aliases, count(*)::INT AS mention_count, array_to_string(list_sort(list(entity_id))[1:5], '|') AS evidence FROM m GROUP BY 1, 2) SELECT 'entity_' || substr(sha256(label || chr(9247) || key), 1, 20) AS entity_id, * FROM g",
+        "entity_aliases": f"WITH {_ENT} SELECT DISTINCT 'entity_' || substr(sha256(label || chr(9247) || {_n('canonical_name')}), 1, 20) AS entity_id, canonical_name AS alias FROM ent WHERE canonical_name IS NOT NULL",
+        "canonical_entities": f"WITH {_ENT}, m AS (SELECT *, {_n('canonical_name')} AS key FROM ent), g AS (SELECT label, key, arg_min(canonical_name, (-length(canonical_name), entity_id)) AS canonical_name, array_to_string(list_sort(list_distinct(list(canonical_name)))[1:200], '|') AS aliases, count(DISTINCT canonical_name) AS alias_count, count(*)::INT AS mention_count, array_to_string(list_sort(list(entity_id))[1:5], '|') AS evidence FROM m GROUP BY 1, 2) SELECT 'entity_' || substr(sha256(label || chr(9247) || key), 1, 20) AS entity_id, * FROM g",
         "lexical_pairs": f"WITH {_ENT},{_REPS}, p AS (SELECT a.rep AS x, b.rep AS y, a.label, len(list_intersect(a.tokens, b.tokens)) / greatest(len(list_distinct(list_concat(a.tokens, b.tokens))), 1) AS j, list_has_any(a.keys, b.keys) AS alias_overlap, (contains(a.norm, b.norm) OR contains(b.norm, a.norm)) AND least(length(a.norm), length(b.norm)) >= 4 AS containment FROM r a JOIN r b ON a.label = b.label AND a.rep < b.rep WHERE NOT (a.versions <> '' AND b.versions <> '' AND a.versions <> b.versions)) SELECT x AS left_id, y AS right_id, label, CAST(round_even(CAST(j AS DECIMAL(18,10)), 4) AS DOUBLE) AS jaccard, containment, alias_overlap, CAST(round_even(CAST(greatest(CASE WHEN alias_overlap THEN 0.995 ELSE 0 END, CASE WHEN containment THEN 0.88 ELSE 0 END, j) AS DECIMAL(18,10)), 4) AS DOUBLE) AS score FROM p WHERE alias_overlap OR containment OR j >= 0.64",
         "name_classes": f"WITH {_ENT},{_REPS} SELECT entity_id AS entity, rep FROM live JOIN reps USING (label, norm)",
-        "prior_catalog": f"WITH {_ENT},{_CAT.format(ent='true')} SELECT node_id, label, key, array_to_string(aliases, '|') AS aliases FROM cat",
-        "prior_catalog_topk": f"WITH {_ENT},{_CAT.format(ent='false')}, c AS (SELECT entity_id, label, {_n('canonical_name')} AS norm, list_distinct(list_filter(string_split({_n('canonical_name')}, ' '), lambda t: t <> '')) AS tokens FROM ent), a AS (SELECT node_id, label, list_distinct(list_filter(string_split({_n('a')}, ' '), lambda t: t <> '')) AS att FROM (SELECT node_id, label, unnest(aliases) AS a FROM cat)), s AS (SELECT entity_id, node_id, max(len(list_intersect(tokens, att)) / len(list_distinct(list_concat(tokens, att)))) AS s FROM c JOIN a ON c.label = a.label AND list_has_any(tokens, att) WHERE norm <> '' GROUP BY 1, 2) SELECT entity_id, node_id, round(s, 6) AS score, row_number() OVER (PARTITION BY entity_id ORDER BY s DESC, node_id)::INT AS rank FROM s WHERE s >= 0.3 QUALIFY rank <= 12",
+        "prior_catalog": f"WITH {_ENT},{_CAT.format(ent='true')} SELECT node_id, label, key, array_to_string(aliases[1:200], '|') AS aliases, len(aliases) AS alias_count FROM cat",
+        "catalog_aliases": f"WITH {_ENT},{_CAT.format(ent='true')} SELECT node_id, label, key, unnest(aliases) AS alias FROM cat",
         "exact_prior_nodes": f"WITH {_ENT},{_CAT.format(ent='false')}, o AS (SELECT label, key, min(node_id) AS node_id FROM cat GROUP BY 1, 2 HAVING count(DISTINCT node_id) = 1) SELECT entity_id, o.node_id AS matched_node_id FROM ent LEFT JOIN o ON ent.label = o.label AND {_n('ent.canonical_name')} = o.key",
         "merge_components": f"WITH RECURSIVE {_LOG},{_CC} SELECT node, component FROM cc",
         "merged_entities": f"WITH RECURSIVE {_ENT},{_LOG},{_CC}, x AS (SELECT ent.*, coalesce(component, entity_id) AS c FROM ent LEFT JOIN cc ON entity_id = node), a AS (SELECT c, array_to_string(list_sort(list_distinct(list(a)))[1:200], '|') AS aliases FROM (SELECT c, unnest(aliases) AS a FROM x) WHERE a IS NOT NULL GROUP BY 1) SELECT x.c AS entity_id, arg_min(label, (entity_id, label)) AS label, arg_max(canonical_name, (length(canonical_name), canonical_name)) AS canonical_name, sum(coalesce(mention_count, 0))::BIGINT AS mention_count, count(DISTINCT entity_id) AS members, any_value(a.aliases) AS aliases FROM x LEFT JOIN a ON x.c = a.c GROUP BY x.c",
@@ -253,7 +269,16 @@ def oracle_sql() -> dict[str, str]:
         "review_queue": f"WITH {_LOG}, p AS (SELECT *, CASE decision WHEN 'same' THEN 0.9 WHEN 'pending' THEN 0.7 ELSE 0.3 END::DOUBLE AS score FROM log WHERE label IS NOT NULL AND left_name IS NOT NULL AND right_name IS NOT NULL) SELECT CASE WHEN score >= 0.82 THEN 'high' WHEN score >= 0.63 THEN 'middle' ELSE 'low' END AS band, label, least(lower(left_name), lower(right_name)) AS name_a, greatest(lower(left_name), lower(right_name)) AS name_b, count(*) AS pairs, max(score) AS best_score, min(score) AS least_score FROM p GROUP BY 1, 2, 3, 4",
         "calibration_sweep": f"WITH {_EMB.format(cond='true', k=40)}, t AS (SELECT round(0.05 + 0.02 * i, 2)::DOUBLE AS threshold FROM range(21) x(i)), c AS (SELECT threshold, count_if(score >= threshold AND ql = nl)::BIGINT AS tp, count_if(score >= threshold AND ql <> nl)::BIGINT AS fp, count_if(score < threshold AND ql <> nl)::BIGINT AS tn, count_if(score < threshold AND ql = nl)::BIGINT AS fn FROM t, k GROUP BY 1), d AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS p, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS r FROM c) SELECT threshold, tp, fp, tn, fn, round(p, 6) AS precision, round(r, 6) AS recall, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1, round((r + CASE WHEN tn + fp > 0 THEN tn / (tn + fp) ELSE 0 END) / 2, 6) AS balanced_accuracy FROM d",
         "dense_typing_topk": "WITH c AS (SELECT label, list(m ORDER BY i) AS v FROM (SELECT label, i, avg(x) AS m FROM (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings WHERE label IS NOT NULL) GROUP BY 1, 2) GROUP BY 1), s AS (SELECT vec_id, c.label, list_cosine_similarity(embedding::DOUBLE[], c.v) AS s FROM embeddings, c), r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, label) AS k, lead(s) OVER (PARTITION BY vec_id ORDER BY s DESC, label) AS s2 FROM s) SELECT vec_id, label AS selected_label, round(s, 6) AS selected_score, round(s - s2, 6) AS score_margin, s >= 0.15 AND s - s2 >= 0.01 AS applicable FROM r WHERE k = 1",
-        "tfidf_class_scores": f"WITH {_ENT}, cw0 AS (SELECT label, t, count(*) AS tf FROM (SELECT label, unnest(list_filter(string_split({_n(chr(39) + chr(39) + ' || concat_ws(' + chr(39) + ' ' + chr(39) + ', canonical_name, definition)')}, ' '), lambda w: w <> '')) AS t FROM lexicon WHERE label IS NOT NULL) GROUP BY 1, 2), n AS (SELECT count(DISTINCT label) AS n FROM cw0), idf AS (SELECT t, ln((1 + any_value(n.n)) / (1 + count(*))) + 1 AS idf FROM cw0, n GROUP BY 1), cw AS (SELECT label, t, tf * idf AS w FROM cw0 JOIN idf USING (t)), cn AS (SELECT label, sqrt(sum(w * w)) AS cn FROM cw GROUP BY 1), x AS (SELECT entity_id, t, idf AS xw FROM (SELECT entity_id, unnest(list_distinct(list_filter(string_split({_n('canonical_name')}, ' '), lambda t: t <> ''))) AS t FROM ent) JOIN idf USING (t)), xn AS (SELECT entity_id, sqrt(sum(xw * xw)) AS xn FROM x GROUP BY 1), d AS (SELECT entity_id, label, sum(xw * w) AS d FROM x JOIN cw USING (t) GROUP BY 1, 2) SELECT entity_id, label, round(d / (cn * xn), 6) AS score FROM d JOIN cn USING (label) JOIN xn USING (entity_id)",
+        "tfidf_class_scores": rf"""
+            WITH {_ENT}, b AS (SELECT 0 AS side, label AS k, regexp_extract_all(replace(lower(concat_ws(' ', canonical_name, definition)), 'ß', 'ss'), '[a-z0-9]+') AS words FROM lexicon WHERE label IS NOT NULL
+                               UNION ALL SELECT DISTINCT 1, canonical_name, regexp_extract_all(replace(lower(canonical_name), 'ß', 'ss'), '[a-z0-9]+') FROM ent WHERE canonical_name IS NOT NULL),
+            f AS (SELECT side, k, 'w:' || unnest(words) AS t, 1.0::DOUBLE AS w FROM b
+                  UNION ALL SELECT side, k, 'c:' || substr(j, i, n), 0.35::DOUBLE FROM (SELECT side, k, j, n, unnest(range(1, length(j) - n + 2)) AS i FROM (SELECT side, k, array_to_string(words, ' ') AS j, unnest([3, 4, 5]) AS n FROM b))),
+            g AS (SELECT side, k, t, sum(w) AS tf FROM f GROUP BY 1, 2, 3), n AS (SELECT count(DISTINCT k) AS n FROM g WHERE side = 0),
+            idf AS (SELECT t, ln((1 + any_value(n.n)) / (1 + count(*))) + 1 AS idf FROM g, n WHERE side = 0 GROUP BY 1),
+            v AS (SELECT side, k, t, tf * coalesce(idf, 1) AS w FROM g LEFT JOIN idf USING (t)), z AS (SELECT side, k, sqrt(sum(w * w)) AS z FROM v GROUP BY 1, 2),
+            d AS (SELECT x.k AS name, c.k AS label, sum(x.w * c.w) AS d FROM v x JOIN v c USING (t) WHERE x.side = 1 AND c.side = 0 GROUP BY 1, 2)
+            SELECT entity_id, d.label, round(d / (zc.z * zx.z), 6) AS score FROM ent JOIN d ON d.name = canonical_name JOIN z zc ON zc.side = 0 AND zc.k = d.label JOIN z zx ON zx.side = 1 AND zx.k = d.name""",
         "redundant_review": f"WITH {_LOG}, l AS (SELECT *, {_n('left_name')} AS s FROM log WHERE left_id IS NOT NULL AND right_id IS NOT NULL AND left_name IS NOT NULL) SELECT decision_id, left_id, right_id FROM l a WHERE decision = 'pending' AND NOT EXISTS (SELECT 1 FROM l b WHERE b.decision = 'same' AND b.left_id = a.left_id AND b.right_id = a.right_id AND b.s = a.s)",
         "reference_verdicts": f"WITH {_LOG}, g AS (SELECT resolution_id, count(*) AS pairs, count(*) FILTER (upper(decision) = 'SAME' AND label IS NOT NULL) AS same, count(*) FILTER (upper(decision) = 'DIFFERENT') AS different FROM log WHERE resolution_id IS NOT NULL GROUP BY 1) SELECT *, CASE WHEN same = 1 AND different = pairs - 1 THEN 'resolved' WHEN different = pairs THEN 'ignored' ELSE 'pending' END AS status FROM g",
         "decision_replay": f"WITH {_LOG} SELECT left_id || '|' || right_id AS pair, arg_max({{'d': decision}}, (reviewed_at, decision_id)).d AS decision, arg_max(decision_id, (reviewed_at, decision_id)) AS decision_id FROM log WHERE left_id < right_id GROUP BY 1",

@@ -251,7 +251,12 @@ def graph_upsert_edges(spark, sf):
 def mention_arrays(spark, sf):
     _, mentions, _ = _graph(spark, sf)
     out = graph.mention_arrays(mentions)
-    return out.select("entity_id", F.array_join("mention_ids", ",").alias("mention_ids"), F.array_join("surfaces", "|").alias("surfaces"), "mentions", "documents")
+    return out.select("entity_id", F.array_join("mention_ids", ",").alias("mention_ids"), F.array_join("surfaces", "|").alias("surfaces"), "mentions", "documents", "surface_count")
+
+
+def mention_surfaces(spark, sf):
+    _, mentions, _ = _graph(spark, sf)
+    return graph.mention_surfaces(mentions)
 
 
 def identity_alignment(spark, sf):
@@ -310,7 +315,7 @@ def earlier_neighbours(spark, sf):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (domain_range_violations, eligible_predicates, ancestor_closure, schema_edges, assertion_dedupe, relationship_support, supporting, relationship_gates, unknown_endpoints, endpoint_repair, authorship, title_match, competency_questions, semantic_completeness, orphans, usage_rollup, status_pivot, validation_codes, rejection_histogram, split_counts, document_profile, regression_gate, traceability, channel_boundary, graph_summary, graph_verification, graph_problems, edge_problems, edge_patterns, neighbourhood, graph_upsert_nodes, graph_upsert_edges, mention_arrays, identity_alignment, display_names, stage_fold, reading_columns, section_restriction, result_report, narrative_documents, heading_labels, earlier_neighbours)}
+    return {f.__name__: f for f in (domain_range_violations, eligible_predicates, ancestor_closure, schema_edges, assertion_dedupe, relationship_support, supporting, relationship_gates, unknown_endpoints, endpoint_repair, authorship, title_match, competency_questions, semantic_completeness, orphans, usage_rollup, status_pivot, validation_codes, rejection_histogram, split_counts, document_profile, regression_gate, traceability, channel_boundary, graph_summary, graph_verification, graph_problems, edge_problems, edge_patterns, neighbourhood, graph_upsert_nodes, graph_upsert_edges, mention_arrays, mention_surfaces, identity_alignment, display_names, stage_fold, reading_columns, section_restriction, result_report, narrative_documents, heading_labels, earlier_neighbours)}
 
 
 _LOG = r"log AS (SELECT decision_id, run_id, lower(trim(decision, E' \t\n\r')) AS decision, label, trim(left_entity_id, E' \t\n\r') AS left_id, trim(right_entity_id, E' \t\n\r') AS right_id, left_name, right_name, reviewed_at FROM entity_resolution_decisions)"
@@ -373,7 +378,8 @@ def oracle_sql() -> dict[str, str]:
         "neighbourhood": f"WITH {_GRAPH} SELECT DISTINCT target AS entity_id, source AS neighbour, predicate FROM edges",
         "graph_upsert_nodes": f"WITH {_GRAPH},{_UP} SELECT nodes.entity_id, coalesce(nn.label, nodes.label) AS label, coalesce(nn.name, nodes.name) AS name FROM nodes LEFT JOIN nn USING (entity_id) WHERE nodes.entity_id NOT IN (FROM gone)",
         "graph_upsert_edges": f"WITH {_GRAPH},{_UP} SELECT DISTINCT source, predicate, target, document_id FROM edges WHERE (document_id NOT IN (FROM docs) OR source IN (FROM rich)) AND source NOT IN (FROM gone) AND target NOT IN (FROM gone)",
-        "mention_arrays": f"WITH {_GRAPH} SELECT entity_id, string_agg(mention_id, ',' ORDER BY document_id, mention_id, surface) AS mention_ids, any_value(surface) AS surfaces, count(*) AS mentions, count(DISTINCT document_id) AS documents FROM ment GROUP BY 1",
+        "mention_arrays": f"WITH {_GRAPH} SELECT entity_id, string_agg(mention_id, ',' ORDER BY document_id, mention_id, surface) AS mention_ids, array_to_string(list_sort(list_distinct(list(surface)))[1:1000], '|') AS surfaces, count(*) AS mentions, count(DISTINCT document_id) AS documents, count(DISTINCT surface) AS surface_count FROM ment GROUP BY 1",
+        "mention_surfaces": f"WITH {_GRAPH} SELECT entity_id, surface, count(*) AS mentions FROM ment WHERE surface IS NOT NULL GROUP BY 1, 2",
         "identity_alignment": "WITH lex AS (SELECT canonical_id AS entity_id, min(label) AS label, lower(trim(min(canonical_name))) AS n FROM lexicon GROUP BY 1), o AS (SELECT entity_id, label, canonical_name, unnest(mention_ids) AS d FROM entities WHERE entity_id IS NOT NULL), w AS (SELECT entity_id, count(DISTINCT d) AS d FROM o GROUP BY 1), b AS (SELECT label, lower(trim(canonical_name)) AS n, arg_min(entity_id, (-w.d, entity_id)) AS aligned FROM (SELECT DISTINCT entity_id, label, canonical_name FROM o) x JOIN w USING (entity_id) GROUP BY 1, 2) SELECT lex.entity_id, coalesce(aligned, lex.entity_id) AS aligned_id FROM lex LEFT JOIN b USING (label, n)",
         "display_names": f"WITH {_GRAPH}, x AS (SELECT entity_id, replace(coalesce(CASE WHEN trim(name) <> '' THEN name END, entity_id), '_', ' ') AS t FROM nodes) SELECT entity_id, CASE WHEN length(t) > 40 THEN left(t, 39) || '…' ELSE t END AS display FROM x",
         "section_restriction": "SELECT lower(trim(section_title)) AS title, count(*) AS documents, sum(n_chars)::BIGINT AS characters FROM documents WHERE lower(trim(section_title)) IN ('results', 'methods', 'discussion') GROUP BY 1",

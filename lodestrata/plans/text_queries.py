@@ -176,7 +176,14 @@ def paragraph_integrity(spark, sf):
 
 def name_propagation(spark, sf):
     m = _read(spark, sf, "reference_resolution_ignored").where("document_id is not null").select("document_id", "resolution_id", "surface_text", F.col("source.evidence_quote").alias("text")).distinct()
-    return spans.propagate_names(m.where("text is not null"), m.where("length(surface_text) > 3"), "document_id", ["document_id", "resolution_id"]).select("document_id", "resolution_id", "name", "start_char", "end_char")
+    return spans.propagate_names(m.where("text is not null"), m, "document_id", ["document_id", "resolution_id"]).select("document_id", "resolution_id", "name", "start_char", "end_char")
+
+
+def distinct_mentions(spark, sf):
+    m = _read(spark, sf, "reference_resolution_ignored").where("document_id is not null and resolution_id is not null")
+    m = m.select("document_id", F.col("reference_head").alias("label"), "source.kind", "source.field", F.lit("").alias("canonical_name"), "surface_text", "source.sentence_id", "source.start_char", "source.end_char", "resolution_id", "recorded_at")
+    numbered = m.withColumn("arrival", F.row_number().over(Window.partitionBy("document_id").orderBy("recorded_at", "resolution_id")))
+    return spans.distinct_mentions(numbered).select("document_id", "resolution_id", "arrival")
 
 
 def rule_spans(spark, sf):
@@ -203,7 +210,7 @@ def realigned_spans(spark, sf):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (sentences, stable_ids, normalized_names, document_sections, document_chunks, section_hierarchy, repeated_furniture, paragraph_islands, quality_issues, context_windows, antecedent_windows, alias_ambiguity, lexicon_lookup, lexicon_spans, span_selection, reference_words, antecedent_asof, metadata_mentions, content_dedupe, latest_run, parse_summary, plain_text, paragraph_integrity, name_propagation, rule_spans, reference_spans, reference_resolution, realigned_spans, parse_audit, mention_codes, resolution_codes)}
+    return {f.__name__: f for f in (sentences, stable_ids, normalized_names, document_sections, document_chunks, section_hierarchy, repeated_furniture, paragraph_islands, quality_issues, context_windows, antecedent_windows, alias_ambiguity, lexicon_lookup, lexicon_spans, span_selection, reference_words, antecedent_asof, metadata_mentions, content_dedupe, latest_run, parse_summary, plain_text, paragraph_integrity, name_propagation, rule_spans, reference_spans, reference_resolution, realigned_spans, parse_audit, mention_codes, resolution_codes, distinct_mentions)}
 
 
 _PARAS = r"""
@@ -281,6 +288,27 @@ def oracle_sql() -> dict[str, str]:
         "metadata_mentions": r"WITH m AS (SELECT DISTINCT id, title, authors FROM manifest), n AS (SELECT id, list_distinct(list_filter(list_transform(string_split_regex(regexp_replace(authors, '[\d*†‡§¶⁰¹²³⁴⁵⁶⁷⁸⁹]+', '', 'g'), '\s*(?:[;|&]|\band\b)\s*'), lambda p: trim(regexp_replace(regexp_replace(p, '\s+', ' ', 'g'), '[,\s]+$', ''))), lambda p: regexp_matches(p, '\p{L}{2}') AND NOT regexp_matches(lower(p), '^(et al\.?|others)$'))) AS l FROM m) SELECT id, 'Publication' AS label, trim(title) AS surface_text, 1.0::DOUBLE AS confidence FROM m WHERE trim(title) <> '' UNION ALL SELECT id, 'Person', unnest(l), 0.98::DOUBLE FROM n",
         "content_dedupe": "SELECT sha256(text) AS sha256, min(document_id) AS first_location, count(DISTINCT document_id) AS locations, count(*) AS copies FROM documents WHERE text IS NOT NULL GROUP BY 1",
         "latest_run": "SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(event_type, (ts, event_id)) AS event_type FROM events WHERE user_id IS NOT NULL GROUP BY 1",
+        "distinct_mentions": f"""
+            WITH m AS (SELECT document_id, coalesce(reference_head, chr(0)) AS label, source.kind AS kind, coalesce(source.field, '') AS field, {_NORM.format("coalesce(surface_text, '')")} AS name, coalesce(source.sentence_id, '') AS sid, coalesce(source.start_char::VARCHAR, '') AS a, coalesce(source.end_char::VARCHAR, '') AS b,
+                       resolution_id, row_number() OVER (PARTITION BY document_id ORDER BY recorded_at NULLS FIRST, resolution_id) AS arrival FROM reference_resolution_ignored WHERE document_id IS NOT NULL AND resolution_id IS NOT NULL)
+            SELECT document_id, resolution_id, arrival::INT AS arrival FROM m QUALIFY row_number() OVER (PARTITION BY document_id, label, coalesce(kind = 'document_metadata', false), CASE WHEN kind = 'document_metadata' THEN [field, name] ELSE [sid, a, b] END ORDER BY arrival) = 1""",
+        "lexicon_spans": f"""
+            WITH {_ALIASES}, al AS (SELECT DISTINCT alias, canonical_id, label, canonical_name, alias_key FROM keyed WHERE length(alias) >= 2), n AS (SELECT alias_key, count(DISTINCT canonical_id) AS entries FROM keyed GROUP BY 1),
+            w AS (SELECT DISTINCT alias FROM al), t AS (SELECT DISTINCT resolution_id, source.evidence_quote AS text FROM reference_resolution_ignored WHERE source.evidence_quote IS NOT NULL), u AS (SELECT DISTINCT text FROM t),
+            h AS (SELECT text, alias, unnest(range(1, length(text) - length(alias) + 2)) AS p FROM u JOIN w ON contains(lower(text), lower(alias))),
+            f AS (SELECT text, alias, p, p + length(alias) AS e FROM h WHERE lower(substr(text, p, length(alias))) = lower(alias) AND NOT (p > 1 AND regexp_matches(substr(text, p - 1, 1), '[A-Za-z0-9]')) AND NOT regexp_matches(substr(text, p + length(alias), 1), '[A-Za-z0-9]'))
+            SELECT resolution_id, label, (p - 1)::INT AS start_char, (e - 1)::INT AS end_char, substr(text, p, e - p) AS surface_text, canonical_id, canonical_name, CASE WHEN entries = 1 THEN 'persistent_lexicon' ELSE 'persistent_lexicon_ambiguous' END AS method
+            FROM f JOIN al USING (alias) JOIN n USING (alias_key) JOIN t USING (text)
+            WHERE NOT coalesce(label = 'Tool' AND ((p > 1 AND substr(text, p - 1, 1) = '-') OR substr(text, e, 1) = '-'), false) AND NOT coalesce(label = 'Model' AND regexp_matches(substr(text, e), '(?i)^(?:\\.\\d+|o\\b|\\s+Search\\b)'), false)""",
+        "name_propagation": r"""
+            WITH m AS (SELECT DISTINCT document_id, resolution_id, surface_text, source.evidence_quote AS text FROM reference_resolution_ignored WHERE document_id IS NOT NULL),
+            n AS (SELECT DISTINCT document_id, surface_text AS name, list_filter(string_split_regex(surface_text, '[- ]+'), lambda x: x <> '') AS parts FROM m WHERE regexp_matches(surface_text, '[\p{L}\p{N}_]')),
+            q AS (SELECT *, '(?is)' || array_to_string(list_transform(parts, lambda x: regexp_escape(x)), '[- ]?') AS pat, list_sum(list_transform(parts, lambda x: length(x)))::INT AS z FROM n),
+            s AS (SELECT DISTINCT document_id, resolution_id, text FROM m WHERE text IS NOT NULL),
+            h AS (SELECT resolution_id, s.document_id, text, name, pat, z, len(parts) AS k FROM s JOIN q USING (document_id) WHERE regexp_matches(text, pat)),
+            c AS (SELECT *, unnest(range(1, length(text) - z + 2)) AS p FROM h), d AS (SELECT *, unnest(range(z, z + k)) AS l FROM c)
+            SELECT DISTINCT document_id, resolution_id, name, (p - 1)::INT AS start_char, (p - 1 + l)::INT AS end_char FROM d
+            WHERE p + l - 1 <= length(text) AND regexp_full_match(substr(text, p, l), pat) AND NOT (p > 1 AND regexp_matches(substr(text, p - 1, 1), '[\p{L}\p{N}_]')) AND NOT regexp_matches(substr(text, p + l, 1), '[\p{L}\p{N}_]')""",
         "parse_audit": rf"""
             WITH {_PARAS},{_SECTIONS}, body AS (SELECT doc_id, ordinal, section, text FROM secs WHERE NOT is_heading),{_SENT.replace('FROM paras', 'FROM body')},
             h AS (SELECT doc_id, count(*) AS n, bool_or(contains(lower(text), 'abstract')) AS a, bool_or(contains(lower(text), 'intro')) AS i, bool_or(length(text) > 160 OR regexp_matches(text, '[.,;]$')) AS odd FROM secs WHERE is_heading GROUP BY 1),

@@ -82,8 +82,10 @@ def job_list(spark: SparkSession, root: str, manifest_schema: T.StructType | str
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    """A table of one row, such as a run's manifest, as one JSON file."""
-    df.limit(1).coalesce(1).write.mode("overwrite").json(path)
+    """A table of one row, such as a run's manifest, as one JSON file; more rows are an error, none give an empty file."""
+    if len(df.take(2)) > 1:
+        raise ValueError("more than one row; use write_jsonl()")
+    df.coalesce(1).write.mode("overwrite").json(path)
 
 
 def checksums(files: DataFrame) -> DataFrame:

@@ -12,7 +12,12 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from functools import reduce
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +59,15 @@ class Scratch:
         out._scratch_path = path
         return out
 
+    def put_blocks(self, df: DataFrame, block_rows: int) -> list[str]:
+        """Writes a table in files of at most ``block_rows`` rows and gives their addresses, for tasks that read it block by block with ``read_block``."""
+        self._n += 1
+        path = f"{self.base}/{self._n:04d}"
+        df.write.option("maxRecordsPerFile", block_rows).parquet(path)
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        found = p.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(p)
+        return sorted(str(f.getPath().toUri()) for f in found if str(f.getPath().getName()).endswith(".parquet"))
+
     def forget(self, *tables: DataFrame | None) -> None:
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for df in tables:
@@ -63,6 +77,27 @@ class Scratch:
                 p.getFileSystem(conf).delete(p, True)
 
 
+def read_block(address: str) -> pa.Table:
+    """One file of ``put_blocks``, read in a task from the shared folder."""
+    files, path = fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", address))
+    return pq.read_table(path, filesystem=files)
+
+
+def grown(start: DataFrame, step: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """The distinct rows of ``start`` and all that ``step`` makes of the newest ones, until it makes no new row.
+
+    Each round is written, so lineage stays short; a cycle ends by itself, as its rows are known. ``step`` keeps the columns.
+    """
+    scratch = Scratch(start.sparkSession, name)
+    new = every = scratch.put(start.distinct())
+    while rows(new):
+        made = step(new).select(*start.columns).distinct()
+        same = [F.col(f"_k.{c}").eqNullSafe(F.col(f"_m.{c}")) for c in start.columns]
+        new = scratch.put(made.alias("_m").join(every.alias("_k"), reduce(Column.__and__, same), "left_anti"))
+        every = every.unionByName(new)
+    return every
+
+
 def rows(table: DataFrame) -> int:
     """How many rows a scratch table has, as counted when it was written."""
     return table._seen["rows"]

@@ -101,6 +101,48 @@ def test_merge_and_catalog(spark):
     assert {(r.entity_id, r.matched_node_id) for r in one} == {("a", "l1"), ("b", "b"), ("c", "c")}
 
 
+def test_prior_nodes_by_ratio_equal_brute_force(spark):
+    import random
+    import re
+    from difflib import SequenceMatcher
+
+    r = random.Random(3)
+    words = ["flow", "flows", "pump", "pumping", "aqua", "aquanet", "net", "ph", "x1", "sensor"]
+    name = lambda: " ".join(r.choice(words) for _ in range(r.randrange(1, 4)))
+    cat = [(f"n{i:03d}", r.choice(["Tool", "Model"]), name().title(), [name() for _ in range(r.randrange(3))] or None) for i in range(150)] + [("n900", "Tool", "--", None), ("n901", None, "flow", [])]
+    cand = [(f"c{i}", r.choice(["Tool", "Model", None]), name(), r.choice([None, ["Tool"], ["Model", "Other"]])) for i in range(40)] + [("c90", "Tool", "!!", None), ("c91", "Tool", None, None)]
+    got = {}
+    df = spark.createDataFrame(cand, "cid string, label string, name string, alternatives array<string>")
+    c = spark.createDataFrame(cat, "node_id string, label string, canonical_name string, aliases array<string>").repartition(5)
+    for x in entities.prior_top_k(df, c, "cid", "label", "name", 5, "alternatives", block_rows=7).collect():
+        got.setdefault(x.cid, []).append((x["rank"], x.node_id, x.score))
+    norm = lambda t: re.sub("[^a-z0-9]+", " ", (t or "").lower()).strip()
+    for cid, label, text, more in cand:
+        want = []
+        for node, own, shown, aliases in cat:
+            names = [n for n in map(norm, [shown, *(aliases or [])]) if n]
+            if own and own in {label, *(more or [])} and names and norm(text):
+                want.append((-max(round(SequenceMatcher(None, norm(text), n).ratio(), 4) for n in names), shown.lower(), node))
+        assert sorted(got.get(cid, [])) == [(i + 1, n, -s) for i, (s, _, n) in enumerate(sorted(want)[:5])]
+
+
+def test_aliases_are_whole_as_rows(spark):
+    rows = [(f"m{i:04d}", "Tool", f"Aqua {'x' * (i % 3)}", "Aqua", "", False, i % 2 == 0, "s", i) for i in range(3)] + [(f"n{i:04d}", "Tool", f"S{i:03d}", "Aqua", "", False, False, "s", 10 + i) for i in range(300)]
+    m = spark.createDataFrame(rows, "mention_id string, label string, surface_text string, canonical_name string, canonical_id string, from_lexicon boolean, is_reference boolean, sentence_id string, seq int")
+    e = entities.canonical_entities(m)
+    one = e.first()
+    assert one.alias_count == 302 and len(one.aliases) == 200 and one.aliases == sorted(one.aliases)
+    assert entities.entity_aliases(m, e).count() == 302
+
+
+def test_keys_of_neighbours_keep_their_type(spark):
+    v = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.9, 0.1]), ("c", [0.0, 1.0])], "id string, v array<float>")
+    n = vector_search.neighbours(v, v, "id", "v", 1, block_rows=1).orderBy("query").collect()
+    assert [(r.query, r.neighbour) for r in n] == [("a", "b"), ("b", "a"), ("c", "b")]
+    assert [(r.query, r.neighbour) for r in vector_search.neighbours(v, v, "id", "v", 2, earlier=True).orderBy("query", "rank").collect()] == [("b", "a"), ("c", "b"), ("c", "a")]
+    assert vector_search.neighbours(v.limit(0), v, "id", "v").count() == 0 and vector_search.neighbours(v, v.limit(0), "id", "v").count() == 0
+
+
 def test_merged_rows_are_whole(spark):
     df = spark.createDataFrame([("a", "Tool", "Aqua", [f"A{i:03d}" for i in range(300)]), ("b", "Tool", "Aqua Net", None), ("c", "Model", "X", ["Y"])], E)
     cc = spark.createDataFrame([("a", "a"), ("b", "a")], "node string, component string")

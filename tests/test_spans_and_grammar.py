@@ -17,16 +17,46 @@ LEX_SCHEMA = "canonical_id string, label string, canonical_name string, aliases
 
 def test_lexicon(spark):
     lex = spark.createDataFrame(LEX, LEX_SCHEMA)
-    s = spark.createDataFrame([("s1", "A dekrox  kit by DKX, not DKXY; Gone C++ lib."), ("s2", None)], "sid string, text string")
+    s = spark.createDataFrame([("s1", "A dekrox kit by DKX, not DKXY; Gone C++ lib."), ("s2", None)], "sid string, text string")
     for chars in (5, 1000):
         rows = spans.lexicon_spans(s, lex, ["sid"], block_chars=chars).collect()
-        assert sorted((r.surface_text, r.canonical_id, r.method) for r in rows) == [("C++ lib", "d", "persistent_lexicon"), ("DKX", "a", "persistent_lexicon"), ("dekrox", "a", "persistent_lexicon_ambiguous"), ("dekrox", "b", "persistent_lexicon_ambiguous"), ("dekrox  kit", "a", "persistent_lexicon")]
+        assert sorted((r.surface_text, r.canonical_id, r.method) for r in rows) == [("C++ lib", "d", "persistent_lexicon"), ("DKX", "a", "persistent_lexicon"), ("dekrox", "a", "persistent_lexicon_ambiguous"), ("dekrox", "b", "persistent_lexicon_ambiguous"), ("dekrox kit", "a", "persistent_lexicon")]
     v = spark.createDataFrame([(1, "dkx", "Tool"), (2, "DEKROX", "Model"), (3, "DEKROX", None), (4, "gone", "Tool")], "i int, v string, l string")
     assert [(r.i, r.canonical_id) for r in spans.find_entries(v, lex, "v").collect()] == [(1, "a")]
     assert sorted((r.i, r.canonical_id) for r in spans.find_entries(v, lex, "v", "l").collect()) == [(1, "a"), (2, "b")]
     assert spans.lexicon_spans(s, lex.limit(0), ["sid"]).count() == 0
 
 
+def test_guards_of_tools_and_models(spark):
+    lex = spark.createDataFrame([("t", "Tool", "EPANET", [], None), ("m", "Model", "GPT-4", ["QX", "é2", "x"], None)], LEX_SCHEMA)
+    s = spark.createDataFrame([("1", "EPANET ran; pre-EPANET and EPANET-MSX did not."), ("2", "GPT-4 and GPT-4.5, GPT-4o, GPT-4 Search, gpt-4-turbo."), ("3", "QX_QX中QX aQX É2.")], "sid string, text string")
+    got = sorted((r.sid, r.start_char, r.surface_text) for r in spans.lexicon_spans(s, lex, ["sid"]).collect())
+    assert got == [("1", 0, "EPANET"), ("2", 0, "GPT-4"), ("2", 41, "gpt-4"), ("3", 0, "QX"), ("3", 3, "QX"), ("3", 6, "QX"), ("3", 13, "É2")]
+
+
+def test_propagation_in_any_case_and_spelling(spark):
+    s = spark.createDataFrame([("d", "1", "AQUA NET, aquanet; aqua-nets AI ai."), ("d", "1", "AQUA NET, aquanet; aqua-nets AI ai."), (None, "2", "Aqua-Net"), ("d", "3", None)], "document_id string, sid string, text string")
+    n = spark.createDataFrame([("d", "Aqua-Net"), ("d", "AI"), ("d", "--"), ("d", None), (None, "x")], "document_id string, surface_text string")
+    got = sorted((r.name, r.start_char, r.surface_text) for r in spans.propagate_names(s, n, "document_id", ["document_id", "sid"]).collect())
+    assert got == [("AI", 29, "AI"), ("AI", 32, "ai"), ("Aqua-Net", 0, "AQUA NET"), ("Aqua-Net", 10, "aquanet")]
+
+
+def test_alternative_candidates(spark):
+    s = spark.createDataFrame([("1", "The (EPANET) tool reached 5 mg/L, a lack of data; we argue so."), ("2", None)], "sid string, text string")
+    patterns = [("Tool", r"\bEPANET\b", "specific_lexicon"), ("Model", r"The \(EPANET\)", "rule_candidate"), ("Tool", "tool", "rule_candidate"), ("Agent", "tool", "rule_candidate"), ("Challenge", "lack of (?P<value>data)", "challenge_candidate"), ("Unit", "a", "rule_candidate")]
+    chosen, rejected = spans.alternative_candidates(s, patterns, ["sid"], quantity=r"\d+\s*(?P<unit>mg/L)?", result="reached", claim="we argue", leading=r"the\s+")
+    got = sorted((r.label, r.surface_text, r.method) for r in chosen.collect())
+    text = "The (EPANET) tool reached 5 mg/L, a lack of data; we argue so."
+    assert got == [("Challenge", "data", "challenge_candidate"), ("Condition", "5 mg/L", "quantity_candidate"), ("Observation", text, "result_candidate"), ("Tool", "EPANET", "specific_lexicon"), ("Tool", "tool", "rule_candidate")]
+    assert sorted((r.label, r.chosen_label) for r in rejected.collect()) == [("Agent", "Tool"), ("Claim", "Observation"), ("Model", "Tool")]
+
+
+def test_distinct_mentions(spark):
+    rows = [("d", "Person", "document_metadata", "authors", None, "Ann Lee", None, None, None, 1), ("d", "Person", "document_metadata", "authors", "ann  LEE", "x", None, None, None, 2), ("d", "Person", "document_metadata", "authors", "Bo Wu", "x", None, None, None, 3), ("d", "Tool", "sentence_span", None, "A", "A", "s", 1, 2, 5), ("d", "Tool", "sentence_span", None, "B", "B", "s", 1, 2, 4), ("d", None, None, None, None, None, None, None, None, 6)]
+    df = spark.createDataFrame(rows, "document_id string, label string, kind string, field string, canonical_name string, surface_text string, sentence_id string, start_char int, end_char int, arrival int")
+    assert sorted(r.arrival for r in spans.distinct_mentions(df).collect()) == [1, 3, 4, 6]
+
+
 def test_selection_keeps_the_most_trusted(spark):
     rows = [("s", 0, 6, "Tool", "Dekrox", "rule", 1), ("s", 0, 6, "Tool", "Dekrox", "lex", 2), ("s", 0, 10, "Tool", "Dekrox Kit", "rule", 3), ("s", 3, 4, "Tool", "x", "lex", 4)]
     df = spark.createDataFrame(rows, "sentence_id string, start_char int, end_char int, label string, surface_text string, method string, arrival int")
@@ -85,3 +115,15 @@ def test_windows(spark):
     assert [(r.candidate_id, r.distance, r.nearest_unique) for r in n] == [("a", 1, True), ("b", 2, True)]
     assert windows.top_k(c, ["g"], ["candidate_id"], 1).count() == 2
     assert windows.batches(c, ["candidate_id"], 2).count() == 5
+
+
+def test_long_chains_are_followed_to_their_end(spark):
+    """Seven coordinated subjects, ten levels of dependents, a preposition of an object and an agent."""
+    t = [("s", 0, "A", "a", "NOUN", "nsubj", 20, 0, 1)] + [("s", i, "X", "x", "NOUN", "conj", i - 1, 2 * i, 2 * i + 1) for i in range(1, 7)]
+    t += [("s", 20, "removes", "remove", "VERB", "ROOT", 20, 40, 47), ("s", 21, "things", "thing", "NOUN", "dobj", 20, 50, 56), ("s", 22, "from", "from", "ADP", "prep", 21, 57, 61), ("s", 23, "water", "water", "NOUN", "pobj", 22, 62, 67), ("s", 24, "by", "by", "ADP", "agent", 20, 70, 72), ("s", 25, "pumps", "pump", "NOUN", "pobj", 24, 73, 78)]
+    t += [("s", 30 + i, "of", "of", "ADP", "prep", 29 + i if i else 25, 80 + 2 * i, 81 + 2 * i) for i in range(10)]
+    df = spark.createDataFrame(t, "sentence_id string, index int, text string, lemma string, pos string, dep string, head_index int, start_char int, end_char int")
+    got = {(r.subject_index, r.predicate, r.object_index) for r in grammar.triples(df).collect()}
+    assert got == {(i, p, o) for i in range(7) for p, o in (("remove", 21), ("remove from", 23), ("remove by", 25))}
+    ext = {r["index"]: r.end_char for r in grammar.argument_spans(df).collect()}
+    assert ext[25] == 99 and ext[21] == 67
