@@ -102,53 +102,77 @@ def similar_pairs(entities: DataFrame, threshold: float = 0.64, ratio: bool = Tr
     """Pairs of entities with one label and similar names: ``left_id, right_id, label, jaccard, containment, alias_overlap, score``.
 
     Names are compared once: entities with one label and normalised name are one representative each (see
-    ``representatives`` and ``class_members``), so copies make no pairs. Representatives meet if they share an alias,
-    if one is inside the other (then it shares its rarest run of four characters), or by ``prefix_keys`` for the least
-    word Jaccard with which the threshold can be reached at a character ratio of 1. Conflicting version numbers score
-    nothing. The character ratio is computed only for pairs whose bound on it allows the threshold.
+    ``representatives`` and ``class_members``), so copies make no pairs. Representatives meet if one is inside the other
+    (then it shares its rarest run of four characters), or by ``prefix_keys`` for the least word Jaccard with which the
+    threshold can be reached at a character ratio of 1. Those that share an alias are a class (``alias_classes`` has its
+    members), and each is paired with the class's representative only, so an alias that very many have makes no more
+    pairs than it has members. Conflicting version numbers score nothing. The character ratio is computed only for pairs
+    whose bound on it allows the threshold.
     """
-    r = Scratch(entities.sparkSession, "names").put(representatives(entities, id_col))
+    scratch = Scratch(entities.sparkSession, "names")
+    r = scratch.put(representatives(entities, id_col))
+    classes = scratch.put(alias_classes(entities, id_col))
     least = max(0.05, (threshold - 0.45) / 0.55) if ratio else threshold
-    keys = prefix_keys(r, word_frequency(r), "rep", least).select("label", "rep", F.concat(F.lit("w"), "k").alias("k"))
-    aliases = r.select("label", "rep", F.explode("alias_keys").alias("a")).select("label", "rep", F.concat(F.lit("a"), "a").alias("k"))
-    keys = keys.unionByName(aliases).distinct()
+    keys = prefix_keys(r, word_frequency(r), "rep", least)
     a, b = keys.select("label", "k", F.col("rep").alias("x")), keys.select("label", "k", F.col("rep").alias("y"))
     grams = r.where(F.length("norm") >= 4).select("label", "rep", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("norm") - 3), lambda i: F.substr("norm", i, F.lit(4))))).alias("g"))
     common = grams.groupBy("label", "g").agg(F.count(F.lit(1)).alias("df"))
     rare = grams.join(common, ["label", "g"]).groupBy("label", "rep").agg(F.min(F.struct("df", "g")).alias("_r")).select("label", F.col("rep").alias("x"), F.col("_r.g").alias("g"))
     inside = rare.join(grams.select("label", "g", F.col("rep").alias("y")), ["label", "g"]).where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-    met = a.join(b, ["label", "k"]).where("x < y").select("x", "y").unionByName(inside).distinct()
-    left, right = (r.select(*[F.col(c).alias(f"{p}_{c}") for c in ("rep", "label", "name", "norm", "tokens", "alias_keys", "versions")]) for p in ("l", "r"))
+    star = classes.where("rep <> class_rep").select(F.least("rep", "class_rep").alias("x"), F.greatest("rep", "class_rep").alias("y"))
+    met = a.join(b, ["label", "k"]).where("x < y").select("x", "y").unionByName(inside).withColumn("_star", F.lit(False)).unionByName(star.withColumn("_star", F.lit(True)))
+    met = met.groupBy("x", "y").agg(F.max("_star").alias("_star"))
+    left, right = (r.select(*[F.col(c).alias(f"{p}_{c}") for c in ("rep", "label", "name", "norm", "tokens", "versions")]) for p in ("l", "r"))
     p = met.join(left, met["x"] == left["l_rep"]).join(right, met["y"] == right["r_rep"])
     shorter = F.least(F.length("l_norm"), F.length("r_norm"))
     p = p.withColumns({
         "jaccard": token_jaccard(F.col("l_tokens"), F.col("r_tokens")),
-        "alias_overlap": F.arrays_overlap("l_alias_keys", "r_alias_keys"),
         "containment": (F.contains("l_norm", "r_norm") | F.contains("r_norm", "l_norm")) & (shorter >= 4),
         "conflict": (F.col("l_versions") != "") & (F.col("r_versions") != "") & (F.col("l_versions") != F.col("r_versions")),
     }).where("not conflict")
-    fixed = F.greatest(F.when(F.col("alias_overlap"), 0.995).otherwise(0.0), F.when(F.col("containment"), 0.88).otherwise(0.0))
-    bound = 0.55 * F.col("jaccard") + 0.45 * ratio_bound(F.col("l_norm"), F.col("r_norm"))
-    p = p.where((fixed >= threshold) | (bound >= threshold)) if ratio else p.where((fixed >= threshold) | (F.col("jaccard") >= threshold))
-    score = F.greatest(fixed, 0.55 * F.col("jaccard") + 0.45 * sequence_ratio(F.col("l_norm"), F.col("r_norm"))) if ratio else F.greatest(fixed, F.col("jaccard"))
-    p = p.withColumn("score", F.bround(score, 4)).where(F.col("score") >= threshold)
-    return p.select(F.col("l_rep").alias("left_id"), F.col("r_rep").alias("right_id"), F.col("l_label").alias("label"), F.bround("jaccard", 4).alias("jaccard"), "containment", "alias_overlap", "score")
+    inner = F.when(F.col("containment"), 0.88).otherwise(0.0)
+    bound = 0.55 * F.col("jaccard") + 0.45 * ratio_bound(F.col("l_norm"), F.col("r_norm")) if ratio else F.col("jaccard")
+    p = p.where(F.col("_star") | F.col("containment") | (bound >= threshold))
+    own = 0.55 * F.col("jaccard") + 0.45 * sequence_ratio(F.col("l_norm"), F.col("r_norm")) if ratio else F.col("jaccard")
+    p = p.withColumn("_own", F.bround(F.greatest(inner, own), 4)).where(F.col("_star") | (F.col("_own") >= threshold))
+    p = scratch.put(p.select("x", "y", "_star", F.col("l_label").alias("label"), F.bround("jaccard", 4).alias("jaccard"), "containment", "_own"))
+    own_aliases = classes.select(F.col("rep").alias("x"), "label", "alias_key").distinct()
+    shared = p.where("not _star").select("x", "y", "label").join(own_aliases, ["x", "label"]).join(own_aliases.withColumnRenamed("x", "y"), ["y", "label", "alias_key"], "left_semi")
+    p = p.join(shared.select("x", "y").distinct().withColumn("_also", F.lit(True)), ["x", "y"], "left")
+    overlap = F.col("_star") | F.coalesce("_also", F.lit(False))
+    score = F.greatest(F.when(overlap, 0.995).otherwise(0.0), F.col("_own"))
+    return p.select(F.col("x").alias("left_id"), F.col("y").alias("right_id"), "label", "jaccard", "containment", overlap.alias("alias_overlap"), score.alias("score"))
+
+
+def _live(entities: DataFrame) -> DataFrame:
+    return entities.where(~F.col("label").isin(*SCOPED_LABELS)).withColumn("norm", normalized("canonical_name")).where("norm <> ''")
 
 
 def representatives(entities: DataFrame, id_col: str = "entity_id") -> DataFrame:
-    """One row per label and normalised name: the least id, the spelling of that row, tokens, alias keys and versions; ``members`` says for how many entities."""
-    live = entities.where(~F.col("label").isin(*SCOPED_LABELS)).withColumn("norm", normalized("canonical_name")).where("norm <> ''")
-    keys = F.array_distinct(F.transform(F.coalesce("aliases", F.array().cast("array<string>")), lambda a: normalized(a)))
-    live = live.withColumn("_k", F.filter(keys, lambda k: k != ""))
-    own = live.groupBy("label", "norm").agg(F.min(id_col).alias("rep"), F.min_by("canonical_name", F.struct(id_col, "canonical_name")).alias("name"), F.count_distinct(id_col).alias("members"))
-    al = live.select("label", "norm", F.explode("_k").alias("k")).groupBy("label", "norm").agg(F.array_sort(F.collect_set("k")).alias("alias_keys"))
-    out = own.join(al, ["label", "norm"], "left").withColumn("alias_keys", F.coalesce("alias_keys", F.array().cast("array<string>")))
-    return out.withColumn("tokens", name_tokens("norm")).withColumn("versions", version_of(F.col("name")))
+    """One row per label and normalised name: the least id, the spelling of that row, tokens and versions; ``members`` says for how many entities."""
+    own = _live(entities).groupBy("label", "norm").agg(F.min(id_col).alias("rep"), F.min_by("canonical_name", F.struct(id_col, "canonical_name")).alias("name"), F.count_distinct(id_col).alias("members"))
+    return own.withColumn("tokens", name_tokens("norm")).withColumn("versions", version_of(F.col("name")))
+
+
+def alias_classes(entities: DataFrame, id_col: str = "entity_id") -> DataFrame:
+    """``(label, alias_key, rep, class_rep)``: representatives that share a normalised alias, with the one that stands for the class.
+
+    Names with different version numbers conflict, so the members of an alias are classes by version, each with its
+    least member, and that of a
+    class with a version is tied to that of the class without version by a row of its own.
+    """
+    r = representatives(entities, id_col).select("label", "norm", "rep", "versions")
+    aliases = _live(entities).select("label", "norm", F.explode(F.array_distinct(F.transform(F.coalesce("aliases", F.array().cast("array<string>")), lambda a: normalized(a)))).alias("alias_key")).where("alias_key <> ''").distinct()
+    held = aliases.join(r, ["label", "norm"]).select("label", "alias_key", "rep", "versions")
+    least = held.groupBy("label", "alias_key", "versions").agg(F.min("rep").alias("class_rep"))
+    bare = least.where("versions = ''").select("label", "alias_key", F.col("class_rep").alias("_bare"))
+    tied = least.where("versions <> ''").join(bare, ["label", "alias_key"]).select("label", "alias_key", F.col("class_rep").alias("rep"), F.col("_bare").alias("class_rep"))
+    return held.join(least, ["label", "alias_key", "versions"]).select("label", "alias_key", "rep", "class_rep").unionByName(tied)
 
 
 def class_members(entities: DataFrame, id_col: str = "entity_id") -> DataFrame:
     """``(entity, rep)``: which representative stands for each entity."""
-    live = entities.where(~F.col("label").isin(*SCOPED_LABELS)).withColumn("norm", normalized("canonical_name")).where("norm <> ''")
+    live = _live(entities)
     reps = live.groupBy("label", "norm").agg(F.min(id_col).alias("rep"))
     return live.select("label", "norm", F.col(id_col).alias("entity")).distinct().join(reps, ["label", "norm"]).select("entity", "rep")
 

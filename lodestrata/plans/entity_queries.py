@@ -48,6 +48,10 @@ def lexical_pairs_ratio(spark, sf):
     return entities.similar_pairs(_entities(spark, sf))
 
 
+def alias_classes(spark, sf):
+    return entities.alias_classes(_entities(spark, sf))
+
+
 def name_classes(spark, sf):
     return entities.class_members(_entities(spark, sf))
 
@@ -219,7 +223,7 @@ def argument_index(spark, sf):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (canonical_entities, entity_aliases, catalog_aliases, lexical_pairs, lexical_pairs_ratio, name_classes, prior_catalog, prior_catalog_topk, exact_prior_nodes, merge_components, merged_entities, merged_aliases, entity_mentions, merged_mentions, lexicon_growth, dense_typing_topk, embedding_topk, resolution_bands, review_queue, calibration_sweep, tfidf_class_scores, adjudication_outcomes, untraceable_candidates, redundant_review, reference_verdicts, reference_outcomes, decision_replay, judgment_repair, observations, argument_index)}
+    return {f.__name__: f for f in (canonical_entities, entity_aliases, catalog_aliases, lexical_pairs, lexical_pairs_ratio, alias_classes, name_classes, prior_catalog, prior_catalog_topk, exact_prior_nodes, merge_components, merged_entities, merged_aliases, entity_mentions, merged_mentions, lexicon_growth, dense_typing_topk, embedding_topk, resolution_bands, review_queue, calibration_sweep, tfidf_class_scores, adjudication_outcomes, untraceable_candidates, redundant_review, reference_verdicts, reference_outcomes, decision_replay, judgment_repair, observations, argument_index)}
 
 
 def _n(c: str) -> str:
@@ -239,6 +243,11 @@ _REPS = f"""
     reps AS (SELECT label, norm, min(entity_id) AS rep, arg_min(canonical_name, (entity_id, canonical_name)) AS name FROM live WHERE norm <> '' GROUP BY 1, 2),
     ak AS (SELECT label, norm, list_distinct(list(k)) AS keys FROM (SELECT label, norm, {_n('unnest(aliases)')} AS k FROM live WHERE norm <> '') WHERE k <> '' GROUP BY 1, 2),
     r AS (SELECT reps.*, coalesce(ak.keys, []) AS keys, list_distinct(list_filter(string_split(norm, ' '), lambda t: t <> '')) AS tokens, array_to_string(regexp_extract_all(name, '\\d+(?:\\.\\d+)*'), ',') AS versions FROM reps LEFT JOIN ak USING (label, norm))"""
+_CLASSES = """
+    held AS (SELECT label, unnest(keys) AS alias_key, rep, versions FROM r),
+    least AS (SELECT label, alias_key, versions, min(rep) AS class_rep FROM held GROUP BY 1, 2, 3),
+    classes AS (SELECT label, alias_key, rep, class_rep FROM held JOIN least USING (label, alias_key, versions)
+                UNION ALL SELECT v.label, v.alias_key, v.class_rep, b.class_rep FROM least v JOIN least b USING (label, alias_key) WHERE v.versions <> '' AND b.versions = '')"""
 _CAT = f"""
     cat0 AS (SELECT canonical_id AS node_id, label, trim(canonical_name) AS canonical_name, aliases, 0 AS source FROM lexicon
              UNION ALL SELECT entity_id, label, trim(canonical_name), aliases, 1 FROM ent WHERE {{ent}}),
@@ -254,7 +263,8 @@ def oracle_sql() -> dict[str, str]:
     return {
         "entity_aliases": f"WITH {_ENT} SELECT DISTINCT 'entity_' || substr(sha256(label || chr(9247) || {_n('canonical_name')}), 1, 20) AS entity_id, canonical_name AS alias FROM ent WHERE canonical_name IS NOT NULL",
         "canonical_entities": f"WITH {_ENT}, m AS (SELECT *, {_n('canonical_name')} AS key FROM ent), g AS (SELECT label, key, arg_min(canonical_name, (-length(canonical_name), entity_id)) AS canonical_name, array_to_string(list_sort(list_distinct(list(canonical_name)))[1:200], '|') AS aliases, count(DISTINCT canonical_name) AS alias_count, count(*)::INT AS mention_count, array_to_string(list_sort(list(entity_id))[1:5], '|') AS evidence FROM m GROUP BY 1, 2) SELECT 'entity_' || substr(sha256(label || chr(9247) || key), 1, 20) AS entity_id, * FROM g",
-        "lexical_pairs": f"WITH {_ENT},{_REPS}, p AS (SELECT a.rep AS x, b.rep AS y, a.label, len(list_intersect(a.tokens, b.tokens)) / greatest(len(list_distinct(list_concat(a.tokens, b.tokens))), 1) AS j, list_has_any(a.keys, b.keys) AS alias_overlap, (contains(a.norm, b.norm) OR contains(b.norm, a.norm)) AND least(length(a.norm), length(b.norm)) >= 4 AS containment FROM r a JOIN r b ON a.label = b.label AND a.rep < b.rep WHERE NOT (a.versions <> '' AND b.versions <> '' AND a.versions <> b.versions)) SELECT x AS left_id, y AS right_id, label, CAST(round_even(CAST(j AS DECIMAL(18,10)), 4) AS DOUBLE) AS jaccard, containment, alias_overlap, CAST(round_even(CAST(greatest(CASE WHEN alias_overlap THEN 0.995 ELSE 0 END, CASE WHEN containment THEN 0.88 ELSE 0 END, j) AS DECIMAL(18,10)), 4) AS DOUBLE) AS score FROM p WHERE alias_overlap OR containment OR j >= 0.64",
+        "alias_classes": f"WITH {_ENT},{_REPS},{_CLASSES} SELECT * FROM classes",
+        "lexical_pairs": f"WITH {_ENT},{_REPS},{_CLASSES}, star AS (SELECT DISTINCT least(rep, class_rep) AS x, greatest(rep, class_rep) AS y, true AS star FROM classes WHERE rep <> class_rep), p0 AS (SELECT a.rep AS x, b.rep AS y, a.label, len(list_intersect(a.tokens, b.tokens)) / greatest(len(list_distinct(list_concat(a.tokens, b.tokens))), 1) AS j, list_has_any(a.keys, b.keys) AS alias_overlap, (contains(a.norm, b.norm) OR contains(b.norm, a.norm)) AND least(length(a.norm), length(b.norm)) >= 4 AS containment FROM r a JOIN r b ON a.label = b.label AND a.rep < b.rep WHERE NOT (a.versions <> '' AND b.versions <> '' AND a.versions <> b.versions)), p AS (SELECT p0.*, coalesce(star, false) AS star FROM p0 LEFT JOIN star USING (x, y)) SELECT x AS left_id, y AS right_id, label, CAST(round_even(CAST(j AS DECIMAL(18,10)), 4) AS DOUBLE) AS jaccard, containment, alias_overlap, CAST(round_even(CAST(greatest(CASE WHEN alias_overlap THEN 0.995 ELSE 0 END, CASE WHEN containment THEN 0.88 ELSE 0 END, j) AS DECIMAL(18,10)), 4) AS DOUBLE) AS score FROM p WHERE star OR containment OR j >= 0.64",
         "name_classes": f"WITH {_ENT},{_REPS} SELECT entity_id AS entity, rep FROM live JOIN reps USING (label, norm)",
         "prior_catalog": f"WITH {_ENT},{_CAT.format(ent='true')} SELECT node_id, label, key, array_to_string(aliases[1:200], '|') AS aliases, len(aliases) AS alias_count FROM cat",
         "catalog_aliases": f"WITH {_ENT},{_CAT.format(ent='true')} SELECT node_id, label, key, unnest(aliases) AS alias FROM cat",

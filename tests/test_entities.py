@@ -72,21 +72,44 @@ def test_similar_pairs_equal_all_pairs(spark):
     rows = [(f"e{i:03d}", r.choice(["Tool", "Model"]), " ".join(r.sample(words, r.randrange(1, 4))), r.choice([None, [], ["AQ"], ["Zed one"]])) for i in range(60)] + [("z1", "Tool", "superaquanet", None), ("z2", "Tool", "aquanet", None), ("z3", "Claim", "aquanet", None), ("z4", "Tool", "  ", None)]
     df = spark.createDataFrame(rows, E)
     reps = {x.rep: x for x in entities.representatives(df).collect()}
-    want = set()
+    members = {}
+    for x in entities.alias_classes(df).collect():
+        members.setdefault(x.rep, set()).add((x.label, x.alias_key))
+    want, by_alias = set(), set()
     for a in reps.values():
         for b in reps.values():
             if a.rep < b.rep and a.label == b.label and not (a.versions and b.versions and a.versions != b.versions):
                 j = len(set(a.tokens) & set(b.tokens)) / len(set(a.tokens) | set(b.tokens))
-                s = max(0.995 if set(a.alias_keys) & set(b.alias_keys) else 0, 0.88 if (a.norm in b.norm or b.norm in a.norm) and min(len(a.norm), len(b.norm)) >= 4 else 0, 0.55 * j + 0.45 * SequenceMatcher(None, a.norm, b.norm).ratio())
+                s = max(0.88 if (a.norm in b.norm or b.norm in a.norm) and min(len(a.norm), len(b.norm)) >= 4 else 0, 0.55 * j + 0.45 * SequenceMatcher(None, a.norm, b.norm).ratio())
                 if s >= 0.64:
                     want.add((a.rep, b.rep))
-    got = {(x.left_id, x.right_id) for x in entities.similar_pairs(df).collect()}
-    by_ratio = {w for w in want - got if not set(reps[w[0]].tokens) & set(reps[w[1]].tokens)}
-    assert got - want == set() and want - got == by_ratio == set()
+                if members.get(a.rep, set()) & members.get(b.rep, set()):
+                    by_alias.add((a.rep, b.rep))
+    rows = entities.similar_pairs(df).collect()
+    got = {(x.left_id, x.right_id) for x in rows}
+    assert want <= got and got - want <= by_alias and {(x.left_id, x.right_id) for x in rows if x.alias_overlap} == got & by_alias
+    near = {}
+    for x, y in got & by_alias:
+        near.setdefault(x, set()).add(y)
+        near.setdefault(y, set()).add(x)
+    for x, y in by_alias - got:  # linked by the class's representatives
+        seen, todo = {x}, [x]
+        while todo:
+            todo += [z for z in near.get(todo.pop(), ()) if z not in seen and not seen.add(z)]
+        assert y in seen
     assert ("z1", "z2") in got
     assert entities.class_members(df).count() == 62
 
 
+def test_one_alias_on_very_many_entities(spark):
+    """An alias that 100,000 names have makes a pair for each, not for every two."""
+    df = spark.range(100_000).selectExpr("printf('e%06d', id) as entity_id", "'Tool' as label", "concat('q', hex(id * 7919 + 1048576), 'z') as canonical_name", "array('same') as aliases").withColumn("canonical_name", F.translate("canonical_name", "0123456789", "ghijklmnop"))
+    classes = entities.alias_classes(df)
+    assert classes.count() == 100_000 and classes.where("class_rep = 'e000000'").count() == 100_000
+    star = entities.similar_pairs(df, 0.99, ratio=False).where("alias_overlap and left_id = 'e000000'")
+    assert star.count() == 99_999
+
+
 def test_merge_and_catalog(spark):
     df = spark.createDataFrame([("a", "Tool", "Aqua", ["A"]), ("b", "Tool", "Aqua Net", None), ("c", "Model", "X", [])], E).withColumn("mention_count", F.lit(2))
     cc = spark.createDataFrame([("a", "a"), ("b", "a")], "node string, component string")
