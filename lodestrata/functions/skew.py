@@ -34,7 +34,7 @@ def split_join(left: DataFrame, right: DataFrame, key: str, rows: int, how: str
     return cold.unionByName(warm)
 
 
-def positions(df: DataFrame, key: str, order: list[str], name: str = "pos", tasks: int | None = None) -> DataFrame:
+def positions(df: DataFrame, key: str, order: list[str], name: str = "pos", tasks: int | None = None, wide: bool = False) -> DataFrame:
     """Rows numbered from 0 within each key, in the order given (columns that together are unique within a key).
 
     Rows are range-sorted by key and order, so a key with very many rows is divided over tasks; each part of a key is
@@ -47,4 +47,4 @@ def positions(df: DataFrame, key: str, order: list[str], name: str = "pos", task
     before = counts.withColumn("_before", F.coalesce(F.sum("_c").over(Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     numbered = parts.withColumn("_row", F.row_number().over(Window.partitionBy(key, "_part").orderBy(*order)) - 1)
     out = numbered.join(before.drop("_c").withColumnRenamed(key, "_key"), F.col(key).eqNullSafe(F.col("_key")) & (numbered["_part"] == before["_part"]))
-    return out.select(*df.columns, (F.col("_row") + F.col("_before")).cast("int").alias(name))
+    return out.select(*df.columns, (F.col("_row") + F.col("_before")).cast("long" if wide else "int").alias(name))

@@ -1,4 +1,4 @@
-"""Connected components for entity merges: alternating large-star and small-star steps on written edge tables."""
+"""Connected components for entity merges, by the forests of ``operators.forests``."""
 
 from __future__ import annotations
 
@@ -6,38 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.functions.skew import split_join
+from lodestrata.operators.forests import union_find
 from lodestrata.sources.scratch import Scratch, rows
 
 
-def _star(edges: DataFrame, large: bool, n: int) -> DataFrame:
-    """One star step on ``(u, v)`` with ``u > v``: every node's larger (or smaller) neighbours are tied to its least one."""
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    met = split_join(both, least, "u", 2 * n)
-    if large:
-        out = met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        out = met.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(met.select("u", F.col("m").alias("v")))
-    return out.where("u <> v").distinct()
-
-
-def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
+def connected_components(edges: DataFrame, left: str, right: str, edges_per_task: int = 200_000) -> DataFrame:
     """``(node, component)`` of every node of an edge; the component is its least node.
 
-    Null ends, self edges and repeats are ignored; an empty table gives no rows. Each step is written to the shared
-    folder; steps end when the edges no longer change, after about log2 of the longest path squared in the worst case.
+    Null ends, self edges and repeats are ignored; an empty table gives no rows.
     """
-    scratch = Scratch(edges.sparkSession, "stars")
-    now = edges.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v")).where(F.col(left).isNotNull() & F.col(right).isNotNull()).where("u <> v").distinct()
-    sign = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-    now = scratch.put(now, sign=sign)
-    while rows(now):
-        big = scratch.put(_star(now, True, rows(now)))
-        small = scratch.put(_star(big, False, rows(now)), sign=sign)
-        scratch.forget(now, big)
-        same = small._seen == now._seen
-        now = small
-        if same:
-            break
-    roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+    pairs = edges.select(F.least(left, right).cast("string").alias("a"), F.greatest(left, right).cast("string").alias("b")).where(F.col(left).isNotNull() & F.col(right).isNotNull() & (F.col(left) != F.col(right))).distinct()
+    scratch = Scratch(edges.sparkSession, "components")
+    found = scratch.put(union_find(pairs, edges_per_task))
+    least = found.groupBy("root").agg(F.min("node").alias("component"))
+    return split_join(found, least, "root", rows(found)).select("node", "component")

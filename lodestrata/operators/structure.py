@@ -21,8 +21,11 @@ def islands(rows: DataFrame, partition: list[str], order: list[str], starts: Col
 
 def paragraphs_of_text(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, ordinal, text)``: the parts between blank lines, each on one line; null and blank texts have none. No shuffle."""
-    parts = F.filter(F.transform(F.split(F.regexp_replace(F.col(text), "\r\n?", "\n"), _BLANK_LINE), lambda p: F.trim(F.regexp_replace(p, "\\s+", " "))), lambda p: p != "")
-    return documents.select(F.col(key), F.posexplode(parts).alias("ordinal", "text"))
+    return documents.select(F.col(key), F.posexplode(_paragraphs(F.col(text))).alias("ordinal", "text"))
+
+
+def _paragraphs(text: Column) -> Column:
+    return F.filter(F.transform(F.split(F.regexp_replace(text, "\r\n?", "\n"), _BLANK_LINE), lambda p: F.trim(F.regexp_replace(p, "\\s+", " "))), lambda p: p != "")
 
 
 def sentences_of(paragraphs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
@@ -30,6 +33,12 @@ def sentences_of(paragraphs: DataFrame, keys: list[str], text: str = "text") ->
     return paragraphs.select(*keys, F.posexplode(split_sentences(text)).alias("ordinal", "text"))
 
 
+def sentence_arrays(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(key, sentences)``: each document's sentences in order as ``(paragraph, ordinal, text)``, in one row and without a shuffle."""
+    in_paragraph = lambda p, i: F.transform(split_sentences(p), lambda s, k: F.struct(i.alias("paragraph"), k.alias("ordinal"), s.alias("text")))
+    return documents.where(F.col(text).isNotNull()).select(key, F.flatten(F.transform(_paragraphs(F.col(text)), in_paragraph)).alias("sentences"))
+
+
 def group_lines(lines: DataFrame, partition: list[str], order: list[str], text: str = "text") -> DataFrame:
     """Lines numbered by paragraph: one begins at a list item, after a line with a final stop, or where a line starts anew."""
     before = F.lag(text).over(Window.partitionBy(*partition).orderBy(*order))
@@ -83,9 +92,9 @@ def chunks(sections: DataFrame, key: str = "doc_id") -> DataFrame:
     return secs.unionByName(paras).unionByName(sents)
 
 
-def plain_text(paragraphs: DataFrame, key: str = "doc_id", order: str = "ordinal", text: str = "text") -> DataFrame:
-    """``(key, text)``: the paragraphs in order with blank lines between them."""
-    return paragraphs.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda x: x[text]), "\n\n").alias("text"))
+def plain_text(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(key, text)``: the paragraphs of a document in order with blank lines between them, without a shuffle; documents without any give no row."""
+    return documents.select(key, F.array_join(_paragraphs(F.col(text)), "\n\n").alias("text")).where("text <> ''")
 
 
 def quality_issues(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestrata.functions.skew import positions
+
 
 def context_windows(sentences: DataFrame, partition: list[str], order: str, before: int = 1, after: int = 1, fields: tuple[str, ...] = ("sentence_id", "text")) -> DataFrame:
     """Adds ``context``: the sentences around each one in its section, in order, with their role.
@@ -20,6 +22,23 @@ def context_windows(sentences: DataFrame, partition: list[str], order: str, befo
     return out.withColumn("context", F.transform("_near", lambda x: F.struct(x["at"].alias("at"), role(x).alias("role"), *[x[c].alias(c) for c in fields]))).drop("_near")
 
 
+def context_arrays(documents: DataFrame, sentences: str, before: int = 1, after: int = 1) -> DataFrame:
+    """One row per sentence of the array column ``sentences``: ``pos``, the element as ``sentence``, and ``context``, the elements around it with ``at`` and their role.
+
+    As ``context_windows`` where all sentences of a document are in one row: nothing is shuffled or sorted.
+    """
+    a = F.col(sentences)
+
+    def near(x: Column, i: Column) -> Column:
+        first = F.greatest(i - before, F.lit(0))
+        own = F.slice(a, first + 1, F.least(i + after, F.size(a) - 1) - first + 1)
+        role = lambda at: F.when(at < i, "previous").when(at > i, "next").otherwise("target")
+        return F.struct(i.alias("pos"), x.alias("sentence"), F.transform(own, lambda s, k: F.struct((first + k).alias("at"), role(first + k).alias("role"), s.alias("sentence"))).alias("context"))
+
+    rest = [c for c in documents.columns if c != sentences]
+    return documents.where(F.size(a) > 0).select(*rest, F.explode(F.transform(a, near)).alias("_s")).select(*rest, "_s.*")
+
+
 def nearest_before(targets: DataFrame, candidates: DataFrame, partition: str, position: str, most: int = 2, target_key: str = "target_id", candidate_key: str = "candidate_id", keep: int | None = None) -> DataFrame:
     """Each target with the candidates at most ``most`` positions before it in its partition.
 
@@ -49,8 +68,10 @@ def top_k(rows: DataFrame, keys: list[str], order: list, k: int) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("int")).where(F.col("rank") <= k)
 
 
-def batches(rows: DataFrame, order: list, size: int) -> DataFrame:
-    """Adds ``batch``: rows in groups of ``size`` in the order given, within partitions of a range sort (no single task numbers all rows)."""
-    ordered = rows.repartitionByRange(*[F.col(c) if isinstance(c, str) else c for c in order]).sortWithinPartitions(*order)
-    n = F.row_number().over(Window.partitionBy(F.spark_partition_id()).orderBy(*order)) - 1
-    return ordered.withColumn("batch", F.concat_ws("-", F.spark_partition_id(), F.floor(n / size)))
+def batches(rows: DataFrame, order: list[str], size: int) -> DataFrame:
+    """Adds ``batch``, from 0: rows in groups of ``size`` in the order given (columns that together are unique); only the last is smaller.
+
+    Rows are range-sorted, numbered within each range, and what the earlier ranges hold is added; only the counts of
+    ranges are gathered.
+    """
+    return positions(rows.withColumn("_all", F.lit(0)), "_all", order, "_pos", wide=True).withColumn("batch", F.floor(F.col("_pos") / size)).drop("_all", "_pos")

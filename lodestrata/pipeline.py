@@ -40,7 +40,7 @@ class KnowledgePipeline:
         body = self.sections.where("not is_heading").select("document_id", "section", "section_title", F.col("ordinal").alias("paragraph"), "text")
         s = structure.sentences_of(body, ["document_id", "section", "section_title", "paragraph"])
         s = s.withColumn("sentence_id", parser_id("sent", "document_id", "paragraph", "ordinal", "text"))
-        return windows.context_windows(s.withColumn("pos", F.col("paragraph") * 100_000 + F.col("ordinal")), ["document_id", "section"], "pos")
+        return windows.context_windows(s.withColumn("pos", F.struct("paragraph", "ordinal")), ["document_id", "section"], "pos")
 
     @cached_property
     def candidates(self) -> DataFrame:

@@ -103,13 +103,25 @@ def quality_issues(spark, sf):
 
 
 def context_windows(spark, sf):
-    w = windows.context_windows(_sentences(spark, sf), ["doc_id"], "pos", fields=("text",))
-    return w.select("doc_id", "pos", F.array_join(F.transform("context", lambda x: x["role"]), ",").alias("roles"), F.array_join(F.transform("context", lambda x: x["text"]), " | ").alias("window_text"))
+    w = windows.context_arrays(structure.sentence_arrays(_read(spark, sf, "documents")), "sentences")
+    return w.select("doc_id", "pos", F.array_join(F.transform("context", lambda x: x["role"]), ",").alias("roles"), F.array_join(F.transform("context", lambda x: x["sentence"]["text"]), " | ").alias("window_text"))
+
+
+def section_windows(spark, sf):
+    """Windows within sections, over the rows of a shuffle."""
+    s = _sentences(spark, sf).join(_sections(spark, sf).select("doc_id", F.col("ordinal").alias("paragraph"), "section"), ["doc_id", "paragraph"])
+    w = windows.context_windows(s, ["doc_id", "section"], "pos", fields=())
+    return w.select("doc_id", "pos", "section", F.array_join(F.transform("context", lambda x: x["at"]), ",").alias("near"))
+
+
+def sentence_batches(spark, sf):
+    s = structure.sentence_arrays(_read(spark, sf, "documents")).select("doc_id", F.size("sentences").alias("sentences"))
+    return windows.batches(s, ["doc_id"], 50).select("doc_id", "batch")
 
 
 def antecedent_windows(spark, sf):
-    w = windows.context_windows(_sentences(spark, sf), ["doc_id"], "pos", before=2, after=0, fields=("text",))
-    return w.select("doc_id", "pos", F.size("context").alias("size"), F.sum(F.length(F.col("context")[0]["text"])).over(Window.partitionBy("doc_id", "pos")).alias("first_length"))
+    w = windows.context_arrays(structure.sentence_arrays(_read(spark, sf, "documents")), "sentences", before=2, after=0)
+    return w.select("doc_id", "pos", F.size("context").alias("size"), F.length(F.col("context")[0]["sentence"]["text"]).cast("long").alias("first_length"))
 
 
 def alias_ambiguity(spark, sf):
@@ -165,7 +177,7 @@ def parse_summary(spark, sf):
 
 
 def plain_text(spark, sf):
-    t = structure.plain_text(_paragraphs(spark, sf))
+    t = structure.plain_text(_read(spark, sf, "documents"))
     return t.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("text_hash"), F.length("text").alias("n"))
 
 
@@ -210,7 +222,7 @@ def realigned_spans(spark, sf):
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (sentences, stable_ids, normalized_names, document_sections, document_chunks, section_hierarchy, repeated_furniture, paragraph_islands, quality_issues, context_windows, antecedent_windows, alias_ambiguity, lexicon_lookup, lexicon_spans, span_selection, reference_words, antecedent_asof, metadata_mentions, content_dedupe, latest_run, parse_summary, plain_text, paragraph_integrity, name_propagation, rule_spans, reference_spans, reference_resolution, realigned_spans, parse_audit, mention_codes, resolution_codes, distinct_mentions)}
+    return {f.__name__: f for f in (sentences, stable_ids, normalized_names, document_sections, document_chunks, section_hierarchy, repeated_furniture, paragraph_islands, quality_issues, context_windows, section_windows, sentence_batches, antecedent_windows, alias_ambiguity, lexicon_lookup, lexicon_spans, span_selection, reference_words, antecedent_asof, metadata_mentions, content_dedupe, latest_run, parse_summary, plain_text, paragraph_integrity, name_propagation, rule_spans, reference_spans, reference_resolution, realigned_spans, parse_audit, mention_codes, resolution_codes, distinct_mentions)}
 
 
 _PARAS = r"""
@@ -279,6 +291,8 @@ def oracle_sql() -> dict[str, str]:
         "paragraph_islands": f"WITH {_LINES}, f AS (SELECT doc_id, seq, text, rtrim(lag(text) OVER w) AS b, row_number() OVER w AS rn FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY seq)), s AS (SELECT doc_id, seq, CASE WHEN rn = 1 OR coalesce(regexp_matches(text, '(?i)^(\\(?\\d{{1,3}}\\)?[.)]|[a-z][.)]|[•▪])\\s+') OR ((regexp_matches(b, '[.!?][\"''”’)\\]]*(\\s*\\d+(\\s*[,–−-]\\s*\\d+)*)?$') OR regexp_matches(b, '[:;]$')) AND NOT regexp_matches(regexp_replace(text, '^[\"''“‘(\\[]+', ''), '^[\\p{{Ll}},;:)\\]]')), false) THEN 1 ELSE 0 END AS st FROM f) SELECT doc_id, count(*) AS lines, sum(st)::INT AS paragraphs FROM s GROUP BY 1",
         "quality_issues": f"SELECT doc_id, array_to_string({issues.format(', '.join(f'CASE WHEN {c} THEN {chr(39)}{k}{chr(39)} END' for k, c in checks))}, ';') AS issues FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)",
         "context_windows": f"WITH {_PARAS},{_SENT},{_POS} SELECT doc_id, pos, CASE WHEN lag(pos) OVER w IS NULL THEN '' ELSE 'previous,' END || 'target' || CASE WHEN lead(pos) OVER w IS NULL THEN '' ELSE ',next' END AS roles, concat_ws(' | ', lag(text) OVER w, text, lead(text) OVER w) AS window_text FROM pos WINDOW w AS (PARTITION BY doc_id ORDER BY pos)",
+        "section_windows": f"WITH {_PARAS},{_SECTIONS},{_SENT},{_POS}, j AS (SELECT p.doc_id, p.pos, s.section FROM pos p JOIN secs s ON s.doc_id = p.doc_id AND s.ordinal = p.paragraph) SELECT doc_id, pos, section, concat_ws(',', lag(pos) OVER w, pos, lead(pos) OVER w) AS near FROM j WINDOW w AS (PARTITION BY doc_id, section ORDER BY pos)",
+        "sentence_batches": "SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 50 AS batch FROM documents WHERE text IS NOT NULL",
         "antecedent_windows": f"WITH {_PARAS},{_SENT},{_POS} SELECT doc_id, pos, least(pos + 1, 3)::INT AS size, length(coalesce(lag(text, 2) OVER w, lag(text) OVER w, text))::BIGINT AS first_length FROM pos WINDOW w AS (PARTITION BY doc_id ORDER BY pos)",
         "alias_ambiguity": f"WITH {_ALIASES}, n AS (SELECT alias_key, count(DISTINCT canonical_id) AS entries FROM keyed GROUP BY 1) SELECT DISTINCT alias_key, canonical_id, entries FROM keyed JOIN n USING (alias_key)",
         "lexicon_lookup": f"WITH {_ALIASES}, one AS (SELECT alias_key, min(canonical_id) AS canonical_id FROM keyed GROUP BY 1 HAVING count(DISTINCT canonical_id) = 1), e AS (SELECT DISTINCT resolution_id, surface_text, {_NORM.format('surface_text')} AS alias_key FROM reference_resolution_ignored) SELECT resolution_id, surface_text, canonical_id FROM e JOIN one USING (alias_key) WHERE alias_key <> ''",

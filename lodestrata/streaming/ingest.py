@@ -21,33 +21,47 @@ def stream_documents(spark: SparkSession, folder: str) -> DataFrame:
     return raw.select("path", F.sha2("content", 256).alias("sha256"), "length", "content")
 
 
-def replace_by_document(path: str, key: str = "document_id") -> Callable[[DataFrame, int], None]:
+def replace_by_document(path: str, key: str = "document_id", buckets: int = 64) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` sink that replaces a document's rows in a table partitioned by ``bucket`` of its id.
 
-    Only the buckets that a batch touches are rewritten; a repeated batch leaves the same table. The new buckets are
-    written beside the table first, so that it is never read and overwritten in one job.
+    Only the buckets that a batch touches are rewritten, so ``buckets`` should grow with the table; it must stay the same
+    for one table, and another number than that of the table's first batch is an error. A repeated batch leaves the same table. The new buckets are written beside the table first,
+    so that it is never read and overwritten in one job; a batch that was cut off while they replaced the old ones is
+    finished from there when it is repeated, so no row of another document is lost.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        new = batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(64)).cast("int"))
         jvm = spark._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-        out = new
-        if fs.exists(target) and len(fs.listStatus(target)):
-            old = spark.read.parquet(path)
-            touched = new.select("bucket").distinct()
-            kept = old.join(touched, "bucket", "left_semi").join(new.select(key).distinct(), key, "left_anti")
-            out = kept.select(*new.columns).unionByName(new)
+        at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+        fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        _same_buckets(spark, f"{path}-buckets", buckets)
         staged = f"{path}-staged-{number}"
-        out.write.mode("overwrite").partitionBy("bucket").parquet(staged)
-        spark.read.parquet(staged).select(*new.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
-        fs.delete(jvm.org.apache.hadoop.fs.Path(staged), True)
+        new = batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        if not fs.exists(at(f"{staged}/_SUCCESS")):
+            out = new
+            if fs.exists(at(path)) and len(fs.listStatus(at(path))):
+                old = spark.read.parquet(path)
+                touched = new.select("bucket").distinct()
+                kept = old.join(touched, "bucket", "left_semi").join(new.select(key).distinct(), key, "left_anti")
+                out = kept.select(*new.columns).unionByName(new)
+            out.write.mode("overwrite").partitionBy("bucket").parquet(staged)
+        spark.read.schema(new.schema).parquet(staged).select(*new.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+        fs.delete(at(staged), True)
 
     return write
 
 
+def _same_buckets(spark: SparkSession, path: str, buckets: int) -> None:
+    """Keeps a table's number of buckets beside it, and checks it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.parquet(path)
+    elif (known := spark.read.schema("buckets int").parquet(path).first()) and known[0] != buckets:
+        raise ValueError(f"the table has {known[0]} buckets, not {buckets}")
+
+
 def fold_stages(reports: DataFrame, job: str = "job_id", stage: str = "stage", at: str = "ts", late: str = "1 day") -> DataFrame:
     """The latest stage of each job, as a streaming aggregate: ``(job, stage, ts)``; reports later than the watermark are dropped."""
     return reports.withWatermark(at, late).groupBy(job).agg(F.max_by(stage, at).alias(stage), F.max(at).alias(at))

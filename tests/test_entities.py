@@ -28,6 +28,8 @@ def test_components(spark):
     edges = [(f"n{r.randrange(150)}", f"n{r.randrange(150)}") for _ in range(110)] + [("n1", "n1"), (None, "n2")] + [("hub", f"n{i}") for i in range(0, 150, 15)]
     got = components.connected_components(spark.createDataFrame(edges, "a string, b string"), "a", "b")
     assert {x[0]: x[1] for x in got.collect()} == brute(edges)
+    again = components.connected_components(spark.createDataFrame(edges, "a string, b string").repartition(3), "a", "b", edges_per_task=5)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, got.collect()))
     assert components.connected_components(spark.createDataFrame([], "a string, b string"), "a", "b").count() == 0
 
 

@@ -89,7 +89,7 @@ def test_paragraphs_and_sections(spark):
     h = structure.section_hierarchy(s.where("is_heading").select("doc_id", "section", "section_title")).orderBy("section").collect()
     assert [(r.section, r.level, r.parent) for r in h] == [(1, 1, None), (2, 2, 1)]
     assert structure.chunks(s).groupBy("type").count().orderBy("type").collect()[0]["count"] == 3
-    assert structure.plain_text(p).where("doc_id = 1").first().text.startswith("2 Methods\n\nThe pump")
+    assert structure.plain_text(docs).where("doc_id = 1").first().text.startswith("2 Methods\n\nThe pump")
 
 
 def test_grouping_and_merging(spark):

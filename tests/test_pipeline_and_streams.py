@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from lodestrata.pipeline import KnowledgePipeline
@@ -95,3 +96,27 @@ def test_files(spark, tmp_path):
     assert files.run_catalog(spark, str(tmp_path / "none"), "a", "b", "id string").count() == 0
     log = spark.createDataFrame([("k", 1, "a"), ("k", 1, "b"), ("m", None, "c"), (None, 5, "d")], "k string, at int, t string")
     assert sorted((r.k, r.t) for r in files.latest_per_key(log, "k", "at", "t").collect()) == [("k", "b"), ("m", "c")]
+
+
+def test_replacing_survives_a_cut_off_batch(spark, tmp_path):
+    """A batch that stopped while it replaced buckets is finished from its staged rows; other documents keep theirs."""
+    import shutil
+
+    out = str(tmp_path / "t")
+    make = lambda rows: spark.createDataFrame(rows, "document_id string, n int")
+    ingest.replace_by_document(out, buckets=1)(make([("a", 1), ("b", 2)]), 0)
+    staged = f"{out}-staged-1"
+    full = make([("a", 1), ("b", 3)]).withColumn("bucket", F.lit(0))
+    full.write.partitionBy("bucket").parquet(staged)
+    shutil.rmtree(f"{out}/bucket=0")  # the old bucket is gone, the new one not there yet
+    ingest.replace_by_document(out, buckets=1)(make([("b", 3)]), 1)
+    assert sorted((r.document_id, r.n) for r in spark.read.parquet(out).collect()) == [("a", 1), ("b", 3)]
+    with pytest.raises(ValueError, match="buckets"):
+        ingest.replace_by_document(out, buckets=2)(make([("b", 3)]), 2)
+
+
+def test_one_json_row(spark, tmp_path):
+    with pytest.raises(ValueError, match="more than one row"):
+        files.write_json(spark.range(2).toDF("a"), str(tmp_path / "x"))
+    files.write_json(spark.range(1).toDF("a"), str(tmp_path / "x"))
+    assert spark.read.schema("a long").json(str(tmp_path / "x")).count() == 1
