@@ -1,11 +1,7 @@
 """Train, validation and test splits that keep records with a common author together.
 
-Records and persons form a bipartite graph. Its components are found by union-find: every task builds the forest of
-its own edges and keeps only the stars of that forest; nodes that occur in several forests give the edges of a
-smaller graph between local roots, which is partitioned by node, solved and merged in the same way, level by level,
-until one level has no such nodes. A task never holds more than the edges of its partition (``edges_per_task``), hot
-nodes are spread over the tasks, and each level merges every node that still has an edge, so the graph shrinks
-by at least half per level whatever the data. Groups are then assigned, largest first, to the split that is furthest
+Records and persons form a bipartite graph. Its components are found by distributed union-find with local forests
+merged hierarchically (``operators.forests``). Groups are then assigned, largest first, to the split that is furthest
 below its target. Greedy assignment depends on group sizes alone, so it is solved on the histogram of sizes (at most
 about sqrt(2 * records) distinct sizes), and each group takes its split by its rank among groups of its size.
 """
@@ -16,14 +12,14 @@ import heapq
 import re
 import unicodedata
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.functions.skew import hot_keys, split_join
+from lodestrata.functions.skew import split_join
+from lodestrata.operators.forests import union_find
 from lodestrata.sources.scratch import Scratch, rows as row_count
 
 #: Entries of an author list that name nobody (fixed values).
@@ -95,80 +91,6 @@ def author_links(rows: DataFrame) -> DataFrame:
     return links.select(F.concat(F.lit("r\x1f"), "node").alias("a"), F.concat_ws("\x1f", F.lit("p"), "who", "given").alias("b")).distinct()
 
 
-def _forest(batches: Iterator[pd.DataFrame], most_nodes: int | None = None) -> Iterator[pd.DataFrame]:
-    """Union-find over one partition's edges: a row for each node, with the smallest node of its local tree.
-
-    With ``most_nodes`` a forest of so many nodes is given out and a new one begun; what both have is merged later.
-    """
-    ids: dict[str, int] = {}
-    names: list[str] = []
-    up: list[int] = []
-
-    def root(i: int) -> int:
-        while up[i] != i:
-            up[i] = i = up[up[i]]
-        return i
-
-    def grown() -> Iterator[pd.DataFrame]:
-        for at in range(0, len(names), 50_000):
-            part = range(at, min(at + 50_000, len(names)))
-            yield pd.DataFrame({"node": [names[i] for i in part], "root": [names[root(i)] for i in part]})
-
-    for b in batches:
-        for x, y in zip(b["a"], b["b"]):
-            pair = []
-            for z in (x, y):
-                if (i := ids.get(z)) is None:
-                    i = ids[z] = len(names)
-                    names.append(z)
-                    up.append(i)
-                pair.append(root(i))
-            i, j = pair
-            if i != j:
-                if names[i] < names[j]:
-                    up[j] = i
-                else:
-                    up[i] = j
-            if most_nodes and len(names) >= most_nodes:
-                yield from grown()
-                ids.clear()
-                names.clear()
-                up.clear()
-    yield from grown()
-
-
-def union_find(edges: DataFrame, edges_per_task: int = 200_000) -> DataFrame:
-    """``(node, root)`` for every node of ``edges(a, b)``; the root is one node of the component, the same for all of it.
-
-    Local forests merged hierarchically; see the module. Rows with a null end are ignored.
-    """
-    scratch = Scratch(edges.sparkSession, "forest")
-    graph = scratch.put(edges.select("a", "b").where("a is not null and b is not null"))
-    levels: list[tuple[DataFrame, int]] = []
-    while n := row_count(graph):
-        tasks = -(-n // edges_per_task)
-        if levels:
-            hot = hot_keys(graph, "a", n)
-            salt = F.when(F.col("a").isin(hot), F.pmod(F.xxhash64("b"), F.lit(tasks))).otherwise(F.lit(0)) if hot else F.lit(0)
-            graph = graph.repartition(tasks, F.col("a"), salt) if tasks > 1 else graph.coalesce(1)
-        # The first level takes the edges where they lie, in forests of bounded size, without a shuffle.
-        grow = _forest if levels else partial(_forest, most_nodes=edges_per_task)
-        local = scratch.put(graph.mapInPandas(grow, "node string, root string"))
-        merged = local.groupBy("node").agg(F.min("root").alias("root"), F.collect_set("root").alias("roots"))
-        merged = scratch.put(merged)
-        levels.append((merged.select("node", "root"), row_count(merged)))
-        graph = scratch.put(merged.where("size(roots) > 1").select(F.col("root").alias("a"), F.explode("roots").alias("b")).where("a <> b").distinct())
-        scratch.forget(local)
-    if not levels:
-        return edges.sparkSession.createDataFrame([], "node string, root string")
-    labels, _ = levels.pop()
-    while levels:
-        lower, n = levels.pop()
-        up = labels.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        labels = scratch.put(split_join(lower, up, "root", n, "left").select("node", F.coalesce("top", "root").alias("root")))
-    return labels
-
-
 def record_groups(manifest: DataFrame, id_col: str = "id", authors_col: str = "authors", split_col: str = "split") -> DataFrame:
     """``(id, group_id, split)`` for every row: rows of one id and rows that name the same person share a group.
 

@@ -5,6 +5,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 
 from lodestrata.llm import entity_splits as es
+from lodestrata.operators import forests
 
 from .test_components import brute
 
@@ -33,14 +34,14 @@ def test_persons_never_fails(text):
 def test_union_find_at_any_partitioning(spark, per_task):
     r = random.Random(per_task)
     edges = [(f"r{r.randrange(120)}", f"p{r.randrange(90)}") for _ in range(110)] + [("hub", f"p{i}") for i in range(0, 90, 9)]
-    got = {x[0]: x[1] for x in es.union_find(spark.createDataFrame(edges, "a string, b string").repartition(5), per_task).collect()}
+    got = {x[0]: x[1] for x in forests.union_find(spark.createDataFrame(edges, "a string, b string").repartition(5), per_task).collect()}
     want = brute(edges)
     groups = lambda m: {frozenset(k for k in m if m[k] == v) for v in m.values()}
     assert groups(got) == groups(want)
 
 
 def test_union_find_empty(spark):
-    assert es.union_find(spark.createDataFrame([], "a string, b string")).count() == 0
+    assert forests.union_find(spark.createDataFrame([], "a string, b string")).count() == 0
 
 
 ROWS = [
@@ -104,7 +105,7 @@ def test_first_level_forests_are_bounded():
     import pandas as pd
 
     edges = pd.DataFrame({"a": [f"r{i}" for i in range(40)], "b": [f"p{i // 2}" for i in range(40)]})
-    parts = list(es._forest(iter([edges[i : i + 5] for i in range(0, 40, 5)]), 10))
+    parts = list(forests.local_forest(iter([edges[i : i + 5] for i in range(0, 40, 5)]), 10))
     assert all(len(p) <= 10 + 10 for p in parts) and sum(map(len, parts)) > 60 and len(parts) > 4
 
 

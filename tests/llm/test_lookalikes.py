@@ -9,7 +9,7 @@ from lodestrata.llm import lookalikes as la
 SCRIPTS = "모델한각\u1112\u1161\u11abกำแ้ี" + "\u0915\u093f\u0902\u0958\u0915\u093c\u094d" + "aấậ\u0323\u0302\u0308\u0344\u0345\u034f\u00a8\u0f71\u0f72\u0f73 \u200b"
 
 
-@settings(max_examples=400)
+@settings(max_examples=400, deadline=None)
 @given(st.lists(st.text(alphabet=SCRIPTS, min_size=1, max_size=6), min_size=1, max_size=8), st.sampled_from(["NFC", "NFD", "NFKC"]))
 def test_trie_equals_comparing_forms_in_other_scripts(words, form):
     words = [*words, *(w for w in (unicodedata.normalize(form, w) for w in words) if w)]
@@ -37,7 +37,7 @@ def test_one_alias_of_many_entries(spark):
 ODD = "abcÅÄéоаа​­  　ﬁｆ－-‑Á̊KÅµμ₂2"
 
 
-@settings(max_examples=200)
+@settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(alphabet=ODD, min_size=1, max_size=6), min_size=1, max_size=12), st.text(alphabet=ODD, max_size=6))
 def test_trie_equals_comparing_forms(words, text):
     trie = la.Trie(words)
@@ -67,7 +67,7 @@ def _next(row, i, x, b):
     return out
 
 
-@settings(max_examples=100)
+@settings(max_examples=100, deadline=None)
 @given(st.lists(st.text(alphabet="abc", min_size=1, max_size=5), min_size=1, max_size=8), st.text(alphabet="abc", min_size=1, max_size=5), st.integers(0, 2))
 def test_weighted_edits(words, text, most):
     trie = la.Trie(words)
