@@ -98,7 +98,7 @@ def word_frequency(*names: DataFrame) -> DataFrame:
     return out.groupBy("label", "t").agg(F.count(F.lit(1)).alias("df"))
 
 
-def similar_pairs(entities: DataFrame, threshold: float = 0.64, ratio: bool = True, id_col: str = "entity_id") -> DataFrame:
+def similar_pairs(entities: DataFrame, threshold: float = 0.64, ratio: bool = True, id_col: str = "entity_id", aliases: DataFrame | None = None) -> DataFrame:
     """Pairs of entities with one label and similar names: ``left_id, right_id, label, jaccard, containment, alias_overlap, score``.
 
     Names are compared once: entities with one label and normalised name are one representative each (see
@@ -107,11 +107,12 @@ def similar_pairs(entities: DataFrame, threshold: float = 0.64, ratio: bool = Tr
     threshold can be reached at a character ratio of 1. Those that share an alias are a class (``alias_classes`` has its
     members), and each is paired with the class's representative only, so an alias that very many have makes no more
     pairs than it has members. Conflicting version numbers score nothing. The character ratio is computed only for pairs
-    whose bound on it allows the threshold.
+    whose bound on it allows the threshold. Where the entities' own arrays of aliases are bounded, ``aliases(id, alias)``
+    are the rows beside them.
     """
     scratch = Scratch(entities.sparkSession, "names")
     r = scratch.put(representatives(entities, id_col))
-    classes = scratch.put(alias_classes(entities, id_col))
+    classes = scratch.put(alias_classes(entities, id_col, aliases))
     least = max(0.05, (threshold - 0.45) / 0.55) if ratio else threshold
     keys = prefix_keys(r, word_frequency(r), "rep", least)
     a, b = keys.select("label", "k", F.col("rep").alias("x")), keys.select("label", "k", F.col("rep").alias("y"))
@@ -154,7 +155,7 @@ def representatives(entities: DataFrame, id_col: str = "entity_id") -> DataFrame
     return own.withColumn("tokens", name_tokens("norm")).withColumn("versions", version_of(F.col("name")))
 
 
-def alias_classes(entities: DataFrame, id_col: str = "entity_id") -> DataFrame:
+def alias_classes(entities: DataFrame, id_col: str = "entity_id", aliases: DataFrame | None = None) -> DataFrame:
     """``(label, alias_key, rep, class_rep)``: representatives that share a normalised alias, with the one that stands for the class.
 
     Names with different version numbers conflict, so the members of an alias are classes by version, each with its
@@ -162,8 +163,9 @@ def alias_classes(entities: DataFrame, id_col: str = "entity_id") -> DataFrame:
     class with a version is tied to that of the class without version by a row of its own.
     """
     r = representatives(entities, id_col).select("label", "norm", "rep", "versions")
-    aliases = _live(entities).select("label", "norm", F.explode(F.array_distinct(F.transform(F.coalesce("aliases", F.array().cast("array<string>")), lambda a: normalized(a)))).alias("alias_key")).where("alias_key <> ''").distinct()
-    held = aliases.join(r, ["label", "norm"]).select("label", "alias_key", "rep", "versions")
+    named = _live(entities).select("label", "norm", F.col(id_col).alias("_id")).distinct().join(_alias_rows(entities, aliases, id_col).withColumnRenamed(id_col, "_id"), "_id")
+    named = named.select("label", "norm", normalized("alias").alias("alias_key")).where("alias_key <> ''").distinct()
+    held = named.join(r, ["label", "norm"]).select("label", "alias_key", "rep", "versions")
     least = held.groupBy("label", "alias_key", "versions").agg(F.min("rep").alias("class_rep"))
     bare = least.where("versions = ''").select("label", "alias_key", F.col("class_rep").alias("_bare"))
     tied = least.where("versions <> ''").join(bare, ["label", "alias_key"]).select("label", "alias_key", F.col("class_rep").alias("rep"), F.col("_bare").alias("class_rep"))
@@ -177,11 +179,17 @@ def class_members(entities: DataFrame, id_col: str = "entity_id") -> DataFrame:
     return live.select("label", "norm", F.col(id_col).alias("entity")).distinct().join(reps, ["label", "norm"]).select("entity", "rep")
 
 
-def merge_entities(entities: DataFrame, components: DataFrame, id_col: str = "entity_id", most_aliases: int = 200) -> DataFrame:
+def _alias_rows(entities: DataFrame, aliases: DataFrame | None, id_col: str) -> DataFrame:
+    """``(id_col, alias)`` from the row table, or from the arrays where these are whole."""
+    return aliases.select(id_col, "alias") if aliases is not None else entities.select(id_col, F.explode("aliases").alias("alias"))
+
+
+def merge_entities(entities: DataFrame, components: DataFrame, id_col: str = "entity_id", most_aliases: int = 200, aliases: DataFrame | None = None) -> DataFrame:
     """Entities of one component as one row: ``entity_id`` (the component), label, the longest name, counts, and aliases in order.
 
     ``alias_count`` counts all distinct aliases; the array holds the first ``most_aliases`` of them, as a component may
-    hold a large part of the entities. ``merged_aliases`` and ``merged_mentions`` have all of them as rows.
+    hold a large part of the entities. ``merged_aliases`` and ``merged_mentions`` have all of them as rows. Where the
+    entities' own arrays are bounded, ``aliases(id, alias)`` are the rows beside them.
     """
     rows = entities.join(components.select(F.col("node").alias(id_col), "component"), id_col, "left").withColumn("component", F.coalesce("component", id_col))
     out = rows.groupBy("component").agg(
@@ -190,15 +198,13 @@ def merge_entities(entities: DataFrame, components: DataFrame, id_col: str = "en
         F.sum(F.coalesce("mention_count", F.lit(0))).cast("long").alias("mention_count"),
         F.count_distinct(id_col).alias("members"),
     )
-    names = rows.select("component", F.explode("aliases").alias("a")).where("a is not null").distinct()
-    first = names.withColumn("_n", F.row_number().over(Window.partitionBy("component").orderBy("a"))).where(F.col("_n") <= most_aliases)
-    aliases = first.groupBy("component").agg(F.array_sort(F.collect_list("a")).alias("aliases")).join(names.groupBy("component").agg(F.count(F.lit(1)).alias("alias_count")), "component")
-    return out.join(aliases, "component", "left").withColumnRenamed("component", "entity_id")
+    names = _to_components(_alias_rows(entities, aliases, id_col), components, id_col, ["alias"]).where("alias is not null").distinct()
+    return out.withColumnRenamed("component", "entity_id").join(_first_aliases(names, ["entity_id"], most_aliases), "entity_id", "left")
 
 
-def merged_aliases(entities: DataFrame, components: DataFrame, id_col: str = "entity_id") -> DataFrame:
-    """``(entity_id, alias)``: every distinct alias and canonical name of the entities of each component of ``merge_entities``."""
-    names = entities.select(id_col, F.explode(F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("alias")).where("alias is not null")
+def merged_aliases(entities: DataFrame, components: DataFrame, id_col: str = "entity_id", aliases: DataFrame | None = None) -> DataFrame:
+    """``(entity_id, alias)``: every distinct alias and canonical name of the entities of each component of ``merge_entities``; ``aliases`` as there."""
+    names = _alias_rows(entities, aliases, id_col).unionByName(entities.select(id_col, F.col("canonical_name").alias("alias"))).where("alias is not null")
     return _to_components(names, components, id_col, ["alias"]).distinct()
 
 
@@ -225,10 +231,10 @@ def prior_catalog(sources: list[DataFrame], most_aliases: int = 200) -> DataFram
 
 
 def catalog_aliases(sources: list[DataFrame]) -> DataFrame:
-    """``(node_id, label, key, alias)``: every alias and name of each node of ``prior_catalog``."""
+    """``(node_id, label, key, canonical_name, alias)``: every alias and name of each node of ``prior_catalog``."""
     out = _sources(sources)
     first = out.groupBy("label", "key").agg(F.min(F.struct("source", "node_id", "canonical_name")).alias("f"))
-    return _source_aliases(out).join(first, ["label", "key"]).select(F.col("f.node_id").alias("node_id"), "label", "key", "alias")
+    return _source_aliases(out).join(first, ["label", "key"]).select(F.col("f.node_id").alias("node_id"), "label", "key", F.col("f.canonical_name").alias("canonical_name"), "alias")
 
 
 def _source_aliases(out: DataFrame) -> DataFrame:
@@ -250,8 +256,8 @@ def exact_prior(rows: DataFrame, catalog: DataFrame, label: str, name: str) -> D
     return keyed.join(one, ["_l", "_k"], "left").drop("_l", "_k")
 
 
-def prior_top_k(candidates: DataFrame, catalog: DataFrame, key: str, label: str, name: str, k: int = 12, alternatives: str | None = None, block_rows: int = 5_000) -> DataFrame:
-    """``(key, node_id, score, rank)``: the ``k`` earlier nodes of a candidate's labels with the best ratio of characters over name and aliases.
+def prior_top_k(candidates: DataFrame, names: DataFrame, key: str, label: str, name: str, k: int = 12, alternatives: str | None = None, block_rows: int = 5_000) -> DataFrame:
+    """``(key, node_id, score, rank)``: the ``k`` earlier nodes of a candidate's labels with the best ratio of characters over ``names(node_id, label, canonical_name, alias)``, the rows of ``catalog_aliases``.
 
     A candidate's labels are its own and those of the array ``alternatives``. The score is the Ratcliff-Obershelp ratio
     of the normalised names, at four digits; equal scores fall to the first name without case, then to the least id.
@@ -263,9 +269,7 @@ def prior_top_k(candidates: DataFrame, catalog: DataFrame, key: str, label: str,
     own = F.array(F.col(label)) if alternatives is None else F.concat(F.array(F.col(label)), F.coalesce(alternatives, F.array().cast("array<string>")))
     c = candidates.select(F.col(key), F.explode(F.array_distinct(own)).alias("label"), normalized(name).alias("norm")).where("norm <> '' and label <> ''")
     files = Scratch(candidates.sparkSession, "names").put_blocks(c.select("label", "norm").distinct(), block_rows)
-    shown = F.lower("canonical_name")
-    nodes = catalog.select("node_id", "label", shown.alias("shown"), F.array_distinct(F.filter(F.transform(F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>"))), lambda a: normalized(a)), lambda a: a != "")).alias("names"))
-    nodes = nodes.where("label is not null and size(names) > 0")
+    nodes = names.select("node_id", "label", F.lower("canonical_name").alias("shown"), normalized("alias").alias("name")).where("label is not null and name <> ''")
 
     def best(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
         held = {label: _Names(rows) for label, rows in part.groupby("label", sort=False)}
@@ -285,7 +289,8 @@ def prior_top_k(candidates: DataFrame, catalog: DataFrame, key: str, label: str,
         if n:
             yield from best(pd.concat(held, ignore_index=True))
 
-    found = nodes.mapInPandas(emit, f"label string, norm string, node_id {catalog.schema['node_id'].dataType.simpleString()}, shown string, score double")
+    found = nodes.mapInPandas(emit, f"label string, norm string, node_id {names.schema['node_id'].dataType.simpleString()}, shown string, score double")
+    found = found.groupBy("label", "norm", "node_id").agg(F.max("score").alias("score"), F.min("shown").alias("shown"))
     # The labels of one candidate share its k places, so nodes are ranked for each candidate, after the k of each label.
     first = lambda rows, keys: rows.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("score"), "shown", "node_id")).cast("int")).where(F.col("rank") <= k)
     found = first(found, ["label", "norm"]).drop("rank")
@@ -296,8 +301,9 @@ class _Names:
     """Names of nodes with the counts of their characters, for bounds on ratios with all of them at once."""
 
     def __init__(self, rows: pd.DataFrame):
-        self.names = [(n, i) for i, own in enumerate(rows["names"]) for n in own]
-        self.nodes, self.shown = rows["node_id"].tolist(), rows["shown"].tolist()
+        place = {n: i for i, n in enumerate(dict.fromkeys(rows["node_id"]))}
+        self.nodes, self.shown = list(place), dict(zip((place[n] for n in rows["node_id"]), rows["shown"]))
+        self.names = list(dict.fromkeys((name, place[n]) for name, n in zip(rows["name"], rows["node_id"])))
         self.lengths = np.array([len(n) for n, _ in self.names])
         self.counts = np.stack([_characters(n) for n, _ in self.names])
 

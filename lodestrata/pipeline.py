@@ -74,7 +74,11 @@ class KnowledgePipeline:
 
     @cached_property
     def similar(self) -> DataFrame:
-        return entities.similar_pairs(self.entities)
+        return entities.similar_pairs(self.entities, aliases=self.entity_aliases)
+
+    @cached_property
+    def entity_aliases(self) -> DataFrame:
+        return entities.entity_aliases(self.mentions, self.entities)
 
     @cached_property
     def entity_mentions(self) -> DataFrame:
@@ -89,11 +93,11 @@ class KnowledgePipeline:
 
     @cached_property
     def merged(self) -> DataFrame:
-        return entities.merge_entities(self.entities.drop("evidence", "sentences", "key"), self.groups)
+        return entities.merge_entities(self.entities.drop("evidence", "sentences", "key"), self.groups, aliases=self.entity_aliases)
 
     @cached_property
     def merged_aliases(self) -> DataFrame:
-        return entities.merged_aliases(self.entities, self.groups)
+        return entities.merged_aliases(self.entities, self.groups, aliases=self.entity_aliases)
 
     @cached_property
     def merged_mentions(self) -> DataFrame:
@@ -116,7 +120,7 @@ class KnowledgePipeline:
 
     def register(self, prefix: str = "") -> None:
         """All stages as views, for SQL; with pair decisions, their components are made first."""
-        for name in ("sections", "sentences", "candidates", "adjudicated", "mentions", "entities", "entity_mentions", "merged", "merged_aliases", "merged_mentions"):
+        for name in ("sections", "sentences", "candidates", "adjudicated", "mentions", "entities", "entity_mentions", "entity_aliases", "merged", "merged_aliases", "merged_mentions"):
             getattr(self, name).createOrReplaceTempView(prefix + name)
 
     def run_report(self) -> DataFrame:

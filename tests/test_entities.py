@@ -120,7 +120,7 @@ def test_merge_and_catalog(spark):
     lex = spark.createDataFrame([("l1", "Tool", "aqua", ["AQ"])], "node_id string, label string, canonical_name string, aliases array<string>")
     cat = entities.prior_catalog([lex, df.select(F.col("entity_id").alias("node_id"), "label", "canonical_name", "aliases")])
     assert {(r.node_id, r.key) for r in cat.collect()} == {("l1", "aqua"), ("b", "aqua net"), ("c", "x")}
-    top = entities.prior_top_k(df, cat, "entity_id", "label", "canonical_name", 1).collect()
+    top = entities.prior_top_k(df, cat.select("*", F.explode("aliases").alias("alias")), "entity_id", "label", "canonical_name", 1).collect()
     assert {(r.entity_id, r.node_id) for r in top} == {("a", "l1"), ("b", "b"), ("c", "c")}
     one = entities.exact_prior(df, cat, "label", "canonical_name").collect()
     assert {(r.entity_id, r.matched_node_id) for r in one} == {("a", "l1"), ("b", "b"), ("c", "c")}
@@ -138,7 +138,7 @@ def test_prior_nodes_by_ratio_equal_brute_force(spark):
     cand = [(f"c{i}", r.choice(["Tool", "Model", None]), name(), r.choice([None, ["Tool"], ["Model", "Other"]])) for i in range(40)] + [("c90", "Tool", "!!", None), ("c91", "Tool", None, None)]
     got = {}
     df = spark.createDataFrame(cand, "cid string, label string, name string, alternatives array<string>")
-    c = spark.createDataFrame(cat, "node_id string, label string, canonical_name string, aliases array<string>").repartition(5)
+    c = spark.createDataFrame(cat, "node_id string, label string, canonical_name string, aliases array<string>").select("*", F.explode(F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array()))).alias("alias")).repartition(5)
     for x in entities.prior_top_k(df, c, "cid", "label", "name", 5, "alternatives", block_rows=7).collect():
         got.setdefault(x.cid, []).append((x["rank"], x.node_id, x.score))
     norm = lambda t: re.sub("[^a-z0-9]+", " ", (t or "").lower()).strip()
@@ -173,6 +173,10 @@ def test_merged_rows_are_whole(spark):
     cc = spark.createDataFrame([("a", "a"), ("b", "a")], "node string, component string")
     got = {tuple(r) for r in entities.merged_aliases(df, cc).collect()}
     assert got == {("a", f"A{i:03d}") for i in range(300)} | {("a", "Aqua"), ("a", "Aqua Net"), ("c", "X"), ("c", "Y")}
+    bounded, whole = df.withColumn("aliases", F.slice("aliases", 1, 5)).withColumn("mention_count", F.lit(1)), df.select("entity_id", F.explode("aliases").alias("alias"))
+    assert {tuple(r) for r in entities.merged_aliases(bounded, cc, aliases=whole).collect()} == got
+    assert {(r.entity_id, r.alias_count, len(r.aliases)) for r in entities.merge_entities(bounded, cc, aliases=whole).collect()} == {("a", 300, 200), ("c", 1, 1)}
+    assert entities.alias_classes(bounded, aliases=whole).count() == 301
     em = spark.createDataFrame([("a", "m1", "s1"), ("b", "m2", "s2"), ("c", "m3", "s3"), ("b", "m4", None)], "entity_id string, mention_id string, sentence_id string")
     assert {tuple(r) for r in entities.merged_mentions(em, cc).collect()} == {("a", "m1"), ("a", "m2"), ("a", "m4"), ("c", "m3")}
 
