@@ -179,8 +179,8 @@ class Packer:
         return out
 
 
-#: Bits of the curve by which items are counted for the ranges: at most 65,536 numbers for each budget (fixed value).
-_CELL_BITS = 16
+#: Bits of the curve by which items are counted for the ranges: at most 4,096 numbers for each budget (fixed value).
+_CELL_BITS = 12
 
 
 def ranges_of(cells: list[tuple[int, int, int]], items_per_range: int) -> list[tuple[int, int, int, int]]:
