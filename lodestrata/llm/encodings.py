@@ -99,6 +99,10 @@ def _decoded(word: str, wrong: str, right: str) -> str:
             return codecs.charmap_encode(word, "strict", _TABLES[wrong])[0].decode(right)
         except UnicodeError:
             pass
+    return _by_runs(word, wrong, right)
+
+
+def _by_runs(word: str, wrong: str, right: str) -> str:
     table = _TABLES[wrong]
 
     def run(m: re.Match) -> str:
@@ -150,21 +154,38 @@ def _disguises(word: str) -> list[str]:
     return list(dict.fromkeys([plain, "".join(SAME_SHAPE.get(c, c) for c in word), "".join(SAME_SHAPE.get(c, c) for c in plain), unicodedata.normalize("NFC", table_form(word))]))
 
 
-def _readings(word: str) -> Iterator[tuple[int, str]]:
-    """Number of each chain and the word as read by it.
+def _readings(word: str, single: bool = True) -> Iterator[tuple[int, str]]:
+    """Number of each chain and the word as read by it; without ``single`` not those of two single-byte encodings.
 
     One character of a single-byte encoding is never UTF-8, unless it has lost its second byte; in the wide ones it may be.
     """
     several = len(_HIGH.findall(word)) > 1
     once: dict[str, str] = {}
+    raws: dict[str, bytes | None] = {}
     for k, chain in enumerate(CHAINS):
         if chain in _SINGLE:
-            yield k, word.translate(_SINGLE[chain])
+            if single:
+                yield k, word.translate(_SINGLE[chain])
         elif len(chain) == 4:
             if once.get(chain[0], word) != word:
                 yield k, _utf8(once[chain[0]], chain[2])
         elif chain[1] != "utf_8":
-            yield k, _decoded(word, *chain)
+            wrong, right = chain
+            if right in _WIDE and wrong not in _WIDE:
+                if wrong not in raws:
+                    try:
+                        raws[wrong] = codecs.charmap_encode(word, "strict", _TABLES[wrong])[0]
+                    except UnicodeError:
+                        raws[wrong] = None
+                if raws[wrong] is not None:
+                    try:
+                        yield k, raws[wrong].decode(right)
+                        continue
+                    except UnicodeError:
+                        pass
+                yield k, _by_runs(word, wrong, right)
+            else:
+                yield k, _decoded(word, *chain)
         elif several:
             once[chain[0]] = got = _utf8(word, chain[0])
             yield k, got
@@ -176,7 +197,7 @@ def garble(text: str, wrong: str, right: str) -> str | None:
     """A text written in ``right`` and read in ``wrong``, or None if it can't be."""
     try:
         raw = text.encode(right)
-        return "".join({b: chr(c) for c, b in _TABLES[wrong].items()}.get(b, chr(b)) for b in raw) if wrong in _TABLES and wrong != "cp1252" else raw.decode("latin_1" if wrong == "cp1252" else wrong)
+        return raw.decode("latin_1").translate(_BACK[wrong]) if wrong in _TABLES and wrong != "cp1252" else raw.decode("latin_1" if wrong == "cp1252" else wrong)
     except UnicodeError:
         return None
 
@@ -360,9 +381,15 @@ class Restorer:
     def _score(self, new: list[str]) -> None:
         first = self.model.likelihood(new)
         tried, spelt = [], []
-        for w, as_is in zip(new, first):
-            options: dict[str, int] = {}
-            for k, got in _readings(w):
+        read: list[dict[str, int]] = [{} for _ in new]
+        whole = " ".join(new)  # words have no blanks, and no character becomes one
+        for k, chain in enumerate(CHAINS):
+            if chain in _SINGLE and (other := whole.translate(_SINGLE[chain])) != whole:
+                for w, got, options in zip(new, other.split(" "), read):
+                    if got != w:
+                        options[got] = options.get(got, 0) | (1 << k)
+        for w, as_is, options in zip(new, first, read):
+            for k, got in _readings(w, False):
                 if got != w:
                     options[got] = options.get(got, 0) | (1 << k)
             options = {o: chains for o, chains in options.items() if self.model.most(o) - as_is > -2}  # others can't be taken
