@@ -65,7 +65,7 @@ def prior_catalog(spark, sf):
 def catalog_aliases(spark, sf):
     lex = _read(spark, sf, "lexicon").select(F.col("canonical_id").alias("node_id"), "label", "canonical_name", "aliases")
     ent = _entities(spark, sf).select(F.col("entity_id").alias("node_id"), "label", "canonical_name", "aliases")
-    return entities.catalog_aliases([lex, ent])
+    return entities.catalog_aliases([lex, ent]).drop("canonical_name")
 
 
 def _catalog(spark: SparkSession, sf: str) -> DataFrame:
@@ -267,7 +267,7 @@ def oracle_sql() -> dict[str, str]:
         "lexical_pairs": f"WITH {_ENT},{_REPS},{_CLASSES}, star AS (SELECT DISTINCT least(rep, class_rep) AS x, greatest(rep, class_rep) AS y, true AS star FROM classes WHERE rep <> class_rep), p0 AS (SELECT a.rep AS x, b.rep AS y, a.label, len(list_intersect(a.tokens, b.tokens)) / greatest(len(list_distinct(list_concat(a.tokens, b.tokens))), 1) AS j, list_has_any(a.keys, b.keys) AS alias_overlap, (contains(a.norm, b.norm) OR contains(b.norm, a.norm)) AND least(length(a.norm), length(b.norm)) >= 4 AS containment FROM r a JOIN r b ON a.label = b.label AND a.rep < b.rep WHERE NOT (a.versions <> '' AND b.versions <> '' AND a.versions <> b.versions)), p AS (SELECT p0.*, coalesce(star, false) AS star FROM p0 LEFT JOIN star USING (x, y)) SELECT x AS left_id, y AS right_id, label, CAST(round_even(CAST(j AS DECIMAL(18,10)), 4) AS DOUBLE) AS jaccard, containment, alias_overlap, CAST(round_even(CAST(greatest(CASE WHEN alias_overlap THEN 0.995 ELSE 0 END, CASE WHEN containment THEN 0.88 ELSE 0 END, j) AS DECIMAL(18,10)), 4) AS DOUBLE) AS score FROM p WHERE star OR containment OR j >= 0.64",
         "name_classes": f"WITH {_ENT},{_REPS} SELECT entity_id AS entity, rep FROM live JOIN reps USING (label, norm)",
         "prior_catalog": f"WITH {_ENT},{_CAT.format(ent='true')} SELECT node_id, label, key, array_to_string(aliases[1:200], '|') AS aliases, len(aliases) AS alias_count FROM cat",
-        "catalog_aliases": f"WITH {_ENT},{_CAT.format(ent='true')} SELECT node_id, label, key, canonical_name, unnest(aliases) AS alias FROM cat",
+        "catalog_aliases": f"WITH {_ENT},{_CAT.format(ent='true')} SELECT node_id, label, key, unnest(aliases) AS alias FROM cat",
         "exact_prior_nodes": f"WITH {_ENT},{_CAT.format(ent='false')}, o AS (SELECT label, key, min(node_id) AS node_id FROM cat GROUP BY 1, 2 HAVING count(DISTINCT node_id) = 1) SELECT entity_id, o.node_id AS matched_node_id FROM ent LEFT JOIN o ON ent.label = o.label AND {_n('ent.canonical_name')} = o.key",
         "merge_components": f"WITH RECURSIVE {_LOG},{_CC} SELECT node, component FROM cc",
         "merged_entities": f"WITH RECURSIVE {_ENT},{_LOG},{_CC}, x AS (SELECT ent.*, coalesce(component, entity_id) AS c FROM ent LEFT JOIN cc ON entity_id = node), a AS (SELECT c, array_to_string(list_sort(list_distinct(list(a)))[1:200], '|') AS aliases FROM (SELECT c, unnest(aliases) AS a FROM x) WHERE a IS NOT NULL GROUP BY 1) SELECT x.c AS entity_id, arg_min(label, (entity_id, label)) AS label, arg_max(canonical_name, (length(canonical_name), canonical_name)) AS canonical_name, sum(coalesce(mention_count, 0))::BIGINT AS mention_count, count(DISTINCT entity_id) AS members, any_value(a.aliases) AS aliases FROM x LEFT JOIN a ON x.c = a.c GROUP BY x.c",
