@@ -94,7 +94,7 @@ def find_entries(values: DataFrame, lexicon: DataFrame, value: str, label: str |
     return keyed.join(one, "alias_key").drop("alias_key")
 
 
-_RUNS = re.compile("[A-Za-z0-9]+")
+_RUNS = re.compile("[A-Za-z0-9\u017f\u212a]+")  # with the two other characters that are ASCII letters in another case
 #: What makes a name of a label another one (fixed values): a hyphen on either side of a tool, a version or a following word after a model.
 HYPHEN_LABEL, VERSION_LABEL = "Tool", "Model"
 _VERSION = re.compile(r"(?:\.\d+|o\b|\s+Search\b)", re.I)
@@ -110,13 +110,13 @@ class _AliasMatcher:
             p = re.compile(rf"(?<![A-Za-z0-9]){re.escape(a)}(?![A-Za-z0-9])", re.I)
             first = _RUNS.match(a)
             if first:
-                self.by_run.setdefault(first[0].lower(), []).append((a, p))
+                self.by_run.setdefault(first[0].casefold(), []).append((a, p))
             else:
                 self.by_character.setdefault(a[0].lower(), []).append((a, p))
 
     def find(self, text: str) -> Iterator[tuple[str, int, int, bool, bool]]:
         """Alias, start, end, whether a hyphen is beside it, and whether a version follows."""
-        starts = [(m.start(), own) for m in _RUNS.finditer(text) if (own := self.by_run.get(m[0].lower()))]
+        starts = [(m.start(), own) for m in _RUNS.finditer(text) if (own := self.by_run.get(m[0].casefold()))]
         if self.by_character:
             starts += [(i, own) for i, c in enumerate(text) if (own := self.by_character.get(c.lower()))]
         for at, own in starts:

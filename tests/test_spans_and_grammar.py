@@ -28,10 +28,10 @@ def test_lexicon(spark):
 
 
 def test_guards_of_tools_and_models(spark):
-    lex = spark.createDataFrame([("t", "Tool", "EPANET", [], None), ("m", "Model", "GPT-4", ["QX", "é2", "x"], None)], LEX_SCHEMA)
-    s = spark.createDataFrame([("1", "EPANET ran; pre-EPANET and EPANET-MSX did not."), ("2", "GPT-4 and GPT-4.5, GPT-4o, GPT-4 Search, gpt-4-turbo."), ("3", "QX_QX中QX aQX É2.")], "sid string, text string")
+    lex = spark.createDataFrame([("t", "Tool", "EPANET", [], None), ("m", "Model", "GPT-4", ["QX", "é2", "x", "kxx"], None)], LEX_SCHEMA)
+    s = spark.createDataFrame([("1", "EPANET ran; pre-EPANET and EPANET-MSX did not."), ("2", "GPT-4 and GPT-4.5, GPT-4o, GPT-4 Search, gpt-4-turbo."), ("3", "QX_QX中QX aQX É2."), ("4", "EPANET \u212aXX eXX.")], "sid string, text string")
     got = sorted((r.sid, r.start_char, r.surface_text) for r in spans.lexicon_spans(s, lex, ["sid"]).collect())
-    assert got == [("1", 0, "EPANET"), ("2", 0, "GPT-4"), ("2", 41, "gpt-4"), ("3", 0, "QX"), ("3", 3, "QX"), ("3", 6, "QX"), ("3", 13, "É2")]
+    assert got == [("1", 0, "EPANET"), ("2", 0, "GPT-4"), ("2", 41, "gpt-4"), ("3", 0, "QX"), ("3", 3, "QX"), ("3", 6, "QX"), ("3", 13, "É2"), ("4", 0, "EPANET"), ("4", 7, "\u212aXX")]
 
 
 def test_propagation_in_any_case_and_spelling(spark):
