@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestrata.functions.ids import name_tokens, normalized, stable_id
-from lodestrata.functions.similarity import ratio_bound, sequence_ratio, token_jaccard, version_of
+from lodestrata.functions.similarity import sequence_ratio, token_jaccard, version_of
+from lodestrata.operators.name_pairs import word_pairs
 from lodestrata.sources.scratch import Scratch, read_block
 
 #: Labels whose things are told apart by occurrence, and labels that never become entities (fixed values).
@@ -75,20 +76,6 @@ def entity_mentions(mentions: DataFrame, entities: DataFrame) -> DataFrame:
     return _keyed(mentions).select("label", "key", "mention_id", "sentence_id").join(entities.select("label", "key", "entity_id"), ["label", "key"]).select("entity_id", "mention_id", "sentence_id")
 
 
-def prefix_keys(names: DataFrame, frequency: DataFrame, key: str, least: float) -> DataFrame:
-    """``(label, key, k)``: what a name must share with any name of its label whose word Jaccard is ``least`` or more.
-
-    For every size that the other name can have, a pair must share one of the first words, the rarest first, of each:
-    with sizes a and b, ``o = ceil(least / (1 + least) * (a + b))`` words in common are needed, so the first
-    ``a - o + 1`` will do. A common word is among these only if a name has none that are rarer.
-    """
-    words = names.select("label", key, F.size("tokens").alias("a"), F.explode("tokens").alias("t")).join(frequency, ["label", "t"])
-    ranked = words.withColumn("at", F.row_number().over(Window.partitionBy("label", key).orderBy("df", "t")))
-    sizes = ranked.select("label", key, "a", "t", "at", F.explode(F.sequence(F.greatest(F.ceil(F.col("a") * least - 1e-9), F.lit(1)).cast("int"), F.floor(F.col("a") / least + 1e-9).cast("int"))).alias("b"))
-    need = F.ceil((F.col("a") + F.col("b")) * (least / (1 + least)) - 1e-9)
-    return sizes.where(F.col("at") <= F.col("a") - need + 1).select("label", key, F.concat_ws(":", F.least("a", "b"), F.greatest("a", "b"), "t").alias("k"))
-
-
 def word_frequency(*names: DataFrame) -> DataFrame:
     """``(label, t, df)``: how many names of a label have a word."""
     out = None
@@ -103,46 +90,62 @@ def similar_pairs(entities: DataFrame, threshold: float = 0.64, ratio: bool = Tr
 
     Names are compared once: entities with one label and normalised name are one representative each (see
     ``representatives`` and ``class_members``), so copies make no pairs. Representatives meet if one is inside the other
-    (then it shares its rarest run of four characters), or by ``prefix_keys`` for the least word Jaccard with which the
+    (then it shares its rarest run of four characters), or by ``word_pairs`` for the least word Jaccard with which the
     threshold can be reached at a character ratio of 1. Those that share an alias are a class (``alias_classes`` has its
     members), and each is paired with the class's representative only, so an alias that very many have makes no more
     pairs than it has members. Conflicting version numbers score nothing. The character ratio is computed only for pairs
-    whose bound on it allows the threshold. Where the entities' own arrays of aliases are bounded, ``aliases(id, alias)``
-    are the rows beside them.
+    whose bound on it allows the threshold. Each pair is found in one way only and scored where its names meet, with
+    all that its row needs, so pairs are neither shuffled nor written before they are returned. Where the entities' own
+    arrays of aliases are bounded, ``aliases(id, alias)`` are the rows beside them.
     """
     scratch = Scratch(entities.sparkSession, "names")
-    r = scratch.put(representatives(entities, id_col))
+    known = [c for c in ("label", "canonical_name", "aliases") if c in entities.columns and (c != "aliases" or aliases is None)]
+    entities = scratch.put(entities.select(id_col, *known))
     classes = scratch.put(alias_classes(entities, id_col, aliases))
+    own = classes.select("label", "rep", "alias_key").distinct()
+    several = own.groupBy("label", "alias_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    shared = own.join(several, ["label", "alias_key"]).groupBy("label", "rep").agg(F.collect_list("alias_key").alias("shared"))
+    linked = classes.where("rep <> class_rep")
+    stars = linked.groupBy("label", "rep").agg(F.collect_set("class_rep").alias("stars"))
+    r = representatives(entities, id_col).drop("members", "name").join(shared, ["label", "rep"], "left").join(stars, ["label", "rep"], "left")
+    r = scratch.put(r.select("label", "rep", "norm", "tokens", "versions", "shared", "stars"))
     least = max(0.05, (threshold - 0.45) / 0.55) if ratio else threshold
-    keys = prefix_keys(r, word_frequency(r), "rep", least)
-    a, b = keys.select("label", "k", F.col("rep").alias("x")), keys.select("label", "k", F.col("rep").alias("y"))
-    grams = r.where(F.length("norm") >= 4).select("label", "rep", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("norm") - 3), lambda i: F.substr("norm", i, F.lit(4))))).alias("g"))
-    common = grams.groupBy("label", "g").agg(F.count(F.lit(1)).alias("df"))
-    rare = grams.join(common, ["label", "g"]).groupBy("label", "rep").agg(F.min(F.struct("df", "g")).alias("_r")).select("label", F.col("rep").alias("x"), F.col("_r.g").alias("g"))
-    inside = rare.join(grams.select("label", "g", F.col("rep").alias("y")), ["label", "g"]).where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-    star = classes.where("rep <> class_rep").select(F.least("rep", "class_rep").alias("x"), F.greatest("rep", "class_rep").alias("y"))
-    met = a.join(b, ["label", "k"]).where("x < y").select("x", "y").unionByName(inside).withColumn("_star", F.lit(False)).unionByName(star.withColumn("_star", F.lit(True)))
-    met = met.groupBy("x", "y").agg(F.max("_star").alias("_star"))
-    left, right = (r.select(*[F.col(c).alias(f"{p}_{c}") for c in ("rep", "label", "name", "norm", "tokens", "versions")]) for p in ("l", "r"))
-    p = met.join(left, met["x"] == left["l_rep"]).join(right, met["y"] == right["r_rep"])
-    shorter = F.least(F.length("l_norm"), F.length("r_norm"))
-    p = p.withColumns({
-        "jaccard": token_jaccard(F.col("l_tokens"), F.col("r_tokens")),
-        "containment": (F.contains("l_norm", "r_norm") | F.contains("r_norm", "l_norm")) & (shorter >= 4),
-        "conflict": (F.col("l_versions") != "") & (F.col("r_versions") != "") & (F.col("l_versions") != F.col("r_versions")),
-    }).where("not conflict")
-    inner = F.when(F.col("containment"), 0.88).otherwise(0.0)
-    bound = 0.55 * F.col("jaccard") + 0.45 * ratio_bound(F.col("l_norm"), F.col("r_norm")) if ratio else F.col("jaccard")
-    p = p.where(F.col("_star") | F.col("containment") | (bound >= threshold))
-    own = 0.55 * F.col("jaccard") + 0.45 * sequence_ratio(F.col("l_norm"), F.col("r_norm")) if ratio else F.col("jaccard")
-    p = p.withColumn("_own", F.bround(F.greatest(inner, own), 4)).where(F.col("_star") | (F.col("_own") >= threshold))
-    p = scratch.put(p.select("x", "y", "_star", F.col("l_label").alias("label"), F.bround("jaccard", 4).alias("jaccard"), "containment", "_own"))
-    own_aliases = classes.select(F.col("rep").alias("x"), "label", "alias_key").distinct()
-    shared = p.where("not _star").select("x", "y", "label").join(own_aliases, ["x", "label"]).join(own_aliases.withColumnRenamed("x", "y"), ["y", "label", "alias_key"], "left_semi")
-    p = p.join(shared.select("x", "y").distinct().withColumn("_also", F.lit(True)), ["x", "y"], "left")
-    overlap = F.col("_star") | F.coalesce("_also", F.lit(False))
-    score = F.greatest(F.when(overlap, 0.995).otherwise(0.0), F.col("_own"))
-    return p.select(F.col("x").alias("left_id"), F.col("y").alias("right_id"), "label", "jaccard", "containment", overlap.alias("alias_overlap"), score.alias("score"))
+    words = word_pairs(r, word_frequency(r), least, threshold, ratio)
+    words = words.select("x", "y", "label", F.col("j").alias("jaccard"), F.lit(False).alias("containment"), F.col("overlap"), (0.55 * F.col("j") + 0.45 * F.col("q") if ratio else F.col("j")).alias("_own"), F.lit(False).alias("_star"))
+
+    held = ["rep", "norm", "tokens", "versions", "shared", "stars"]
+    side = lambda p: F.struct(*[F.col(c) for c in held]).alias(p)
+    link = linked.select("label", F.least("rep", "class_rep").alias("x"), F.greatest("rep", "class_rep").alias("y")).distinct()
+    star = link.join(r.select(F.col("rep").alias("x"), "label", side("l")), ["label", "x"]).join(r.select(F.col("rep").alias("y"), "label", side("r")), ["label", "y"])
+    inner = _inside(r, held)
+    x, y = F.col("a.rep"), F.col("b.rep")
+    inner = inner.where(~F.array_contains(F.coalesce("a.stars", F.array().cast(r.schema["stars"].dataType)), y) & ~F.array_contains(F.coalesce("b.stars", F.array().cast(r.schema["stars"].dataType)), x))
+    inner = inner.select("label", F.when(x < y, F.col("a")).otherwise(F.col("b")).alias("l"), F.when(x < y, F.col("b")).otherwise(F.col("a")).alias("r"), F.lit(False).alias("_star"))
+    p = star.select("label", "l", "r", F.lit(True).alias("_star")).unionByName(inner)
+    shorter = F.least(F.length("l.norm"), F.length("r.norm"))
+    p = p.where((F.col("l.versions") == "") | (F.col("r.versions") == "") | (F.col("l.versions") == F.col("r.versions"))).withColumns({
+        "jaccard": token_jaccard(F.col("l.tokens"), F.col("r.tokens")),
+        "containment": (F.contains("l.norm", "r.norm") | F.contains("r.norm", "l.norm")) & (shorter >= 4),
+        "overlap": F.col("_star") | F.coalesce(F.arrays_overlap("l.shared", "r.shared"), F.lit(False)),
+    })
+    alike = 0.55 * F.col("jaccard") + 0.45 * sequence_ratio(F.col("l.norm"), F.col("r.norm")) if ratio else F.col("jaccard")
+    p = p.select(F.col("l.rep").alias("x"), F.col("r.rep").alias("y"), "label", "jaccard", "containment", "overlap", F.greatest(F.when(F.col("containment"), 0.88).otherwise(0.0), alike).alias("_own"), "_star")
+    p = words.unionByName(p).withColumn("_own", F.bround("_own", 4)).where(F.col("_star") | (F.col("_own") >= threshold))
+    score = F.greatest(F.when(F.col("overlap"), 0.995).otherwise(0.0), F.col("_own"))
+    return p.select(F.col("x").alias("left_id"), F.col("y").alias("right_id"), "label", F.bround("jaccard", 4).alias("jaccard"), "containment", F.col("overlap").alias("alias_overlap"), score.alias("score"))
+
+
+def _inside(r: DataFrame, held: list[str]) -> DataFrame:
+    """``(label, a, b)``: rows of one label as structs of ``held``, the name of ``a`` inside that of ``b``; each pair once, by the rarest run of four characters of ``a``."""
+    runs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("norm") - 3), lambda i: F.substr("norm", i, F.lit(4))))
+    long = r.where(F.length("norm") >= 4)
+    grams = long.select("label", "rep", F.explode(runs).alias("g"))
+    common = grams.groupBy("label", "g").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    # A name with a run that no other name has is inside no other.
+    rare = grams.join(common, ["label", "g"], "left").groupBy("label", "rep").agg(F.min(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "g")).alias("_r")).where("_r.df > 1").select("label", "rep", F.col("_r.g").alias("g"))
+    a = rare.join(long, ["label", "rep"]).select("label", "g", F.struct(*held).alias("a"))
+    b = long.select("label", F.explode(runs).alias("g"), F.struct(*held).alias("b"))
+    return a.join(b, ["label", "g"]).where((F.length("a.norm") < F.length("b.norm")) & F.contains("b.norm", "a.norm")).select("label", "a", "b")
 
 
 def _live(entities: DataFrame) -> DataFrame:
