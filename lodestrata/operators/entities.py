@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.functions.ids import name_tokens, normalized, stable_id
 from lodestrata.functions.similarity import sequence_ratio, token_jaccard, version_of
-from lodestrata.operators.name_pairs import word_pairs
+from lodestrata.operators.name_pairs import pairs_inside, word_pairs
 from lodestrata.sources.scratch import Scratch, read_block
 
 #: Labels whose things are told apart by occurrence, and labels that never become entities (fixed values).
@@ -101,30 +101,34 @@ def similar_pairs(entities: DataFrame, threshold: float = 0.64, ratio: bool = Tr
     scratch = Scratch(entities.sparkSession, "names")
     known = [c for c in ("label", "canonical_name", "aliases") if c in entities.columns and (c != "aliases" or aliases is None)]
     entities = scratch.put(entities.select(id_col, *known))
-    classes = scratch.put(alias_classes(entities, id_col, aliases))
+    reps = scratch.put(representatives(entities, id_col).select("label", "norm", "rep", "versions"))
+    classes = scratch.put(alias_classes(entities, id_col, aliases, reps))
+    scratch.forget(entities)
     own = classes.select("label", "rep", "alias_key").distinct()
     several = own.groupBy("label", "alias_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
     shared = own.join(several, ["label", "alias_key"]).groupBy("label", "rep").agg(F.collect_list("alias_key").alias("shared"))
     linked = classes.where("rep <> class_rep")
     stars = linked.groupBy("label", "rep").agg(F.collect_set("class_rep").alias("stars"))
-    r = representatives(entities, id_col).drop("members", "name").join(shared, ["label", "rep"], "left").join(stars, ["label", "rep"], "left")
-    r = scratch.put(r.select("label", "rep", "norm", "tokens", "versions", "shared", "stars"))
+    r = reps.join(shared, ["label", "rep"], "left").join(stars, ["label", "rep"], "left")
+    r = scratch.put(r.select("label", "rep", "norm", "versions", "shared", "stars"))
+    scratch.forget(reps)
     least = max(0.05, (threshold - 0.45) / 0.55) if ratio else threshold
-    words = word_pairs(r, word_frequency(r), least, threshold, ratio)
+    named = r.withColumn("tokens", name_tokens("norm"))
+    words = word_pairs(named, word_frequency(named), least, threshold, ratio)
     words = words.select("x", "y", "label", F.col("j").alias("jaccard"), F.lit(False).alias("containment"), F.col("overlap"), (0.55 * F.col("j") + 0.45 * F.col("q") if ratio else F.col("j")).alias("_own"), F.lit(False).alias("_star"))
 
-    held = ["rep", "norm", "tokens", "versions", "shared", "stars"]
+    held = ["rep", "norm", "versions", "shared", "stars"]
     side = lambda p: F.struct(*[F.col(c) for c in held]).alias(p)
     link = linked.select("label", F.least("rep", "class_rep").alias("x"), F.greatest("rep", "class_rep").alias("y")).distinct()
     star = link.join(r.select(F.col("rep").alias("x"), "label", side("l")), ["label", "x"]).join(r.select(F.col("rep").alias("y"), "label", side("r")), ["label", "y"])
-    inner = _inside(r, held)
+    inner = pairs_inside(r, held)
     x, y = F.col("a.rep"), F.col("b.rep")
     inner = inner.where(~F.array_contains(F.coalesce("a.stars", F.array().cast(r.schema["stars"].dataType)), y) & ~F.array_contains(F.coalesce("b.stars", F.array().cast(r.schema["stars"].dataType)), x))
     inner = inner.select("label", F.when(x < y, F.col("a")).otherwise(F.col("b")).alias("l"), F.when(x < y, F.col("b")).otherwise(F.col("a")).alias("r"), F.lit(False).alias("_star"))
     p = star.select("label", "l", "r", F.lit(True).alias("_star")).unionByName(inner)
     shorter = F.least(F.length("l.norm"), F.length("r.norm"))
     p = p.where((F.col("l.versions") == "") | (F.col("r.versions") == "") | (F.col("l.versions") == F.col("r.versions"))).withColumns({
-        "jaccard": token_jaccard(F.col("l.tokens"), F.col("r.tokens")),
+        "jaccard": token_jaccard(name_tokens("l.norm"), name_tokens("r.norm")),
         "containment": (F.contains("l.norm", "r.norm") | F.contains("r.norm", "l.norm")) & (shorter >= 4),
         "overlap": F.col("_star") | F.coalesce(F.arrays_overlap("l.shared", "r.shared"), F.lit(False)),
     })
@@ -135,19 +139,6 @@ def similar_pairs(entities: DataFrame, threshold: float = 0.64, ratio: bool = Tr
     return p.select(F.col("x").alias("left_id"), F.col("y").alias("right_id"), "label", F.bround("jaccard", 4).alias("jaccard"), "containment", F.col("overlap").alias("alias_overlap"), score.alias("score"))
 
 
-def _inside(r: DataFrame, held: list[str]) -> DataFrame:
-    """``(label, a, b)``: rows of one label as structs of ``held``, the name of ``a`` inside that of ``b``; each pair once, by the rarest run of four characters of ``a``."""
-    runs = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("norm") - 3), lambda i: F.substr("norm", i, F.lit(4))))
-    long = r.where(F.length("norm") >= 4)
-    grams = long.select("label", "rep", F.explode(runs).alias("g"))
-    common = grams.groupBy("label", "g").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    # A name with a run that no other name has is inside no other.
-    rare = grams.join(common, ["label", "g"], "left").groupBy("label", "rep").agg(F.min(F.struct(F.coalesce("df", F.lit(1)).alias("df"), "g")).alias("_r")).where("_r.df > 1").select("label", "rep", F.col("_r.g").alias("g"))
-    a = rare.join(long, ["label", "rep"]).select("label", "g", F.struct(*held).alias("a"))
-    b = long.select("label", F.explode(runs).alias("g"), F.struct(*held).alias("b"))
-    return a.join(b, ["label", "g"]).where((F.length("a.norm") < F.length("b.norm")) & F.contains("b.norm", "a.norm")).select("label", "a", "b")
-
-
 def _live(entities: DataFrame) -> DataFrame:
     return entities.where(~F.col("label").isin(*SCOPED_LABELS)).withColumn("norm", normalized("canonical_name")).where("norm <> ''")
 
@@ -158,15 +149,19 @@ def representatives(entities: DataFrame, id_col: str = "entity_id") -> DataFrame
     return own.withColumn("tokens", name_tokens("norm")).withColumn("versions", version_of(F.col("name")))
 
 
-def alias_classes(entities: DataFrame, id_col: str = "entity_id", aliases: DataFrame | None = None) -> DataFrame:
+def alias_classes(entities: DataFrame, id_col: str = "entity_id", aliases: DataFrame | None = None, reps: DataFrame | None = None) -> DataFrame:
     """``(label, alias_key, rep, class_rep)``: representatives that share a normalised alias, with the one that stands for the class.
 
     Names with different version numbers conflict, so the members of an alias are classes by version, each with its
     least member, and that of a
-    class with a version is tied to that of the class without version by a row of its own.
+    class with a version is tied to that of the class without version by a row of its own. ``reps`` are the
+    ``representatives`` where these are at hand.
     """
-    r = representatives(entities, id_col).select("label", "norm", "rep", "versions")
-    named = _live(entities).select("label", "norm", F.col(id_col).alias("_id")).distinct().join(_alias_rows(entities, aliases, id_col).withColumnRenamed(id_col, "_id"), "_id")
+    r = (representatives(entities, id_col) if reps is None else reps).select("label", "norm", "rep", "versions")
+    if aliases is None:
+        named = _live(entities).select("label", "norm", F.explode("aliases").alias("alias"))
+    else:
+        named = _live(entities).select("label", "norm", id_col).distinct().join(aliases.select(id_col, "alias"), id_col)
     named = named.select("label", "norm", normalized("alias").alias("alias_key")).where("alias_key <> ''").distinct()
     held = named.join(r, ["label", "norm"]).select("label", "alias_key", "rep", "versions")
     least = held.groupBy("label", "alias_key", "versions").agg(F.min("rep").alias("class_rep"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,8 @@ TILE, GATHER, PAIRS = 1024, 50_000, 200_000
 WIDE, LEVELS = 8, 8
 #: Common words with columns of their own when names are bounded, and columns for all others.
 OWN_WORDS, OTHER_WORDS = 64, 64
+#: Runs of so many characters are counted, hashed to a table of a fixed size (4 MB).
+RUN, BUCKETS = 4, 1 << 20
 
 
 def word_pairs(names: DataFrame, frequency: DataFrame, least: float, threshold: float, ratio: bool) -> DataFrame:
@@ -57,6 +60,90 @@ def word_pairs(names: DataFrame, frequency: DataFrame, least: float, threshold:
     return rows.mapInArrow(find, f"x {kind}, y {kind}, label string, j double, q double, overlap boolean")
 
 
+def pairs_inside(names: DataFrame, columns: list[str]) -> DataFrame:
+    """``(label, a, b)``: rows of one label as structs of ``columns``, the name ``norm`` of ``a`` inside that of ``b``; each pair once.
+
+    ``a`` goes to its rarest run of four characters, ``b`` to those of its runs that are the rarest of any name. Runs are
+    counted in a table of a fixed size; two runs with one place in it only seem less rare than they are.
+    """
+    kind = names.select("label", *columns).schema
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, dtype=np.int64)
+        for b in batches:
+            total += np.bincount(_runs(b)[2], minlength=BUCKETS)
+        at = np.flatnonzero(total)
+        for c in range(0, len(at), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(at[c : c + 50_000]), pa.array(total[at[c : c + 50_000]])], names=["at", "n"])
+
+    counted = names.select("label", "norm").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(BUCKETS, dtype=np.int64)
+    often[counted["at"].to_numpy()] = counted["n"].to_numpy()
+
+    def rarest(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows, runs and buckets of the rarest run of each name, without names that have a run of their own, which are inside no other."""
+        row, run, at = _runs(b)
+        order = np.lexsort((run, often[at], row))
+        row, run, at = row[order], run[order], at[order]
+        first = np.append(True, row[1:] != row[:-1])[: len(row)] & (often[at] > 1)
+        return row[first], run[first], at[first]
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some = np.zeros(BUCKETS, dtype=bool)
+        for b in batches:
+            some[rarest(b)[2]] = True
+        at = np.flatnonzero(some)
+        for c in range(0, len(at), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(at[c : c + 50_000])], names=["at"])
+
+    chosen = np.zeros(BUCKETS, dtype=bool)
+    chosen[names.select("label", "norm").mapInArrow(choose, "at long").distinct().toArrow()["at"].to_numpy()] = True
+
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            row, run, _ = rarest(b)
+            yield _with_runs(b, row, run)
+
+    def outer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            row, run, at = _runs(b)
+            row, run = row[chosen[at]], run[chosen[at]]
+            for c in range(0, len(row), 50_000):
+                yield _with_runs(b, row[c : c + 50_000], run[c : c + 50_000])
+
+    rows, kind = names.select("label", *columns), kind.add("run", "integer")
+    a = rows.mapInArrow(inner, kind).select("label", "run", F.struct(*columns).alias("a"))
+    b = rows.mapInArrow(outer, kind).select("label", "run", F.struct(*columns).alias("b"))
+    return a.join(b, ["label", "run"]).where((F.length("a.norm") < F.length("b.norm")) & F.contains("b.norm", "a.norm")).select("label", "a", "b")
+
+
+def _with_runs(b: pa.RecordBatch, row: np.ndarray, run: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*b.take(pa.array(row)).columns, pa.array(run, pa.int32())], names=[*b.schema.names, "run"])
+
+
+def _runs(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, run as a number, and bucket of each distinct run of four characters of each normalised name."""
+    norm = b["norm"].to_pylist()
+    codes = _CODES[np.frombuffer("".join(norm).encode("ascii"), dtype=np.uint8)]
+    row = np.repeat(np.arange(len(norm)), [len(n) for n in norm])
+    n = max(len(codes) - RUN + 1, 0)
+    run = np.zeros(n, dtype=np.int64)
+    for k in range(RUN):
+        run = run * 37 + codes[k : k + n]
+    whole = row[:n] == row[RUN - 1 : RUN - 1 + n]
+    both = np.unique(row[:n][whole] * 37**RUN + run[whole])
+    row, run = both // 37**RUN, both % 37**RUN
+    labels = b["label"].to_pylist()
+    seed = {v: zlib.crc32(v.encode()) if v is not None else 0 for v in set(labels)}
+    seeds = np.array([seed[v] for v in labels], dtype=np.uint64)
+    mixed = (run.astype(np.uint64) + seeds[row] * np.uint64(37**RUN)) * np.uint64(0x9E3779B97F4A7C15)
+    return row, run, (mixed >> np.uint64(44)).astype(np.int64)
+
+
+_CODES = np.zeros(128, dtype=np.int64)
+_CODES[np.frombuffer(b" 0123456789abcdefghijklmnopqrstuvwxyz", dtype=np.uint8)] = np.arange(37)
+
+
 def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Tables of about ``GATHER`` rows that end where a group ends."""
     held, n = [], 0

@@ -84,3 +84,9 @@ def test_matched_characters_equal_sequence_matcher():
     assert (matched_characters(names, x, y, np.zeros(len(x))) == want).all()
     need = np.array([r.randrange(20) for _ in x])
     assert (matched_characters(names, x, y, need) == np.where(want >= need, want, -1)).all()
+
+
+def test_pairs_of_no_names_and_short_names(spark):
+    df = spark.createDataFrame([("e1", "Tool", "ab", None), ("e2", "Tool", "ab c", []), ("e3", "Tool", "--", ["x"]), ("e4", "Model", "ab", None)], E)
+    assert [(r.left_id, r.right_id, r.containment, r.score) for r in entities.similar_pairs(df, 0.55).collect()] == [("e1", "e2", False, 0.575)]
+    assert not entities.similar_pairs(df.where("entity_id > 'e4'")).collect() and not entities.similar_pairs(df.where("entity_id = 'e3'")).collect()
