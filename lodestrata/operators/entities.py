@@ -95,8 +95,8 @@ def similar_pairs(entities: DataFrame, threshold: float = 0.64, ratio: bool = Tr
     members), and each is paired with the class's representative only, so an alias that very many have makes no more
     pairs than it has members. Conflicting version numbers score nothing. The character ratio is computed only for pairs
     whose bound on it allows the threshold. Each pair is found in one way only and scored where its names meet, with
-    all that its row needs, so pairs are neither shuffled nor written before they are returned. Where the entities' own
-    arrays of aliases are bounded, ``aliases(id, alias)`` are the rows beside them.
+    all that its row needs, so only pairs with a class's representative, no more than aliases, are shuffled. Where the
+    entities' own arrays of aliases are bounded, ``aliases(id, alias)`` are the rows beside them.
     """
     scratch = Scratch(entities.sparkSession, "names")
     known = [c for c in ("label", "canonical_name", "aliases") if c in entities.columns and (c != "aliases" or aliases is None)]
